@@ -19,10 +19,17 @@ def strip(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capital after every non-letter: ``o'neil`` gives ``O'Neil``, ``3rd`` gives ``3Rd``.
 
-    ``initcap`` alone starts a word only after a space, so it runs on each run of letters.
+    ``initcap`` starts a word only after a space, so each run of letters is handled on its
+    own. A letter whose capital is two letters keeps one of them: ``ß`` gives ``Ss``.
     """
+
+    def capital(run: Column) -> Column:
+        first = F.upper(F.substring(run, 1, 1))
+        rest = F.concat(F.substr(first, F.lit(2)), F.substr(run, F.lit(2)))
+        return F.concat(F.substring(first, 1, 1), F.lower(rest))
+
     runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.array_join(F.transform(runs, F.initcap), "")
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def is_email(c: Column) -> Column:

@@ -36,14 +36,18 @@ def minutes_between(start: Column, end: Column) -> Column:
     return seconds_between(start, end) / F.lit(60)
 
 
+def seconds_interval(seconds: int) -> Column:
+    """A constant interval; written as a literal, which stream joins need to see."""
+    return F.expr(f"INTERVAL {seconds} SECONDS")
+
+
 def micros(seconds: int) -> int:
     return seconds * 1_000_000
 
 
 def arrival_status(event_time: Column, seen_at: Column, limit_seconds: int) -> Column:
     """``LATE`` when a row was seen more than the limit after it happened."""
-    limit = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(limit_seconds))
-    return F.when(seen_at - event_time > limit, "LATE").otherwise("ON_TIME")
+    return F.when(seen_at - event_time > seconds_interval(limit_seconds), "LATE").otherwise("ON_TIME")
 
 
 def processing_delay(event_time: Column) -> Column:

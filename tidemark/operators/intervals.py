@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros
+from tidemark.functions.times import micros, seconds_interval
 
 
 def bucket(t: Column, width_seconds: int) -> Column:
@@ -36,7 +36,7 @@ def tolerance_join(
     lefts = left.withColumn("_left_bucket", bucket(F.col(left_time), tolerance_seconds))
     own = bucket(F.col(right_time), tolerance_seconds)
     rights = right.withColumn("_right_bucket", F.explode(F.array(own, own - 1)))
-    limit = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(tolerance_seconds))
+    limit = seconds_interval(tolerance_seconds)
     on = (
         (F.col("_left_bucket") == F.col("_right_bucket"))
         & (F.col(right_time) >= F.col(left_time))

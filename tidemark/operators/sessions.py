@@ -7,14 +7,14 @@ window is then at most one row per (key, cell, type), however many rows a hot ke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros
+from tidemark.functions.times import micros, seconds_interval
 
 
 def session_parts(
-    df: DataFrame, key: str, time: str, gap_seconds: int, by: list[str], sums: dict[str, F.Column] | None = None
+    df: DataFrame, key: str, time: str, gap_seconds: int, by: list[str], sums: dict[str, Column] | None = None
 ) -> DataFrame:
     """Per key, session and ``by``: row count, sums, first and last time.
 
@@ -32,10 +32,9 @@ def session_parts(
     of_cell = Window.partitionBy(key).orderBy("_cell").rangeBetween(0, 0)
     before = Window.partitionBy(key).orderBy("_cell").rangeBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(key).orderBy("_cell").rangeBetween(Window.unboundedPreceding, 0)
-    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
     bounded = cells.withColumn("_cell_start", F.min("first_time").over(of_cell))
     bounded = bounded.withColumn("_seen", F.max("last_time").over(before))
-    opens = F.col("_seen").isNull() | (F.col("_cell_start") > F.col("_seen") + gap)
+    opens = F.col("_seen").isNull() | (F.col("_cell_start") > F.col("_seen") + seconds_interval(gap_seconds))
     started = bounded.withColumn("_opens", F.when(opens, F.col("_cell_start")))
     named = started.withColumn("session_start", F.max("_opens").over(upto))
     return named.groupBy(key, "session_start", *by).agg(

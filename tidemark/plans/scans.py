@@ -118,7 +118,7 @@ def string_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 _TITLE = """array_to_string(list_transform(regexp_extract_all({0}, '(\\p{{L}}+|\\P{{L}}+)'),
-  lambda x: upper(x[1]) || lower(x[2:])), '')"""
+  lambda x: CASE x[1] WHEN 'ß' THEN 'Ss' ELSE upper(x[1]) END || lower(x[2:])), '')"""
 
 
 @query(f"""

@@ -305,10 +305,13 @@ def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay_complete(rows.groupBy("word").count(), "word-count")
 
 
-@query(_windowed_sql("1 HOUR", "10 MINUTE", "count(*) AS n", keys="'all' AS scope"))
+@query(f"""
+SELECT {t.sql_window('1 HOUR')} AS window_start, {t.sql_window('1 HOUR')} + INTERVAL 1 HOUR AS window_end, count(*) AS n
+FROM events GROUP BY 1, 2 HAVING {t.sql_window('1 HOUR')} + INTERVAL 1 HOUR <= {t.sql_watermark('10 MINUTE')}
+""")
 def stream_to_parquet(spark: SparkSession, d: str) -> DataFrame:
     grouped = windows.windowed(stream(spark, d, delay="10 minutes"), "ts", "1 hour", [], [F.count("*").alias("n")])
-    return runner.replay(grouped.select(*_bounds(), F.lit("all").alias("scope"), "n"), "hourly")
+    return runner.replay(grouped.select(*_bounds(), "n"), "hourly")
 
 
 @query(f"""
@@ -447,7 +450,7 @@ def _overlap(fine_rows: DataFrame, coarse_rows: DataFrame) -> DataFrame:
     ).withColumnRenamed("event_type", "region")
     joined = joins.join_enclosing(fine, coarse, "6 hours")
     return joined.select(
-        times.plain("fine_window.start").alias("window_start"), times.plain("fine_window.end").alias("window_end"),
+        F.col("fine_start").alias("window_start"), F.col("fine_end").alias("window_end"),
         "event_type", F.col("n").alias("activity_count"), "unique_users",
         ratio(F.col("value"), F.col("n")).alias("avg_value"),
         "region",
@@ -599,7 +602,7 @@ def session_overlap_join(spark: SparkSession, d: str) -> DataFrame:
     right_sums = {**{c: _kind(k) for c, k in SYSTEM_SUMS.items()}, "severity": _k()}
     right = found(METRIC_KINDS, SYSTEM_GAP, right_sums).select(
         "user_id", F.col("session_start").alias("system_start"),
-        (F.col("last_time") + F.make_dt_interval(F.lit(0), F.lit(SYSTEM_GAP))).alias("system_window_end"),
+        (F.col("last_time") + times.seconds_interval(SYSTEM_GAP * 3600)).alias("system_window_end"),
         F.col("n").alias("system_event_count"), *SYSTEM_SUMS,
         ratio(F.col("severity"), F.col("n")).alias("avg_severity"),
     )
@@ -722,8 +725,8 @@ def stream_multi_correlation(spark: SparkSession, d: str) -> DataFrame:
 SELECT s.user_id, s.start AS window_start, m.start AS maint_window_start, avg_temp, reading_count, alert_count, maintenance_events,
   maintenance_types, total_maintenance_time
 FROM (SELECT user_id, {t.sql_window('1 HOUR')} AS start, {t.sql_mean('value')} AS avg_temp, count(*) AS reading_count,
-    count(*) FILTER (WHERE value > {HIGH_VALUE}) AS alert_count FROM {t.EVENTS} WHERE {_in(SENSOR_KINDS)} GROUP BY ALL
-    HAVING start + INTERVAL 1 HOUR <= {t.sql_watermark('1 MINUTE', 'WHERE ' + _in(SENSOR_KINDS))}) s
+    count(*) FILTER (WHERE value > {HIGH_VALUE}) AS alert_count FROM {t.EVENTS} WHERE {_in(SENSOR_KINDS)} GROUP BY user_id, start
+    HAVING {t.sql_window('1 HOUR')} + INTERVAL 1 HOUR <= {t.sql_watermark('1 MINUTE', 'WHERE ' + _in(SENSOR_KINDS))}) s
 JOIN (SELECT user_id, start, CAST(sum(n) AS BIGINT) AS maintenance_events, string_agg(kind || ':' || n, ',' ORDER BY kind) AS maintenance_types,
     CAST(sum(minutes) AS BIGINT) AS total_maintenance_time FROM (SELECT user_id, {t.sql_window('6 HOUR')} AS start,
       CASE CAST(json_extract(props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'calibration' WHEN 1 THEN 'cleaning' ELSE 'replacement' END AS kind,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import plain
 from tidemark.operators.intervals import enclosing_window
 from tidemark.operators.joins import dimension_join
 
@@ -30,10 +31,14 @@ def join_enclosing(fine: DataFrame, coarse: DataFrame, size: str, how: str = "le
 
     Both sides are aggregates with a ``window`` column. A range condition has no equality to
     hash on; the enclosing window of the fine one is such an equality, and keeps the
-    watermark so that outer rows come out when the larger window closes.
+    watermark so that outer rows come out when the larger window closes. The fine window
+    stays as plain ``fine_start`` and ``fine_end``: a stream has one event-time column.
     """
-    left = fine.withColumnRenamed("window", "fine_window")
-    left = left.withColumn("window", enclosing_window(F.col("fine_window"), size))
+    left = fine.withColumns({
+        "fine_start": plain("window.start"),
+        "fine_end": plain("window.end"),
+        "window": enclosing_window(F.col("window"), size),
+    })
     return left.join(coarse, ["window"], how)
 
 
