@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -67,7 +68,7 @@ def main() -> None:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g"
+        master="local[8]", spark__sql__shuffle__partitions=os.environ.get("PARTITIONS", "8"), spark__ui__enabled="false", spark__driver__memory="12g"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

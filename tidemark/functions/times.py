@@ -20,7 +20,13 @@ def plain(c: Column | str) -> Column:
 
 def epoch_bucket(seconds: Column, width: int) -> Column:
     """Start of the ``width``-second bucket that holds an epoch second."""
-    return (F.floor(seconds / F.lit(width)) * width).cast("long")
+    return seconds - F.pmod(seconds, F.lit(width))
+
+
+def micro_bucket(t: Column, width_seconds: int) -> Column:
+    """The same for an instant, in microseconds: whole numbers only, so bounds are exact."""
+    us = F.unix_micros(t)
+    return us - F.pmod(us, F.lit(micros(width_seconds)))
 
 
 def offset_in(seconds: Column, width: int) -> Column:

@@ -7,15 +7,10 @@ condition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros, seconds_interval
-
-
-def bucket(t: Column, width_seconds: int) -> Column:
-    """Number of the fixed-width bucket that holds an instant."""
-    return F.floor(F.unix_micros(t) / F.lit(micros(width_seconds))).cast("long")
+from tidemark.functions.times import micro_bucket, micros, seconds_interval
 
 
 def tolerance_join(
@@ -33,9 +28,9 @@ def tolerance_join(
     each right row is offered to two buckets and meets a left row at most once. A hot key is
     thereby spread over its time buckets. Column names must differ between the sides.
     """
-    lefts = left.withColumn("_left_bucket", bucket(F.col(left_time), tolerance_seconds))
-    own = bucket(F.col(right_time), tolerance_seconds)
-    rights = right.withColumn("_right_bucket", F.explode(F.array(own, own - 1)))
+    lefts = left.withColumn("_left_bucket", micro_bucket(F.col(left_time), tolerance_seconds))
+    own = micro_bucket(F.col(right_time), tolerance_seconds)
+    rights = right.withColumn("_right_bucket", F.explode(F.array(own, own - micros(tolerance_seconds))))
     limit = seconds_interval(tolerance_seconds)
     on = (
         (F.col("_left_bucket") == F.col("_right_bucket"))
@@ -56,26 +51,33 @@ def overlap_join(
     width_seconds: int,
     how: str = "inner",
 ) -> DataFrame:
-    """Pairs of the same key whose closed spans overlap. Batch.
+    """Pairs of the same key whose closed spans overlap. Batch; ``inner`` or ``left``.
 
     Both sides are offered to every bucket they touch; a pair counts only in the bucket of
-    the later start, so it is found exactly once. For ``how="left"`` the left rows must be
-    unique by key and span, and come back with nulls when nothing overlaps.
+    the later start, so it is found exactly once. For ``left`` the left rows must be unique
+    by key and span: a row unmatched in all of its buckets is kept once, in its first one.
     """
     (ls, le), (rs, re) = left_span, right_span
 
     def offered(df: DataFrame, start: str, end: str) -> DataFrame:
-        span = F.sequence(bucket(F.col(start), width_seconds), bucket(F.col(end), width_seconds))
-        return df.withColumn("_bucket", F.explode(span))
-
-    identity = [*keys, ls, le]
-    lefts = offered(left if how == "inner" else left.select(*identity), ls, le)
-    later = bucket(F.greatest(F.col(ls), F.col(rs)), width_seconds)
-    overlapping = (F.col(ls) <= F.col(re)) & (F.col(le) >= F.col(rs)) & (F.col("_bucket") == later)
-    pairs = lefts.join(offered(right, rs, re), [*keys, "_bucket"]).filter(overlapping).drop("_bucket")
-    if how == "inner":
-        return pairs
-    return left.join(pairs, identity, "left")
+        first, last = micro_bucket(F.col(start), width_seconds), micro_bucket(F.col(end), width_seconds)
+        return df.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(micros(width_seconds)))))
+
+    rights = offered(right, rs, re).withColumn("_matched", F.lit(True))
+    for key in [*keys, "_bucket"]:
+        rights = rights.withColumnRenamed(key, f"_right{key}")
+    lefts = offered(left, ls, le)
+    later = micro_bucket(F.greatest(F.col(ls), F.col(rs)), width_seconds)
+    on = (F.col(ls) <= F.col(re)) & (F.col(le) >= F.col(rs)) & (F.col("_bucket") == later)
+    for key in [*keys, "_bucket"]:
+        on = on & (F.col(key) == F.col(f"_right{key}"))
+    pairs = lefts.join(rights, on, how).drop(*[f"_right{key}" for key in [*keys, "_bucket"]])
+    if how == "left":
+        anywhere = F.max("_matched").over(Window.partitionBy(*keys, ls, le))
+        in_first = F.col("_bucket") == micro_bucket(F.col(ls), width_seconds)
+        pairs = pairs.withColumn("_anywhere", anywhere)
+        pairs = pairs.filter(F.col("_matched") | (F.col("_anywhere").isNull() & in_first)).drop("_anywhere")
+    return pairs.drop("_bucket", "_matched")
 
 
 def enclosing_window(window: Column, size: str) -> Column:

@@ -15,10 +15,19 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def dimension_join(
-    facts: DataFrame, dimension: DataFrame, on: list[str], how: str = "inner", rows: int = BROADCAST_ROWS
+    facts: DataFrame,
+    dimension: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Broadcast the dimension when its counted size allows it, else leave the choice to Spark."""
-    if is_small(dimension, rows):
+    """Broadcast the dimension when its counted size allows it, else leave the choice to Spark.
+
+    ``counted`` is a table with at least as many rows that is cheaper to count, such as the
+    stored table the dimension was made from.
+    """
+    if is_small(dimension if counted is None else counted, rows):
         return facts.join(F.broadcast(dimension), on, how)
     return facts.join(dimension, on, how)
 

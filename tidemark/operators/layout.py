@@ -11,17 +11,20 @@ from pyspark.sql import functions as F
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows per partition, empty partitions included."""
-    n = df.rdd.getNumPartitions()
+def partition_sizes(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows per partition, empty partitions included.
+
+    ``n`` is the number of partitions; asking Spark for it plans the frame a second time.
+    """
+    n = n or df.rdd.getNumPartitions()
     counts = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
     every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
     return every.join(counts, "partition", "left").na.fill(0, ["rows"])
 
 
-def partition_report(df: DataFrame) -> DataFrame:
+def partition_report(df: DataFrame, n: int | None = None) -> DataFrame:
     """One row: number of partitions, rows, average, extremes, skew (max / average), verdict."""
-    sizes = partition_sizes(df).agg(
+    sizes = partition_sizes(df, n).agg(
         F.count("*").alias("num_partitions"),
         F.sum("rows").alias("total_records"),
         F.avg("rows").alias("avg_partition_size"),

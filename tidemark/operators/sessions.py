@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros, seconds_interval
+from tidemark.functions.times import micro_bucket, seconds_interval
 
 
 def session_parts(
@@ -22,7 +22,7 @@ def session_parts(
     ``session_start`` names the session; its window ends at the last time plus the gap.
     """
     sums = sums or {}
-    cell = F.floor(F.unix_micros(time) / F.lit(micros(gap_seconds))).alias("_cell")
+    cell = micro_bucket(F.col(time), gap_seconds).alias("_cell")
     cells = df.groupBy(key, cell, *by).agg(
         F.count("*").alias("n"),
         F.min(time).alias("first_time"),

@@ -18,7 +18,7 @@ from tidemark.sources import files, sinks
 
 @query()
 def partition_report(spark: SparkSession, d: str) -> DataFrame:
-    return layout.partition_report(layout.round_robin(t.lines(spark, d), 8))
+    return layout.partition_report(layout.round_robin(t.lines(spark, d), 8), 8)
 
 
 @query()

@@ -9,13 +9,16 @@ from tidemark.functions.numbers import total
 from tidemark.operators import skew
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
+from tidemark.session import written
 
 # Users with at least this share of the events count as hot.
 HOT_SHARE = 0.007
 
 
 def _hot(spark: SparkSession, d: str) -> DataFrame:
-    return skew.hot_keys(t.table(spark, d, "events").select("user_id"), ["user_id"], HOT_SHARE)
+    """Found once and written, as the jobs below use them several times."""
+    found = skew.hot_keys(t.table(spark, d, "events").select("user_id"), ["user_id"], HOT_SHARE)
+    return written(found, "hot-users")
 
 
 @query(f"""

@@ -15,6 +15,7 @@ from tidemark.functions.text import json_number, words
 from tidemark.operators import intervals, sequences, sessions
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
+from tidemark.session import using
 from tidemark.sources.streams import table_stream
 from tidemark.streaming import joins, runner, stateful, windows
 
@@ -39,6 +40,14 @@ def batch(spark: SparkSession, d: str, kinds: list[str] | None = None, delay: st
     return rows.filter(F.col("event_type").isin(kinds)) if kinds else rows
 
 
+def _replay_sessions(stream: DataFrame, label: str) -> DataFrame:
+    """Sessions of one user are merged inside each task before the shuffle, so that a hot
+    user sends few rows."""
+    name = "spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition"
+    with using(stream.sparkSession, **{name: "true"}):
+        return runner.replay(stream, label)
+
+
 def _bounds() -> list[Column]:
     return runner.window_bounds()
 
@@ -162,7 +171,7 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
         times.plain("first").alias("session_start"), times.plain("last").alias("session_end"),
         times.minutes_between(F.col("first"), F.col("last")).alias("session_duration_minutes"),
     )
-    return runner.replay(shaped, "sessions")
+    return _replay_sessions(shaped, "sessions")
 
 
 @query(f"""
@@ -632,7 +641,7 @@ def stream_session_overlap_join(spark: SparkSession, d: str) -> DataFrame:
     )
     right = right.withColumn("system_window_end", F.col("session_window.end"))
     landed = [
-        runner.replay(side.drop("session_window"), name)
+        _replay_sessions(side.drop("session_window"), name)
         for side, name in ((left, "interactions"), (right, "system-events"))
     ]
     return _session_join(*landed)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import money
 from tidemark.functions.times import instant
+from tidemark.operators.joins import dimension_join
 from tidemark.sources.files import scan_parquet
 
 
@@ -92,14 +93,16 @@ def sales(spark: SparkSession, folder: str, region: bool = True, product: bool =
     """Order lines with the region of the supplier and the product's name and category."""
     rows = lines(spark, folder)
     if product:
-        part = table(spark, folder, "part").select(
+        stored = table(spark, folder, "part")
+        part = stored.select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product"),
             F.col("p_type").alias("category"),
         )
-        rows = rows.join(part, "product_id")
+        rows = dimension_join(rows, part, ["product_id"], counted=stored)
     if region:
-        rows = rows.join(regions_of_suppliers(spark, folder), "supplier_id")
+        stored = table(spark, folder, "supplier")
+        rows = dimension_join(rows, regions_of_suppliers(spark, folder), ["supplier_id"], counted=stored)
     return rows
 
 

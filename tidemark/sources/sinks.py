@@ -28,8 +28,12 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "erro
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
-    """External table bucketed and sorted by ``key``; later joins on it need no exchange."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    """External table bucketed and sorted by ``key``; later joins on it need no exchange.
+
+    Hashing to as many partitions as buckets first makes one file per bucket, where every
+    task would otherwise write a file to every bucket. Aggregate very hot keys beforehand.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
