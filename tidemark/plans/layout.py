@@ -12,7 +12,7 @@ from tidemark.functions.numbers import mean, total
 from tidemark.operators import layout
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
-from tidemark.session import shared_folder
+from tidemark.session import partitions_for, shared_folder
 from tidemark.sources import files, sinks
 
 
@@ -108,7 +108,7 @@ FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment
 """)
 def bucketed_join(spark: SparkSession, d: str) -> DataFrame:
     """Two tables bucketed by customer: their join and the group by customer need no exchange."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(t.table(spark, d, "customer"))
     name = uuid4().hex
     people = t.customers(spark, d).select("customer_id", "department")
     spent = t.orders(spark, d).groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("price").alias("spent"))

@@ -6,6 +6,9 @@ with ``window_end <= watermark``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,8 @@ from tidemark.functions.numbers import mean, ratio, total
 from tidemark.functions.text import json_number, words
 from tidemark.operators import intervals, sequences, sessions
 from tidemark.plans import tables as t
-from tidemark.plans.registry import query
-from tidemark.session import using
+from tidemark.plans.registry import Query, query
+from tidemark.session import partitions_for, using
 from tidemark.sources.streams import table_stream
 from tidemark.streaming import joins, runner, stateful, windows
 
@@ -40,6 +43,22 @@ def batch(spark: SparkSession, d: str, kinds: list[str] | None = None, delay: st
     return rows.filter(F.col("event_type").isin(kinds)) if kinds else rows
 
 
+def streamed(sql: str, source: str = "events") -> Callable[[Query], Query]:
+    """Register a streaming query. State keeps the number of partitions it starts with, so
+    that number follows the size of the source table."""
+
+    def register(f: Query) -> Query:
+        @wraps(f)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            n = partitions_for(t.table(spark, d, source))
+            with using(spark, spark__sql__shuffle__partitions=str(n)):
+                return f(spark, d)
+
+        return query(sql)(run)
+
+    return register
+
+
 def _replay_sessions(stream: DataFrame, label: str) -> DataFrame:
     """Sessions of one user are merged inside each task before the shuffle, so that a hot
     user sends few rows."""
@@ -76,7 +95,7 @@ def _sliding_source(slide_minutes: int, size_minutes: int, column: str = "ts", s
 # ------------------------------------------------------------------------- single streams
 
 
-@query("""
+@streamed("""
 SELECT event_id, user_id, event_type, ts, CAST(hour(ts) AS INTEGER) AS hour FROM events
 WHERE event_type IN ('purchase', 'click')
 """)
@@ -88,7 +107,7 @@ def stream_filter_actions(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(shaped, "filter-actions").drop("processing_time")
 
 
-@query(_windowed_sql("5 MINUTE", "10 MINUTE", f"""CAST(sum(value) AS DOUBLE) AS total_sales,
+@streamed(_windowed_sql("5 MINUTE", "10 MINUTE", f"""CAST(sum(value) AS DOUBLE) AS total_sales,
   count(*) AS transaction_count, {t.sql_mean('value')} AS avg_transaction"""))
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     value = F.col("value")
@@ -98,7 +117,7 @@ def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(shaped, "tumbling")
 
 
-@query(f"""
+@streamed(f"""
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type, CAST(sum(value) AS DOUBLE) AS revenue,
   count(*) AS orders, count(DISTINCT user_id) AS unique_customers,
   count(DISTINCT json_extract_string(props, '$.k')) AS unique_products
@@ -119,7 +138,7 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(shaped, "sliding")
 
 
-@query(_windowed_sql("3 MINUTE", "5 MINUTE", """count(*) AS action_count, CAST(sum(value) AS DOUBLE) AS total_value,
+@streamed(_windowed_sql("3 MINUTE", "5 MINUTE", """count(*) AS action_count, CAST(sum(value) AS DOUBLE) AS total_value,
   min(ts) AS earliest_event, max(ts) AS latest_event"""))
 def stream_late_data(spark: SparkSession, d: str) -> DataFrame:
     """Windows of three minutes that wait five minutes for late rows."""
@@ -147,7 +166,7 @@ GROUP BY user_id, session_start HAVING max(ts) + INTERVAL 10 MINUTE <= {t.sql_wa
 """
 
 
-@query(f"""
+@streamed(f"""
 SELECT user_id, session_start AS session_window_start, max(ts) + INTERVAL 10 MINUTE AS session_window_end,
   count(*) AS events_in_session, CAST(sum(value) AS DOUBLE) AS session_value, count(DISTINCT event_type) AS unique_actions,
   session_start, max(ts) AS session_end,
@@ -174,7 +193,7 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     return _replay_sessions(shaped, "sessions")
 
 
-@query(f"""
+@streamed(f"""
 SELECT user_id, session_id, {t.sql_window('30 MINUTE')} AS window_start, count(*) AS actions_in_session,
   CAST(sum(value) AS DOUBLE) AS session_value, min(ts) AS session_start, max(ts) AS session_end,
   (floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 60 AS session_duration_minutes
@@ -197,7 +216,7 @@ def stream_session_stats(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay_updates(shaped, "session-stats", ["user_id", "session_id", "window_start"])
 
 
-@query(f"""
+@streamed(f"""
 SELECT window_start, window_start + INTERVAL 60 MINUTE AS window_end, event_type, CAST(sum(value) AS DOUBLE) AS revenue,
   count(*) AS transactions, count(DISTINCT user_id) AS unique_users,
   count(DISTINCT json_extract_string(props, '$.k')) AS unique_products, {t.sql_mean('value')} AS avg_transaction,
@@ -232,7 +251,7 @@ def _adjusted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("adjusted", F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _k()))
 
 
-@query(f"""
+@streamed(f"""
 SELECT user_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end, count(*) AS total_events,
   count(DISTINCT event_type) AS unique_event_types, min(adjusted) AS sequence_start, max(adjusted) AS sequence_end,
   CAST(sum(value) AS DOUBLE) AS total_value,
@@ -277,7 +296,7 @@ def entity_event_sequences(spark: SparkSession, d: str) -> DataFrame:
     return listed.withColumn("sequence", F.array_join("sequence", ","))
 
 
-@query(_windowed_sql("2 MINUTE", "3 MINUTE", f"""CAST(epoch(window_start) AS BIGINT) AS time_bucket,
+@streamed(_windowed_sql("2 MINUTE", "3 MINUTE", f"""CAST(epoch(window_start) AS BIGINT) AS time_bucket,
   CAST(epoch(window_start) AS BIGINT) % 300 AS five_min_offset, CAST(epoch(window_start) AS BIGINT) % 600 AS ten_min_offset,
   count(*) AS transaction_count, CAST(sum(value) AS DOUBLE) AS total_amount, {t.sql_mean('value')} AS avg_amount,
   min(ts) AS bucket_start, max(ts) AS bucket_end"""))
@@ -298,7 +317,7 @@ def stream_time_buckets(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(shaped, "time-buckets")
 
 
-@query(f"SELECT user_id, count(*) AS total_actions, CAST(sum(value) AS DOUBLE) AS total_value FROM {t.EVENTS} GROUP BY user_id")
+@streamed(f"SELECT user_id, count(*) AS total_actions, CAST(sum(value) AS DOUBLE) AS total_value FROM {t.EVENTS} GROUP BY user_id")
 def stream_user_totals(spark: SparkSession, d: str) -> DataFrame:
     """Running totals per user in update mode; the state is two numbers per user."""
     grouped = stream(spark, d).groupBy("user_id").agg(
@@ -307,14 +326,14 @@ def stream_user_totals(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay_updates(grouped, "user-totals", ["user_id"])
 
 
-@query("SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word")
+@streamed("SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word", "documents")
 def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
     """Running word count in complete mode over whole texts."""
     rows = table_stream(spark, d, "documents").select(words(F.col("text")).alias("word"))
     return runner.replay_complete(rows.groupBy("word").count(), "word-count")
 
 
-@query(f"""
+@streamed(f"""
 SELECT {t.sql_window('1 HOUR')} AS window_start, {t.sql_window('1 HOUR')} + INTERVAL 1 HOUR AS window_end, count(*) AS n
 FROM events GROUP BY 1, 2 HAVING {t.sql_window('1 HOUR')} + INTERVAL 1 HOUR <= {t.sql_watermark('10 MINUTE')}
 """)
@@ -323,7 +342,7 @@ def stream_to_parquet(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(grouped.select(*_bounds(), "n"), "hourly")
 
 
-@query(f"""
+@streamed(f"""
 SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, event_type, CAST(sum(n) AS BIGINT) AS events,
   max(n) AS busiest_hour FROM (SELECT {t.sql_window('6 HOUR', 'h')} AS window_start, event_type, n FROM
     (SELECT {t.sql_window('1 HOUR')} AS h, event_type, count(*) AS n FROM events GROUP BY ALL) f) c
@@ -335,7 +354,7 @@ def stream_two_level(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(days.select(*_bounds(), "event_type", "events", "busiest_hour"), "two-level")
 
 
-@query(SESSION_SQL)
+@streamed(SESSION_SQL)
 def stream_stateful_sessions(spark: SparkSession, d: str) -> DataFrame:
     """The sessions of stream_sessions, tracked with a state of our own."""
     found = stateful.track_sessions(stream(spark, d), 600, "10 minutes")
@@ -369,12 +388,12 @@ def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     )
 
 
-@query(f"SELECT event_id, user_id, CAST(value AS DOUBLE) AS value FROM {t.EVENTS} WHERE value > {HIGH_VALUE}")
+@streamed(f"SELECT event_id, user_id, CAST(value AS DOUBLE) AS value FROM {t.EVENTS} WHERE value > {HIGH_VALUE}")
 def multi_sink_high_value(spark: SparkSession, d: str) -> DataFrame:
     return _sinks(spark, d)["high_value"].drop("batch_id")
 
 
-@query(f"""
+@streamed(f"""
 SELECT user_id, count(*) AS total_actions, CAST(sum(value) AS DOUBLE) AS total_value,
   count(DISTINCT json_extract_string(props, '$.k')) AS unique_sessions FROM {t.EVENTS} GROUP BY user_id
 """)
@@ -387,12 +406,12 @@ def multi_sink_user_summary(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
+@streamed("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
 def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
     return _sinks(spark, d)["alerts"].drop("batch_id")
 
 
-@query("""
+@streamed("""
 SELECT user_id AS event_group, count(*) AS events_in_group, count(DISTINCT event_type) AS event_kinds,
   CAST(floor(epoch(max(ts))) - floor(epoch(min(ts))) AS BIGINT) AS time_span_seconds
 FROM events GROUP BY user_id HAVING count(*) > 1
@@ -424,7 +443,7 @@ PAGE_COLUMNS = "event_type string, page_name string, priority string, department
 PAGES_SQL = "(VALUES " + ", ".join(str(row) for row in PAGES) + ") p(event_type, page_name, priority, department)"
 
 
-@query(f"""
+@streamed(f"""
 SELECT window_start, window_end, event_type, coalesce(page_name, 'Unknown') AS page_name, coalesce(priority, 'Low') AS priority,
   coalesce(department, 'Other') AS department, page_views, unique_users, avg_value,
   page_views * CASE priority WHEN 'Critical' THEN 3 WHEN 'High' THEN 2 ELSE 1 END AS priority_score
@@ -488,7 +507,7 @@ def overlap_window_join(spark: SparkSession, d: str) -> DataFrame:
     return _overlap(batch(spark, d, ACTIVITY_KINDS), batch(spark, d, METRIC_KINDS))
 
 
-@query(_overlap_sql(f"""WHERE {t.sql_window('6 HOUR', 'f.window_start')} + INTERVAL 6 HOUR <= least(
+@streamed(_overlap_sql(f"""WHERE {t.sql_window('6 HOUR', 'f.window_start')} + INTERVAL 6 HOUR <= least(
   {t.sql_watermark('2 MINUTE', 'WHERE ' + _in(ACTIVITY_KINDS))}, {t.sql_watermark('5 MINUTE', 'WHERE ' + _in(METRIC_KINDS))})"""))
 def stream_overlap_window_join(spark: SparkSession, d: str) -> DataFrame:
     fine, coarse = stream(spark, d, ACTIVITY_KINDS, "2 minutes"), stream(spark, d, METRIC_KINDS, "5 minutes")
@@ -544,14 +563,14 @@ def _tolerance_streams(spark: SparkSession, d: str, how: str) -> DataFrame:
     return _tolerance(orders, payments, how)
 
 
-@query(_tolerance_sql("LEFT", f"""WHERE p.ts IS NOT NULL OR o.ts + INTERVAL {TOLERANCE} SECOND <= least(
+@streamed(_tolerance_sql("LEFT", f"""WHERE p.ts IS NOT NULL OR o.ts + INTERVAL {TOLERANCE} SECOND <= least(
   {t.sql_watermark('3 MINUTE', "WHERE event_type = 'view'")}, {t.sql_watermark('5 MINUTE', "WHERE event_type = 'purchase'")})"""))
 def stream_tolerance_join(spark: SparkSession, d: str) -> DataFrame:
     """Left outer: a view without purchase comes out once none can arrive any more."""
     return runner.replay(_tolerance_streams(spark, d, "left_outer"), "tolerance")
 
 
-@query(_tolerance_sql("INNER"))
+@streamed(_tolerance_sql("INNER"))
 def stream_stream_inner(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(_tolerance_streams(spark, d, "inner"), "stream-inner")
 
@@ -618,7 +637,7 @@ def session_overlap_join(spark: SparkSession, d: str) -> DataFrame:
     return _session_join(left, right)
 
 
-@query(_session_join_sql(
+@streamed(_session_join_sql(
     f"max(ts) + INTERVAL {INTERACTION_GAP} HOUR <= {t.sql_watermark('10 MINUTE', 'WHERE ' + _in(ACTIVITY_KINDS))}",
     f"max(ts) + INTERVAL {SYSTEM_GAP} HOUR <= {t.sql_watermark('10 MINUTE', 'WHERE ' + _in(METRIC_KINDS))}",
 ))
@@ -722,7 +741,7 @@ def multi_stream_correlation(spark: SparkSession, d: str) -> DataFrame:
     return _correlation(*[batch(spark, d, kinds) for kinds in (SENSOR_KINDS, ALERT_KINDS, MAINTENANCE_KINDS)])
 
 
-@query(_correlation_sql(f"""w + INTERVAL 1 DAY <= least({t.sql_watermark('2 MINUTE', 'WHERE ' + _in(SENSOR_KINDS))},
+@streamed(_correlation_sql(f"""w + INTERVAL 1 DAY <= least({t.sql_watermark('2 MINUTE', 'WHERE ' + _in(SENSOR_KINDS))},
   {t.sql_watermark('5 MINUTE', 'WHERE ' + _in(ALERT_KINDS))}, {t.sql_watermark('10 MINUTE', 'WHERE ' + _in(MAINTENANCE_KINDS))})"""))
 def stream_multi_correlation(spark: SparkSession, d: str) -> DataFrame:
     """The same with three streams, each with the delay it needs; the slowest governs."""
@@ -730,7 +749,7 @@ def stream_multi_correlation(spark: SparkSession, d: str) -> DataFrame:
     return runner.replay(_correlation(*[stream(spark, d, k, w) for w, k in delays.items()]), "multi-correlation")
 
 
-@query(f"""
+@streamed(f"""
 SELECT s.user_id, s.start AS window_start, m.start AS maint_window_start, avg_temp, reading_count, alert_count, maintenance_events,
   maintenance_types, total_maintenance_time
 FROM (SELECT user_id, {t.sql_window('1 HOUR')} AS start, {t.sql_mean('value')} AS avg_temp, count(*) AS reading_count,

@@ -59,6 +59,16 @@ def using(spark: SparkSession, **conf: str):
                 spark.conf.set(key, value)
 
 
+def partitions_for(df: DataFrame, rows_each: int = 1_000_000, least: int = 8) -> int:
+    """How many partitions suit a table, at most ``spark.sql.shuffle.partitions``.
+
+    For what the adaptive planner cannot resize later: state of streams, buckets. The count
+    of a stored table is read from its file footers.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(least, -(-df.count() // rows_each)))
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
