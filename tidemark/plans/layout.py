@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import mean, total
+from tidemark.functions.numbers import cents_mean, cents_total, summable, total, whole_cents
 from tidemark.operators import layout
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
@@ -59,8 +59,8 @@ def range_query_avg(spark: SparkSession, d: str) -> DataFrame:
     """The date test is on the stored column, so that it is pushed into the scan."""
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (date(1998, 6, 1), date(1998, 9, 1)))
     rows = t.table(spark, d, "lineitem").filter((F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high))
-    price = F.col("l_extendedprice").cast("decimal(10,2)")
-    return rows.agg(mean(price).alias("avg_price"), F.count("*").alias("n"))
+    price = summable(whole_cents("l_extendedprice"))
+    return rows.agg(cents_mean(price).alias("avg_price"), F.count("*").alias("n"))
 
 
 @query("""
@@ -87,7 +87,7 @@ def partitioned_scan(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_partitioned(sales, path, ["region"])
     some = files.scan_parquet(spark, path).filter(F.col("region").isin("ASIA", "EUROPE"))
     return some.groupBy("region").agg(
-        F.count("*").alias("transaction_count"), total(F.col("revenue")).alias("total_sales")
+        F.count("*").alias("transaction_count"), cents_total(F.col("revenue")).alias("total_sales")
     )
 
 
@@ -99,7 +99,7 @@ def prepartitioned_agg(spark: SparkSession, d: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = t.sales(spark, d, region=False).select("category", "order_id", "price")
     laid = layout.spread(rows, "category", ["order_id", "price"], n)
-    return laid.groupBy("category").agg(F.count("*").alias("n"), mean(F.col("price")).alias("avg_price"))
+    return laid.groupBy("category").agg(F.count("*").alias("n"), cents_mean(F.col("price")).alias("avg_price"))
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import cents, mean, ratio, total
+from tidemark.functions.numbers import cents_mean, cents_ratio, cents_rounded, cents_total, cents_value, mean
 from tidemark.operators import olap
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
@@ -18,8 +18,8 @@ def _revenue() -> dict:
     return {"total_revenue": F.col("revenue")}
 
 
-def _as_double(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("double") for n in names})
+def _in_money(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: cents_value(n) for n in names})
 
 
 @query(f"""
@@ -28,7 +28,7 @@ FROM {t.SALES} GROUP BY CUBE (region, category)
 """)
 def cube_revenue(spark: SparkSession, d: str) -> DataFrame:
     cubed = olap.cube(t.sales(spark, d), ["region", "category"], _revenue(), {"total_sales": F.lit(1)})
-    return _as_double(cubed, "total_revenue").drop("level").orderBy("region", "category")
+    return _in_money(cubed, "total_revenue").drop("level").orderBy("region", "category")
 
 
 @query(f"""
@@ -37,7 +37,7 @@ FROM {t.SALES} GROUP BY CUBE (region, category, product)
 """)
 def cube3_revenue(spark: SparkSession, d: str) -> DataFrame:
     cubed = olap.cube(t.sales(spark, d), ["region", "category", "product"], _revenue())
-    return _as_double(cubed, "total_revenue").drop("level")
+    return _in_money(cubed, "total_revenue").drop("level")
 
 
 @query(f"""
@@ -49,14 +49,14 @@ FROM {t.SALES} GROUP BY CUBE (region, category)
 def cube_levels(spark: SparkSession, d: str) -> DataFrame:
     cubed = olap.cube(t.sales(spark, d), ["region", "category"], _revenue(), {"total_sales": F.lit(1)})
     named = olap.label_levels(cubed, CUBE_LEVELS, "aggregation_level")
-    return _as_double(named, "total_revenue").orderBy("region", "category", "aggregation_level")
+    return _in_money(named, "total_revenue").orderBy("region", "category", "aggregation_level")
 
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     sums = {**_revenue(), "prices": F.col("price")}
     rolled = olap.rollup(t.sales(spark, d), ["region", "category"], sums, {"n": F.lit(1)})
-    priced = rolled.withColumn("avg_price", ratio(F.col("prices"), F.col("n"))).drop("prices", "n")
-    return _as_double(priced, "total_revenue")
+    priced = rolled.withColumn("avg_price", cents_ratio(F.col("prices"), F.col("n"))).drop("prices", "n")
+    return _in_money(priced, "total_revenue")
 
 
 @query(f"""
@@ -84,7 +84,7 @@ FROM {t.SALES} GROUP BY GROUPING SETS ((region), (category), (product))
 """)
 def grouping_sets_totals(spark: SparkSession, d: str) -> DataFrame:
     totals = olap.single_key_totals(t.sales(spark, d), ["region", "category", "product"], _revenue())
-    return _as_double(totals, "total_revenue").drop("level")
+    return _in_money(totals, "total_revenue").drop("level")
 
 
 @query(f"""
@@ -98,7 +98,7 @@ def time_analysis(spark: SparkSession, d: str) -> DataFrame:
     day = F.col("sale_date")
     grouped = rows.groupBy(F.year(day).alias("year"), F.quarter(day).alias("quarter"), F.month(day).alias("month"))
     report = grouped.agg(
-        total(F.col("revenue")).alias("total_revenue"),
+        cents_total(F.col("revenue")).alias("total_revenue"),
         F.count("*").alias("sales_count"),
         F.count_distinct("region").alias("regions_active"),
     )
@@ -111,8 +111,8 @@ SELECT region, category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, {t.sql_m
 """)
 def geo_analysis(spark: SparkSession, d: str) -> DataFrame:
     report = t.sales(spark, d).groupBy("region", "category").agg(
-        total(F.col("revenue")).alias("total_revenue"),
-        mean(F.col("price")).alias("avg_price"),
+        cents_total(F.col("revenue")).alias("total_revenue"),
+        cents_mean(F.col("price")).alias("avg_price"),
         F.sum("quantity").alias("total_quantity"),
     )
     return report.orderBy(F.desc("total_revenue"))
@@ -124,7 +124,7 @@ SELECT category, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*
 """)
 def product_performance(spark: SparkSession, d: str) -> DataFrame:
     report = t.sales(spark, d, region=False).groupBy("category", "product").agg(
-        total(F.col("revenue")).alias("total_revenue"),
+        cents_total(F.col("revenue")).alias("total_revenue"),
         F.count("*").alias("sales_frequency"),
         mean(F.col("quantity")).alias("avg_quantity_per_sale"),
     )
@@ -141,11 +141,11 @@ def cross_region_quarter(spark: SparkSession, d: str) -> DataFrame:
     grouped = t.sales(spark, d).groupBy("region", F.quarter("sale_date").alias("quarter")).agg(
         F.sum("revenue").alias("quarterly_revenue"),
         F.count_distinct("category").alias("categories_sold"),
-        mean(F.col("price")).alias("avg_price"),
+        cents_mean(F.col("price")).alias("avg_price"),
     )
-    per_category = cents(F.col("quarterly_revenue"), F.col("categories_sold"))
+    per_category = cents_rounded(F.col("quarterly_revenue"), F.col("categories_sold"))
     report = grouped.withColumn("revenue_per_category", per_category)
-    return _as_double(report, "quarterly_revenue").orderBy("region", "quarter")
+    return _in_money(report, "quarterly_revenue").orderBy("region", "quarter")
 
 
 @query(f"""
@@ -160,12 +160,12 @@ def regional_dashboard(spark: SparkSession, d: str) -> DataFrame:
         F.sum("revenue").alias("total_revenue"),
         F.count("*").alias("total_sales"),
         F.count_distinct("product").alias("products_sold"),
-        mean(F.col("price")).alias("avg_price"),
-        F.max("price").cast("double").alias("highest_sale"),
-        F.min("price").cast("double").alias("lowest_sale"),
+        cents_mean(F.col("price")).alias("avg_price"),
+        cents_value(F.max("price")).alias("highest_sale"),
+        cents_value(F.min("price")).alias("lowest_sale"),
     )
-    report = grouped.withColumn("avg_sale_value", cents(F.col("total_revenue"), F.col("total_sales")))
-    return _as_double(report, "total_revenue").orderBy(F.desc("total_revenue"))
+    report = grouped.withColumn("avg_sale_value", cents_rounded(F.col("total_revenue"), F.col("total_sales")))
+    return _in_money(report, "total_revenue").orderBy(F.desc("total_revenue"))
 
 
 @query(f"""
@@ -183,10 +183,10 @@ def category_performance(spark: SparkSession, d: str) -> DataFrame:
         F.count_distinct("region").alias("regions_sold_in"),
     )
     report = grouped.withColumns({
-        "revenue_per_unit": cents(F.col("total_revenue"), F.col("total_units_sold")),
-        "avg_transaction_size": cents(F.col("total_revenue"), F.col("number_of_transactions")),
+        "revenue_per_unit": cents_rounded(F.col("total_revenue"), F.col("total_units_sold")),
+        "avg_transaction_size": cents_rounded(F.col("total_revenue"), F.col("number_of_transactions")),
     })
-    return _as_double(report, "total_revenue").orderBy(F.desc("total_revenue"))
+    return _in_money(report, "total_revenue").orderBy(F.desc("total_revenue"))
 
 
 # --------------------------------------------------------------------- ranking and growth
@@ -203,7 +203,7 @@ def top_products_by_region(spark: SparkSession, d: str) -> DataFrame:
         F.sum("revenue").alias("product_revenue"), F.count("*").alias("sales_count")
     )
     best = olap.top_per_group(grouped, ["region"], "product_revenue", 3)
-    return _as_double(best, "product_revenue").orderBy("region", "rank")
+    return _in_money(best, "product_revenue").orderBy("region", "rank")
 
 
 @query(f"""
@@ -215,8 +215,8 @@ FROM (SELECT *, lag(monthly_revenue) OVER (ORDER BY month) AS prev_revenue FROM
 """)
 def monthly_growth(spark: SparkSession, d: str) -> DataFrame:
     months = t.lines(spark, d).groupBy(F.trunc("sale_date", "MM").alias("month")).agg(
-        total(F.col("revenue")).alias("monthly_revenue"),
-        mean(F.col("price")).alias("avg_price"),
+        cents_total(F.col("revenue")).alias("monthly_revenue"),
+        cents_mean(F.col("price")).alias("avg_price"),
         F.count("*").alias("sales_count"),
     )
     grown = olap.growth(months, "month", "monthly_revenue").withColumnRenamed("previous", "prev_revenue")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import cents, mean, ratio, total
+from tidemark.functions.numbers import cents_mean, cents_ratio, cents_rounded, cents_total, cents_value, mean, total
 from tidemark.functions.text import json_number
 from tidemark.operators import joins
 from tidemark.plans import tables as t
@@ -130,9 +130,9 @@ def order_stats_by_status(spark: SparkSession, d: str) -> DataFrame:
     )
     return sums.select(
         "status", "order_count", "total_quantity",
-        ratio(F.col("prices"), F.col("order_count")).alias("avg_price"),
-        F.col("revenue").cast("double").alias("total_revenue"),
-        cents(F.col("revenue"), F.col("order_count")).alias("avg_order_value"),
+        cents_ratio(F.col("prices"), F.col("order_count")).alias("avg_price"),
+        cents_value("revenue").alias("total_revenue"),
+        cents_rounded(F.col("revenue"), F.col("order_count")).alias("avg_order_value"),
     )
 
 
@@ -145,7 +145,7 @@ def revenue_by_product(spark: SparkSession, d: str) -> DataFrame:
     per_part = t.lines(spark, d).groupBy("product_id").agg(F.sum("revenue").alias("revenue"))
     part = t.table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), "p_name")
     by_name = per_part.join(part, "product_id").groupBy(F.col("p_name").alias("product_name"))
-    return by_name.agg(total(F.col("revenue")).alias("total_revenue")).orderBy(F.desc("total_revenue"))
+    return by_name.agg(cents_total(F.col("revenue")).alias("total_revenue")).orderBy(F.desc("total_revenue"))
 
 
 @query(f"""
@@ -155,7 +155,7 @@ FROM {t.CUSTOMERS} JOIN {t.ORDERS} USING (customer_id) JOIN {t.LINES} USING (ord
 def segment_spending(spark: SparkSession, d: str) -> DataFrame:
     people = t.customers(spark, d).select("customer_id", "department")
     spent = t.customer_totals(spark, d).join(people, "customer_id")
-    by_department = spent.groupBy("department").agg(total(F.col("total_spent")).alias("total_spending"))
+    by_department = spent.groupBy("department").agg(cents_total(F.col("total_spent")).alias("total_spending"))
     return by_department.orderBy(F.desc("total_spending"))
 
 
@@ -199,7 +199,7 @@ def pattern_profile(spark: SparkSession, d: str) -> DataFrame:
     return t.events(spark, d).groupBy(F.col("event_type").alias("pattern")).agg(
         F.count("*").alias("record_count"),
         F.count_distinct("user_id").alias("distinct_users"),
-        mean(F.col("value")).alias("avg_amount"),
+        cents_mean(F.col("value")).alias("avg_amount"),
     )
 
 
@@ -217,7 +217,7 @@ FROM {t.EVENTS} GROUP BY user_id HAVING count(*) > 50
 """)
 def groups_over_50(spark: SparkSession, d: str) -> DataFrame:
     grouped = t.events(spark, d).groupBy("user_id").agg(
-        F.count("*").alias("n"), mean(F.col("value")).alias("avg_value")
+        F.count("*").alias("n"), cents_mean(F.col("value")).alias("avg_value")
     )
     return grouped.filter(F.col("n") > 50)
 
@@ -260,7 +260,7 @@ def customer_order_summary(spark: SparkSession, d: str) -> DataFrame:
     summary = joined.groupBy("name", "department").agg(
         F.sum("total_orders").alias("total_orders"),
         F.sum("total_items").alias("total_items"),
-        total(F.col("total_spent")).alias("total_spent"),
+        cents_total(F.col("total_spent")).alias("total_spent"),
     )
     return summary.orderBy(F.desc("total_spent"))
 
@@ -322,7 +322,7 @@ def broadcast_join(spark: SparkSession, d: str) -> DataFrame:
         F.col("s_suppkey").alias("supplier_id"), F.col("s_nationkey").alias("nation_id")
     )
     joined = joins.dimension_join(t.lines(spark, d), suppliers, ["supplier_id"])
-    return joined.groupBy("nation_id").agg(F.count("*").alias("n"), total(F.col("revenue")).alias("revenue"))
+    return joined.groupBy("nation_id").agg(F.count("*").alias("n"), cents_total(F.col("revenue")).alias("revenue"))
 
 
 @query(f"""
@@ -334,7 +334,7 @@ def shuffle_join(spark: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("n"), F.sum("revenue").alias("revenue")
     )
     joined = joins.merge_join(t.orders(spark, d).select("order_id", "priority"), rows, ["order_id"])
-    return joined.groupBy("priority", "flag").agg(F.sum("n").alias("n"), total(F.col("revenue")).alias("revenue"))
+    return joined.groupBy("priority", "flag").agg(F.sum("n").alias("n"), cents_total(F.col("revenue")).alias("revenue"))
 
 
 @query(f"""
@@ -368,7 +368,7 @@ def top3_customers(spark: SparkSession, d: str) -> DataFrame:
     best = spent.orderBy(F.desc("total_spent"), "customer_id").limit(3)
     people = t.customers(spark, d).select("customer_id", "name")
     named = people.join(F.broadcast(best), "customer_id")  # three rows
-    return named.select("customer_id", "name", F.col("total_spent").cast("double").alias("total_spent"))
+    return named.select("customer_id", "name", cents_value("total_spent").alias("total_spent"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import total
+from tidemark.functions.numbers import cents_total, cents_value
 from tidemark.operators import skew
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
@@ -36,7 +36,7 @@ def salted_agg(spark: SparkSession, d: str) -> DataFrame:
     rows = t.events(spark, d).select("event_id", "user_id", "value")
     sums = {"total_amount": F.col("value")}
     totals = skew.salted_totals(rows, ["user_id"], sums, _hot(spark, d), ["event_id"])
-    return totals.select("user_id", F.col("total_amount").cast("double").alias("total_amount"), "n")
+    return totals.select("user_id", cents_value("total_amount").alias("total_amount"), "n")
 
 
 _JOINED_SQL = f"""
@@ -53,7 +53,7 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _report(joined: DataFrame) -> DataFrame:
     grouped = joined.groupBy("department", "event_type")
-    return grouped.agg(F.count("*").alias("n"), total(F.col("value")).alias("total_amount"))
+    return grouped.agg(F.count("*").alias("n"), cents_total(F.col("value")).alias("total_amount"))
 
 
 @query(_JOINED_SQL)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
-from tidemark.functions.numbers import mean, ratio, total
+from tidemark.functions.numbers import cents_mean, cents_ratio, cents_total, cents_value, mean, ratio
 from tidemark.functions.text import json_number, words
 from tidemark.operators import intervals, sequences, sessions
 from tidemark.plans import tables as t
@@ -111,7 +111,7 @@ def stream_filter_actions(spark: SparkSession, d: str) -> DataFrame:
   count(*) AS transaction_count, {t.sql_mean('value')} AS avg_transaction"""))
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
     value = F.col("value")
-    measures = [total(value).alias("total_sales"), F.count("*").alias("transaction_count"), mean(value).alias("avg_transaction")]
+    measures = [cents_total(value).alias("total_sales"), F.count("*").alias("transaction_count"), cents_mean(value).alias("avg_transaction")]
     grouped = windows.windowed(stream(spark, d, delay="10 minutes"), "ts", "5 minutes", ["event_type"], measures)
     shaped = grouped.select(*_bounds(), "event_type", "total_sales", "transaction_count", "avg_transaction")
     return runner.replay(shaped, "tumbling")
@@ -132,7 +132,7 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
         sums={"revenue": F.col("value")}, slide="5 minutes",
     )
     shaped = grouped.select(
-        *_bounds(), "event_type", F.col("revenue").cast("double").alias("revenue"),
+        *_bounds(), "event_type", cents_value("revenue").alias("revenue"),
         F.col("n").alias("orders"), "unique_customers", "unique_products",
     )
     return runner.replay(shaped, "sliding")
@@ -143,7 +143,7 @@ def stream_sliding(spark: SparkSession, d: str) -> DataFrame:
 def stream_late_data(spark: SparkSession, d: str) -> DataFrame:
     """Windows of three minutes that wait five minutes for late rows."""
     measures = [
-        F.count("*").alias("action_count"), total(F.col("value")).alias("total_value"),
+        F.count("*").alias("action_count"), cents_total(F.col("value")).alias("total_value"),
         times.plain(F.min("ts")).alias("earliest_event"), times.plain(F.max("ts")).alias("latest_event"),
     ]
     grouped = windows.windowed(stream(spark, d, delay="5 minutes"), "ts", "3 minutes", ["event_type"], measures)
@@ -178,7 +178,7 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     """Sessions per user. The set of actions is no longer than the list of action types."""
     grouped = stream(spark, d, delay="10 minutes").groupBy("user_id", F.session_window("ts", "10 minutes")).agg(
         F.count("*").alias("events_in_session"),
-        total(F.col("value")).alias("session_value"),
+        cents_total(F.col("value")).alias("session_value"),
         F.size(F.collect_set("event_type")).cast("bigint").alias("unique_actions"),
         F.min("ts").alias("first"), F.max("ts").alias("last"),
     )
@@ -204,7 +204,7 @@ def stream_session_stats(spark: SparkSession, d: str) -> DataFrame:
     """Update mode: every change is stored, the latest per (user, session, window) is read."""
     rows = stream(spark, d, delay="10 minutes").withColumn("session_id", F.concat(F.lit("session_"), _k()))
     measures = [
-        F.count("*").alias("actions_in_session"), total(F.col("value")).alias("session_value"),
+        F.count("*").alias("actions_in_session"), cents_total(F.col("value")).alias("session_value"),
         F.min("ts").alias("first"), F.max("ts").alias("last"),
     ]
     grouped = windows.windowed(rows, "ts", "30 minutes", ["user_id", "session_id"], measures)
@@ -233,11 +233,11 @@ def stream_hourly_rollup(spark: SparkSession, d: str) -> DataFrame:
     )
     shaped = grouped.select(
         *_bounds(), "event_type",
-        F.col("revenue").cast("double").alias("revenue"), F.col("n").alias("transactions"),
+        cents_value("revenue").alias("revenue"), F.col("n").alias("transactions"),
         "unique_users", "unique_products",
-        ratio(F.col("revenue"), F.col("n")).alias("avg_transaction"),
-        F.col("min_transaction").cast("double").alias("min_transaction"),
-        F.col("max_transaction").cast("double").alias("max_transaction"),
+        cents_ratio(F.col("revenue"), F.col("n")).alias("avg_transaction"),
+        cents_value("min_transaction").alias("min_transaction"),
+        cents_value("max_transaction").alias("max_transaction"),
     )
     return runner.replay(shaped, "hourly-rollup")
 
@@ -266,7 +266,7 @@ def stream_entity_correlation(spark: SparkSession, d: str) -> DataFrame:
     measures = [
         F.count("*").alias("total_events"),
         F.size(F.collect_set("event_type")).cast("bigint").alias("unique_event_types"),
-        F.min("adjusted").alias("first"), F.max("adjusted").alias("last"), total(F.col("value")).alias("total_value"),
+        F.min("adjusted").alias("first"), F.max("adjusted").alias("last"), cents_total(F.col("value")).alias("total_value"),
     ]
     grouped = windows.windowed(rows, "adjusted", "10 minutes", ["user_id"], measures, "5 minutes")
     n = F.col("total_events")
@@ -304,7 +304,7 @@ def stream_time_buckets(spark: SparkSession, d: str) -> DataFrame:
     """Two-minute buckets with their offsets in 5 and 10 minutes, for systems that align so."""
     value = F.col("value")
     measures = [
-        F.count("*").alias("transaction_count"), total(value).alias("total_amount"), mean(value).alias("avg_amount"),
+        F.count("*").alias("transaction_count"), cents_total(value).alias("total_amount"), cents_mean(value).alias("avg_amount"),
         times.plain(F.min("ts")).alias("bucket_start"), times.plain(F.max("ts")).alias("bucket_end"),
     ]
     grouped = windows.windowed(stream(spark, d, delay="3 minutes"), "ts", "2 minutes", ["event_type"], measures)
@@ -321,7 +321,7 @@ def stream_time_buckets(spark: SparkSession, d: str) -> DataFrame:
 def stream_user_totals(spark: SparkSession, d: str) -> DataFrame:
     """Running totals per user in update mode; the state is two numbers per user."""
     grouped = stream(spark, d).groupBy("user_id").agg(
-        F.count("*").alias("total_actions"), total(F.col("value")).alias("total_value")
+        F.count("*").alias("total_actions"), cents_total(F.col("value")).alias("total_value")
     )
     return runner.replay_updates(grouped, "user-totals", ["user_id"])
 
@@ -371,11 +371,11 @@ def stream_stateful_sessions(spark: SparkSession, d: str) -> DataFrame:
 def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Three outputs of one stream. The summary stores sums per (user, session) of each
     batch, so a distinct count of sessions needs no set in memory."""
-    rows = stream(spark, d).withColumn("session_id", _k()).withColumn("is_high_value", F.col("value") > HIGH_VALUE)
+    rows = stream(spark, d).withColumn("session_id", _k()).withColumn("is_high_value", F.col("value") > HIGH_VALUE * 100)
 
     def high_value(batch: DataFrame) -> DataFrame:
         kept = batch.filter("is_high_value")
-        return kept.select("event_id", "user_id", F.col("value").cast("double").alias("value"))
+        return kept.select("event_id", "user_id", cents_value("value").alias("value"))
 
     def per_session(batch: DataFrame) -> DataFrame:
         return batch.groupBy("user_id", "session_id").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
@@ -401,7 +401,7 @@ def multi_sink_user_summary(spark: SparkSession, d: str) -> DataFrame:
     parts = _sinks(spark, d)["sessions"]
     return parts.groupBy("user_id").agg(
         F.sum("n").alias("total_actions"),
-        total(F.col("value")).alias("total_value"),
+        cents_total(F.col("value")).alias("total_value"),
         F.count_distinct("session_id").alias("unique_sessions"),
     )
 
@@ -460,7 +460,7 @@ def stream_static_enrich(spark: SparkSession, d: str) -> DataFrame:
     enriched = joins.enrich(grouped, pages, "event_type", defaults)
     shaped = enriched.select(
         *_bounds(), "event_type", "page_name", "priority", "department", F.col("n").alias("page_views"), "unique_users",
-        ratio(F.col("value"), F.col("n")).alias("avg_value"),
+        cents_ratio(F.col("value"), F.col("n")).alias("avg_value"),
         joins.priority_score(F.col("priority"), F.col("n")).alias("priority_score"),
     )
     return runner.replay(shaped, "static-enrich")
@@ -480,9 +480,9 @@ def _overlap(fine_rows: DataFrame, coarse_rows: DataFrame) -> DataFrame:
     return joined.select(
         F.col("fine_start").alias("window_start"), F.col("fine_end").alias("window_end"),
         "event_type", F.col("n").alias("activity_count"), "unique_users",
-        ratio(F.col("value"), F.col("n")).alias("avg_value"),
+        cents_ratio(F.col("value"), F.col("n")).alias("avg_value"),
         "region",
-        F.coalesce(ratio(F.col("metric_sum"), F.col("metric_count")), F.lit(0.0)).alias("avg_metric"),
+        F.coalesce(cents_ratio(F.col("metric_sum"), F.col("metric_count")), F.lit(0.0)).alias("avg_metric"),
         F.coalesce("metric_count", F.lit(0)).alias("metric_count"),
     )
 
@@ -520,14 +520,14 @@ TOLERANCE = 7200
 def _views(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("ts").alias("order_time"), F.col("user_id").alias("order_user"), F.col("event_id").alias("order_id"),
-        F.col("value").cast("double").alias("order_amount"),
+        cents_value("value").alias("order_amount"),
     )
 
 
 def _payments(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("ts").alias("payment_time"), F.col("user_id").alias("payment_user"), F.col("event_id").alias("payment_id"),
-        F.col("value").cast("double").alias("payment_amount"),
+        cents_value("value").alias("payment_amount"),
     )
 
 
@@ -692,7 +692,7 @@ def _correlation(sensors: DataFrame, alerts: DataFrame, maintenance: DataFrame)
         "total_maintenance_minutes",
     )
     joined = joins.align(readings, [alerted, worked], ["user_id"])
-    temperature = ratio(F.col("temperature"), F.col("sensor_readings"))
+    temperature = cents_ratio(F.col("temperature"), F.col("sensor_readings"))
     humidity = ratio(F.col("humidity"), F.col("sensor_readings"))
     numbers = ["alert_count", "max_priority", "maintenance_count", "total_maintenance_minutes"]
     return joined.select(
@@ -768,8 +768,8 @@ def mediated_window_join(spark: SparkSession, d: str) -> DataFrame:
     sensors = windows.windowed(
         stream(spark, d, SENSOR_KINDS, "1 minute"), "ts", "1 hour", ["user_id"],
         [
-            mean(value).alias("avg_temp"), F.count("*").alias("reading_count"),
-            F.sum(F.when(value > HIGH_VALUE, 1).otherwise(0)).alias("alert_count"),
+            cents_mean(value).alias("avg_temp"), F.count("*").alias("reading_count"),
+            F.sum(F.when(value > HIGH_VALUE * 100, 1).otherwise(0)).alias("alert_count"),
         ],
     )
     kind = F.when(_k() % 3 == 0, "calibration").when(_k() % 3 == 1, "cleaning").otherwise("replacement")

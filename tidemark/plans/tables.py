@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import money
+from tidemark.functions.numbers import money, summable, whole_cents
 from tidemark.functions.times import instant
 from tidemark.operators.joins import dimension_join
 from tidemark.sources.files import scan_parquet
@@ -41,17 +41,18 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines: quantity, unit price, revenue."""
+    """Order lines: quantity; unit price and revenue in cents."""
     rows = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        money("l_extendedprice").alias("price"),
+        whole_cents("l_extendedprice").alias("price"),
         F.col("l_shipdate").cast("date").alias("sale_date"),
         F.col("l_returnflag").alias("flag"),
     )
-    return rows.withColumn("revenue", F.col("quantity") * F.col("price"))
+    revenue = F.col("quantity") * F.col("price")
+    return rows.withColumns({"revenue": summable(revenue), "price": summable(F.col("price"))})
 
 
 def order_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,16 +108,17 @@ def sales(spark: SparkSession, folder: str, region: bool = True, product: bool =
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    """User activity with a TIMESTAMP ``ts`` and exact ``value``."""
+    """User activity with a TIMESTAMP ``ts``, and ``value`` in cents."""
     return activity(table(spark, folder, "events").withColumn("ts", instant("ts")))
 
 
 def activity(df: DataFrame) -> DataFrame:
     """The same columns for a batch and a streaming frame."""
-    return df.select("event_id", "ts", "user_id", "event_type", value().alias("value"), "props")
+    return df.select("event_id", "ts", "user_id", "event_type", summable(whole_cents("value")).alias("value"), "props")
 
 
 def value() -> Column:
+    """The value of an event as a record keeps it."""
     return money("value", 18)
 
 

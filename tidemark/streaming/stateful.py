@@ -74,14 +74,14 @@ def _merge(spans: list[tuple], gap_us: int) -> list[tuple]:
 def track_sessions(events: DataFrame, gap_seconds: int, delay: str) -> DataFrame:
     """Sessions per user as they end: first and last time, events, total value.
 
-    ``events`` has user_id, ts and value. Rows are combined into cells inside each task
+    ``events`` has user_id, ts and value in cents. Rows are combined into cells inside each task
     first, so a hot user sends few rows through the shuffle.
     """
     gap_us = gap_seconds * 1_000_000
     rows = events.select(
         "user_id",
         F.unix_micros("ts").alias("us"),
-        (F.col("value").cast("decimal(18,2)") * 100).cast("bigint").alias("cents"),
+        F.col("value").cast("bigint").alias("cents"),
         F.col("ts").alias("time"),
     )
     cells = rows.mapInPandas(_cells(gap_us), _CELL).withWatermark("time", delay)
