@@ -167,8 +167,9 @@ def customer_rules() -> Rules:
 def order_rules() -> Rules:
     product, price = F.col("product_name"), F.col("price")
     order_total = F.col("quantity") * price
+    shown = order_total.cast("decimal(38,2)").cast("string")
     too_much = F.concat(
-        F.lit("Value error, Order total $"), order_total.cast("string"), F.lit(" exceeds maximum allowed ($10,000)")
+        F.lit("Value error, Order total $"), shown, F.lit(" exceeds maximum allowed ($10,000)")
     )
     within = F.when(price == 0, True).otherwise(order_total <= MAX_ORDER_TOTAL)
     return Rules(
