@@ -98,7 +98,7 @@ def test_settings(spark):
     report = settings_report(spark)
     assert all(report[k] == v for k, v in SETTINGS.items())
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with using(spark, spark__sql__shuffle__partitions="3"):
+    with using(spark, {"spark.sql.shuffle.partitions": "3"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 

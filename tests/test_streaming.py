@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.text import words
 from tidemark.session import shared_folder
-from tidemark.sources import streams
+from tidemark.operators import quality
+from tidemark.sources import generate, sinks, streams
 from tidemark.streaming import runner, stateful, windows
 from tests.conftest import rows
 
@@ -172,6 +173,22 @@ def test_csv_stream_checks_headers(spark, folders):
         runner.finish(runner.append_to_files(parsed, out))
 
 
+def test_generated_files_are_filtered_and_validated(spark, folders):
+    """The stateless job: parse times, keep two actions, add the hour, check the rows."""
+    arrive, out = folders
+    sample = generate.activity(spark, 60)
+    sinks.write_csv(sample.repartition(3), arrive)
+    stream = streams.csv_stream(spark, arrive, schemas.declared("user_activity_raw"), files_per_batch=1)
+    parsed = stream.withColumn("timestamp", F.to_timestamp("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    kept = parsed.filter(F.col("action").isin("purchase", "add_to_cart")).withColumn("hour", F.hour("timestamp"))
+    checked = quality.validate(kept, quality.activity_rules())
+    progress = runner.finish(runner.append_to_files(checked, out))
+    assert sum(1 for p in progress if p["numInputRows"]) == 3
+    found = spark.read.parquet(f"{out}/data")
+    assert found.count() == sample.filter(F.col("action").isin("purchase", "add_to_cart")).count() > 0
+    assert rows(found.select("hour", F.size(quality.ERRORS)).distinct()) == [(0, 0)]
+
+
 def test_text_stream_word_count(spark, folders):
     arrive, _ = folders
     spark.createDataFrame([("a b a",), ("b a",)], "value string").write.text(arrive)

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+# Send these functions along with the job: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(StringType())
 def upper_batch(texts: pd.Series) -> pd.Series:
     """Null-safe upper case. The built-in ``upper`` does the same without Python."""

@@ -97,8 +97,7 @@ def hot_key_split_join(
     hot = F.broadcast(hot)
     hot_small = small.join(hot, keys, "left_semi")
     hot_big = big.join(hot, keys, "left_semi")
-    fits = hot_small.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if fits:
+    if hot_small.count() <= broadcast_rows:
         hot_part = hot_big.join(F.broadcast(hot_small), keys)
     else:
         hot_part = salted_join(hot_big, hot_small, keys, hot, spread_by)

@@ -17,15 +17,18 @@ from tidemark.session import written
 
 SLICE = "_slice"
 
+# Column names, or sort expressions such as ``F.desc("price")``.
+Order = list[str | Column]
+
 
 def ordered_slices(
-    df: DataFrame, keys: list[str], order: list[str], slices: int | None = None
+    df: DataFrame, keys: list[str], order: Order, slices: int | None = None
 ) -> DataFrame:
     """Range partition by (keys, order), number the parts and write them.
 
     Range bounds come from a sample, so the numbers are fixed by writing the rows once.
     """
-    by = [F.col(c) for c in [*keys, *order]]
+    by = [*[F.col(c) for c in keys], *[F.col(c) if isinstance(c, str) else c for c in order]]
     ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
     return written(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
@@ -34,7 +37,7 @@ def _earlier(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _inside(keys: list[str], order: list[str]) -> Window:
+def _inside(keys: list[str], order: Order) -> Window:
     return Window.partitionBy(*keys, SLICE).orderBy(*order)
 
 
@@ -45,7 +48,7 @@ def _with_carry(sliced: DataFrame, keys: list[str], carry: DataFrame) -> DataFra
     return sliced.join(carry, [*keys, SLICE])
 
 
-def running_sum(sliced: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+def running_sum(sliced: DataFrame, keys: list[str], order: Order, value: Column, name: str) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row."""
     parts = sliced.groupBy(*keys, SLICE).agg(F.sum(value).alias("_part"))
     carry = parts.select(*keys, SLICE, F.coalesce(F.sum("_part").over(_earlier(keys)), F.lit(0)).alias("_carry"))
@@ -53,13 +56,14 @@ def running_sum(sliced: DataFrame, keys: list[str], order: list[str], value: Col
     return _with_carry(sliced, keys, carry).withColumn(name, F.col("_carry") + within).drop("_carry")
 
 
-def row_numbers(sliced: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+def row_numbers(sliced: DataFrame, keys: list[str], order: Order, name: str) -> DataFrame:
     """Position of the row within its key, from 1."""
     return running_sum(sliced, keys, order, F.lit(1), name)
 
 
 def previous(sliced: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    """``value`` of the row before this one within its key; null for the first row."""
+    """``value`` of the row before this one within its key, in ascending order of the named
+    columns; null for the first row."""
     last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last")
     parts = sliced.groupBy(*keys, SLICE).agg(last)
     # Every (key, slice) present has rows, so the carry is the last row one slice earlier.
@@ -77,8 +81,8 @@ def ranks(df: DataFrame, keys: list[str], value: str, name: str, slices: int | N
     Rows are first counted per distinct value, so ties of any size meet as one row.
     """
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    falling = "_falling"
-    sliced = ordered_slices(counts.withColumn(falling, -F.col(value)), keys, [falling], slices)
-    upto = running_sum(sliced, keys, [falling], F.col("_n"), "_upto")
+    falling = [F.desc(value)]
+    sliced = ordered_slices(counts, keys, falling, slices)
+    upto = running_sum(sliced, keys, falling, F.col("_n"), "_upto")
     ranked = upto.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias(name))
     return df.join(ranked, [*keys, value])

@@ -18,7 +18,7 @@ from tidemark.functions.text import json_number, words
 from tidemark.operators import intervals, sequences, sessions
 from tidemark.plans import tables as t
 from tidemark.plans.registry import Query, query
-from tidemark.session import partitions_for, using
+from tidemark.session import STREAM_SETTINGS, partitions_for, using
 from tidemark.sources.streams import table_stream
 from tidemark.streaming import joins, runner, stateful, windows
 
@@ -51,7 +51,7 @@ def streamed(sql: str, source: str = "events") -> Callable[[Query], Query]:
         @wraps(f)
         def run(spark: SparkSession, d: str) -> DataFrame:
             n = partitions_for(t.table(spark, d, source))
-            with using(spark, spark__sql__shuffle__partitions=str(n)):
+            with using(spark, {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(n)}):
                 return f(spark, d)
 
         return query(sql)(run)
@@ -59,14 +59,6 @@ def streamed(sql: str, source: str = "events") -> Callable[[Query], Query]:
     return register
 
 
-def _replay_sessions(stream: DataFrame, label: str) -> DataFrame:
-    """Sessions of one user are merged inside each task before the shuffle, so that a hot
-    user sends few rows."""
-    name = "spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition"
-    with using(stream.sparkSession, **{name: "true"}):
-        return runner.replay(stream, label)
-
-
 def _bounds() -> list[Column]:
     return runner.window_bounds()
 
@@ -190,7 +182,7 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
         times.plain("first").alias("session_start"), times.plain("last").alias("session_end"),
         times.minutes_between(F.col("first"), F.col("last")).alias("session_duration_minutes"),
     )
-    return _replay_sessions(shaped, "sessions")
+    return runner.replay(shaped, "sessions")
 
 
 @streamed(f"""
@@ -660,7 +652,7 @@ def stream_session_overlap_join(spark: SparkSession, d: str) -> DataFrame:
     )
     right = right.withColumn("system_window_end", F.col("session_window.end"))
     landed = [
-        _replay_sessions(side.drop("session_window"), name)
+        runner.replay(side.drop("session_window"), name)
         for side, name in ((left, "interactions"), (right, "system-events"))
     ]
     return _session_join(*landed)

@@ -19,7 +19,16 @@ SETTINGS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Sessions of one key are merged before the shuffle as well as after it.
+}
+
+# Settings a streaming query takes when it starts.
+STREAM_SETTINGS = {
+    # State on local disk, with a log of changes per batch: it may outgrow the memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Sessions of one key are merged inside each task before the shuffle as well as after
+    # it, so that a hot key sends few rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
@@ -29,7 +38,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **STREAM_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -38,17 +47,16 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 def settings_report(spark: SparkSession) -> dict[str, str]:
     """Current value of each setting above, plus the shuffle partition count."""
-    keys = [*SETTINGS, "spark.sql.shuffle.partitions"]
+    keys = [*SETTINGS, *STREAM_SETTINGS, "spark.sql.shuffle.partitions"]
     return {key: spark.conf.get(key, "Not Set") for key in keys}
 
 
 @contextmanager
-def using(spark: SparkSession, **conf: str):
+def using(spark: SparkSession, settings: dict[str, str]):
     """Set runtime settings for the duration of a block, then put them back."""
-    names = {key.replace("__", "."): value for key, value in conf.items()}
-    before = {key: spark.conf.get(key, None) for key in names}
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
-        for key, value in names.items():
+        for key, value in settings.items():
             spark.conf.set(key, value)
         yield spark
     finally:

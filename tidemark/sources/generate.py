@@ -49,6 +49,18 @@ def sales(spark: SparkSession, n: int = 1000, year: int = 2024) -> DataFrame:
     )
 
 
+def activity(spark: SparkSession, n: int = 50, users: int = 50) -> DataFrame:
+    """User activity with text times, as it arrives in files: one event every ten seconds."""
+    second = (F.col("id") * 10).cast("timestamp").cast("timestamp_ntz")
+    return spark.range(n).select(
+        F.date_format(second + F.expr("INTERVAL 19723 DAYS"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        (draw("user", users) + 1).alias("user_id"),
+        pick("action", ["view", "click", "add_to_cart", "purchase", "remove_from_cart"]).alias("action"),
+        F.lower(pick("item", ["Laptop", "Phone", "Tablet"])).alias("product"),
+        price("value", 1, 500).cast("decimal(10,2)").alias("value"),
+    )
+
+
 def skewed(spark: SparkSession, n: int = 10_000, hot_share: float = 0.8, cold_keys: int = 20) -> DataFrame:
     """``hot_share`` of the rows on the key ``hot_key``, the rest over ``cold_keys`` keys."""
     is_hot = draw("hot", 10_000) < int(hot_share * 10_000)

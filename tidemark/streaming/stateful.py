@@ -6,13 +6,18 @@ updated in each batch, that ends when event time passes a limit.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Send these functions along with the job: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _OUTPUT = "user_id bigint, first_us bigint, last_us bigint, events bigint, cents bigint"
 _STATE = "first_us array<bigint>, last_us array<bigint>, events array<bigint>, cents array<bigint>"
 _CELL = "user_id bigint, first_us bigint, last_us bigint, events bigint, cents bigint, time timestamp"
