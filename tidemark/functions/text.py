@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Fixed value: the accepted form of an e-mail address.
 EMAIL = r"^[\w\.-]+@[\w\.-]+\.\w+$"
 
+_MARK = "\ue000"  # from the private-use area
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
 
@@ -16,12 +17,8 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE_SPACE, "")
 
 
-def title_case(c: Column) -> Column:
-    """Capital after every non-letter: ``o'neil`` gives ``O'Neil``, ``3rd`` gives ``3Rd``.
-
-    ``initcap`` starts a word only after a space, so each run of letters is handled on its
-    own. A letter whose capital is two letters keeps one of them: ``ß`` gives ``Ss``.
-    """
+def _title_by_runs(c: Column) -> Column:
+    """Each run of letters on its own: first letter large, rest small."""
 
     def capital(run: Column) -> Column:
         first = F.upper(F.substring(run, 1, 1))
@@ -32,6 +29,19 @@ def title_case(c: Column) -> Column:
     return F.array_join(F.transform(runs, capital), "")
 
 
+def title_case(c: Column) -> Column:
+    """Capital after every non-letter: ``o'neil`` gives ``O'Neil``, ``3rd`` gives ``3Rd``.
+
+    ``initcap`` starts a word only after a space, so a mark and a space are put before every
+    other word start and taken out again. A text that already has the mark goes the slower
+    way, run by run.
+    """
+    gap = _MARK + " "
+    marked = F.regexp_replace(c, r"(?<=\P{L})(?=\p{L})", gap)
+    quick = F.replace(F.initcap(marked), F.lit(gap), F.lit(""))
+    return F.when(c.contains(_MARK), _title_by_runs(c)).otherwise(quick)
+
+
 def is_email(c: Column) -> Column:
     """Whole-string match; ``\\z`` because Java's ``$`` also matches before a last line end."""
     return c.rlike("(?U)" + EMAIL.removesuffix("$") + r"\z")
