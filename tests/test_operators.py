@@ -63,6 +63,31 @@ def test_ranks_with_many_ties(hot):
     assert rows(ours) == rows(hot.select("value", F.rank().over(w)))
 
 
+def test_null_keys_and_values_stay(spark):
+    data = [(None if i % 2 else "a", i, None if i % 5 == 0 else i % 4) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, i int, v int")
+    w = Window.partitionBy("k").orderBy("i")
+    sliced = slices.ordered_slices(df, ["k"], ["i"], 6)
+    assert rows(slices.running_sum(sliced, ["k"], ["i"], F.col("v"), "s").select("i", "s")) == rows(
+        df.select("i", F.sum("v").over(w))
+    )
+    assert rows(slices.previous(sliced, ["k"], ["i"], "v", "p").select("i", "p")) == rows(df.select("i", F.lag("v").over(w)))
+    ranked = slices.ranks(df, ["k"], "v", "r", 6).select("i", "r")
+    assert rows(ranked) == rows(df.select("i", F.rank().over(Window.partitionBy("k").orderBy(F.desc("v")))))
+
+
+def test_outer_overlap_keeps_rows_without_a_span(spark):
+    left = spark.createDataFrame([(1, START, None), (None, START, START), (2, None, None)], "k int, s1 timestamp, e1 timestamp")
+    right = spark.createDataFrame([(1, START, START)], "k int, s2 timestamp, e2 timestamp")
+    assert intervals.overlap_join(left, right, ["k"], ("s1", "e1"), ("s2", "e2"), 60, "left").count() == 3
+    assert intervals.overlap_join(left, right, ["k"], ("s1", "e1"), ("s2", "e2"), 60).count() == 0
+
+
+def test_volume_aware_layout_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, i) for i in range(5)] + [("a", i) for i in range(3)], "k string, i int")
+    assert layout.volume_aware(df, "k", F.col("i"), 0.5, 0.2, 4).count() == 8
+
+
 def test_chunked_lists_keep_every_row(hot):
     listed = sequences.chunked_lists(hot, ["key"], ["amount", "value"], F.col("value"), 100)
     assert listed.agg(F.max(F.size("sequence"))).first()[0] == 100

@@ -55,13 +55,14 @@ def overlap_join(
 
     Both sides are offered to every bucket they touch; a pair counts only in the bucket of
     the later start, so it is found exactly once. For ``left`` the left rows must be unique
-    by key and span: a row unmatched in all of its buckets is kept once, in its first one.
+    by key and span: a row unmatched in all of its buckets (or without a span) is kept once.
     """
     (ls, le), (rs, re) = left_span, right_span
 
     def offered(df: DataFrame, start: str, end: str) -> DataFrame:
         first, last = micro_bucket(F.col(start), width_seconds), micro_bucket(F.col(end), width_seconds)
-        return df.withColumn("_bucket", F.explode(F.sequence(first, last, F.lit(micros(width_seconds)))))
+        touched = F.sequence(first, last, F.lit(micros(width_seconds)))
+        return df.withColumn("_bucket", F.explode_outer(touched))
 
     rights = offered(right, rs, re).withColumn("_matched", F.lit(True))
     for key in [*keys, "_bucket"]:
@@ -74,7 +75,8 @@ def overlap_join(
     pairs = lefts.join(rights, on, how).drop(*[f"_right{key}" for key in [*keys, "_bucket"]])
     if how == "left":
         anywhere = F.max("_matched").over(Window.partitionBy(*keys, ls, le))
-        in_first = F.col("_bucket") == micro_bucket(F.col(ls), width_seconds)
+        first = micro_bucket(F.col(ls), width_seconds)
+        in_first = F.col("_bucket").isNull() | (F.col("_bucket") == first)
         pairs = pairs.withColumn("_anywhere", anywhere)
         pairs = pairs.filter(F.col("_matched") | (F.col("_anywhere").isNull() & in_first)).drop("_anywhere")
     return pairs.drop("_bucket", "_matched")

@@ -83,7 +83,8 @@ def volume_aware(
 ) -> DataFrame:
     """Layout by volume in one shuffle: values of a high class are spread by ``spread_by``, of
     a medium class over ``medium_ways`` parts, of a low class kept together."""
-    classed = df.join(volume_classes(df, key, high, medium), key)
+    classes = volume_classes(df, key, high, medium).withColumnRenamed(key, "_class_key")
+    classed = df.join(classes, F.col(key).eqNullSafe(F.col("_class_key"))).drop("_class_key")
     hashed = F.xxhash64(spread_by)
     lane = F.when(F.col("volume") == "high", hashed)
     lane = lane.when(F.col("volume") == "medium", F.pmod(hashed, F.lit(medium_ways))).otherwise(F.lit(0))

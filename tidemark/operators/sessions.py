@@ -19,11 +19,11 @@ def session_parts(
     """Per key, session and ``by``: row count, sums, first and last time.
 
     A row starts a session when it comes more than the gap after the one before it.
-    ``session_start`` names the session; its window ends at the last time plus the gap.
+    Rows without a time belong to no session. ``session_start`` names the session; its window ends at the last time plus the gap.
     """
     sums = sums or {}
     cell = micro_bucket(F.col(time), gap_seconds).alias("_cell")
-    cells = df.groupBy(key, cell, *by).agg(
+    cells = df.filter(F.col(time).isNotNull()).groupBy(key, cell, *by).agg(
         F.count("*").alias("n"),
         F.min(time).alias("first_time"),
         F.max(time).alias("last_time"),

@@ -2,8 +2,8 @@
 
 ``Window.partitionBy(key)`` sends a whole key to one task. Here the rows are range
 partitioned on (key, order) instead, so a hot key spans many slices. Each function then
-works inside the (key, slice) parts and adds what earlier slices of the same key carry
-over: one small row per (key, slice).
+works inside the (key, slice) parts, after a row that holds what earlier slices of the same
+key carry over.
 
 The order columns must identify a row within its key.
 """
@@ -37,23 +37,27 @@ def _earlier(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _inside(keys: list[str], order: Order) -> Window:
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
+def _with_heads(sliced: DataFrame, carry: DataFrame) -> DataFrame:
+    """Put what is carried over in front of each (key, slice) as a row of its own.
+
+    Only keys that span slices have such rows, so there are fewer than slices. Grouping
+    instead of joining also keeps rows whose key is null.
+    """
+    heads = carry.filter("_carry IS NOT NULL").withColumn("_is_row", F.lit(False))
+    return sliced.withColumn("_is_row", F.lit(True)).unionByName(heads, allowMissingColumns=True)
 
 
-def _with_carry(sliced: DataFrame, keys: list[str], carry: DataFrame) -> DataFrame:
-    if not keys:
-        # One row per slice: the number of slices bounds what is broadcast.
-        return sliced.join(F.broadcast(carry), [SLICE])
-    return sliced.join(carry, [*keys, SLICE])
+def _inside(keys: list[str], order: Order) -> Window:
+    return Window.partitionBy(*keys, SLICE).orderBy("_is_row", *order)
 
 
 def running_sum(sliced: DataFrame, keys: list[str], order: Order, value: Column, name: str) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row."""
     parts = sliced.groupBy(*keys, SLICE).agg(F.sum(value).alias("_part"))
-    carry = parts.select(*keys, SLICE, F.coalesce(F.sum("_part").over(_earlier(keys)), F.lit(0)).alias("_carry"))
-    within = F.sum(value).over(_inside(keys, order).rowsBetween(Window.unboundedPreceding, 0))
-    return _with_carry(sliced, keys, carry).withColumn(name, F.col("_carry") + within).drop("_carry")
+    carry = parts.select(*keys, SLICE, F.sum("_part").over(_earlier(keys)).alias("_carry"))
+    added = F.when(F.col("_is_row"), value).otherwise(F.col("_carry"))
+    upto = F.sum(added).over(_inside(keys, order).rowsBetween(Window.unboundedPreceding, 0))
+    return _with_heads(sliced, carry).withColumn(name, upto).filter("_is_row").drop("_carry", "_is_row")
 
 
 def row_numbers(sliced: DataFrame, keys: list[str], order: Order, name: str) -> DataFrame:
@@ -69,10 +73,9 @@ def previous(sliced: DataFrame, keys: list[str], order: list[str], value: str, n
     # Every (key, slice) present has rows, so the carry is the last row one slice earlier.
     before = F.lag("_last").over(Window.partitionBy(*keys).orderBy(SLICE))
     carry = parts.select(*keys, SLICE, before.alias("_carry"))
-    within = _inside(keys, order)
-    first = F.row_number().over(within) == 1
-    found = F.when(first, F.col("_carry")["v"]).otherwise(F.lag(value).over(within))
-    return _with_carry(sliced, keys, carry).withColumn(name, found).drop("_carry")
+    seen = F.when(F.col("_is_row"), F.col(value)).otherwise(F.col("_carry")["v"])
+    found = F.lag(seen).over(_inside(keys, order))
+    return _with_heads(sliced, carry).withColumn(name, found).filter("_is_row").drop("_carry", "_is_row")
 
 
 def ranks(df: DataFrame, keys: list[str], value: str, name: str, slices: int | None = None) -> DataFrame:
@@ -84,5 +87,8 @@ def ranks(df: DataFrame, keys: list[str], value: str, name: str, slices: int | N
     falling = [F.desc(value)]
     sliced = ordered_slices(counts, keys, falling, slices)
     upto = running_sum(sliced, keys, falling, F.col("_n"), "_upto")
-    ranked = upto.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias(name))
-    return df.join(ranked, [*keys, value])
+    ranked = upto.select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*keys, value]], (F.col("_upto") - F.col("_n") + 1).alias(name)
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*keys, value]]
+    return df.join(ranked, same).drop(*[f"_of_{c}" for c in [*keys, value]])
