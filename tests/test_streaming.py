@@ -108,6 +108,16 @@ def test_several_outputs_of_one_stream(spark, folders):
     assert rows(found["kinds"].select("kind", "count")) == [("a", 1), ("b", 1)]
 
 
+def test_a_stream_without_rows_has_an_empty_result(spark, folders):
+    arrive, _ = folders
+    spark.createDataFrame([], SCHEMA).write.parquet(arrive)
+    totals = source(spark, arrive).groupBy("user_id").count()
+    assert runner.replay_updates(totals, "empty", ["user_id"]).count() == 0
+    assert runner.replay_complete(totals, "empty").count() == 0
+    assert runner.replay_partials(source(spark, arrive), "empty", lambda b: b.groupBy("kind").count()).count() == 0
+    assert runner.replay(source(spark, arrive), "empty").count() == 0
+
+
 def test_distinct_counts_in_sliding_windows(spark, folders):
     arrive, _ = folders
     add(spark, arrive, (1, 1, "a", 1), (1, 1, "b", 2), (6, 2, "a", 4), (60, 3, "a", 1))

@@ -18,6 +18,7 @@ restart neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.session import shared_folder
 
 Batch = Callable[[DataFrame, int], None]
+Output = Callable[[DataFrame], DataFrame]
 
 
 def _trigger(every: str | None) -> dict:
@@ -80,8 +82,6 @@ def finish(query: StreamingQuery) -> list[dict]:
 
 
 def _as_dict(progress) -> dict:
-    import json
-
     return json.loads(progress.json)
 
 
@@ -103,59 +103,67 @@ def replay(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
+def _before_the_first(stream: DataFrame) -> DataFrame:
+    """A bounded frame like a batch of ``stream``, without rows."""
+    return stream.sparkSession.createDataFrame([], stream.schema)
+
+
+def replay_outputs(
+    stream: DataFrame, label: str, outputs: dict[str, Output], mode: str = "append"
+) -> dict[str, DataFrame]:
+    """Several outputs of one stream, each stored per batch and returned with its ``batch_id``.
+
+    With more than one output the batch is kept (memory, then disk) while they are written,
+    so the source is not read again for each. An empty batch -1 is stored first: a stream
+    that gets no rows has an empty result.
+    """
+    spark = stream.sparkSession
+    folder = shared_folder(spark, label)
+    empty = _before_the_first(stream)
+    schemas = {}
+    for name, output in outputs.items():
+        nothing = output(empty)
+        schemas[name] = nothing.schema
+        save_batch(nothing, f"{folder}/{name}", -1)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        if len(outputs) > 1:
+            batch.persist()
+        try:
+            for name, output in outputs.items():
+                save_batch(output(batch), f"{folder}/{name}", batch_id)
+        finally:
+            if len(outputs) > 1:
+                batch.unpersist()
+
+    finish(each_batch(stream, folder, work, mode))
+    return {name: read_batches(spark, f"{folder}/{name}", schema) for name, schema in schemas.items()}
+
+
 def replay_updates(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """Update mode: every changed row is stored, the latest per key is returned."""
-    folder = shared_folder(stream.sparkSession, label)
-    path = f"{folder}/data"
-    finish(each_batch(stream, folder, lambda batch, i: save_batch(batch, path, i), "update"))
-    saved = read_batches(stream.sparkSession, path, stream.schema)
+    saved = replay_outputs(stream, label, {"data": _as_it_is}, "update")["data"]
     newest = F.max_by(F.struct(*stream.columns), "batch_id").alias("row")
     return saved.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest).select("row.*")
 
 
 def replay_complete(stream: DataFrame, label: str) -> DataFrame:
     """Complete mode: the result as of the last batch."""
-    folder = shared_folder(stream.sparkSession, label)
-    path = f"{folder}/data"
-    finish(each_batch(stream, folder, lambda batch, i: save_batch(batch, path, i), "complete"))
-    saved = read_batches(stream.sparkSession, path, stream.schema)
+    saved = replay_outputs(stream, label, {"data": _as_it_is}, "complete")["data"]
     last = saved.agg(F.max("batch_id")).scalar()
     return saved.filter(F.col("batch_id") == last).drop("batch_id")
 
 
-def replay_partials(
-    stream: DataFrame, label: str, summarise: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def replay_partials(stream: DataFrame, label: str, summarise: Output) -> DataFrame:
     """Store ``summarise(batch)`` of every batch and return all stored rows.
 
     Running totals without a growing state: the totals are the sum of the stored parts.
     """
-    spark = stream.sparkSession
-    folder = shared_folder(spark, label)
-    path = f"{folder}/data"
-    finish(each_batch(stream, folder, lambda batch, i: save_batch(summarise(batch), path, i)))
-    return spark.read.parquet(path)
-
-
-def replay_outputs(stream: DataFrame, label: str, outputs: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:
-    """Several outputs of one stream, each batch read once.
-
-    The batch is kept (memory, then disk) while its outputs are written, so the source is
-    not read again per output.
-    """
-    spark = stream.sparkSession
-    folder = shared_folder(spark, label)
+    return replay_outputs(stream, label, {"data": summarise})["data"]
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for name, output in outputs.items():
-                save_batch(output(batch), f"{folder}/{name}", batch_id)
-        finally:
-            batch.unpersist()
 
-    finish(each_batch(stream, folder, work))
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in outputs}
+def _as_it_is(batch: DataFrame) -> DataFrame:
+    return batch
 
 
 def window_bounds(name: str = "window") -> list[Column]:
