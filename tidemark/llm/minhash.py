@@ -6,10 +6,11 @@ each minimum are kept, packed into longs; bit counts of two packed signatures gi
 of similarity, corrected for low bits that agree by chance. What passes the estimate is confirmed
 on the full shingle sets.
 
-No bucket is expanded into all its pairs. Two rounds compare each class with one center of each
-of its buckets and confirm the likeliest, so that large groups grow together in linear work. The
-last round takes the buckets that still hold several components and compares what no confirmed
-path joins yet; links inside a component would change nothing.
+No bucket is expanded into all its pairs. The class that shares most buckets with others is the
+center of its buckets, and each class is confirmed against its centers, so that large groups grow
+together in linear work. What then still differs from its center's component is compared with the
+other members of that center's buckets, inside tasks: signatures first, then whole sets, and only
+links come out. Links inside a component would change nothing and are not looked for.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS, ROWS, BITS = 36, 5, 2
 #: Standard errors that an estimate may lie below the threshold before a pair is let go.
-SIGMAS = 6
+SIGMAS = 5
+#: Shingles of one side of a comparison in one task.
+LOAD = 2_000_000
 #: Shingles hashed at a time.
 CHUNK = 1 << 20
 
@@ -133,8 +136,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
         known, kept = WordHashes(), (None, None)
         for batch in batches:
             good = []
-            for one, two in zip(batch["text_a"], batch["text_b"]):
-                if kept[0] is not one and kept[0] != one:
+            for one, two in zip(batch["text_b"], batch["text_a"]):
+                if kept[0] != one:
                     kept = (one, shingles(known.of(words_of(one)), size))
                 second = shingles(known.of(words_of(two)), size)
                 common = len(np.intersect1d(kept[1], second, assume_unique=True))
@@ -142,7 +145,41 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
             yield batch.loc[good, ["a", "b"]]
 
     side = lambda x: texts.select(F.col("v").alias(x), F.col("text").alias(f"text_{x}"))
-    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInPandas(check, "a binary, b binary")
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInPandas(check, "a binary, b binary")
+
+
+def _dealt(left: DataFrame, right: DataFrame, load: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``i, j``: every pair of a ``center``'s left and right rows meets in one ``(center, i, j)``.
+
+    Centers whose rows weigh more than ``LOAD`` by column ``load`` are dealt over several tasks.
+    """
+    parts = lambda df, n: df.groupBy("center").agg(F.ceil(F.sum(load) / LOAD).cast("int").alias(n))
+    both = stored(parts(left, "lefts").join(parts(right, "rights"), "center").filter("lefts > 1 or rights > 1"), "minhash-blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("v"), F.coalesce(n, F.lit(1))).cast("int")
+    one = left.join(both, "center", "left").withColumn("i", mine(F.col("lefts"))).withColumn("j", every(F.col("rights")))
+    two = right.join(both, "center", "left").withColumn("j", mine(F.col("rights"))).withColumn("i", every(F.col("lefts")))
+    # New names for both sides: they may come from the same table.
+    return tuple(df.select(*[F.col(c).alias(c) for c in df.columns if c not in ("lefts", "rights")]) for df in (one, two))
+
+
+def _likely(left: pd.DataFrame, right: pd.DataFrame, bits: int, n: int, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each left row, the right rows of other components that may be similar: by size and by bit counts."""
+    if not len(left) or not len(right):
+        return
+    sigs = np.stack(right["sig"].to_numpy()).astype(np.int64).view(np.uint64)
+    sizes, roots = right["n"].to_numpy(np.int64), right["root"].to_numpy()
+    ones = np.uint64(sum(1 << i for i in range(0, 64, bits)))
+    for k, (sig, size, root) in enumerate(zip(left["sig"], left["n"], left["root"])):
+        at = np.flatnonzero((roots != root) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes))
+        if len(at):
+            x = sigs[at] ^ np.asarray(sig, np.int64).view(np.uint64)
+            folded = x
+            for i in range(1, bits):
+                folded = folded | (x >> np.uint64(i))
+            at = at[n - np.bitwise_count(folded & ones).sum(axis=1, dtype=np.int64) >= least]
+            if len(at):
+                yield k, at
 
 
 def near_duplicates(
@@ -165,44 +202,67 @@ def near_duplicates(
     made = stored(signatures(docs, id_col, text_col, size, bands, rows, bits, seed), "minhash")
     classes = stored(
         made.filter("id is not null and v is not null").groupBy("v").agg(
-            F.min("id").alias("first"), F.min_by("sig", "id").alias("sig"), F.min_by("buckets", "id").alias("buckets")
+            F.min("id").alias("first"), F.min("n_shingles").alias("n"), F.min_by("sig", "id").alias("sig"), F.min_by("buckets", "id").alias("buckets")
         ),
         "minhash-classes",
     )
     names = classes.select(F.explode("buckets").alias("bucket"), "v")
-    shared = stored(
-        names.groupBy("bucket").agg(F.min("v").alias("low"), F.max("v").alias("high")).filter("low != high"), "minhash-shared"
-    )
+    shared = stored(names.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1"), "minhash-shared")
     members = stored(names.join(shared, "bucket"), "minhash-members")
-    ids = members.select("v").distinct()
+    weights = stored(members.groupBy("v").agg(F.sum("rows").alias("weight")), "minhash-weights")
+    centers = stored(
+        members.select("bucket", "v").join(weights, "v").groupBy("bucket").agg(F.max_by("v", F.struct("weight", "v")).alias("center")), "minhash-centers"
+    )
+    groups = stored(members.select("bucket", "v").join(centers, "bucket").select("center", "v").distinct(), "minhash-groups")
     # Whole texts of the classes that share a bucket, one row each.
-    heads = stored(classes.join(ids, "v", "left_semi").select("v", "first"), "minhash-heads")
-    texts = stored(_texts_of(docs, made, heads, id_col, text_col), "minhash-texts")
-    signed = stored(classes.join(ids, "v", "left_semi").select("v", "sig"), "minhash-signed")
+    heads = classes.join(weights, "v", "left_semi")
+    texts = stored(_texts_of(docs, made, stored(heads.select("v", "first"), "minhash-heads"), id_col, text_col), "minhash-texts")
+    signed = stored(heads.select("v", "sig", "n"), "minhash-signed")
 
     side = lambda x: signed.select(F.col("v").alias(x), F.col("sig").alias(f"sig_{x}"))
     agreeing, least = _agreeing(bits, -(-n // (64 // bits)), n), least_agreeing(percent, bits, n)
-    links, roots = None, None
-    for center in ("low", "high"):
-        pairs = members.select(F.col("v").alias("a"), F.col(center).alias("b")).filter("a != b").distinct()
-        if roots is not None:
-            pairs = _apart(pairs, roots)
-        likely = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("agree", agreeing).filter(F.col("agree") >= least)
-        best = stored(likely.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")), "minhash-best")
-        found = stored(_confirm(best, texts, size, percent), "minhash-links")
-        links = found if links is None else stored(links.union(found), "minhash-links")
-        roots = components(links)
-    here = members.select("bucket", "v").join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    several = stored(
-        here.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket"),
-        "minhash-several",
-    )
-    rest = stored(here.join(several, "bucket", "left_semi").join(signed, "v"), "minhash-rest")
-    one = rest.select("bucket", F.col("v").alias("a"), F.col("root").alias("root_a"), F.col("sig").alias("sig_a"))
-    two = rest.select("bucket", F.col("v").alias("b"), F.col("root").alias("root_b"), F.col("sig").alias("sig_b"))
-    close = one.join(two, (one.bucket == two.bucket) & (F.col("root_a") < F.col("root_b")) & (agreeing >= least))
-    pairs = stored(close.select("a", "b").distinct(), "minhash-pairs")
-    last = stored(_confirm(pairs, texts, size, percent), "minhash-links")
+    pairs = groups.select(F.col("v").alias("a"), F.col("center").alias("b")).filter("a != b")
+    likely = stored(pairs.join(side("b"), "b").join(side("a"), "a").filter(agreeing >= least).select("a", "b"), "minhash-pairs")
+    roots = components(stored(_confirm(likely, texts, size, percent), "minhash-links"))
+
+    # Members whose component is not their center's, against all members of that center.
+    rooted = signed.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    rooted = stored(rooted, "minhash-rooted")
+    here = groups.join(rooted, "v").join(rooted.select(F.col("v").alias("center"), F.col("root").alias("center_root")), "center")
+    here = stored(here, "minhash-here")
+    apart = here.filter("root != center_root").drop("center_root")
+    around = here.drop("center_root").join(apart.select("center").distinct(), "center", "left_semi")
+
+    def alive(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        ends = set()
+        for k, at in _likely(one, two, bits, n, least, percent):
+            ends.add(one["v"].iloc[k])
+            ends.update(two["v"].to_numpy()[at])
+        return pd.DataFrame({"center": one["center"].iloc[:1].tolist() * len(ends), "v": list(ends)})
+
+    keys = ["center", "i", "j"]
+    one, two = _dealt(apart.withColumn("load", F.lit(100)), around.withColumn("load", F.lit(100)), "load")
+    near = one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(alive, "center binary, v binary")
+    near = stored(near.distinct(), "minhash-near")
+
+    def confirm(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        known, out = WordHashes(), []
+        sets = [shingles(known.of(words_of(t)), size) for t in two["text"]]
+        for k, at in _likely(one, two, bits, n, least, percent):
+            own = shingles(known.of(words_of(one["text"].iloc[k])), size)
+            flat = np.concatenate([sets[i] for i in at])
+            sizes = np.array([len(sets[i]) for i in at])
+            hits = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            common = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes) - sizes)
+            for i in at[100 * common >= percent * (len(own) + sizes - common)]:
+                out.append((one["v"].iloc[k], two["v"].iloc[i]))
+        # Links to one component are as good as one link.
+        out = pd.DataFrame(out, columns=["a", "b"])
+        return out.loc[~out.assign(root=out["b"].map(dict(zip(two["v"], two["root"])))).duplicated(["a", "root"])] if len(out) else out
+
+    texted = near.join(texts, "v")
+    one, two = _dealt(apart.join(texted, ["center", "v"]), around.join(texted, ["center", "v"]), "n")
+    last = stored(one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(confirm, "a binary, b binary").distinct(), "minhash-links")
     # The components found so far are one link per member.
     roots = components(roots.select(F.col("v").alias("a"), F.col("root").alias("b")).filter("a != b").union(last))
 
@@ -217,14 +277,6 @@ def near_duplicates(
     )
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    for x in "ab":
-        pairs = pairs.join(roots.select(F.col("v").alias(x), F.col("root").alias(f"root_{x}")), x, "left")
-        pairs = pairs.withColumn(f"root_{x}", F.coalesce(f"root_{x}", x))
-    return pairs.filter("root_a != root_b").select("a", "b")
-
-
 def _texts_of(docs: DataFrame, made: DataFrame, heads: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``v, text`` for each class of ``heads``: the text of its first row."""
 

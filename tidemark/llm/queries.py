@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash
+from tidemark.llm import decontaminate, lines, minhash, neighbours, packing, quality, toxicity, warc
 from tidemark.llm.common import table
+from tidemark.session import shared_folder
 
 QUERIES, SQL = {}, {}
 
@@ -26,6 +29,58 @@ def query(sql: str | None = None):
     return register
 
 
+def fold(key: str, parts: int) -> Column:
+    """Part of a row: crc32 of its id as text, modulo ``parts``; null ids are in no part."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % parts
+
+
+def judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    made = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    digests = made.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digests, order=("doc_id", "piece", "start", "ids_crc32"))
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    trees = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return judged(docs.select("doc_id", quality.score("text", trees).alias("score")), held_out)
+
+
+@query("""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents),
+spots AS (SELECT doc_id, x, unnest(range(1, len(x) - 1)) AS i FROM l),
+w AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x[i], x[i + 1], x[i + 2] ORDER BY doc_id, i) AS nth FROM spots),
+gone AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM w WHERE nth > 1),
+each AS (SELECT doc_id, unnest(x) AS line, unnest(range(1, len(x) + 1)) AS i FROM l),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, len(x)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM l LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return judged(docs.select("doc_id", toxicity.score("text", model).alias("score")), held_out)
+
+
 @query(f"""
 WITH RECURSIVE words AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
 sets AS (
@@ -43,3 +98,31 @@ FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1
 """)
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+@query("""
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS x, coalesce(html, '') AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, n AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(x, 1 + 10 * (j // 8), 10))::BIGINT >> (35 - 5 * (j % 8))) & 31)::INT, 1) FOR j IN range(32)], '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
