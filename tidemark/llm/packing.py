@@ -136,7 +136,7 @@ def _configurations(sizes: list[int], counts: list[int], capacity: int) -> list[
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = 1024, groups: int = 24, large: float = 0.125) -> list[tuple[int, int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = 1024, groups: int = 341, large: float = 1 / 3) -> list[tuple[int, int, int, int, int, int]]:
     """``length, low, high, sequence, offset, step`` for numbers ``low <= k < high`` of a length.
 
     Number ``k`` goes to sequence ``sequence + (k - low) // step`` at ``offset + (k - low) % step * length``.
@@ -228,6 +228,12 @@ def plan(histogram: dict[int, int], capacity: int = 1024, groups: int = 24, larg
     return out
 
 
+def fewest(histogram: dict[int, int], capacity: int = 1024) -> list[tuple[int, int, int, int, int, int]]:
+    """The plan with the fewest sequences of several bounds between large and small lengths."""
+    plans = [plan(histogram, capacity, large=x) for x in (1 / 4, 1 / 3, 2 / 5, 1 / 2)]
+    return min(plans, key=lambda p: max((s - (-(high - low) // step) for _, low, high, s, _, step in p), default=0))
+
+
 def pack(made: DataFrame, capacity: int = 1024, order: tuple[str, ...] = (), length_col: str = "length") -> DataFrame:
     """``made`` with ``sequence_id, offset``: pieces side by side in sequences of at most ``capacity``.
 
@@ -245,7 +251,7 @@ def pack(made: DataFrame, capacity: int = 1024, order: tuple[str, ...] = (), len
         raise ValueError(f"lengths must be from 1 to {capacity}")
     slices = spark.createDataFrame([(x, -(-n // SLICE_ROWS)) for x, n in histogram.items()], "_length bigint, _slices bigint")
     places = spark.createDataFrame(
-        plan(histogram, capacity), "_length bigint, _low bigint, _high bigint, _sequence bigint, _offset bigint, _step bigint"
+        fewest(histogram, capacity), "_length bigint, _low bigint, _high bigint, _sequence bigint, _offset bigint, _step bigint"
     )
     sliced = sized.join(F.broadcast(slices), "_length").withColumn("_slice", F.pmod(F.xxhash64(*keys), "_slices")).drop("_slices")
     counts = stored(sliced.groupBy("_length", "_slice").agg(F.count("*").alias("_n")), "piece-counts")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lines, minhash, neighbours, packing, quality, toxicity, warc
+from tidemark.llm import decontaminate, licences, lines, minhash, neighbours, packing, quality, suffixes, toxicity, warc
 from tidemark.llm.common import table
 from tidemark.session import shared_folder
 
@@ -46,6 +46,32 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(digests, order=("doc_id", "piece", "start", "ids_crc32"))
 
 
+def _canonical_sql(text: str) -> str:
+    # RE2 has no look-behind; "(c)" is written out.
+    out = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n]*(?:copyright\b|©|\(c\))[^\n]*$', '', 'g')"
+    out = rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' '"
+    for one, other in licences.EQUIVALENT:
+        out = f"replace({out}, '{one}', '{other}')"
+    return f"trim({out})"
+
+
+_KNOWN_SQL = ", ".join("('" + i + "', '" + t.replace("'", "''") + "')" for i, t in licences.KNOWN)
+
+
+@query(f"""
+WITH k AS (SELECT sha256({_canonical_sql('t')}) AS digest, min(i) AS license_id FROM (VALUES {_KNOWN_SQL}) v(i, t) GROUP BY 1),
+d AS (SELECT doc_id, text, {_canonical_sql('text')} AS c FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+n AS (
+  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+  FROM (SELECT doc_id, sha256({_canonical_sql('line')}) AS digest FROM l) JOIN k USING (digest) GROUP BY 1),
+w AS (SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS digest FROM d)
+SELECT doc_id, digest, license_id, notices FROM w LEFT JOIN k USING (digest) LEFT JOIN n USING (doc_id)
+""")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
@@ -126,3 +152,9 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
