@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, lines, minhash, quality
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 from tidemark.llm.queries import fold, packed
 
 #: Documents that score lower are rejected.
@@ -15,6 +15,7 @@ LEAST_QUALITY = 0.3
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
+    small_batches(spark)
     trees = quality.fit(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
     scored = docs.withColumn("_score", quality.score("text", trees))
     return scored.filter(F.col("_score") >= LEAST_QUALITY).drop("_score")
@@ -22,12 +23,14 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the windows of lines that came before; a document may end up empty, but stays."""
+    small_batches(spark)
     cut = lines.dedup_lines(docs).drop("n_lines", "n_removed")
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows without an id stay."""
+    small_batches(spark)
     judged = minhash.near_duplicates(docs, size=5, percent=80).filter("doc_id is not null")
     # An id with several texts goes only when none of them is kept.
     gone = judged.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("not any").select("doc_id")
@@ -39,12 +42,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokens and their places in sequences."""
+    small_batches(spark)
     return packed(docs)
 
 

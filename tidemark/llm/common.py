@@ -16,7 +16,7 @@ from tidemark.session import using, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows in one Arrow batch while a step is stored; keeps a batch of long texts small.
-BATCH_ROWS = 500
+BATCH_ROWS = 256
 #: Words that a worker remembers before it forgets all and starts anew.
 REMEMBERED = 1_000_000
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send ``BATCH_ROWS`` rows at a time to Python: texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a step to the shared folder and read it back: computed once, lineage cut.
 

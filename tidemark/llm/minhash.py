@@ -27,10 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, components, shingles, stored, words_of
+from tidemark.session import using
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BANDS, ROWS, BITS = 36, 5, 2
+HASHES, ROWS, BITS = 180, 5, 2
+#: Chance that a pair right at the threshold shares no band.
+MISSED = 1e-6
 #: Standard errors that an estimate may lie below the threshold before a pair is let go.
 SIGMAS = 5
 #: Shingles of one side of a comparison in one task.
@@ -39,16 +42,16 @@ LOAD = 2_000_000
 CHUNK = 1 << 20
 
 
-def _signatures(chunk: list[np.ndarray], bands: int, rows: int, seed: int) -> np.ndarray:
-    """Minima of each set under ``bands * rows`` hash functions."""
+def _signatures(chunk: list[np.ndarray], n: int, seed: int) -> np.ndarray:
+    """Minima of each set under ``n`` hash functions."""
     rng = np.random.default_rng(seed)
-    factors = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
-    shifts = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64)
+    factors = rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
+    shifts = rng.integers(1, 1 << 63, n, dtype=np.uint64)
     flat = np.concatenate(chunk)
     starts = np.cumsum([0, *map(len, chunk[:-1])])
-    out = np.empty((len(chunk), bands * rows), np.uint64)
+    out = np.empty((len(chunk), n), np.uint64)
     room = np.empty_like(flat)
-    for k in range(bands * rows):
+    for k in range(n):
         np.multiply(flat, factors[k], out=room)
         np.add(room, shifts[k], out=room)
         out[:, k] = np.minimum.reduceat(room, starts) >> np.uint64(24)
@@ -65,7 +68,7 @@ def _packed(minima: np.ndarray, bits: int) -> np.ndarray:
 
 def _buckets(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit name for each band and its minima."""
-    parts = minima.reshape(len(minima), bands, rows)
+    parts = minima[:, : bands * rows].reshape(len(minima), bands, rows)
     out = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.zeros((len(minima), 1), np.uint64)
     for r in range(rows):
         out = (out ^ parts[:, :, r]) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -73,7 +76,7 @@ def _buckets(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int, bits: int, seed: int) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, n: int, bands: int, rows: int, bits: int, seed: int) -> DataFrame:
     """``id, n_shingles, v`` (128-bit name of the word sequence), ``sig, buckets``; no words: null."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +87,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
             sig: list = [None] * len(ids)
             buckets: list = [None] * len(ids)
             if full:
-                minima = _signatures([sets[i] for i in full], bands, rows, seed)
+                minima = _signatures([sets[i] for i in full], n, seed)
                 for i, s, b in zip(full, _packed(minima, bits), _buckets(minima, bands, rows)):
                     sig[i], buckets[i] = s, b
             return pd.DataFrame({"id": pd.array(ids, "Int64"), "n_shingles": [len(s) for s in sets], "v": names, "sig": sig, "buckets": buckets})
@@ -129,6 +132,11 @@ def least_agreeing(percent: int, bits: int, n: int) -> int:
     return max(0, math.floor(n * p - SIGMAS * math.sqrt(n * p * (1 - p))))
 
 
+def bands_for(percent: int, rows: int) -> int:
+    """How many bands of ``rows`` minima let at most ``MISSED`` of the pairs at the threshold escape."""
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** rows))) if percent < 100 else 1
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` with ``100 * common >= percent * union`` of their whole shingle sets."""
 
@@ -184,7 +192,7 @@ def _likely(left: pd.DataFrame, right: pd.DataFrame, bits: int, n: int, least: i
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
-    bands: int = BANDS, rows: int = ROWS, bits: int = BITS, seed: int = 8,
+    hashes: int = HASHES, rows: int = ROWS, bits: int = BITS, seed: int = 8,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles, component_id, kept``.
 
@@ -198,8 +206,9 @@ def near_duplicates(
     """
     if 64 % bits:
         raise ValueError("bits must divide 64")
-    n = bands * rows
-    made = stored(signatures(docs, id_col, text_col, size, bands, rows, bits, seed), "minhash")
+    bands = bands_for(percent, rows)
+    n = max(hashes, bands * rows)
+    made = stored(signatures(docs, id_col, text_col, size, n, bands, rows, bits, seed), "minhash")
     classes = stored(
         made.filter("id is not null and v is not null").groupBy("v").agg(
             F.min("id").alias("first"), F.min("n_shingles").alias("n"), F.min_by("sig", "id").alias("sig"), F.min_by("buckets", "id").alias("buckets")
@@ -216,7 +225,10 @@ def near_duplicates(
     groups = stored(members.select("bucket", "v").join(centers, "bucket").select("center", "v").distinct(), "minhash-groups")
     # Whole texts of the classes that share a bucket, one row each.
     heads = classes.join(weights, "v", "left_semi")
-    texts = stored(_texts_of(docs, made, stored(heads.select("v", "first"), "minhash-heads"), id_col, text_col), "minhash-texts")
+    wanted = stored(heads.select("v", "first", "n"), "minhash-heads")
+    # Spark's own filter of bounded size keeps most other texts out of the shuffle.
+    with using(docs.sparkSession, {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB"}):
+        texts = stored(_texts_of(docs, wanted, id_col, text_col), "minhash-texts")
     signed = stored(heads.select("v", "sig", "n"), "minhash-signed")
 
     side = lambda x: signed.select(F.col("v").alias(x), F.col("sig").alias(f"sig_{x}"))
@@ -277,13 +289,13 @@ def near_duplicates(
     )
 
 
-def _texts_of(docs: DataFrame, made: DataFrame, heads: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _texts_of(docs: DataFrame, heads: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``v, text`` for each class of ``heads``: the text of its first row."""
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) for t in batch["text"]]
+            names = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) if t else None for t in batch["text"]]
             yield pd.DataFrame({"v": names, "text": batch["text"]})[[a == b for a, b in zip(names, batch["v"])]]
 
-    wanted = docs.select(F.col(id_col).alias("first"), F.col(text_col).alias("text")).filter("text is not null").join(heads, "first")
+    wanted = docs.select(F.col(id_col).alias("first"), F.col(text_col).alias("text")).join(heads.filter("n > 0"), "first")
     return wanted.select("v", "text").mapInPandas(name, "v binary, text string").dropDuplicates(["v"])

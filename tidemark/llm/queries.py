@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, licences, lines, minhash, neighbours, packing, quality, suffixes, toxicity, warc
-from tidemark.llm.common import table
+from tidemark.llm.common import small_batches, table
 from tidemark.session import shared_folder
 
 QUERIES, SQL = {}, {}
@@ -21,10 +23,15 @@ SQL_WORDS = (
 
 def query(sql: str | None = None):
     def register(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             SQL[f.__name__] = sql.strip()
-        return f
+        return run
 
     return register
 

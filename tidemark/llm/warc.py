@@ -248,7 +248,8 @@ def _joined(spark: SparkSession, path: str, bases: DataFrame, records: DataFrame
     chunks = chunks.select("file", (F.col("base") + F.col("start")).alias("at"), "value").withColumn("cell", F.expr(f"at div {CELL}"))
     ends = F.col("offset") + len(VERSION) + F.col("size")
     wanted = records.withColumn("end", ends).withColumn("cell", F.explode(F.sequence(F.expr(f"offset div {CELL}"), F.expr(f"end div {CELL}"))))
-    inside = (F.col("at") > F.col("offset")) & (F.col("at") < F.col("end"))
+    # A part counts when the version line before it lies in the record.
+    inside = (F.col("at") > F.col("offset")) & (F.col("at") <= F.col("end"))
     met = chunks.join(wanted.withColumnRenamed("file", "of"), (F.col("file") == F.col("of")) & (chunks["cell"] == wanted["cell"]) & inside)
     # The parts of one record: as much as its payload.
     whole = met.groupBy("file", "offset", "starts", "size").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
