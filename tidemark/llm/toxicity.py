@@ -35,6 +35,8 @@ IMITATES, DROPPED, REPEATED, ENDS_WORD = -1.0, -1.0, -0.3, -2.5
 BEAM = 24
 #: Word beginnings looked up, by length.
 STEMS = (3, 4, 5, 7)
+#: Share of toxic rows from which one feature is enough.
+ALONE = 0.7
 #: Restored words a worker remembers before it forgets all and starts anew.
 REMEMBERED = 200_000
 
@@ -220,16 +222,27 @@ def specific(found: list[tuple[str, int]]) -> list[str]:
 
 
 class Model:
-    """Character model, lexicon and weights."""
+    """Character model, lexicon, its weights together, and what each feature says alone."""
 
-    def __init__(self, model: np.ndarray, features: dict[str, int], weights: np.ndarray, base: float):
-        self.model, self.features, self.weights, self.base = model, features, weights, base
+    def __init__(self, model: np.ndarray, features: dict[str, int], weights: np.ndarray, base: float, alone: np.ndarray):
+        self.model, self.features, self.weights, self.base, self.alone = model, features, weights, base, alone
 
     def lookup(self) -> Lookup:
         return Lookup(Restorer(self.model), self.features)
 
     def score(self, found: set[int]) -> float:
-        return float(1 / (1 + np.exp(-(self.base + self.weights[list(found)].sum()))))
+        """Probability from all features, or from the surest one: words that always came together may come alone."""
+        at = list(found)
+        together = float(1 / (1 + np.exp(-(self.base + self.weights[at].sum()))))
+        return max(together, float(self.alone[at].max())) if at else together
+
+
+def alone(hits: np.ndarray, n: np.ndarray, z: float = 3.0) -> np.ndarray:
+    """Lower bound (Wilson) of the toxic share of a feature's rows; 0 where it is below ``ALONE``."""
+    n = np.maximum(n, 1e-9)
+    p = hits / n
+    bound = (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return np.where(bound >= ALONE, bound, 0.0)
 
 
 def _weigh(rows: list[list[int]], y: np.ndarray, n: int, ridge: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -295,7 +308,9 @@ def fit(
 
     found = rows.select("_id", "_y", "text").mapInPandas(find, "_id long, _y int, found array<int>").orderBy("_id").limit(max_rows).collect()
     weights, base = _weigh([r.found for r in found], np.array([r._y for r in found], float), len(features))
-    return Model(model, features, weights, base)
+    seen = {r.f: (r.toxic, r.toxic + r.clean) for r in lexicon}
+    hits = np.array([seen[f] for f in features], float).reshape(-1, 2)
+    return Model(model, features, weights, base, alone(hits[:, 0], hits[:, 1]))
 
 
 def score(text: Column | str, model: Model) -> Column:
