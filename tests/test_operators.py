@@ -125,13 +125,22 @@ def test_salted_join_is_plain_join(spark, hot, how):
     assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key", how).select("key", "value", "d"))
 
 
-@pytest.mark.parametrize("limit", [100_000, 1])
-def test_split_join_is_plain_join(spark, hot, limit):
+@pytest.mark.parametrize("salts", [None, 3])
+def test_split_join_is_plain_join(spark, hot, salts):
     small = spark.createDataFrame([("hot_key", 1), ("hot_key", 2), ("key_3", 3)], "key string, d int")
-    found = skew.hot_key_split_join(hot, small, ["key"], skew.hot_keys(hot, ["key"], 0.1), ["value"], limit)
+    found = skew.hot_key_split_join(hot, small, ["key"], skew.hot_keys(hot, ["key"], 0.1), ["value"], salts)
     assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key").select("key", "value", "d"))
 
 
+def test_hot_null_key_is_salted(spark):
+    df = spark.createDataFrame([(None if i % 10 else f"k{i}", i) for i in range(100)], "key string, v int")
+    hot_keys = skew.hot_keys(df, ["key"], 0.5)
+    assert skew.mark_hot(df, ["key"], hot_keys).filter("_hot").count() == 90
+    small = spark.createDataFrame([("k10", 1)], "key string, d int")
+    found = skew.salted_join(df, small, ["key"], hot_keys, ["v"], how="left")
+    assert rows(found.select("key", "v", "d")) == rows(df.join(small, "key", "left").select("key", "v", "d"))
+
+
 # ---------------------------------------------------------------------------- intervals
 
 
@@ -236,6 +245,18 @@ def test_balanced_report(spark):
     assert report["assessment"] == "balanced" and report["min_partition_size"] >= 90
 
 
+def test_report_keeps_partitions_beyond_n(spark):
+    report = layout.partition_report(layout.round_robin(spark.range(800), 8), 4).first()
+    assert (report.num_partitions, report.total_records) == (8, 800)
+
+
+def test_overlap_join_with_a_span_that_ends_before_it_starts(spark):
+    left = spark.createDataFrame([("a", START, START - timedelta(hours=1)), ("a", START, START)], "k string, s timestamp, e timestamp")
+    right = spark.createDataFrame([("a", START, START)], "k string, rs timestamp, re timestamp")
+    found = intervals.overlap_join(left, right, ["k"], ("s", "e"), ("rs", "re"), 60)
+    assert found.count() == 1
+
+
 def test_partition_heads(spark):
     heads = layout.partition_heads(layout.by_range(spark.range(100), ["id"], 4), 3)
     assert heads.count() == 12
@@ -277,14 +298,13 @@ def test_copartitioned_join_has_one_exchange_per_side(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_dimension_join_checks_the_size(spark):
+def test_dimension_join_follows_the_threshold(spark):
     facts = spark.range(1000).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in layout.explain_text(joins.dimension_join(facts, small, ["k"]), "simple")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in layout.explain_text(joins.dimension_join(facts, small, ["k"]), "simple")
-        large = joins.dimension_join(facts, small, ["k"], rows=5)
-        assert "SortMergeJoin" in layout.explain_text(large, "simple")
+        assert "SortMergeJoin" in layout.explain_text(joins.dimension_join(facts, small, ["k"]), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in layout.explain_text(joins.merge_join(facts, small, ["k"]), "simple")

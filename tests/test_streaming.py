@@ -170,6 +170,17 @@ def test_stateful_sessions_across_batches(spark, folders):
     assert run() == [(1, 0, 18, 3, 4.5), (2, 3, 3, 1, 1.0), (3, 40, 41, 2, 2.0)]
 
 
+def test_stateful_sessions_keep_every_key_and_digit(spark, folders):
+    arrive, out = folders
+    big = 2**53 + 1
+    for batch in ([(0, None, "a", 100), (1, big, "a", None), (5, big - 1, "a", 12345)], [(4, None, "a", None), (30, 7, "a", 1)], [(2, 7, "late", 1), (90, 8, "a", 1)]):
+        add(spark, arrive, *batch)
+        found = stateful.track_sessions(source(spark, arrive), 600, "5 minutes", key_col="user_id")
+        runner.finish(runner.append_to_files(found, out))
+    got = [(u, n, v) for u, _, _, n, v in rows(spark.read.schema(found.schema).parquet(f"{out}/data"))]
+    assert sorted(got, key=repr) == sorted([(None, 2, 1.0), (big, 1, None), (big - 1, 1, 123.45), (7, 1, 0.01)], key=repr)
+
+
 def test_csv_stream_checks_headers(spark, folders):
     arrive, out = folders
     good = spark.createDataFrame([("2024-01-01 00:00:00", 1, "view", "pen", 1)], "timestamp string, user_id int, action string, product string, value int")

@@ -22,8 +22,9 @@ def money(c: Column | str, precision: int = 10) -> Column:
 
 
 def whole_cents(c: Column | str) -> Column:
-    """A double with two decimals as a whole number of cents."""
-    return F.rint(_column(c) * 100).cast("bigint")
+    """A double with two decimals as a whole number of cents; null for NaN, infinities and what a
+    bigint cannot hold, which sums then leave out."""
+    return F.rint(_column(c) * 100).try_cast("bigint")
 
 
 def summable(whole: Column) -> Column:

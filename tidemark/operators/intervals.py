@@ -61,7 +61,8 @@ def overlap_join(
 
     def offered(df: DataFrame, start: str, end: str) -> DataFrame:
         first, last = micro_bucket(F.col(start), width_seconds), micro_bucket(F.col(end), width_seconds)
-        touched = F.sequence(first, last, F.lit(micros(width_seconds)))
+        # A span that ends before it starts touches no bucket.
+        touched = F.when(F.col(end) >= F.col(start), F.sequence(first, last, F.lit(micros(width_seconds))))
         return df.withColumn("_bucket", F.explode_outer(touched))
 
     rights = offered(right, rs, re).withColumn("_matched", F.lit(True))

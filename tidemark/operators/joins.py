@@ -3,32 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A table of few columns with at most this many rows is small enough for every executor.
-BROADCAST_ROWS = 1_000_000
 
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. A stored table is counted from its footers."""
-    return df.count() <= rows
-
-
-def dimension_join(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    rows: int = BROADCAST_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Broadcast the dimension when its counted size allows it, else leave the choice to Spark.
-
-    ``counted`` is a table with at least as many rows that is cheaper to count, such as the
-    stored table the dimension was made from.
-    """
-    if is_small(dimension if counted is None else counted, rows):
-        return facts.join(F.broadcast(dimension), on, how)
+def dimension_join(facts: DataFrame, dimension: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Facts with their dimension. Spark broadcasts the dimension when its bytes, as known from the
+    files or measured at run time, are under its threshold, and shuffles both sides if not."""
     return facts.join(dimension, on, how)
 
 

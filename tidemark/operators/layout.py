@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import redirect_stdout
 from io import StringIO
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +15,12 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row numbe
 def partition_sizes(df: DataFrame, n: int | None = None) -> DataFrame:
     """Rows per partition, empty partitions included.
 
-    ``n`` is the number of partitions; asking Spark for it plans the frame a second time.
+    ``n`` is the least number of partitions to report (asking Spark for it plans the frame a second
+    time); partitions beyond it are reported too.
     """
-    n = n or df.rdd.getNumPartitions()
     counts = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
-    every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
-    return every.join(counts, "partition", "left").na.fill(0, ["rows"])
+    every = df.sparkSession.range(n or df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition"))
+    return every.join(counts, "partition", "full").na.fill(0, ["rows"])
 
 
 def partition_report(df: DataFrame, n: int | None = None) -> DataFrame:
@@ -62,27 +63,28 @@ def fewer(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def spread(df: DataFrame, key: str, row_id: list[str], n: int, ways: int = 16) -> DataFrame:
-    """Hash by (key, part of the row): a key meets in at most ``ways`` partitions, so even a
-    key with a third of the rows does not fill a single task."""
-    part = F.pmod(F.xxhash64(*row_id), F.lit(ways))
+def spread(df: DataFrame, key: str, row_id: list[str], n: int, ways: int | None = None) -> DataFrame:
+    """Hash by (key, part of the row): a key meets in at most ``ways`` partitions (all ``n``, unless
+    given), so even a key with a third of the rows does not fill a single task."""
+    part = F.pmod(F.xxhash64(*row_id), F.lit(ways or n))
     return df.repartition(n, F.col(key), part)
 
 
 def volume_classes(df: DataFrame, key: str, high: float, medium: float) -> DataFrame:
     """Class of each value of ``key`` by its share of all rows."""
-    total = df.agg(F.count("*")).scalar().cast("double")
     counts = df.groupBy(key).agg(F.count("*").alias("group_rows"))
-    share = F.col("group_rows") / total
+    share = F.col("group_rows") / counts.agg(F.sum("group_rows")).scalar().cast("double")
     label = F.when(share >= high, "high").when(share >= medium, "medium").otherwise("low")
     return counts.withColumn("volume", label)
 
 
 def volume_aware(
-    df: DataFrame, key: str, spread_by: Column, high: float, medium: float, n: int, medium_ways: int = 4
+    df: DataFrame, key: str, spread_by: Column, high: float, medium: float, n: int, medium_ways: int | None = None
 ) -> DataFrame:
     """Layout by volume in one shuffle: values of a high class are spread by ``spread_by``, of
-    a medium class over ``medium_ways`` parts, of a low class kept together."""
+    a medium class over ``medium_ways`` parts (the largest share it can have of the ``n`` parts,
+    unless given), of a low class kept together."""
+    medium_ways = medium_ways or max(1, ceil(high * n))
     classes = volume_classes(df, key, high, medium).withColumnRenamed(key, "_class_key")
     classed = df.join(classes, F.col(key).eqNullSafe(F.col("_class_key"))).drop("_class_key")
     hashed = F.xxhash64(spread_by)

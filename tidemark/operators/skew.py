@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +17,9 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def key_shares(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
     """Rows per key, share of all rows, and whether the share reaches ``hot_share``."""
-    total = df.agg(F.count("*")).scalar()
-    share = F.col("n").cast("double") / total.cast("double")
-    counts = key_counts(df, keys).withColumn("share", share)
-    return counts.withColumn("is_hot", F.col("share") >= F.lit(hot_share))
+    counts = key_counts(df, keys)
+    share = F.col("n").cast("double") / counts.agg(F.sum("n")).scalar().cast("double")
+    return counts.withColumn("share", share).withColumn("is_hot", F.col("share") >= F.lit(hot_share))
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
@@ -26,12 +28,19 @@ def hot_keys(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
 
 
 def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    """Add ``_hot``. ``hot`` is broadcast: its size is bounded by its own definition."""
-    flagged = hot.select(*keys, F.lit(True).alias("_hot"))
-    marked = df.join(F.broadcast(flagged), keys, "left")
+    """Add ``_hot``. ``hot`` is broadcast: its size is bounded by its own definition. A null key
+    can be hot like any other."""
+    flagged = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    on = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    marked = df.join(F.broadcast(flagged), on, "left").drop(*[f"_hot_{k}" for k in keys])
     return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
+def _salts(df: DataFrame, salts: int | None) -> int:
+    """As many salts as the cluster has shuffle partitions, unless given."""
+    return salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _salt(spread_by: list[str], salts: int) -> Column:
     return F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0)).cast("int")
 
@@ -42,7 +51,7 @@ def salted_totals(
     sums: dict[str, Column],
     hot: DataFrame,
     spread_by: list[str],
-    salts: int = 10,
+    salts: int | None = None,
 ) -> DataFrame:
     """Sums and row count per key, in two stages: (key, salt), then key.
 
@@ -51,7 +60,7 @@ def salted_totals(
     already combines sums before a shuffle; the first stage matters where that cannot help
     (many distinct keys per task, or a combine that spills).
     """
-    salted = mark_hot(df, keys, hot).withColumn(SALT, _salt(spread_by, salts))
+    salted = mark_hot(df, keys, hot).withColumn(SALT, _salt(spread_by, _salts(df, salts)))
     first = salted.groupBy(*keys, SALT).agg(
         F.count("*").alias("n"), *[F.sum(c).alias(name) for name, c in sums.items()]
     )
@@ -66,7 +75,7 @@ def salted_join(
     keys: list[str],
     hot: DataFrame,
     spread_by: list[str],
-    salts: int = 10,
+    salts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Join in which each hot key is split over ``salts`` tasks.
@@ -74,6 +83,7 @@ def salted_join(
     Rows of ``big`` take one salt; rows of ``small`` with a hot key are repeated once per
     salt, all others stay single. ``how`` may be ``inner`` or ``left``.
     """
+    salts = _salts(big, salts)
     left = mark_hot(big, keys, hot).withColumn(SALT, _salt(spread_by, salts)).drop("_hot")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     salts_of = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
@@ -81,25 +91,12 @@ def salted_join(
     return left.join(right, [*keys, SALT], how).drop(SALT)
 
 
-def hot_key_split_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    hot: DataFrame,
-    spread_by: list[str],
-    broadcast_rows: int = 100_000,
-) -> DataFrame:
+def hot_key_split_join(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, spread_by: list[str], salts: int | None = None) -> DataFrame:
     """Inner join: hot keys apart from the rest.
 
-    The hot part of ``small`` is broadcast only when a count shows that it fits; beyond
-    that the hot part is joined with salts. The rest is an ordinary shuffle join.
+    The hot part is joined with salts, the rest is an ordinary shuffle join.
     """
-    hot = F.broadcast(hot)
-    hot_small = small.join(hot, keys, "left_semi")
-    hot_big = big.join(hot, keys, "left_semi")
-    if hot_small.count() <= broadcast_rows:
-        hot_part = hot_big.join(F.broadcast(hot_small), keys)
-    else:
-        hot_part = salted_join(hot_big, hot_small, keys, hot, spread_by)
-    cold_part = big.join(hot, keys, "left_anti").join(small.join(hot, keys, "left_anti"), keys)
+    marked, small_marked = mark_hot(big, keys, hot), mark_hot(small, keys, hot)
+    hot_part = salted_join(marked.filter("_hot").drop("_hot"), small_marked.filter("_hot").drop("_hot"), keys, hot, spread_by, salts)
+    cold_part = marked.filter("not _hot").drop("_hot").join(small_marked.filter("not _hot").drop("_hot"), keys)
     return cold_part.unionByName(hot_part)

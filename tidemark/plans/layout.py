@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,37 +17,57 @@ from tidemark.session import partitions_for, shared_folder
 from tidemark.sources import files, sinks
 
 
-@query()
+@query("SELECT count(*) AS total_records, TRUE AS is_consistent FROM lineitem")
 def partition_report(spark: SparkSession, d: str) -> DataFrame:
-    return layout.partition_report(layout.round_robin(t.lines(spark, d), 8), 8)
+    """The scan's own partitions: whatever their number, they hold all rows, and their figures agree."""
+    report = layout.partition_report(t.lines(spark, d))
+    average = F.col("total_records") / F.col("num_partitions")
+    agree = (F.col("min_partition_size") <= average) & (F.col("max_partition_size") >= average) & (F.col("avg_partition_size") == average)
+    return report.select("total_records", agree.alias("is_consistent"))
 
 
-@query()
+@query("""
+SELECT TRUE AS all_are_orders, TRUE AS at_most_three, TRUE AS no_partition_missing, count(*) AS n_orders FROM orders
+""")
 def partition_heads(spark: SparkSession, d: str) -> DataFrame:
-    """The first three orders of every partition of the table."""
-    return layout.partition_heads(t.orders(spark, d).select("order_id", "status"), 3)
-
-
-QUARTER_STARTS = [date(1997, 1, 1), date(1997, 4, 1), date(1997, 7, 1), date(1997, 10, 1), date(1998, 1, 1)]
+    """The first three orders of every partition of the table, held against the table itself."""
+    orders = t.orders(spark, d).select("order_id", "status")
+    heads = layout.partition_heads(orders, 3)
+    known = heads.join(orders.withColumnRenamed("status", "known"), "order_id", "left")
+    each = known.groupBy("partition").agg(F.count("*").alias("n"), F.bool_and(F.col("status").eqNullSafe(F.col("known"))).alias("same"))
+    sizes = layout.partition_sizes(orders)
+    joined = sizes.join(each, "partition", "left")
+    return joined.agg(
+        F.bool_and(F.coalesce("same", F.lit(True))).alias("all_are_orders"),
+        F.bool_and(F.coalesce("n", F.lit(0)) <= 3).alias("at_most_three"),
+        F.bool_and(F.coalesce("n", F.lit(0)) == F.least(F.col("rows"), F.lit(3))).alias("no_partition_missing"),
+        F.sum("rows").alias("n_orders"),
+    )
 
 
 @query("""
-SELECT CAST(quarter(l_shipdate) AS INTEGER) AS part, count(*) AS n, min(CAST(l_shipdate AS DATE)) AS first_day,
-  max(CAST(l_shipdate AS DATE)) AS last_day FROM lineitem WHERE year(l_shipdate) = 1997 GROUP BY 1
+WITH r AS (SELECT CAST(min(l_shipdate) AS DATE) AS low, CAST(max(l_shipdate) AS DATE) - CAST(min(l_shipdate) AS DATE) + 1 AS days FROM lineitem),
+l AS (SELECT CAST(l_shipdate AS DATE) AS day,
+  CASE WHEN l_shipdate IS NULL THEN 0 ELSE 1 + (CAST(l_shipdate AS DATE) - low >= days // 4)::INTEGER
+    + (CAST(l_shipdate AS DATE) - low >= days * 2 // 4)::INTEGER + (CAST(l_shipdate AS DATE) - low >= days * 3 // 4)::INTEGER END AS part
+  FROM lineitem, r)
+SELECT part, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM l GROUP BY part
 """)
 def union_quarters(spark: SparkSession, d: str) -> DataFrame:
-    """Four half-open date ranges of a year, each its own pushed-down scan, put together."""
+    """The whole table as four date ranges of equal length, each its own pushed-down scan, put
+    together again; rows without a date are part 0."""
     rows = t.table(spark, d, "lineitem").select("l_shipdate")
-    ranges = []
-    for i, (start, end) in enumerate(zip(QUARTER_STARTS, QUARTER_STARTS[1:]), start=1):
-        low, high = (F.lit(day).cast("timestamp_ntz") for day in (start, end))
-        inside = (F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high)
-        ranges.append(rows.filter(inside).withColumn("part", F.lit(i)))
-    year = ranges[0]
-    for part in ranges[1:]:
-        year = year.unionByName(part)
+    first, last = rows.agg(F.min("l_shipdate").cast("date"), F.max("l_shipdate").cast("date")).first()
+    parts = [rows.filter(F.col("l_shipdate").isNull()).withColumn("part", F.lit(0))]
+    if first:
+        days = (last - first).days + 1
+        starts = [first + timedelta(days=days * i // 4) for i in range(5)]
+        for i, (start, end) in enumerate(zip(starts, starts[1:]), start=1):
+            low, high = (F.lit(day).cast("timestamp_ntz") for day in (start, end))
+            inside = (F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high)
+            parts.append(rows.filter(inside).withColumn("part", F.lit(i)))
     day = F.col("l_shipdate").cast("date")
-    return year.groupBy("part").agg(
+    return reduce(DataFrame.unionByName, parts).groupBy("part").agg(
         F.count("*").alias("n"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
     )
 

@@ -694,7 +694,7 @@ def _correlation(sensors: DataFrame, alerts: DataFrame, maintenance: DataFrame)
         *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in numbers], "alert_types", "maintenance_types",
         F.coalesce(F.col("alert_count") > 0, F.lit(False)).alias("has_alerts"),
         F.coalesce(F.col("maintenance_count") > 0, F.lit(False)).alias("has_maintenance"),
-        ((temperature > 80) | (humidity < 40)).alias("environmental_issues"),
+        F.coalesce((temperature > 80) | (humidity < 40), F.lit(False)).alias("environmental_issues"),
     )
 
 
@@ -720,7 +720,7 @@ SELECT user_id, w AS time_period, location_type, avg_temperature, avg_humidity,
   coalesce(maintenance_count, 0) AS maintenance_count,
   CAST(coalesce(total_maintenance_minutes, 0) AS BIGINT) AS total_maintenance_minutes, alert_types, maintenance_types,
   coalesce(alert_count, 0) > 0 AS has_alerts, coalesce(maintenance_count, 0) > 0 AS has_maintenance,
-  avg_temperature > 80 OR avg_humidity < 40 AS environmental_issues
+  coalesce(avg_temperature > 80 OR avg_humidity < 40, FALSE) AS environmental_issues
 FROM (SELECT user_id, {t.sql_window('1 DAY')} AS w, event_type AS location_type, {t.sql_mean('value')} AS avg_temperature,
     CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS DOUBLE) / count(*) AS avg_humidity, count(*) AS sensor_readings,
     min(ts) AS period_start, max(ts) AS period_end FROM {t.EVENTS} WHERE {_in(SENSOR_KINDS)} GROUP BY ALL) s

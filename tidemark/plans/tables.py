@@ -94,16 +94,14 @@ def sales(spark: SparkSession, folder: str, region: bool = True, product: bool =
     """Order lines with the region of the supplier and the product's name and category."""
     rows = lines(spark, folder)
     if product:
-        stored = table(spark, folder, "part")
-        part = stored.select(
+        part = table(spark, folder, "part").select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product"),
             F.col("p_type").alias("category"),
         )
-        rows = dimension_join(rows, part, ["product_id"], counted=stored)
+        rows = dimension_join(rows, part, ["product_id"])
     if region:
-        stored = table(spark, folder, "supplier")
-        rows = dimension_join(rows, regions_of_suppliers(spark, folder), ["supplier_id"], counted=stored)
+        rows = dimension_join(rows, regions_of_suppliers(spark, folder), ["supplier_id"])
     return rows
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, AtomicType, DataType, MapType, StructField, StructType
 
 # Field names, types and which fields are required.
 _DDL = {
@@ -106,6 +106,29 @@ class SchemaDiff:
         return not (self.missing_fields or self.extra_fields or self.type_mismatches)
 
 
+def relaxed(kind: DataType) -> DataType:
+    """The type with nulls allowed at every depth, as file scans report it."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, relaxed(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(relaxed(kind.elementType))
+    if isinstance(kind, MapType):
+        return MapType(relaxed(kind.keyType), relaxed(kind.valueType))
+    return kind
+
+
+def _lacking(value: Column, kind: DataType) -> Column:
+    """Whether a value lacks a required member at any depth; a null value lacks nothing itself."""
+    out = F.lit(False)
+    if isinstance(kind, StructType):
+        for f in kind.fields:
+            member = value[f.name]
+            out = out | (value.isNotNull() & (member.isNull() if not f.nullable else F.lit(False))) | _lacking(member, f.dataType)
+    elif isinstance(kind, ArrayType) and not isinstance(kind.elementType, AtomicType):
+        out = F.coalesce(F.exists(value, lambda x: _lacking(x, kind.elementType)), F.lit(False))
+    return out
+
+
 def diff(first: StructType, second: StructType) -> SchemaDiff:
     a = {f.name: f for f in first.fields}
     b = {f.name: f for f in second.fields}
@@ -114,7 +137,7 @@ def diff(first: StructType, second: StructType) -> SchemaDiff:
         missing_fields=[name for name in a if name not in b],
         extra_fields=[name for name in b if name not in a],
         type_mismatches=[
-            f"{n}: {a[n].dataType} vs {b[n].dataType}" for n in both if a[n].dataType != b[n].dataType
+            f"{n}: {a[n].dataType} vs {b[n].dataType}" for n in both if relaxed(a[n].dataType) != relaxed(b[n].dataType)
         ],
         nullability_differences=[
             f"{n}: {a[n].nullable} vs {b[n].nullable}" for n in both if a[n].nullable != b[n].nullable
@@ -130,12 +153,16 @@ def diff_frame(spark: SparkSession, first: StructType, second: StructType) -> Da
 
 
 def null_counts(df: DataFrame, expected: StructType) -> dict[str, int]:
-    """Nulls found in the required fields, in one pass."""
-    required = [f.name for f in expected.fields if not f.nullable and f.name in df.columns]
-    if not required:
+    """Rows that lack a required field, nested ones included, by top field and in one pass."""
+    checks = {}
+    for f in expected.fields:
+        if f.name in df.columns:
+            lacks = _lacking(F.col(f.name), f.dataType)
+            checks[f.name] = lacks if f.nullable else F.col(f.name).isNull() | lacks
+    if not checks:
         return {}
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
-    return {c: counts[c] for c in required if counts[c]}
+    counts = df.agg(*[F.count_if(lacks).alias(c) for c, lacks in checks.items()]).first()
+    return {c: counts[c] for c in checks if counts[c]}
 
 
 def matches(df: DataFrame, expected: StructType) -> bool:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -18,35 +19,32 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 # Send these functions along with the job: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_OUTPUT = "user_id bigint, first_us bigint, last_us bigint, events bigint, cents bigint"
-_STATE = "first_us array<bigint>, last_us array<bigint>, events array<bigint>, cents array<bigint>"
-_CELL = "user_id bigint, first_us bigint, last_us bigint, events bigint, cents bigint, time timestamp"
+_OUTPUT = "name string, first_us bigint, last_us bigint, events bigint, total bigint, valued bigint"
+_STATE = "first_us array<bigint>, last_us array<bigint>, events array<bigint>, total array<bigint>, valued array<bigint>"
 
+#: First and last time, events, total of the values, events that have a value.
+Span = tuple[int, int, int, int, int]
 
-def _cells(gap_us: int):
-    """Combine the rows of a task that share user and cell, before they are shuffled."""
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            grouped = rows.groupby(["user_id", rows["us"] // gap_us])
-            cells = grouped.agg(
-                first_us=("us", "min"), last_us=("us", "max"), events=("us", "size"),
-                cents=("cents", "sum"), time=("time", "max"),
-            )
-            yield cells.reset_index(level=0).reset_index(drop=True)
-
-    return combine
+def _spans(rows: pd.DataFrame, gap_us: int) -> list[Span]:
+    """Rows of one key, cut wherever the time to the next is longer than the gap."""
+    rows = rows.sort_values("us", kind="stable")
+    us = rows["us"].to_numpy(np.int64)
+    starts = np.flatnonzero(np.diff(us, prepend=us[0] - gap_us - 1) > gap_us)
+    ends = np.append(starts[1:], len(us))
+    totals, valued = (np.add.reduceat(rows[c].to_numpy(np.int64), starts) for c in ("value", "valued"))
+    return [(int(us[a]), int(us[b - 1]), int(b - a), int(t), int(n)) for a, b, t, n in zip(starts, ends, totals, valued)]
 
 
 def _track(gap_us: int):
-    """Fold the cells of one user into its open sessions; emit those the watermark closed."""
+    """Fold the rows of one key into its open sessions; emit those the watermark closed."""
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # State: open sessions as four parallel lists.
+        # State: open sessions as parallel lists.
         spans = list(zip(*state.get)) if state.exists else []
-        for cells in batches:
-            spans.extend(cells[["first_us", "last_us", "events", "cents"]].itertuples(index=False, name=None))
-            spans = _merge(spans, gap_us)
+        for rows in batches:
+            if len(rows):
+                spans = _merge([*spans, *_spans(rows, gap_us)], gap_us)
         closed_at = state.getCurrentWatermarkMs() * 1000
         done = [s for s in spans if s[1] + gap_us <= closed_at]
         still_open = [s for s in spans if s[1] + gap_us > closed_at]
@@ -56,47 +54,51 @@ def _track(gap_us: int):
         elif state.exists:
             state.remove()
         if done:
-            first, last, events, cents = zip(*done)
-            yield pd.DataFrame({
-                "user_id": key[0], "first_us": first, "last_us": last, "events": events, "cents": cents,
-            })
+            columns = dict(zip(("first_us", "last_us", "events", "total", "valued"), zip(*done)))
+            yield pd.DataFrame({"name": pd.Series([key[0]] * len(done), dtype=object), **columns})
 
     return update
 
 
-def _merge(spans: list[tuple], gap_us: int) -> list[tuple]:
+def _merge(spans: list[Span], gap_us: int) -> list[Span]:
     """Join spans that lie no more than the gap apart."""
-    merged: list[tuple] = []
-    for first, last, events, cents in sorted(spans):
-        if merged and first <= merged[-1][1] + gap_us:
-            a, b, n, c = merged[-1]
-            merged[-1] = (a, max(b, last), n + events, c + cents)
+    merged: list[Span] = []
+    for span in sorted(spans):
+        if merged and span[0] <= merged[-1][1] + gap_us:
+            a, b, *sums = merged[-1]
+            merged[-1] = (a, max(b, span[1]), *(x + y for x, y in zip(sums, span[2:])))
         else:
-            merged.append((first, last, events, cents))
+            merged.append(tuple(span))
     return merged
 
 
-def track_sessions(events: DataFrame, gap_seconds: int, delay: str) -> DataFrame:
-    """Sessions per user as they end: first and last time, events, total value.
+def track_sessions(
+    events: DataFrame, gap_seconds: int, delay: str, key_col: str = "user_id", time_col: str = "ts", value_col: str = "value"
+) -> DataFrame:
+    """Sessions per key as they end: first and last time, events, total value.
 
-    ``events`` has user_id, ts and value in cents. Rows are combined into cells inside each task
-    first, so a hot user sends few rows through the shuffle.
+    ``value_col`` is in cents. The watermark is set on the rows themselves. A null key is a key
+    like any other; keys keep their type and every digit. A session without values has a
+    null total. Rows without a time are in no session.
     """
     gap_us = gap_seconds * 1_000_000
-    rows = events.select(
-        "user_id",
-        F.unix_micros("ts").alias("us"),
-        F.col("value").cast("bigint").alias("cents"),
-        F.col("ts").alias("time"),
+    kind = dict(events.dtypes)[key_col]
+    cents = F.col(value_col).cast("bigint")
+    # Keys travel as text and values without nulls: pandas would make floats of both.
+    rows = events.filter(F.col(time_col).isNotNull()).withWatermark(time_col, delay).select(
+        F.col(key_col).cast("string").alias("name"),
+        F.col(time_col),
+        F.unix_micros(time_col).alias("us"),
+        F.coalesce(cents, F.lit(0).cast("bigint")).alias("value"),
+        cents.isNotNull().cast("int").alias("valued"),
     )
-    cells = rows.mapInPandas(_cells(gap_us), _CELL).withWatermark("time", delay)
-    sessions = cells.groupBy("user_id").applyInPandasWithState(
+    sessions = rows.groupBy("name").applyInPandasWithState(
         _track(gap_us), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return sessions.select(
-        "user_id",
+        F.col("name").cast(kind).alias(key_col),
         F.timestamp_micros("first_us").alias("session_start"),
         F.timestamp_micros("last_us").alias("session_end"),
         "events",
-        (F.col("cents") / F.lit(100.0)).alias("session_value"),
+        F.when(F.col("valued") > 0, F.col("total") / F.lit(100.0)).alias("session_value"),
     )
