@@ -143,7 +143,7 @@ def test_nested_schema_matches_a_scan_and_sees_missing_members(spark, tmp_path):
     from tidemark import schemas
 
     kind = schemas.declared("nested")
-    good = spark.createDataFrame([(1, None, [], {"a": "b"})], "id int, user_info " + kind["user_info"].dataType.simpleString() + ", orders " + kind["orders"].dataType.simpleString() + ", metadata map<string,string>")
+    good = spark.createDataFrame([(1, (5, "n", None, None), [], {"a": "b"})], "id int, user_info " + kind["user_info"].dataType.simpleString() + ", orders " + kind["orders"].dataType.simpleString() + ", metadata map<string,string>")
     good.write.parquet(str(tmp_path / "n"))
     assert schemas.matches(spark.read.parquet(str(tmp_path / "n")), kind)
     bad = good.selectExpr("id", "named_struct('user_id', cast(null as int), 'name', 'x', 'email', 'e', 'preferences', user_info.preferences) user_info", "orders", "metadata")
