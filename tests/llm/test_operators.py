@@ -404,7 +404,9 @@ def plain_repeats(rows, length=50):
     return out
 
 
-def test_repeats_like_plain_python(spark, documents):
+@pytest.mark.parametrize("crowd", [5_000, 1])
+def test_repeats_like_plain_python(spark, documents, crowd, monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
     rng = random.Random(8)
     rows = list(documents)
     for i in range(40):  # patchworks of two texts that overlap in odd ways

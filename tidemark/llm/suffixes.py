@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 GRAM = 24
 #: Bytes of contexts that one group of a task holds.
 GROUP_BYTES = 200_000
+#: Contexts of one half that a suffix array takes; the strings of more crowded halves are compared by a shuffle.
+CROWD = 5_000
 
 
 def suffix_array(symbols: list[int]) -> list[int]:
@@ -189,6 +191,19 @@ def _least(contexts: list[bytes], places: list[int], firsts: list[int], length:
             yield k, b
 
 
+def _crowded(contexts: DataFrame, length: int) -> DataFrame:
+    """``c, id, starts`` of strings that an earlier document has: each string is a row, and partial
+    minima go through the shuffle, however many contexts have it."""
+    last = F.least(F.col("place"), F.octet_length("context") - length)
+    each = contexts.select("c", "first", "context", F.explode(F.sequence(F.lit(0), last)).alias("start"))
+    string = F.substring(F.col("context"), F.col("start") + 1, F.lit(length))
+    each = each.select("c", "first", "start", F.xxhash64(string).alias("one"), F.xxhash64(F.lit(1), string).alias("two"))
+    lowest = each.groupBy("one", "two").agg(F.min("first").alias("lowest"), F.max("first").alias("highest"))
+    lowest = stored(lowest.filter("lowest < highest").drop("highest"), "crowded-strings")
+    later = each.join(lowest, ["one", "two"]).filter("first > lowest")
+    return later.groupBy("c").agg(F.first("first").alias("id"), F.collect_set("start").alias("starts"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
     """``id, n_bytes, n_removed, spans, kept``: texts as UTF-8 bytes less what earlier documents have.
 
@@ -280,7 +295,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     sided = known.select("c", "first", "place", "context", F.explode(F.array_compact(halves)).alias("half"))
     several = stored(sided.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1"), "shared-halves")
-    bins = max(1, (several.agg(F.sum("n")).first()[0] or 0) * (2 * length) // GROUP_BYTES)
+    bins = max(1, (several.filter(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0) * (2 * length) // GROUP_BYTES)
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -299,9 +314,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             low = high
         return pd.DataFrame(out, columns=["c", "id", "starts"])
 
-    met = sided.join(several.drop("n"), "half").withColumn("bin", F.pmod("half", F.lit(bins)))
+    met = sided.join(several.filter(F.col("n") <= CROWD).drop("n"), "half").withColumn("bin", F.pmod("half", F.lit(bins)))
     # Strings of the first holder of a context that an earlier document has.
     special = stored(met.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"), "earlier-strings")
+    crowd = stored(several.filter(F.col("n") > CROWD).select("half"), "crowded-halves")
+    if not crowd.isEmpty():
+        special = special.union(_crowded(sided.join(crowd, "half").dropDuplicates(["c"]), length))
     whole = held.select("c", "id").join(known.filter("first < last").select("c", "first"), "c").filter("id > first")
     todo = whole.select("id", F.struct("c", F.lit(None).cast("array<int>").alias("starts")).alias("cut")).union(
         special.select("id", F.struct("c", "starts").alias("cut"))
