@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import cents_mean, cents_total, summable, total, whole_cents
+from tidemark.functions.numbers import cents_mean, cents_ratio, cents_total, summable, total, whole_cents
 from tidemark.operators import layout
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
@@ -116,11 +116,13 @@ def partitioned_scan(spark: SparkSession, d: str) -> DataFrame:
 SELECT category, count(*) AS n, {t.sql_mean('price')} AS avg_price FROM {t.SALES} GROUP BY category
 """)
 def prepartitioned_agg(spark: SparkSession, d: str) -> DataFrame:
-    """Aggregate over rows already laid out by the group key, each key over several tasks."""
+    """Aggregate over rows already laid out by (group key, lane), each key over several tasks: the
+    layout serves the first aggregate as it is, and one row per key and lane is merged after."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = t.sales(spark, d, region=False).select("category", "order_id", "price")
-    laid = layout.spread(rows, "category", ["order_id", "price"], n)
-    return laid.groupBy("category").agg(F.count("*").alias("n"), cents_mean(F.col("price")).alias("avg_price"))
+    rows = t.sales(spark, d, region=False).select("category", "price", F.pmod(F.xxhash64("order_id", "price"), F.lit(n)).alias("lane"))
+    laid = layout.by_hash(rows, ["category", "lane"], n)
+    lanes = laid.groupBy("category", "lane").agg(F.count("*").alias("n"), F.sum("price").alias("prices"), F.count("price").alias("priced"))
+    return lanes.groupBy("category").agg(F.sum("n").alias("n"), cents_ratio(F.sum("prices"), F.sum("priced")).alias("avg_price"))
 
 
 @query("""

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import cents_mean, cents_ratio, cents_rounded, cents_total, cents_value, mean
+from tidemark.functions.numbers import cents_mean, cents_ratio, cents_rounded, cents_total, cents_value, ratio
 from tidemark.operators import olap
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
@@ -14,10 +14,15 @@ from tidemark.plans.registry import query
 CUBE_LEVELS = {0: "Region_Category", 1: "Region_Only", 2: "Category_Only", 3: "Grand_Total"}
 ROLLUP_LEVELS = {0: "Level_1_Region_Category", 1: "Level_2_Region_Only", 3: "Level_3_Grand_Total"}
 
+
 def _revenue() -> dict:
     return {"total_revenue": F.col("revenue")}
 
 
+def _avg_price() -> Column:
+    return cents_ratio(F.sum("prices"), F.sum("priced"))
+
+
 def _in_money(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: cents_value(n) for n in names})
 
@@ -27,7 +32,7 @@ SELECT region, category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*)
 FROM {t.SALES} GROUP BY CUBE (region, category)
 """)
 def cube_revenue(spark: SparkSession, d: str) -> DataFrame:
-    cubed = olap.cube(t.sales(spark, d), ["region", "category"], _revenue(), {"total_sales": F.lit(1)})
+    cubed = olap.cube(t.sales_totals(spark, d), ["region", "category"], {**_revenue(), "total_sales": F.col("sales")})
     return _in_money(cubed, "total_revenue").drop("level").orderBy("region", "category")
 
 
@@ -36,7 +41,7 @@ SELECT region, category, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue
 FROM {t.SALES} GROUP BY CUBE (region, category, product)
 """)
 def cube3_revenue(spark: SparkSession, d: str) -> DataFrame:
-    cubed = olap.cube(t.sales(spark, d), ["region", "category", "product"], _revenue())
+    cubed = olap.cube(t.sales_totals(spark, d), ["region", "category", "product"], _revenue())
     return _in_money(cubed, "total_revenue").drop("level")
 
 
@@ -47,14 +52,14 @@ SELECT region, category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*)
 FROM {t.SALES} GROUP BY CUBE (region, category)
 """)
 def cube_levels(spark: SparkSession, d: str) -> DataFrame:
-    cubed = olap.cube(t.sales(spark, d), ["region", "category"], _revenue(), {"total_sales": F.lit(1)})
+    cubed = olap.cube(t.sales_totals(spark, d), ["region", "category"], {**_revenue(), "total_sales": F.col("sales")})
     named = olap.label_levels(cubed, CUBE_LEVELS, "aggregation_level")
     return _in_money(named, "total_revenue").orderBy("region", "category", "aggregation_level")
 
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
-    sums = {**_revenue(), "prices": F.col("price")}
-    rolled = olap.rollup(t.sales(spark, d), ["region", "category"], sums, {"n": F.lit(1)})
+    sums = {**_revenue(), "prices": F.col("prices"), "n": F.col("priced")}
+    rolled = olap.rollup(t.sales_totals(spark, d), ["region", "category"], sums)
     priced = rolled.withColumn("avg_price", cents_ratio(F.col("prices"), F.col("n"))).drop("prices", "n")
     return _in_money(priced, "total_revenue")
 
@@ -83,7 +88,7 @@ SELECT region, category, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue
 FROM {t.SALES} GROUP BY GROUPING SETS ((region), (category), (product))
 """)
 def grouping_sets_totals(spark: SparkSession, d: str) -> DataFrame:
-    totals = olap.single_key_totals(t.sales(spark, d), ["region", "category", "product"], _revenue())
+    totals = olap.single_key_totals(t.sales_totals(spark, d), ["region", "category", "product"], _revenue())
     return _in_money(totals, "total_revenue").drop("level")
 
 
@@ -94,12 +99,11 @@ SELECT CAST(year(sale_date) AS INTEGER) AS year, CAST(quarter(sale_date) AS INTE
 FROM {t.SALES} GROUP BY ALL
 """)
 def time_analysis(spark: SparkSession, d: str) -> DataFrame:
-    rows = t.sales(spark, d, product=False)
     day = F.col("sale_date")
-    grouped = rows.groupBy(F.year(day).alias("year"), F.quarter(day).alias("quarter"), F.month(day).alias("month"))
-    report = grouped.agg(
+    rows = t.sales_totals(spark, d, product=False, year=F.year(day), quarter=F.quarter(day), month=F.month(day))
+    report = rows.groupBy("year", "quarter", "month").agg(
         cents_total(F.col("revenue")).alias("total_revenue"),
-        F.count("*").alias("sales_count"),
+        F.sum("sales").alias("sales_count"),
         F.count_distinct("region").alias("regions_active"),
     )
     return report.orderBy("year", "quarter", "month")
@@ -110,9 +114,9 @@ SELECT region, category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, {t.sql_m
   CAST(sum(quantity) AS BIGINT) AS total_quantity FROM {t.SALES} GROUP BY region, category
 """)
 def geo_analysis(spark: SparkSession, d: str) -> DataFrame:
-    report = t.sales(spark, d).groupBy("region", "category").agg(
+    report = t.sales_totals(spark, d).groupBy("region", "category").agg(
         cents_total(F.col("revenue")).alias("total_revenue"),
-        cents_mean(F.col("price")).alias("avg_price"),
+        _avg_price().alias("avg_price"),
         F.sum("quantity").alias("total_quantity"),
     )
     return report.orderBy(F.desc("total_revenue"))
@@ -123,10 +127,10 @@ SELECT category, product, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*
   {t.sql_mean('quantity')} AS avg_quantity_per_sale FROM {t.SALES} GROUP BY category, product
 """)
 def product_performance(spark: SparkSession, d: str) -> DataFrame:
-    report = t.sales(spark, d, region=False).groupBy("category", "product").agg(
+    report = t.sales_totals(spark, d, region=False).groupBy("category", "product").agg(
         cents_total(F.col("revenue")).alias("total_revenue"),
-        F.count("*").alias("sales_frequency"),
-        mean(F.col("quantity")).alias("avg_quantity_per_sale"),
+        F.sum("sales").alias("sales_frequency"),
+        ratio(F.sum("quantity"), F.sum("counted")).alias("avg_quantity_per_sale"),
     )
     return report.orderBy("category", F.desc("total_revenue"))
 
@@ -138,10 +142,11 @@ SELECT region, CAST(quarter(sale_date) AS INTEGER) AS quarter, CAST(sum(revenue)
 FROM {t.SALES} GROUP BY ALL
 """)
 def cross_region_quarter(spark: SparkSession, d: str) -> DataFrame:
-    grouped = t.sales(spark, d).groupBy("region", F.quarter("sale_date").alias("quarter")).agg(
+    rows = t.sales_totals(spark, d, quarter=F.quarter("sale_date"))
+    grouped = rows.groupBy("region", "quarter").agg(
         F.sum("revenue").alias("quarterly_revenue"),
         F.count_distinct("category").alias("categories_sold"),
-        cents_mean(F.col("price")).alias("avg_price"),
+        _avg_price().alias("avg_price"),
     )
     per_category = cents_rounded(F.col("quarterly_revenue"), F.col("categories_sold"))
     report = grouped.withColumn("revenue_per_category", per_category)
@@ -156,13 +161,13 @@ SELECT region, CAST(sum(revenue) AS DOUBLE) AS total_revenue, count(*) AS total_
 FROM {t.SALES} GROUP BY region
 """)
 def regional_dashboard(spark: SparkSession, d: str) -> DataFrame:
-    grouped = t.sales(spark, d).groupBy("region").agg(
+    grouped = t.sales_totals(spark, d).groupBy("region").agg(
         F.sum("revenue").alias("total_revenue"),
-        F.count("*").alias("total_sales"),
+        F.sum("sales").alias("total_sales"),
         F.count_distinct("product").alias("products_sold"),
-        cents_mean(F.col("price")).alias("avg_price"),
-        cents_value(F.max("price")).alias("highest_sale"),
-        cents_value(F.min("price")).alias("lowest_sale"),
+        _avg_price().alias("avg_price"),
+        cents_value(F.max("highest")).alias("highest_sale"),
+        cents_value(F.min("lowest")).alias("lowest_sale"),
     )
     report = grouped.withColumn("avg_sale_value", cents_rounded(F.col("total_revenue"), F.col("total_sales")))
     return _in_money(report, "total_revenue").orderBy(F.desc("total_revenue"))
@@ -176,10 +181,10 @@ SELECT category, CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(quantit
 FROM {t.SALES} GROUP BY category
 """)
 def category_performance(spark: SparkSession, d: str) -> DataFrame:
-    grouped = t.sales(spark, d).groupBy("category").agg(
+    grouped = t.sales_totals(spark, d).groupBy("category").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("quantity").alias("total_units_sold"),
-        F.count("*").alias("number_of_transactions"),
+        F.sum("sales").alias("number_of_transactions"),
         F.count_distinct("region").alias("regions_sold_in"),
     )
     report = grouped.withColumns({
@@ -199,8 +204,8 @@ SELECT * FROM (SELECT region, product, CAST(revenue AS DOUBLE) AS product_revenu
         FROM {t.SALES} GROUP BY region, product) g) r WHERE rank <= 3
 """)
 def top_products_by_region(spark: SparkSession, d: str) -> DataFrame:
-    grouped = t.sales(spark, d).groupBy("region", "product").agg(
-        F.sum("revenue").alias("product_revenue"), F.count("*").alias("sales_count")
+    grouped = t.sales_totals(spark, d).groupBy("region", "product").agg(
+        F.sum("revenue").alias("product_revenue"), F.sum("sales").alias("sales_count")
     )
     best = olap.top_per_group(grouped, ["region"], "product_revenue", 3)
     return _in_money(best, "product_revenue").orderBy("region", "rank")

@@ -92,7 +92,30 @@ def regions_of_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales(spark: SparkSession, folder: str, region: bool = True, product: bool = True) -> DataFrame:
     """Order lines with the region of the supplier and the product's name and category."""
-    rows = lines(spark, folder)
+    return _described(spark, folder, lines(spark, folder), region, product)
+
+
+def sales_totals(spark: SparkSession, folder: str, region: bool = True, product: bool = True, **periods: Column) -> DataFrame:
+    """The same with the lines of a product and supplier added up before anything is joined.
+
+    Sums (revenue, prices, quantity), counts (sales, priced, counted) and extremes (highest,
+    lowest price) can be merged further. ``periods`` are expressions of the sale date to keep apart.
+    """
+    keys = ["product_id"] * product + ["supplier_id"] * region
+    totals = lines(spark, folder).groupBy(*keys, *[c.alias(name) for name, c in periods.items()]).agg(
+        F.sum("revenue").alias("revenue"),
+        F.sum("price").alias("prices"),
+        F.count("price").alias("priced"),
+        F.sum("quantity").alias("quantity"),
+        F.count("quantity").alias("counted"),
+        F.count("*").alias("sales"),
+        F.max("price").alias("highest"),
+        F.min("price").alias("lowest"),
+    )
+    return _described(spark, folder, totals, region, product)
+
+
+def _described(spark: SparkSession, folder: str, rows: DataFrame, region: bool, product: bool) -> DataFrame:
     if product:
         part = table(spark, folder, "part").select(
             F.col("p_partkey").alias("product_id"),
