@@ -211,10 +211,11 @@ def read_archive(spark: SparkSession, path: str, payload: bool = False) -> DataF
         return rows.loc[good, ["file", "block", "rank"]]
 
     entries = placed.filter("size >= 0").join(reached, ["file", "offset"], "left_semi").select("file", "block", "rank", F.lit(True).alias("entry"))
-    links = seen.select("file", "block", "rank", "following").join(entries, ["file", "block", "rank"], "left").fillna(False, ["entry"])
+    links = seen.select("file", "block", "rank", "following").join(entries.hint("merge"), ["file", "block", "rank"], "left").fillna(False, ["entry"])
     # A group is one split of a file.
     good = stored(links.groupBy("file", "block").applyInPandas(mark, "file string, block bigint, rank bigint"), "warc-good")
-    records = placed.join(good, ["file", "block", "rank"])
+    # Not broadcast: names of files repeat, so the stored size says little about that in memory.
+    records = placed.join(good.hint("merge"), ["file", "block", "rank"])
     parts = records.filter("not whole").select("file", "offset", "starts", "size")
     body = [F.col("body_bytes"), F.col("body_digest"), *([F.col("payload")] if payload else [])]
     if not parts.isEmpty():
