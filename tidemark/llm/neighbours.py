@@ -27,7 +27,7 @@ from tidemark.llm.common import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TABLES, PROBES = 20, 3
+TABLES, PROBES = 28, 4
 #: Vectors that a bucket holds on average, and vectors or queries that a task compares at once.
 BUCKET_ROWS, BLOCK_ROWS = 400, 4096
 
