@@ -124,10 +124,15 @@ def test_nested_records(spark):
         (3, {**user, "email": "a@b"}, [order], None),
         (4, user, [order, {**order, "items": []}], None),
         (5, user, [order, {**order, "items": [item, {**item, "quantity": 0}]}], None),
+        (0, {**user, "user_id": 0, "name": "", "email": "x"}, [{**order, "order_id": 0, "total": Decimal("0.00")}], None),
     ]
     df = spark.createDataFrame(records, schemas.declared("nested"))
     found = {r["id"]: r[q.ERRORS] for r in q.validate(df, q.nested_rules()).collect()}
     assert found[1] == found[2] == []
+    assert [e.split("'")[1] for e in found[0]] == [
+        "id", "user_info.user_id", "user_info.name", "user_info.email", "orders.0.order_id", "orders.0.total"
+    ]
+    assert found[5][0].startswith("Field 'orders.1.items.1.quantity'")
     assert "email" in found[3][0] and "at least 1 item" in found[4][0] and "quantity" in found[5][0]
 
 

@@ -70,6 +70,8 @@ class Rules:
     clean: dict[str, Column] = field(default_factory=dict)
     record: list[Check] = field(default_factory=list)
     defaults: dict[str, Column] = field(default_factory=dict)
+    # Lists of error texts from inside nested fields, each error with its path.
+    nested: list[Column] = field(default_factory=list)
 
 
 def _failed(checks: list[Check]) -> Column:
@@ -88,7 +90,8 @@ def validate(df: DataFrame, rules: Rules) -> DataFrame:
     """Fill defaults, check, clean. Rows keep their raw values where a field failed."""
     filled = df.withColumns({c: F.coalesce(F.col(c), v) for c, v in rules.defaults.items()})
     names = [c for c in filled.columns if c in rules.checks or c in rules.required]
-    checked = filled.withColumn(ERRORS, F.array_compact(F.array(*[_field_error(rules, c) for c in names])))
+    errors = F.array_compact(F.array(*[_field_error(rules, c) for c in names]))
+    checked = filled.withColumn(ERRORS, F.concat(errors, *rules.nested) if rules.nested else errors)
     valid = F.size(ERRORS) == 0
     cleaned = checked.withColumns({c: F.when(valid, v).otherwise(F.col(c)) for c, v in rules.clean.items()})
     if not rules.record:
@@ -235,34 +238,58 @@ def live_rules() -> Rules:
     )
 
 
-def nested_rules() -> Rules:
-    """Rules on a nested record; a list passes when each of its members does."""
-    user, orders = F.col("user_info"), F.col("orders")
-    email = user["email"]
+def member_errors(path: Column, members: list[tuple[str, Column, list[Check], bool]]) -> Column:
+    """One error at most for each member ``(name, value, checks, required)``, with its full path."""
+    errors = []
+    for name, value, checks, required in members:
+        missing = [(value.isNotNull(), "Field required")] if required else []
+        errors.append(F.concat(F.lit("Field '"), path, F.lit(f".{name}': "), _failed([*missing, *checks])))
+    return F.array_compact(F.array(*errors))
+
+
+def each_error(values: Column, path: Column, errors) -> Column:
+    """All errors of a list's members; ``errors`` takes a member and its path (``list.0``)."""
+    found = F.transform(values, lambda x, i: errors(x, F.concat(path, F.lit("."), i.cast("string"))))
+    return F.coalesce(F.flatten(found), F.array().cast("array<string>"))
 
-    def each_order(condition) -> Column:
-        return F.forall(orders, condition)
 
-    def each_item(condition) -> Column:
-        return F.forall(orders, lambda o: F.forall(o["items"], condition))
+def nested_rules() -> Rules:
+    """Rules on a nested record. Every member at fault is named by its path, the first fault of each."""
+    user, orders = F.col("user_info"), F.col("orders")
+    positive = lambda c: [greater_than(c, 0)]
+    user_errors = member_errors(F.lit("user_info"), [
+        ("user_id", user["user_id"], positive(user["user_id"]), True),
+        ("name", user["name"], [min_length(user["name"], 1)], True),
+        ("email", user["email"], [(is_email(user["email"]), "String should match the e-mail pattern")], False),
+    ])
+
+    def item_errors(item: Column, path: Column) -> Column:
+        return member_errors(path, [
+            ("product_id", item["product_id"], [min_length(item["product_id"], 1)], True),
+            ("quantity", item["quantity"], positive(item["quantity"]), True),
+            ("price", item["price"], positive(item["price"]), True),
+        ])
+
+    def order_errors(order: Column, path: Column) -> Column:
+        items = order["items"]
+        return F.concat(
+            member_errors(path, [
+                ("order_id", order["order_id"], positive(order["order_id"]), True),
+                ("items", items, [(F.size(items) >= 1, "List should have at least 1 item")], True),
+            ]),
+            each_error(items, F.concat(path, F.lit(".items")), item_errors),
+            member_errors(path, [
+                ("order_date", order["order_date"], [], True),
+                ("total", order["total"], positive(order["total"]), True),
+            ]),
+        )
 
     return Rules(
         "nested",
-        checks={
-            "id": [greater_than(F.col("id"), 0)],
-            "user_info": [
-                (user["user_id"] > 0, "user_id: Input should be greater than 0"),
-                (F.length(user["name"]) >= 1, "name: String should have at least 1 character"),
-                (is_email(email), "email: String should match the e-mail pattern"),
-            ],
-            "orders": [
-                (each_order(lambda o: o["order_id"] > 0), "order_id: Input should be greater than 0"),
-                (each_order(lambda o: F.size(o["items"]) >= 1), "items: List should have at least 1 item"),
-                (each_item(lambda i: F.length(i["product_id"]) >= 1), "product_id: String should have at least 1 character"),
-                (each_item(lambda i: i["quantity"] > 0), "quantity: Input should be greater than 0"),
-                (each_item(lambda i: i["price"] > 0), "price: Input should be greater than 0"),
-                (each_order(lambda o: o["total"] > 0), "total: Input should be greater than 0"),
-            ],
-        },
+        checks={"id": positive(F.col("id"))},
         required=["id", "user_info"],
+        nested=[
+            F.when(user.isNotNull(), user_errors).otherwise(F.array().cast("array<string>")),
+            each_error(orders, F.lit("orders"), order_errors),
+        ],
     )

@@ -200,18 +200,46 @@ def validate_live(spark: SparkSession, d: str) -> DataFrame:
     return validated.select("event_id", _found(validated))
 
 
+# Each nested line is broken in its own way, some in several: by its line number and quantity.
 NESTED_ERRORS = sql_errors(
     ("id", "l_orderkey <= 0", "Input should be greater than 0"),
-    ("user_info", "l_suppkey <= 0", "user_id: Input should be greater than 0"),
-    ("user_info", "l_discount <= 0.05", "email: String should match the e-mail pattern"),
-    ("orders", "l_orderkey <= 0", "order_id: Input should be greater than 0"),
-    ("orders", "l_tax <= 0", "price: Input should be greater than 0"),
+    ("user_info.user_id", "l_linenumber = 5 OR l_suppkey <= 0", "Input should be greater than 0"),
+    ("user_info.name", "l_linenumber = 4", "Field required"),
+    ("user_info.email", "l_discount <= 0.05", "String should match the e-mail pattern"),
+    ("orders.0.order_id", "l_orderkey <= 0", "Input should be greater than 0"),
+    ("orders.0.items", "l_linenumber = 3", "List should have at least 1 item"),
+    ("orders.0.items.0.product_id", "l_linenumber = 2", "String should have at least 1 character"),
+    ("orders.0.items.0.quantity", "l_linenumber <> 3 AND l_quantity > 40", "Field required"),
+    ("orders.0.items.1.price", "l_linenumber <> 3 AND l_tax <= 0", "Input should be greater than 0"),
+    ("orders.0.order_date", "l_linenumber = 6", "Field required"),
+    ("orders.0.total", "l_linenumber = 1", "Field required"),
 )
 
 
+def _broken(records: DataFrame) -> DataFrame:
+    """Records with faults at every depth; the second item of an order tells its line number."""
+    line, quantity = F.col("orders")[0]["items"][1]["quantity"], F.col("orders")[0]["items"][0]["quantity"]
+    user = F.col("user_info")
+    user = user.withField("user_id", F.when(line == 5, 0).otherwise(user["user_id"]))
+    user = user.withField("name", F.when(line != 4, user["name"]))
+
+    def item(x: Column, i: Column) -> Column:
+        return x.withField("product_id", F.when((line == 2) & (i == 0), "").otherwise(x["product_id"])).withField(
+            "quantity", F.when((i != 0) | (quantity <= 40), x["quantity"])
+        )
+
+    def order(x: Column) -> Column:
+        kept = F.filter(x["items"], lambda _: line != 3)
+        return x.withField("items", F.transform(kept, item)).withField(
+            "order_date", F.when(line != 6, x["order_date"])
+        ).withField("total", F.when(line != 1, x["total"]))
+
+    return records.select("id", user.alias("user_info"), F.transform("orders", order).alias("orders"), "metadata")
+
+
 @query(f"SELECT id, errors, count(*) AS n FROM (SELECT l_orderkey AS id, {NESTED_ERRORS} AS errors FROM lineitem) v GROUP BY id, errors")
 def validate_nested(spark: SparkSession, d: str) -> DataFrame:
-    validated = q.validate(nested_orders(spark, d), q.nested_rules())
+    validated = q.validate(_broken(nested_orders(spark, d)), q.nested_rules())
     found = validated.select(F.col("id").cast("bigint").alias("id"), _found(validated))
     return found.groupBy("id", "errors").agg(F.count("*").alias("n"))
 
