@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 
 import numpy as np
@@ -30,14 +31,21 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write a step to the shared folder and read it back: computed once, lineage cut.
 
+    ``release`` after a large step: Spark deletes the shuffle files of finished steps when the driver
+    collects its garbage, which may otherwise be after the job.
+
     A join of two stored tables shuffles both sides itself, so that a hot key can be split
     at run time; an aggregate right under a join could not.
     """
     with using(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
-        return written(df, label)
+        out = written(df, label)
+    if release:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 class WordHashes(dict):

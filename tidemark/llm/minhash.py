@@ -208,7 +208,7 @@ def near_duplicates(
         raise ValueError("bits must divide 64")
     bands = bands_for(percent, rows)
     n = max(hashes, bands * rows)
-    made = stored(signatures(docs, id_col, text_col, size, n, bands, rows, bits, seed), "minhash")
+    made = stored(signatures(docs, id_col, text_col, size, n, bands, rows, bits, seed), "minhash", release=True)
     classes = stored(
         made.filter("id is not null and v is not null").groupBy("v").agg(
             F.min("id").alias("first"), F.min("n_shingles").alias("n"), F.min_by("sig", "id").alias("sig"), F.min_by("buckets", "id").alias("buckets")
@@ -222,26 +222,26 @@ def near_duplicates(
     centers = stored(
         members.select("bucket", "v").join(weights, "v").groupBy("bucket").agg(F.max_by("v", F.struct("weight", "v")).alias("center")), "minhash-centers"
     )
-    groups = stored(members.select("bucket", "v").join(centers, "bucket").select("center", "v").distinct(), "minhash-groups")
+    groups = stored(members.select("bucket", "v").join(centers, "bucket").select("center", "v").distinct(), "minhash-groups", release=True)
     # Whole texts of the classes that share a bucket, one row each.
     heads = classes.join(weights, "v", "left_semi")
     wanted = stored(heads.select("v", "first", "n"), "minhash-heads")
     # Spark's own filter of bounded size keeps most other texts out of the shuffle.
     with using(docs.sparkSession, {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB"}):
-        texts = stored(_texts_of(docs, wanted, id_col, text_col), "minhash-texts")
+        texts = stored(_texts_of(docs, wanted, id_col, text_col), "minhash-texts", release=True)
     signed = stored(heads.select("v", "sig", "n"), "minhash-signed")
 
     side = lambda x: signed.select(F.col("v").alias(x), F.col("sig").alias(f"sig_{x}"))
     agreeing, least = _agreeing(bits, -(-n // (64 // bits)), n), least_agreeing(percent, bits, n)
     pairs = groups.select(F.col("v").alias("a"), F.col("center").alias("b")).filter("a != b")
-    likely = stored(pairs.join(side("b"), "b").join(side("a"), "a").filter(agreeing >= least).select("a", "b"), "minhash-pairs")
+    likely = stored(pairs.join(side("b"), "b").join(side("a"), "a").filter(agreeing >= least).select("a", "b"), "minhash-pairs", release=True)
     roots = components(stored(_confirm(likely, texts, size, percent), "minhash-links"))
 
     # Members whose component is not their center's, against all members of that center.
     rooted = signed.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     rooted = stored(rooted, "minhash-rooted")
     here = groups.join(rooted, "v").join(rooted.select(F.col("v").alias("center"), F.col("root").alias("center_root")), "center")
-    here = stored(here, "minhash-here")
+    here = stored(here, "minhash-here", release=True)
     apart = here.filter("root != center_root").drop("center_root")
     around = here.drop("center_root").join(apart.select("center").distinct(), "center", "left_semi")
 
@@ -255,7 +255,7 @@ def near_duplicates(
     keys = ["center", "i", "j"]
     one, two = _dealt(apart.withColumn("load", F.lit(100)), around.withColumn("load", F.lit(100)), "load")
     near = one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(alive, "center binary, v binary")
-    near = stored(near.distinct(), "minhash-near")
+    near = stored(near.distinct(), "minhash-near", release=True)
 
     def confirm(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         known, out = WordHashes(), []
@@ -274,7 +274,7 @@ def near_duplicates(
 
     texted = near.join(texts, "v")
     one, two = _dealt(apart.join(texted, ["center", "v"]), around.join(texted, ["center", "v"]), "n")
-    last = stored(one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(confirm, "a binary, b binary").distinct(), "minhash-links")
+    last = stored(one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(confirm, "a binary, b binary").distinct(), "minhash-links", release=True)
     # The components found so far are one link per member.
     roots = components(roots.select(F.col("v").alias("a"), F.col("root").alias("b")).filter("a != b").union(last))
 

@@ -4,9 +4,9 @@
    Equal strings choose the same anchor, so documents that share a string share an anchor.
 2. Anchors of several documents are found by their hashes. Around each lies its context: all strings
    of ``length`` bytes that hold it.
-3. Equal contexts are added up first (with the smallest id). Contexts that share an anchor and the
-   half next to it meet in one group; a suffix array of the group, made by linear grouping, brings
-   equal strings together, and each string gets the smallest id that has it.
+3. Equal contexts are added up first (with the smallest id). Different contexts of one anchor meet in
+   one task; a suffix array of them, made by linear grouping, brings equal strings together, and each
+   string gets the smallest id that has it.
 4. Documents look up their contexts and remove what an earlier document also has.
 """
 
@@ -30,7 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 GRAM = 24
 #: Bytes of contexts that one group of a task holds.
 GROUP_BYTES = 200_000
-#: Contexts of one half that a suffix array takes; the strings of more crowded halves are compared by a shuffle.
+#: Contexts of one anchor that a suffix array takes; the strings of more crowded ones are compared by a shuffle.
 CROWD = 5_000
 
 
@@ -157,38 +157,31 @@ def _bytes(text: str | None) -> bytes:
 
 def _least(contexts: list[bytes], places: list[int], firsts: list[int], length: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each context that shares strings: the smallest id that has the string at each place."""
-    text: list[int] = []
-    owner, offset = [], []
-    for k, c in enumerate(contexts):
-        text += [b + 2 for b in c]
-        text.append(1)
-        owner += [k] * (len(c) + 1)
-        offset += range(len(c) + 1)
-    last = [min(p, len(c) - length) for p, c in zip(places, contexts)]
-    best = [np.full(max(0, x + 1), f, np.int64) for x, f in zip(last, firsts)]
-    run: list[tuple[int, int]] = []
-    before = b""
-
-    def close() -> None:
-        if len(run) > 1:
-            low = min(firsts[k] for k, _ in run)
-            for k, o in run:
-                best[k][o] = min(best[k][o], low)
-
-    for i in suffix_array(text):
-        k, o = owner[i], offset[i]
-        if o > last[k]:
-            continue
-        here = contexts[k][o : o + length]
-        if here != before:
-            close()
-            run.clear()
-            before = here
-        run.append((k, o))
-    close()
-    for k, b in enumerate(best):
-        if len(b) and (b < firsts[k]).any():
-            yield k, b
+    # Bytes from 2 up, each context ended by a 1.
+    text = np.frombuffer(b"".join(c + b"\0" for c in contexts), np.uint8).astype(np.int64) + 2
+    sizes = np.array([len(c) + 1 for c in contexts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    text[starts + sizes - 1] = 1
+    last = np.minimum(np.array(places, np.int64), sizes - 1 - length)
+    first = np.array(firsts, np.int64)
+    owner = np.repeat(np.arange(len(contexts)), sizes)
+    order = np.array(suffix_array(text.tolist()), np.int64)
+    # Suffixes that start with a whole string holding the anchor, in order.
+    order = order[order - starts[owner[order]] <= last[owner[order]]]
+    if not len(order):
+        return
+    reach = np.arange(length)
+    same = np.zeros(len(order), bool)
+    for low in range(1, len(order), 20_000):
+        one, two = order[low - 1 : low + 19_999], order[low : low + 20_000]
+        same[low : low + 20_000] = (text[one[: len(two), None] + reach] == text[two[:, None] + reach]).all(axis=1)
+    heads = np.flatnonzero(~same)
+    holder = owner[order]
+    lowest = np.repeat(np.minimum.reduceat(first[holder], heads), np.diff(np.append(heads, len(order))))
+    best = first[owner]
+    best[order] = lowest
+    for k in np.unique(holder[lowest < first[holder]]).tolist():
+        yield k, best[starts[k] : starts[k] + last[k] + 1]
 
 
 def _crowded(contexts: DataFrame, length: int) -> DataFrame:
@@ -216,7 +209,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
-    half = -(-(length - GRAM) // 2)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     full = rows.filter(F.col("id").isNotNull() & (F.octet_length("text") >= length))
     total = full.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
@@ -244,7 +236,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if settled.any():
                 out.append((parts + int(ids[0] % parts), h[settled].tobytes(), d[settled].tobytes(), b""))
             h, d, part = h[first], d[first], part[first]
-            order = np.argsort(part, kind="stable")
+            order = np.lexsort((d, part))
             h, d, part, many = h[order], d[order], part[order], many[order]
             cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(h) else []
             for low, high in zip(cuts, [*cuts[1:], len(h)]):
@@ -268,7 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     blobs = full.mapInPandas(scattered, "part bigint, h binary, d binary, many binary")
     pairs = blobs.groupBy("part").applyInPandas(shared, "id bigint, h bigint")
-    lists = stored(pairs.groupBy("id").agg(F.collect_set("h").alias("hashes")), "shared-anchors")
+    lists = stored(pairs.groupBy("id").agg(F.collect_set("h").alias("hashes")), "shared-anchors", release=True)
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -283,48 +275,43 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [(c, i, *v) for (c, i), v in out.items()], columns=["c", "id", "place", "context"]
             )
 
-    held = stored(full.join(lists, "id").mapInPandas(around, "c bigint, id bigint, place int, context binary"), "contexts")
+    held = stored(full.join(lists, "id").mapInPandas(around, "c bigint, id bigint, place int, context binary"), "contexts", release=True)
     # One row for each context, however many documents have it.
-    known = stored(held.groupBy("c").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("place").alias("place"), F.first("context").alias("context")), "distinct-contexts")
-    halves = F.array(
-        F.when(F.col("place") >= half, F.xxhash64(F.lit(0), F.substring(F.col("context"), F.col("place") + 1 - half, F.lit(half + GRAM)))),
-        F.when(
-            F.octet_length("context") >= F.col("place") + GRAM + half,
-            F.xxhash64(F.lit(1), F.substring(F.col("context"), F.col("place") + 1, F.lit(half + GRAM))),
-        ),
-    )
-    sided = known.select("c", "first", "place", "context", F.explode(F.array_compact(halves)).alias("half"))
-    several = stored(sided.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1"), "shared-halves")
+    known = stored(held.groupBy("c").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("place").alias("place"), F.first("context").alias("context")), "distinct-contexts", release=True)
+    # Contexts meet under their anchor.
+    anchor = F.xxhash64(F.substring(F.col("context"), F.col("place") + 1, F.lit(GRAM)))
+    sided = known.select("c", "first", "place", "context", anchor.alias("anchor"))
+    several = stored(sided.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "several-contexts")
     bins = max(1, (several.filter(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0) * (2 * length) // GROUP_BYTES)
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        group = group.drop_duplicates(["half", "c"]).sort_values("half")
-        heads = np.flatnonzero(group["half"].ne(group["half"].shift()).to_numpy())
+        group = group.sort_values("anchor")
+        heads = np.flatnonzero(group["anchor"].ne(group["anchor"].shift()).to_numpy())
         ends = group["context"].map(len).to_numpy(np.int64).cumsum()
         low = 0
-        # As many whole halves at a time as fit; a context under both halves is taken once.
+        # As many whole anchors at a time as fit.
         for high in [*heads[1:], len(group)]:
             if high < len(group) and ends[high - 1] - (ends[low - 1] if low else 0) < GROUP_BYTES:
                 continue
-            mine = group.iloc[low:high].drop_duplicates(["c"])
+            mine = group.iloc[low:high]
             names, firsts = mine["c"].tolist(), mine["first"].tolist()
             for k, best in _least(mine["context"].tolist(), mine["place"].tolist(), firsts, length):
                 out.append((names[k], firsts[k], np.flatnonzero(best < firsts[k]).tolist()))
             low = high
         return pd.DataFrame(out, columns=["c", "id", "starts"])
 
-    met = sided.join(several.filter(F.col("n") <= CROWD).drop("n"), "half").withColumn("bin", F.pmod("half", F.lit(bins)))
+    met = sided.join(several.filter(F.col("n") <= CROWD).drop("n"), "anchor").withColumn("bin", F.pmod("anchor", F.lit(bins)))
     # Strings of the first holder of a context that an earlier document has.
-    special = stored(met.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"), "earlier-strings")
-    crowd = stored(several.filter(F.col("n") > CROWD).select("half"), "crowded-halves")
+    special = stored(met.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"), "earlier-strings", release=True)
+    crowd = stored(several.filter(F.col("n") > CROWD).select("anchor"), "crowded-anchors")
     if not crowd.isEmpty():
-        special = special.union(_crowded(sided.join(crowd, "half").dropDuplicates(["c"]), length))
+        special = special.union(_crowded(sided.join(crowd, "anchor"), length))
     whole = held.select("c", "id").join(known.filter("first < last").select("c", "first"), "c").filter("id > first")
     todo = whole.select("id", F.struct("c", F.lit(None).cast("array<int>").alias("starts")).alias("cut")).union(
         special.select("id", F.struct("c", "starts").alias("cut"))
     )
-    cuts = stored(todo.groupBy("id").agg(F.collect_list("cut").alias("cuts")), "cuts")
+    cuts = stored(todo.groupBy("id").agg(F.collect_list("cut").alias("cuts")), "cuts", release=True)
 
     @F.pandas_udf("n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
