@@ -27,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let the session send ``BATCH_ROWS`` rows at a time to Python: texts can be long."""
+    """Let the session send ``BATCH_ROWS`` rows at a time to Python: texts can be long, and a worker holds
+    a batch several times over."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
