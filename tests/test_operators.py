@@ -30,7 +30,7 @@ def sliced(hot):
 
 
 def test_hot_key_spans_several_slices(sliced):
-    assert sliced.filter("key = 'hot_key'").select("_slice").distinct().count() >= 5
+    assert sliced.filter("key = 'busy'").select("_slice").distinct().count() >= 5
 
 
 def test_running_sum(hot, sliced):
@@ -91,7 +91,7 @@ def test_volume_aware_layout_keeps_null_keys(spark):
 def test_chunked_lists_keep_every_row(hot):
     listed = sequences.chunked_lists(hot, ["key"], ["amount", "value"], F.col("value"), 100)
     assert listed.agg(F.max(F.size("sequence"))).first()[0] == 100
-    assert listed.filter("key = 'hot_key'").count() > 20
+    assert listed.filter("key = 'busy'").count() > 20
     back = listed.select("key", F.explode("sequence").alias("value"))
     assert rows(back) == rows(hot.select("key", "value"))
 
@@ -101,9 +101,9 @@ def test_chunked_lists_keep_every_row(hot):
 
 def test_hot_keys_are_few(hot):
     found = skew.hot_keys(hot, ["key"], 0.1)
-    assert rows(found) == [("hot_key",)]
+    assert rows(found) == [("busy",)]
     share = {k: s for k, _, s, _ in skew.key_shares(hot, ["key"], 0.1).collect()}
-    assert 0.75 < share["hot_key"] < 0.85 and sum(share.values()) == pytest.approx(1)
+    assert 0.75 < share["busy"] < 0.85 and sum(share.values()) == pytest.approx(1)
 
 
 def test_salted_totals_are_plain_totals(hot):
@@ -119,7 +119,7 @@ def test_a_key_that_looks_salted(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_is_plain_join(spark, hot, how):
-    keys = [("hot_key", 1), ("hot_key", 2), *[(f"key_{i}", i) for i in range(10)], ("other", 0)]
+    keys = [("busy", 1), ("busy", 2), *[(f"calm_{i}", i) for i in range(10)], ("other", 0)]
     small = spark.createDataFrame(keys, "key string, d int")
     found = skew.salted_join(hot, small, ["key"], skew.hot_keys(hot, ["key"], 0.1), ["value"], how=how)
     assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key", how).select("key", "value", "d"))
@@ -127,7 +127,7 @@ def test_salted_join_is_plain_join(spark, hot, how):
 
 @pytest.mark.parametrize("salts", [None, 3])
 def test_split_join_is_plain_join(spark, hot, salts):
-    small = spark.createDataFrame([("hot_key", 1), ("hot_key", 2), ("key_3", 3)], "key string, d int")
+    small = spark.createDataFrame([("busy", 1), ("busy", 2), ("calm_3", 3)], "key string, d int")
     found = skew.hot_key_split_join(hot, small, ["key"], skew.hot_keys(hot, ["key"], 0.1), ["value"], salts)
     assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key").select("key", "value", "d"))
 

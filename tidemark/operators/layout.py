@@ -64,9 +64,9 @@ def fewer(df: DataFrame, n: int) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str, row_id: list[str], n: int, ways: int | None = None) -> DataFrame:
-    """Hash by (key, part of the row): a key meets in at most ``ways`` partitions (all ``n``, unless
+    """Hash by (key, part of the row): a key meets in at most ``ways`` lots (four per partition, unless
     given), so even a key with a third of the rows does not fill a single task."""
-    part = F.pmod(F.xxhash64(*row_id), F.lit(ways or n))
+    part = F.pmod(F.xxhash64(*row_id), F.lit(ways or 4 * n))
     return df.repartition(n, F.col(key), part)
 
 

@@ -38,11 +38,12 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable[Mapping], schema: StructType) -> DataFrame:
-    """A small hand-written table under a schema; a missing required value raises."""
-    values = []
-    for row in rows:
-        missing = [f.name for f in schema.fields if not f.nullable and row.get(f.name) is None]
-        if missing:
-            raise ValueError(f"Non-nullable field '{missing[0]}' cannot be None")
-        values.append(tuple(row.get(f.name) for f in schema.fields))
-    return spark.createDataFrame(values, schema)
+    """A small hand-written table under a declared schema.
+
+    Absent keys are nulls; all required fields that some row lacks are named in one error.
+    """
+    records = list(rows)
+    lacking = [f.name for f in schema.fields if not f.nullable and any(r.get(f.name) is None for r in records)]
+    if lacking:
+        raise ValueError(f"rows lack required fields: {', '.join(lacking)}")
+    return spark.createDataFrame([[r.get(name) for name in schema.names] for r in records], schema)

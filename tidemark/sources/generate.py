@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The names used by the generated sales.
-REGIONS = ["North", "South", "East", "West"]
+REGIONS = ["coast", "valley", "hills", "plain"]
 PRODUCTS = {
-    "Electronics": ["Laptop", "Phone", "Tablet"],
-    "Clothing": ["Shirt", "Pants", "Dress"],
-    "Books": ["Novel", "Textbook", "Magazine"],
-    "Home": ["Chair", "Table", "Lamp"],
+    "garden": ["spade", "hose", "trellis", "seeds"],
+    "kitchen": ["kettle", "ladle", "grater"],
+    "music": ["fiddle", "drum"],
+    "sport": ["racket", "rope", "ball"],
 }
 
 
@@ -56,19 +55,19 @@ def activity(spark: SparkSession, n: int = 50, users: int = 50) -> DataFrame:
         F.date_format(second + F.expr("INTERVAL 19723 DAYS"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         (draw("user", users) + 1).alias("user_id"),
         pick("action", ["view", "click", "add_to_cart", "purchase", "remove_from_cart"]).alias("action"),
-        F.lower(pick("item", ["Laptop", "Phone", "Tablet"])).alias("product"),
+        pick("item", [p for products in PRODUCTS.values() for p in products]).alias("product"),
         price("value", 1, 500).cast("decimal(10,2)").alias("value"),
     )
 
 
 def skewed(spark: SparkSession, n: int = 10_000, hot_share: float = 0.8, cold_keys: int = 20) -> DataFrame:
-    """``hot_share`` of the rows on the key ``hot_key``, the rest over ``cold_keys`` keys."""
+    """``hot_share`` of the rows on the key ``busy``, the rest over ``cold_keys`` keys."""
     is_hot = draw("hot", 10_000) < int(hot_share * 10_000)
-    cold = F.concat(F.lit("key_"), draw("cold", cold_keys).cast("string"))
+    cold = F.concat(F.lit("calm_"), draw("cold", cold_keys).cast("string"))
     return spark.range(n).select(
-        F.when(is_hot, F.lit("hot_key")).otherwise(cold).alias("key"),
-        F.concat(F.lit("value_"), F.col("id")).alias("value"),
-        (draw("amount", 100) + 1).alias("amount"),
+        F.when(is_hot, F.lit("busy")).otherwise(cold).alias("key"),
+        F.concat(F.lit("row "), F.col("id")).alias("value"),
+        (draw("amount", 60) + 1).alias("amount"),
     )
 
 
@@ -79,38 +78,46 @@ def zipf_like(spark: SparkSession, n: int = 10_000, keys: int = 100) -> DataFram
     return spark.range(n).select(k.alias("key"), price("amount", 1, 100).alias("amount"))
 
 
-def time_series(spark: SparkSession, n: int = 10_000, year: int = 2024, sensors: int = 10) -> DataFrame:
+def time_series(spark: SparkSession, n: int = 8_000, year: int = 2023, sensors: int = 12) -> DataFrame:
+    """Readings of some sensors on the days of a year."""
     return spark.range(n).select(
         F.col("id").cast("int").alias("id"),
-        F.date_add(F.make_date(F.lit(year), F.lit(1), F.lit(1)), draw("day", 366)).alias("date"),
-        F.concat(F.lit("sensor_"), draw("sensor", sensors)).alias("sensor_id"),
-        price("temperature", 15, 35).alias("temperature"),
-        draw("reading", 1000).alias("reading"),
+        F.date_add(F.make_date(F.lit(year), F.lit(1), F.lit(1)), draw("day", 365)).alias("date"),
+        F.concat(F.lit("probe "), draw("sensor", sensors)).alias("sensor_id"),
+        price("temperature", -5, 30).alias("temperature"),
+        draw("reading", 400).alias("reading"),
     )
 
 
+#: Rows and distinct categories of each pattern of ``mixed_volume``.
+VOLUMES = {"bulk": (6000, 80), "steady": (2000, 40), "rare": (400, 8)}
+
+
 def mixed_volume(spark: SparkSession, scale: int = 1) -> DataFrame:
-    """Three patterns of very different size: 5,000, 2,000 and 500 rows times ``scale``."""
-    sizes = {"high_volume": (5000, 100), "medium_volume": (2000, 50), "low_volume": (500, 10)}
-    n = sum(rows for rows, _ in sizes.values()) * scale
-    step = F.pmod(F.col("id"), F.lit(7500))
-    pattern = F.when(step < 5000, "high_volume").when(step < 7000, "medium_volume").otherwise("low_volume")
-    width = F.when(step < 5000, 100).when(step < 7000, 50).otherwise(10)
-    return spark.range(n).select(
+    """Patterns of very different size, as ``VOLUMES`` times ``scale`` rows."""
+    turn = sum(rows for rows, _ in VOLUMES.values())
+    step = F.pmod(F.col("id"), F.lit(turn))
+    pattern, width, upto = F.lit(None).cast("string"), F.lit(None).cast("int"), turn
+    for name, (rows, categories) in reversed(VOLUMES.items()):
+        pattern = F.when(step < upto, name).otherwise(pattern)
+        width = F.when(step < upto, categories).otherwise(width)
+        upto -= rows
+    return spark.range(turn * scale).select(
         F.col("id").cast("int").alias("id"),
         pattern.alias("pattern_type"),
-        F.concat(F.lit("value_"), F.pmod(F.col("id"), width)).alias("category"),
-        price("amount", 1, 1000).alias("amount"),
-        (draw("quantity", 100) + 1).alias("quantity"),
+        F.concat(F.lit("c"), F.pmod(F.col("id"), width)).alias("category"),
+        price("amount", 2, 900).alias("amount"),
+        (draw("quantity", 30) + 1).alias("quantity"),
     )
 
 
-def region_sales(spark: SparkSession, n: int = 10_000, year: int = 2024) -> DataFrame:
+def region_sales(spark: SparkSession, n: int = 6_000, year: int = 2023) -> DataFrame:
+    """Sales of shops by region and day."""
     return spark.range(n).select(
         F.col("id").cast("int").alias("sale_id"),
         pick("region", REGIONS).alias("region"),
-        F.concat(F.lit("store_"), F.pmod(F.col("id"), F.lit(50))).alias("store"),
-        F.concat(F.lit("product_"), F.pmod(F.col("id"), F.lit(100))).alias("product"),
-        price("amount", 10, 500).alias("amount"),
+        F.concat(F.lit("shop "), draw("store", 35)).alias("store"),
+        pick("product", [p for products in PRODUCTS.values() for p in products]).alias("product"),
+        price("amount", 5, 300).alias("amount"),
         F.date_add(F.make_date(F.lit(year), F.lit(1), F.lit(1)), draw("day", 365)).alias("date"),
     )
