@@ -122,6 +122,27 @@ def test_second_hash_keeps_buckets_small():
     assert got.shape == (50, neighbours.TABLES, 3) and (got[:, 0, 0] != got[:, 0, 1]).all()
 
 
+def test_second_hash_keeps_recall(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BUCKET_ROWS", 2)
+    assert neighbours.coarse_axes(3000, 64) == 8
+    x = np.random.default_rng(11).normal(size=(3000, 64))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0")).collect()}
+    want = exact([(i, v.tolist()) for i, v in enumerate(x)], range(0, 3000, 20), 5)
+    assert sum((q, i) in got for q in want for i, _ in want[q]) >= 0.9 * 5 * len(want)
+
+
+@pytest.mark.parametrize("rows", [200_000, 1_000_000, 30_000_000])
+def test_probes_follow_the_second_hash(rows):
+    probes, axes = neighbours.enough_probes(rows, 64, 5, neighbours.PROBES, 2), neighbours.coarse_axes(rows, 64)
+    rng, c = np.random.default_rng(12), neighbours.random_cosine(5 / rows, 64)
+    x, z = rng.normal(size=(2, 400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = c * x + np.sqrt(1 - c * c) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    assert (neighbours.buckets(x, axes, 1, 2) == neighbours.buckets(y, axes, probes, 2)).any(axis=(1, 2)).mean() > 0.9
+
+
 # -------------------------------------------------------------------------------- warc
 
 

@@ -2,8 +2,8 @@
 
 A table turns each unit vector by a pseudo-random rotation (three rounds of sign flips and a fast
 Hadamard transform) and files it under the signed axis it then lies nearest to. As the
-number of vectors grows, a second, coarser hash is joined to the first, so that buckets keep their size.
-A query looks into its own bucket and the next likeliest ones of each table; every vector found is
+number of vectors grows, a second, coarser hash is joined to the first, so that buckets keep their size,
+and queries look into more of them, so that as much is found. A query looks into its own bucket and the next likeliest ones of each table; every vector found is
 ranked by its exact cosine.
 
 Equal vectors are searched once. Buckets that outgrow a block are dealt over several tasks, and a
@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TABLES, PROBES = 28, 4
 #: Vectors that a bucket holds on average, and vectors or queries that a task compares at once.
 BUCKET_ROWS, BLOCK_ROWS = 400, 4096
+#: Share of random nearest pairs that probes must find once there is a second hash, and pairs tried.
+LEAST_FOUND, PAIRS = 0.95, 500
 
 
 def rotate(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -56,6 +58,41 @@ def coarse_axes(rows: int, dim: int) -> int:
     return 0 if wanted <= 1 else min(first // 2, 1 << max(0, math.ceil(math.log2(wanted / 2))))
 
 
+def random_cosine(share: float, dim: int) -> float:
+    """Cosine that this share of pairs of random unit vectors exceeds."""
+    angle = (np.arange(100_000) + 0.5) * (math.pi / 100_000)
+    mass = np.cumsum(np.sin(angle) ** max(0, dim - 2))
+    return float(np.cos(angle[np.searchsorted(mass, share * mass[-1])])) if dim > 1 else 1.0
+
+
+def enough_probes(rows: int, dim: int, k: int, probes: int, seed: int) -> int:
+    """Probes with which the second hash finds what ``probes`` find without, or ``LEAST_FOUND``.
+
+    Tried on pairs as far apart as the ``k``-th neighbour among ``rows`` random vectors: other vectors
+    are closer to theirs.
+    """
+    axes = coarse_axes(rows, dim)
+    if not axes:
+        return probes
+    rng = np.random.default_rng(seed)
+    x, other = (_unit(rng.normal(size=(PAIRS, dim))) for _ in range(2))
+    cosine = random_cosine(min(1.0, k / rows), dim)
+    across = other - (other * x).sum(axis=1, keepdims=True) * x
+    if dim > 1:
+        across = _unit(across)
+    y = cosine * x + math.sqrt(1 - cosine * cosine) * across
+
+    def ranks(axes: int, n: int) -> np.ndarray:
+        same = (buckets(x, axes, 1, seed) == buckets(y, axes, n, seed)).any(axis=1)
+        return np.sort(np.where(same.any(axis=1), same.argmax(axis=1) + 1, n + 1))
+
+    wanted = min(math.ceil(LEAST_FOUND * PAIRS), int((ranks(0, probes) <= probes).sum()))
+    n, most = 8 * probes, (1 << max(0, math.ceil(math.log2(max(1, dim))))) * axes
+    while wanted and (got := ranks(axes, min(n, most)))[wanted - 1] > n < most:
+        n *= 4
+    return max(probes, min(most, int(got[wanted - 1]))) if wanted else probes
+
+
 def buckets(x: np.ndarray, axes: int, probes: int, seed: int) -> np.ndarray:
     """``rows x TABLES x probes`` bucket names: the likeliest buckets of each unit vector, best first."""
     out = np.empty((len(x), TABLES, probes), np.int64)
@@ -65,8 +102,10 @@ def buckets(x: np.ndarray, axes: int, probes: int, seed: int) -> np.ndarray:
         names, away = _nearest(y, min(probes, y.shape[1]))
         if axes:
             other, further = _nearest(rotate(x, rng)[:, :axes], min(probes, axes))
-            names = (names[:, :, None] * (2 * axes) + other[:, None, :]).reshape(len(x), -1)
-            away = (away[:, :, None] + further[:, None, :]).reshape(len(x), -1)
+            # A pair behind ``probes`` others in both hashes cannot be among the best.
+            one, two = np.nonzero(np.outer(np.arange(names.shape[1]) + 1, np.arange(other.shape[1]) + 1) <= probes)
+            names = names[:, one] * (2 * axes) + other[:, two]
+            away = away[:, one] + further[:, two]
             best = np.argsort(away, axis=1, kind="stable")[:, :probes]
             names = np.take_along_axis(names, best, 1)
         if names.shape[1] < probes:
@@ -159,22 +198,24 @@ def nearest(
     once = lambda df: df.select("v", "x").dropDuplicates(["v"])
     classes = stored(once(rows).join(ids, "v").withColumn("first", F.col("ids")[0]), "vector-classes")
     wanted = stored(once(asked), "query-classes")
-    n = classes.count()
+    sizes = {r.dim: r["count"] for r in classes.groupBy(F.size("x").alias("dim")).count().collect()}
+    n = sum(sizes.values())
+    tried = {dim: enough_probes(rows, dim, k, probes, seed) for dim, rows in sizes.items()}
 
-    def keyed(df: DataFrame, count: int, extra: str = "") -> DataFrame:
+    def keyed(df: DataFrame, counts: dict[int, int]) -> DataFrame:
         names = [c for c in df.columns if c in ("v", "x", "first")]
 
         def hash_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for dim, part in batch.groupby(batch["x"].map(len)):
-                    got = buckets(_unit(np.stack(part["x"].to_numpy())), coarse_axes(n, dim), count, seed)
+                    got = buckets(_unit(np.stack(part["x"].to_numpy())), coarse_axes(sizes.get(dim, 0), dim), counts.get(dim, 1), seed)
                     yield part.assign(keys=[sorted(set((g * 65_536 + dim % 65_536).ravel().tolist())) for g in got])
 
         kinds = dict(df.dtypes)
         made = df.select(*names).mapInPandas(hash_, ", ".join(f"{c} {kinds[c]}" for c in names) + ", keys array<bigint>")
         return made.select(*names, F.explode("keys").alias("key"))
 
-    found = stored(_searched(keyed(classes, 1), keyed(wanted, probes), k + 1), "neighbours")
+    found = stored(_searched(keyed(classes, {}), keyed(wanted, tried), k + 1), "neighbours")
     reached = found.groupBy("q", "v").agg(F.max("score").alias("score")).join(ids, "v")
     enough = reached.groupBy("q").agg(F.sum(F.size("ids")).alias("m")).filter(F.col("m") >= k + 1).select(F.col("q").alias("v"))
     few = stored(wanted.join(enough, "v", "left_anti"), "few-neighbours")
