@@ -72,6 +72,32 @@ def test_licences_whole_and_lines(spark):
     assert licences.scan(frame(spark, []), licences.known_digests(spark)).count() == 0
 
 
+def test_licences_at_any_width(spark):
+    import textwrap
+
+    long = {}
+    for i, t in licences.KNOWN + licences.whole_texts():
+        if len(t) > len(long.get(i, "x" * 400)) and not i.startswith("GPL"):
+            long[i] = t
+    assert set(long) >= {"MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"}
+    gpl = max((t for i, t in licences.whole_texts() if i == "GPL-3.0"), key=len)
+    long["GPL-3.0"] = gpl[: gpl.index("END OF TERMS")]
+    head = {"BSD-2-Clause": "Copyright (c) 2020, A. Person\nAll rights reserved.\n\n", "MIT": "Copyright Jane Doe\n\n", "ISC": "© Jane Doe\nCopyright Jim Doe\n"}
+    widths, rows, want = (30, 47, 60, 72, 100, 10_000), [], []
+    for i, t in long.items():
+        for width in widths:
+            parts = [textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in t.split("\n\n")]
+            # Notices of the text itself keep their lines.
+            parts = [p if "copyright (c)" in p.lower() or "Copyright [yyyy]" in p else q for p, q in zip(t.split("\n\n"), parts)]
+            rows.append((len(rows), head.get(i, "") + "\n\n".join(parts)))
+            want.append(i)
+    rows += [(len(rows), "(c) You must keep this"), (len(rows) + 1, "Terms.\nCopyright holders say.\nAll rights reserved.")]
+    got = {r.doc_id: r for r in licences.scan(frame(spark, rows), licences.known_digests(spark)).collect()}
+    assert [(i, widths[k % len(widths)]) for k, i in enumerate(want) if got[k].license_id != i] == []
+    assert got[len(want)].digest == hashlib.sha256(b"c you must keep this").hexdigest()
+    assert got[len(want) + 1].digest == hashlib.sha256(b"terms copyright holders say all rights reserved").hexdigest()
+
+
 # -------------------------------------------------------------------------- neighbours
 
 

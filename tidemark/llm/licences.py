@@ -1,6 +1,6 @@
 """Licence scans: texts brought to a canonical form and looked up among known digests.
 
-The canonical form has lower case, no copyright lines, one spelling for equivalent words, and single
+The canonical form has lower case, no copyright notices, one spelling for equivalent words, and single
 blanks for everything that is no letter or digit. Whole texts are joined by the SHA-256 of that
 form to the digests of known licences; so is each line, for notices inside a document. All of it is
 built-in functions and joins.
@@ -8,6 +8,8 @@ built-in functions and joins.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,11 +84,56 @@ KNOWN = [
 ]
 
 
+# What a license puts after "copyright" in running text, which names no holder.
+_TERMS = (
+    "holders?|owners?|notices?|licen[cs]es?|licensors?|laws?|and|or|interests?|rights?|disclaimers?|statements?|permissions?|protection|treaty|"
+    "treaties|status|ownership|claims?|infringement|in|on|of|to|for|is|are|as|if|that|which|the|this|these|such|with|under|applies|also|liability"
+)
+_MARKS = r"[^\p{L}\p{N}\n]*"
+# With a sign, a year or the place for one; "(c)" alone may number a clause and needs the year.
+_SIGNED = rf"{_MARKS}(?:copyright\b{_MARKS}(?:©|\(c\)|\d{{4}}|yyyy\b|year\b)|©|\(c\)[ \t]*(?:copyright\b|\d{{4}}))[^\n]*"
+_NAMED = rf"{_MARKS}copyright\b[ \t:]+(?:by[ \t]+)?(?!(?:{_TERMS})\b)\p{{L}}[^\n]*"
+# A name alone counts at the start of a paragraph or after another notice: elsewhere the line may be wrapped text.
+NOTICE = rf"(?m)(?:^{_SIGNED}$|(?<=\A|\n[ \t\r]{{0,80}}\n)^{_NAMED}$)(?:\n(?:{_SIGNED}|{_NAMED})$)*(?:\n{_MARKS}all rights reserved{_MARKS}$)?"
+
+_APACHE_HEADER = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may'
+    " obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in"
+    ' writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either'
+    " express or implied. See the License for the specific language governing permissions and limitations under the License."
+)
+_MPL_HEADER = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this"
+    " file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+
+
+def _gnu_header(kind: str) -> str:
+    return (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free"
+        " Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope"
+        " that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR"
+        f" PURPOSE. See the GNU {kind} for more details.\n\nYou should have received a copy of the GNU {kind} along with this program. If not, see"
+        " <https://www.gnu.org/licenses/>."
+    )
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """Licences that are kept as files, with and without what follows their terms, and the usual file headers."""
+    out = [
+        ("Apache-2.0", _APACHE_HEADER), ("MPL-2.0", _MPL_HEADER), ("GPL-3.0", _gnu_header("General Public License")),
+        ("LGPL-3.0", _gnu_header("Lesser General Public License")),
+    ]
+    for file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(file.stem, text), (file.stem, terms), (file.stem, terms + end)]
+    return out
+
+
 def canonical(text: Column) -> Column:
     """The form in which texts are compared; null stays null."""
-    out = F.lower(text)
-    # A copyright line: nothing but marks before the word or the sign.
-    out = F.regexp_replace(out, "(?m)^[^\\p{L}\\p{N}\\n]*(?:copyright\\b|©|\\(c\\))[^\\n]*$", "")
+    out = F.regexp_replace(F.lower(text), NOTICE, "")
     out = F.concat(F.regexp_replace(out, "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
     for one, other in EQUIVALENT:
         out = F.replace(out, F.lit(one), F.lit(other))
@@ -95,7 +142,7 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """``digest, license_id`` of known texts, each digest once."""
-    rows = spark.createDataFrame(KNOWN if texts is None else texts, "license_id string, text string")
+    rows = spark.createDataFrame(KNOWN + whole_texts() if texts is None else texts, "license_id string, text string")
     rows = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license_id")
     return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
