@@ -376,6 +376,19 @@ def test_toxicity_of_plain_and_disguised(spark):
     assert none.features == {} and none.score(set()) == 0.5
 
 
+def test_every_disguise_is_decoded():
+    text = "you are an idiot and a moron said the ass to the stupid loser who is worthless trash and scum disgusting " * 20
+    counts = np.bincount(toxicity._gram_codes(np.frombuffer(text.encode(), np.uint8)), minlength=toxicity.SYMBOLS**toxicity.ORDER)
+    lookup = toxicity.Lookup(toxicity.Restorer(toxicity.language_model(counts.astype(float))))
+    idiot = [
+        "!diot", "*diot", "an !diot!", "iddiioott", "i  d   i o  t", "i\td\ti\to\tt", "y.o.u.a.r.e.a.n...i.d.i.o.t.a.n.d.a...m.o.r.o.n.s.a.i.d.t.h.e.a.s.s.",
+        "i" * 70 + "diot", "idi" + "o" * 500 + "t", "x." * 300 + "...i.d.i.o.t", "1d!0t!!!!", '"1d10t"',
+    ]
+    assert [t for t in idiot if not any("idiot" in w for w in lookup.words(t))] == []
+    assert [t for t in ("a$$", "@$$", "a$$$", "4$$", "a s s", "a  $ $") if "ass" not in lookup.words(t)] == []
+    assert "idiot" in lookup.words("y.o.u.a.r.e...i.d.i.o.t.")
+
+
 # ----------------------------------------------------------------------------- minhash
 
 

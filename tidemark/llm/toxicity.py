@@ -45,10 +45,14 @@ _CODE[97:123] = np.arange(1, 27)
 _CODE[65:91] = np.arange(1, 27)
 _CODE[128:] = 27
 _EDGES = ".,;:!?\"'()[]{}<>|-_=~`/\\*%&#$@+^"
-_SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:[ \t]\S){2,}(?=\s|$)")
-_RUN = re.compile(r"(.)\1\1")
 _DECORATED = re.compile(r"([^\w\s])\1\1+$")
-_ODD = re.compile(r"[^\W\d_].*[\d@$!|+(<*#.\-_~]|[\d@$!|+(<*#.\-_~].*[^\W\d_]")
+_LONG = re.compile(r"(.)\1{3,}", re.DOTALL)
+#: Marks around a word that stand for no letter.
+_OUTER = "".join(c for c in _EDGES if c not in LEET)
+_LEET = "".join(LEET)
+_ODD = re.compile(r"(.)\1|[" + re.escape(_LEET) + r"]|[^\W\d_][.\-_~][^\W\d_]", re.DOTALL)
+#: Characters decoded at once, and how many of them overlap.
+WINDOW, OVERLAP = 200, 40
 
 
 def _gram_codes(raw: np.ndarray) -> np.ndarray:
@@ -105,14 +109,17 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model
 
-    def decode(self, text: str) -> str:
-        """The likeliest reading of one disguised stretch: words between single blanks."""
+    def decode(self, text: str, letters: bool = False) -> str:
+        """The likeliest reading of one disguised stretch: words between single blanks.
+
+        With ``letters`` every character that may stand for a letter does.
+        """
         states: dict[int, tuple[float, str]] = {0: (0.0, "")}
         last, run = "", 0
         for c in [*text.lower(), None]:
             run = run + 1 if c == last else 1
             last = c or ""
-            options = self._options(c, run)
+            options = self._options(c, run, letters)
             following: dict[int, tuple[float, str]] = {}
             for state, (score, out) in states.items():
                 for symbol, shown, cost in options:
@@ -132,7 +139,7 @@ class Restorer:
         return max(states.values())[1].strip()
 
     @staticmethod
-    def _options(c: str | None, run: int) -> list[tuple[int | None, str, float]]:
+    def _options(c: str | None, run: int, letters: bool = False) -> list[tuple[int | None, str, float]]:
         """Symbol, what it adds to the text, and log probability of the channel."""
         if c is None:
             return [(0, "", 0.0)]
@@ -143,12 +150,15 @@ class Restorer:
             out: list[tuple[int | None, str, float]] = [(symbol, c, 0.0)]
             return out + [(None, "", REPEATED)] if run > 1 else out
         out = [(ord(x) - 96, x, IMITATES) for x in LEET.get(c, "")]
+        if out and letters:
+            return out + [(None, "", REPEATED)] if run > 2 else out
         out.append((0, " ", ENDS_WORD))
         return out + [(None, "", REPEATED if run > 1 else DROPPED * (1 if not c.isdigit() else 3))]
 
 
 def disguised(word: str) -> bool:
-    return len(word) < 60 and (bool(_ODD.search(word)) or bool(_RUN.search(word)))
+    """Whether a word has a character that may stand for another, a double one, or marks between letters."""
+    return bool(_ODD.search(word))
 
 
 class Lookup:
@@ -166,33 +176,50 @@ class Lookup:
     def restore(self, word: str) -> list[str]:
         got = self.restored.get(word)
         if got is None:
-            bare = _DECORATED.sub("", word)
-            got = self.restorer.decode(bare.strip(".,;:?\"'()[]{}")).split() if disguised(bare) else []
+            got = []
+            # Marks at the end may be emphasis or letters.
+            for form in {_DECORATED.sub("", word), word} if word[-1] in _LEET else {_DECORATED.sub("", word)}:
+                bare = form.strip(_OUTER).rstrip("(")
+                if disguised(bare):
+                    got = got + self.decode(bare)
+                    if len(bare) < WINDOW - OVERLAP and any(c in LEET for c in bare):
+                        # The likeliest reading may drop a mark: "a$$" without its last letters.
+                        got = got + self.restorer.decode(bare, letters=True).split()
             if len(self.restored) >= REMEMBERED:
                 self.restored.clear()
             self.restored[word] = got
         return got
 
+    def decode(self, stretch: str) -> list[str]:
+        """Words of a stretch of any length; long ones in windows that overlap."""
+        if len(stretch) < WINDOW - OVERLAP:
+            return self.restorer.decode(stretch).split()
+        stretch = _LONG.sub(r"\1\1\1", stretch)
+        out: set[str] = set()
+        for i in range(0, len(stretch), WINDOW):
+            part = stretch[max(0, i - OVERLAP) : i + WINDOW]
+            got = self.restored.get(part + " ")
+            if got is None:
+                got = self.restored[part + " "] = self.restorer.decode(part).split()
+            out.update(got)
+        return list(out)
+
     def words(self, text: str) -> set[str]:
         """Distinct words of a text: as written without marks at the edges, and as restored."""
-        text = text.lower()
-        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        words = set(text.split())
+        order = text.lower().split()
+        words = set(order)
         out = {w.strip(_EDGES) for w in words}
-        odd = [w for w in words if not w.isalpha() and (w[0] in "$@|+(<" or not w.strip(_EDGES).isalpha())]
-        same = raw[1:] == raw[:-1]
-        if (same[1:] & same[:-1] & (_CODE[raw[2:]] > 0)).any():
-            odd += [w for w in words if _RUN.search(w)]
-        for w in odd:
+        # Only what is decoded is remembered.
+        for w in filter(_ODD.search, words):
             out.update(self.restore(w))
-        blank = np.concatenate(([True], raw <= 32, [True]))
-        single = blank[:-2] & ~blank[1:-1] & blank[2:]
-        if (single[:-4] & single[2:-2] & single[4:]).any():
-            for spaced in _SPACED.findall(text):
-                # A run of one letter over and over spells nothing, however long it is.
-                if len(set(spaced)) > 3:
-                    for i in range(0, len(spaced), 200):
-                        out.update(self.restorer.decode(spaced[max(0, i - 40) : i + 200]).split())
+        # Runs of three or more single characters, whatever blanks are between.
+        short = np.fromiter(map(len, order), np.int64, len(order)) == 1
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], short.astype(np.int8), [0]))))
+        for low, high in zip(edges[::2], edges[1::2]):
+            # A run of one letter over and over spells nothing, however long it is.
+            if high - low > 2 and len(set(order[low:high])) > 1:
+                out.update(self.decode(" ".join(order[low:high])))
+                out.update(self.restore("".join(order[low:high])))
         out.discard("")
         return out
 
@@ -317,8 +344,9 @@ def score(text: Column | str, model: Model) -> Column:
     """Probability that a whole text is toxic; null counts as empty."""
 
     @F.pandas_udf("double")
-    def look(texts: pd.Series) -> pd.Series:
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lookup = model.lookup()
-        return pd.Series([model.score(lookup.text(t)) for t in texts], dtype=float)
+        for texts in batches:
+            yield pd.Series([model.score(lookup.text(t)) for t in texts], dtype=float)
 
     return look(F.col(text) if isinstance(text, str) else text)
