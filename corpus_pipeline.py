@@ -41,10 +41,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, whatever their ids: rows go by their text, which is all that decides."""
     small_batches(spark)
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.withColumn("_text", F.sha2("text", 256))
+    found = decontaminate.leaks(named, table(spark, sf_dir, "benchmark"), id_col="_text", id_type="string")
+    gone = stored(found.select("_text").distinct(), "leaking-texts")
+    # Null texts have no digest and stay; both sides are stored, so a text that many rows share can be split.
+    return named.join(gone, "_text", "left_anti").select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,3 +57,15 @@ def test_pipeline_of_nothing(spark):
     docs = table(spark, FOLDER, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_benchmarks_go_by_text(spark, tmp_path):
+    items = [(1, "Which river runs past the old stone mill at night? The seven green carriages of morning."), (2, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    leak = "before all of it " + items[0][1] + " and after it some more"
+    rows = [(None, leak), (None, "clean"), (5, leak), (5, "clean too"), (6, None), (None, None), (7, ""), (None, leak)]
+    docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id long")
+    kept = corpus_pipeline.without_benchmarks(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    want = [r for r in rows if r[1] != leak]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)

@@ -162,7 +162,7 @@ def _overlap(part: list[bytes], passage: list[bytes], run: int) -> float:
 
 def leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    least: float = 0.7, overlap: float = 0.5,
+    least: float = 0.7, overlap: float = 0.5, id_type: str = "bigint",
 ) -> DataFrame:
     """``id, item, score, question_overlap, answer_overlap, passages`` for each item found in a document.
 
@@ -171,7 +171,7 @@ def leaks(
 
     Items that are null, empty or without words are never found; items of equal text are found
     together; a repeated item row gives one result. Documents that are null or empty give no rows;
-    rows that repeat a document give theirs again. Ids may be null. Other columns are not looked
+    rows that repeat a document give theirs again. Ids may be null; they are given as ``id_type``. Other columns are not looked
     at. No items or no documents: an empty result.
     """
     known = items.select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text_col).alias("t")).filter("i is not null and t is not null").distinct()
@@ -209,5 +209,5 @@ def leaks(
         got = texts.mapInPandas(search(index), schema)
         out = got if out is None else out.union(got)
     return out.select(
-        F.col("id").cast("bigint").alias(id_col), F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap", "passages"
+        F.col("id").cast(id_type).alias(id_col), F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap", "passages"
     )
