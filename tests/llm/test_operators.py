@@ -501,6 +501,53 @@ def test_leaks(spark):
     assert decontaminate.leaks(frame(spark, []), tests).count() == decontaminate.leaks(frame(spark, rows), tests.limit(0)).count() == 0
 
 
+def plain_leaks(rows, items, least=0.7, overlap=0.5):
+    """Every passage of every document scored against every item, without an index."""
+    import math
+    import re
+
+    known = sorted({(k, t) for k, t in items if t and t.split()})
+    words = {x: x[1].encode().lower().split() for x in known}
+    held = Counter(w for x in known for w in set(words[x]))
+    idf = {w: math.log(1 + (len(known) - n + 0.5) / (n + 0.5)) for w, n in held.items()}
+    mean, cell = sum(map(len, words.values())) / len(known), max(16, *map(len, words.values()))
+    out = set()
+    for x in known:
+        damp = 1.2 * (0.25 + 0.75 * len(words[x]) / mean)
+        impact = {w: idf[w] * n * 2.2 / (n + damp) for w, n in Counter(words[x]).items()}
+        sentences = [t for t in re.split(r"(?<=[.?!])\s+|\n+", x[1]) if t.strip()]
+        parts = [(" ".join(sentences[:-1]).encode().lower().split(), 5), (sentences[-1].encode().lower().split(), 3)]
+        for i, t in rows:
+            text = (t or "").encode().lower().split()
+            for start in range(0, len(text), cell):
+                passage = text[start : start + 2 * cell]
+                score = sum(v for w, v in impact.items() if w in set(passage)) / sum(impact.values())
+                shares = []
+                for part, run in parts:
+                    run = min(run, len(part))
+                    there = {tuple(passage[j : j + run]) for j in range(len(passage) - run + 1)}
+                    covered = {k for j in range(len(part) - run + 1) if tuple(part[j : j + run]) in there for k in range(j, j + run)}
+                    shares.append(len(covered) / len(part))
+                if score >= least and min(shares) >= overlap:
+                    out.add((i, x[0]))
+    return out
+
+
+def test_leaks_like_scoring_all_passages(spark):
+    rng = random.Random(13)
+    items = [(k, prose(rng, rng.randint(8, 30)).capitalize() + ". " + prose(rng, rng.randint(4, 9)).capitalize() + ".") for k in range(25)]
+    rows = []
+    for i in range(60):
+        words = items[i % 25][1].split()
+        for _ in range(rng.choice((0, 1, 2, 4, 8))):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((i, " ".join([prose(rng, rng.randint(1, 90)), *words, prose(rng, rng.randint(1, 90))])))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), tests).collect()}
+    want = plain_leaks(rows, items)
+    assert got == want and 20 < len(want) < 60
+
+
 def test_retrieval_is_whole():
     rng = random.Random(10)
     words = [f"w{k}" for k in range(60)]

@@ -1,11 +1,16 @@
 """Registered queries of this folder against SQL, and the pipeline's stages against plain rules."""
 
+import random
+import zlib
+
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import queries
+from tidemark.llm import quality, queries
 from tidemark.llm.common import stored, table
+from tests.llm.test_operators import WORDS, plain_groups, plain_leaks, plain_lines, prose
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -69,3 +74,42 @@ def test_benchmarks_go_by_text(spark, tmp_path):
     assert kept.columns == docs.columns
     want = [r for r in rows if r[1] != leak]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_stages_like_plain_python(spark, tmp_path):
+    rng = random.Random(14)
+    items = [(k, prose(rng, 20).capitalize() + ". " + prose(rng, 6).capitalize() + ".") for k in range(6)]
+    base = [prose(rng, 80) for _ in range(5)]
+    header = "\n".join(prose(rng, 5) for _ in range(3))
+    rows = [(i, prose(rng, 60)) for i in range(20)] + [(100 + k, prose(rng, 30) + " " + t) for k, t in items[:4]]
+    rows += [(200 + k, header + "\n" + prose(rng, 40)) for k in range(5)]
+    for i in range(20):
+        words = base[i % 5].split()
+        for _ in range(rng.choice((0, 1, 2, 20))):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((300 + i, " ".join(words)))
+    bad = [(400 + i, " ".join(w.upper() + "!!" for w in prose(rng, 50).split())) for i in range(40)]
+    rows += bad + [(500, ""), (501, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    labels = [(i, int(not 400 <= i < 500)) for i, _ in rows if i < 500]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def run(stage, rows):
+        docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long")
+        return sorted((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect())
+
+    good = run(corpus_pipeline.good_documents, rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    used = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    trees = quality.fit(docs, spark.createDataFrame(used, "doc_id long, quality int"))
+    scores = trees.score(np.array([quality.statistics(t or "") for _, t in rows], float))
+    key = lambda r: (r[0], r[1] or "")
+    assert sorted(good, key=key) == sorted([r for r, x in zip(rows, scores) if x >= corpus_pipeline.LEAST_QUALITY], key=key)
+    assert not {i for i, _ in good} & {i for i, _ in bad} and len(good) >= len(rows) - len(bad) - 2
+    rows = [r for r in rows if r[1] is not None]
+    assert run(corpus_pipeline.without_repeated_lines, rows) == sorted((i, t) for i, (t, _, _) in plain_lines(rows).items())
+    kept = {i for i, (_, _, own) in plain_groups(rows, 5, 80).items() if own}
+    assert run(corpus_pipeline.one_of_each_group, rows) == sorted(r for r in rows if r[0] in kept) and len(kept) < len(rows)
+    found = {i for i, _ in plain_leaks(rows, items)}
+    assert found == {100, 101, 102, 103}
+    assert run(corpus_pipeline.without_benchmarks, rows) == sorted(r for r in rows if r[0] not in found)
