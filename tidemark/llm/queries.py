@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licences, lines, minhash, neighbours, packing, quality, suffixes, toxicity, warc
+from tidemark.llm import (
+    decontaminate, languages, licences, lines, minhash, negatives, neighbours, packing, quality, runs, suffixes, toxicity, warc,
+)
 from tidemark.llm.common import small_batches, table
 from tidemark.session import shared_folder
 
@@ -165,3 +167,44 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    models = languages.fit(docs.filter(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), languages.predict("text", models).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected")
+
+
+def with_repetitions(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, of which one in ten repeats a stretch of its own words to the end, as ids and lengths have it."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    some = F.when(hashed % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(0)))
+    rows = docs.select("doc_id", "text", F.floor(hashed / 10).alias("g"), some.alias("words")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repetitions(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("top"), F.array_join(lines, "").alias("lines"), "collapsed")
+    return found.select(
+        "doc_id", "n_runs", (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("bigint").alias("label"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
