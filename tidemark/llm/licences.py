@@ -94,7 +94,8 @@ _MARKS = r"[^\p{L}\p{N}\n]*"
 _SIGNED = rf"{_MARKS}(?:copyright\b{_MARKS}(?:©|\(c\)|\d{{4}}|yyyy\b|year\b)|©|\(c\)[ \t]*(?:copyright\b|\d{{4}}))[^\n]*"
 _NAMED = rf"{_MARKS}copyright\b[ \t:]+(?:by[ \t]+)?(?!(?:{_TERMS})\b)\p{{L}}[^\n]*"
 # A name alone counts at the start of a paragraph or after another notice: elsewhere the line may be wrapped text.
-NOTICE = rf"(?m)(?:^{_SIGNED}$|(?<=\A|\n[ \t\r]{{0,80}}\n)^{_NAMED}$)(?:\n(?:{_SIGNED}|{_NAMED})$)*(?:\n{_MARKS}all rights reserved{_MARKS}$)?"
+# The anchor stands before the look-behind, which is dear and so is tried at the start of lines only.
+NOTICE = rf"(?m)(?:^{_SIGNED}$|^(?<=\A|\n[ \t\r]{{0,80}}\n){_NAMED}$)(?:\n(?:{_SIGNED}|{_NAMED})$)*(?:\n{_MARKS}all rights reserved{_MARKS}$)?"
 
 _APACHE_HEADER = (
     'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may'
@@ -131,9 +132,11 @@ def whole_texts() -> list[tuple[str, str]]:
     return out
 
 
-def canonical(text: Column) -> Column:
-    """The form in which texts are compared; null stays null."""
-    out = F.regexp_replace(F.lower(text), NOTICE, "")
+def canonical(text: Column, notices: bool = True) -> Column:
+    """The form in which texts are compared; null stays null. Without ``notices`` copyright notices are not looked for."""
+    out = F.lower(text)
+    if notices:
+        out = F.regexp_replace(out, NOTICE, "")
     out = F.concat(F.regexp_replace(out, "[^\\p{L}\\p{N}]+", " "), F.lit(" "))
     for one, other in EQUIVALENT:
         out = F.replace(out, F.lit(one), F.lit(other))
@@ -158,10 +161,11 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     Rows that repeat an id share the notices of all its texts; a row with a null id has none. Other
     columns are not looked at.
     """
-    digest = lambda c: F.sha2(F.nullif(canonical(c), F.lit("")), 256)
+    digest = lambda c, notices=True: F.sha2(F.nullif(canonical(c, notices), F.lit("")), 256)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     whole = rows.select("id", digest(F.col("text")).alias("digest")).join(known, "digest", "left")
     lines = rows.filter("id is not null").select("id", F.explode(F.split("text", "\n")).alias("line"))
-    found = lines.select("id", digest(F.col("line")).alias("digest")).join(known, "digest").select("id", "license_id").distinct()
+    # A line that is a copyright notice is none of the known ones, with it or without.
+    found = lines.select("id", digest(F.col("line"), False).alias("digest")).join(known, "digest").select("id", "license_id").distinct()
     notices = found.groupBy("id").agg(F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notices"))
     return whole.join(notices, "id", "left").select(F.col("id").alias(id_col), "digest", "license_id", "notices")
