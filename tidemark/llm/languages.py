@@ -196,51 +196,54 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from sent()
 
 
-def _entries(counts: DataFrame) -> DataFrame:
-    """``lang, kind, slot, value`` of the models made from ``lang, gram, n``."""
+def _levels(counts: DataFrame) -> Iterator[DataFrame]:
+    """``lang, kind, slot, value`` of the models made from ``lang, gram, n``, from the longest sequences to single characters."""
 
-    @F.pandas_udf("bigint")
+    @F.pandas_udf("int")
     def slot(keys: pd.Series, kinds: pd.Series) -> pd.Series:
-        out = np.empty(len(keys), np.int64)
+        out = np.empty(len(keys), np.int32)
         for kind in kinds.unique():
             at = (kinds == kind).to_numpy()
             out[at] = slots(keys.to_numpy()[at].view(np.uint64), int(kind))
         return pd.Series(out)
 
-    made = []
     level = counts
     for k in range(ORDER, 0, -1):
+        level = stored(level, f"sequences-{k}")
         once, twice = F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))
         share = F.when((once == 0) | (twice == 0), DISCOUNT).otherwise(once / (once + 2 * twice))
         discounts = level.groupBy("lang").agg(F.greatest(F.lit(0.05), F.least(F.lit(0.95), share)).alias("d"))
-        level = level.withColumn("context", F.shiftrightunsigned("gram", 16))
-        contexts = level.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).join(discounts, "lang")
+        parts = level.withColumn("context", F.shiftrightunsigned("gram", 16))
+        contexts = parts.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        contexts = stored(contexts.join(discounts, "lang"), "contexts")
         handed = F.col("d") * F.col("kinds") / F.col("total")
-        made.append(contexts.select("lang", F.lit(2 * k - 1).alias("kind"), F.col("context").alias("key"), handed.alias("value")))
-        kept = level.join(contexts, ["lang", "context"])
-        made.append(kept.select("lang", F.lit(2 * k).alias("kind"), F.col("gram").alias("key"), ((F.col("n") - F.col("d")) / F.col("total")).alias("value")))
+        handed = contexts.select("lang", F.lit(2 * k - 1).alias("kind"), F.col("context").alias("key"), handed.alias("value"))
+        kept = parts.join(contexts, ["lang", "context"])
+        kept = kept.select("lang", F.lit(2 * k).alias("kind"), F.col("gram").alias("key"), ((F.col("n") - F.col("d")) / F.col("total")).alias("value"))
+        rows = handed.unionByName(kept).withColumn("slot", slot("key", "kind"))
+        # Sequences that share a slot share its largest value.
+        yield rows.groupBy("lang", "kind", "slot").agg(F.max(F.col("value").cast("float")).alias("value"))
         if k > 1:
             level = level.groupBy("lang", F.col("gram").bitwiseAND((1 << 16 * (k - 1)) - 1).alias("gram")).agg(F.count("*").alias("n"))
-            level = stored(level, f"sequences-{k - 1}")
-    rows = made[0]
-    for more in made[1:]:
-        rows = rows.unionByName(more)
-    rows = rows.withColumn("slot", slot("key", "kind"))
-    # Sequences that share a slot share its largest value.
-    return rows.groupBy("lang", "kind", "slot").agg(F.max(F.col("value").cast("float")).alias("value"))
-
-
-def _models(counts: DataFrame) -> Models:
-    # At most 2 ** SLOT_BITS rows for each language and kind.
-    rows = _entries(counts).toPandas()
-    names = sorted(rows["lang"].unique())
-    rows = rows.sort_values(["lang", "kind", "slot"])
+
+
+def _models(counts: DataFrame) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
+    """Tables of each ``lang`` of the counts."""
     empty = np.empty(0, np.uint32), np.empty(0, np.float32)
-    tables = [[empty] * (2 * ORDER + 1) for _ in names]
-    place = {name: i for i, name in enumerate(names)}
-    for (lang, kind), part in rows.groupby(["lang", "kind"]):
-        tables[place[lang]][kind] = part["slot"].to_numpy(np.uint32), part["value"].to_numpy(np.float32)
-    return Models(names, tables)
+    out: dict[str, list] = {}
+    for level in _levels(counts):
+        # At most 2 ** SLOT_BITS rows for each language and kind.
+        rows = level.toArrow()
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        which, kind = langs.indices.to_numpy(zero_copy_only=False), rows.column("kind").to_numpy()
+        slot, value = rows.column("slot").to_numpy().astype(np.uint32), rows.column("value").to_numpy().astype(np.float32)
+        for i, name in enumerate(langs.dictionary.to_pylist()):
+            tables = out.setdefault(name, [empty] * (2 * ORDER + 1))
+            for one in np.unique(kind[which == i]):
+                mine = np.flatnonzero((which == i) & (kind == one))
+                mine = mine[np.argsort(slot[mine])]
+                tables[one] = slot[mine], value[mine]
+    return out
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Models:
@@ -254,9 +257,16 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
     known = known.withColumn("calibrating", F.pmod(F.xxhash64("text"), F.lit(CALIBRATING)) == 0)
     counts = known.mapInPandas(_counted, "lang string, calibrating boolean, gram bigint, n bigint")
-    counts = stored(counts.groupBy("lang", "calibrating", "gram").agg(F.sum("n").alias("n")), "sequences")
-    models = _models(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    blind = _models(counts.filter("not calibrating").select("lang", "gram", "n"))
+    counts = counts.groupBy("lang", "calibrating", "gram").agg(F.sum("n").alias("n"))
+    # Models of all texts, and others that have not seen those that calibrate.
+    kinds = F.explode(F.when(F.col("calibrating"), F.array(F.lit("all:"))).otherwise(F.array(F.lit("all:"), F.lit("blind:"))))
+    counts = counts.withColumn("kind", kinds).groupBy(F.concat("kind", "lang").alias("lang"), "gram").agg(F.sum("n").alias("n"))
+    made = _models(counts)
+    models, blind = (
+        Models(names, [made[kind + name] for name in names])
+        for kind in ("all:", "blind:")
+        for names in [sorted(x.removeprefix(kind) for x in made if x.startswith(kind))]
+    )
     models.mean, models.spread = [0.0] * len(models.names), [float("inf")] * len(models.names)
     if not blind.names:
         return models
