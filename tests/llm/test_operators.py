@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import decontaminate, licences, lines, minhash, neighbours, packing, quality, suffixes, toxicity, warc
-from tidemark.llm.common import components
+from tidemark.llm.common import components, may_be_among
 
 #: Columns that clash with names the operators add or use.
 DOCS = "doc_id long, text string, n_lines long, v string, id string, score double, first long"
@@ -567,3 +568,49 @@ def test_retrieval_is_whole():
 def test_crc_of_packed_query(spark):
     made = packing.pieces(frame(spark, [(1, "hello")]), public_tokenizers.path("byte_bpe_50k.json")).selectExpr("ids", "crc32(ids) c").first()
     assert made.c == zlib.crc32(bytes(made.ids))
+
+
+# ---------------------------------------------------------------------------- shared
+
+
+def test_filter_lets_no_key_through_unseen(spark):
+    keys = spark.createDataFrame([(i,) for i in range(0, 3000, 3)] + [(None,)], "k long")
+    rows = spark.createDataFrame([(i,) for i in range(3000)] + [(None,)], "id long")
+    got = {r.id for r in rows.filter(may_be_among(F.col("id"), keys)).collect()}
+    assert got >= set(range(0, 3000, 3)) and None not in got and len(got) < 1100
+    assert rows.filter(may_be_among(F.col("id"), keys.limit(0))).count() == 0
+
+
+def test_own_names_clash_with_none(spark):
+    rng = random.Random(3)
+    rows = [(i, "\n".join(prose(rng, 4) for _ in range(6))) for i in range(4)]
+    rows.append((9, rows[0][1]))
+    docs = frame(spark, rows)
+    for name in ("_id", "_later", "_cut", "_k", "_length", "_slice", "_n", "_score", "_suspect", "_digest", "_text"):
+        docs = docs.selectExpr("*", f"concat('{name}', doc_id) AS {name}")
+    cut = lines.dedup_lines(docs)
+    assert cut.columns == [c for c in docs.columns if c != "n_lines"] + ["n_lines", "n_removed"]
+    assert {(r._id, r._later, r._cut) for r in cut.collect()} == {(f"_id{i}", f"_later{i}", f"_cut{i}") for i, _ in rows}
+    placed = packing.pack(docs.withColumn("length", F.lit(10)), capacity=25, order=("doc_id",))
+    assert placed.columns == [*docs.columns, "length", "sequence_id", "offset"]
+    assert {(r._k, r._length, r._slice) for r in placed.collect()} == {(f"_k{i}", f"_length{i}", f"_slice{i}") for i, _ in rows}
+    assert sorted(r.offset for r in placed.collect()) == [0, 0, 0, 10, 10]
+
+
+def test_leaks_the_same_in_parts(spark, monkeypatch):
+    rng = random.Random(31)
+    items = [(k, prose(rng, 12).capitalize() + ". " + prose(rng, 4).capitalize() + ".") for k in range(40)]
+    rows = [(i, prose(rng, 30) + " " + items[i][1] + " " + prose(rng, 20)) for i in range(20)] + [(90, prose(rng, 50)), (91, None), (92, ""), (None, items[3][1])]
+    for i in range(30, 40):  # edited copies, near the threshold
+        words = items[i][1].split()
+        words[rng.randrange(12)] = "other"
+        rows.append((i, " ".join(words)))
+    docs, tests = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    columns = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passages"]
+    found = lambda: sorted(((-1 if r.doc_id is None else r.doc_id, *(round(x, 9) for x in r[1:])) for r in decontaminate.leaks(docs, tests).select(*columns).collect()))
+    clean = lambda: sorted(repr(tuple(r)) for r in decontaminate.without_leaks(docs, tests).collect())
+    one, kept = found(), clean()
+    monkeypatch.setattr(decontaminate, "ITEMS", 11)
+    assert found() == one and clean() == kept and len(one) >= 25
+    leaking = {i for i, *_ in one}
+    assert kept == sorted(repr(tuple(r)) for r in docs.collect() if (r.doc_id if r.doc_id is not None else -1) not in leaking)

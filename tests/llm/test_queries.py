@@ -1,7 +1,10 @@
 """Registered queries of this folder against SQL, and the pipeline's stages against plain rules."""
 
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -113,3 +116,28 @@ def test_stages_like_plain_python(spark, tmp_path):
     found = {i for i, _ in plain_leaks(rows, items)}
     assert found == {100, 101, 102, 103}
     assert run(corpus_pipeline.without_benchmarks, rows) == sorted(r for r in rows if r[0] not in found)
+
+
+def test_queries_without_a_package_that_these_need(tmp_path):
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore'); sys.modules['xxhash'] = None; import __spark_entry__ as e;"
+        " print(len(e.queries()), sum(k.startswith('op') or k == 'pipeline' for k in e.queries()))"
+    )
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2])
+    assert said.returncode == 0, said.stderr
+    total, extra = map(int, said.stdout.split())
+    assert total > 100 and extra == 0
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    rng = random.Random(21)
+    spark.createDataFrame([(1, prose(rng, 12) + ". " + prose(rng, 5) + ".")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(i, prose(rng, 40)) for i in range(8)] + [(None, None), (9, ""), (3, "again"), (3, "again")]
+    docs = spark.createDataFrame([(i, t, len(t or ""), *[f"{i}"] * 6) for i, t in rows], "doc_id long, text string, n_chars long, _score string, _text string, _nth string, _suspect string, _digest string, _id string")
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stored(stage(spark, docs, str(tmp_path)), f"test-{name}")
+        assert out.columns == docs.columns
+        assert all(x in (str(r.doc_id), None) for r in out.collect() for x in r[3:])
+        assert out.count() == len(rows) - (name == "near_duplicates")
+    assert corpus_pipeline.good_documents(spark, docs, str(tmp_path)).columns == docs.columns

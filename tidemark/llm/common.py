@@ -6,9 +6,10 @@ import gc
 import sys
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import using, written
@@ -49,6 +50,45 @@ def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     return out
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+#: Bits for each key of a filter, and bits of the largest one: 8 MB.
+KEY_BITS, MOST_BITS = 16, 1 << 26
+
+
+def may_be_among(key: Column, keys: DataFrame) -> Column:
+    """Whether ``key`` may be one of the (only) column of ``keys``; false is sure. A null key is not.
+
+    A Bloom filter of bounded size: more keys only mean more that pass.
+    """
+    spark, name = keys.sparkSession, keys.columns[0]
+    keys = keys.select(F.col(f"`{name}`").alias("k")).filter("k is not null")
+    bits = min(MOST_BITS, 1 << max(10, int(keys.count() * KEY_BITS).bit_length()))
+    places = lambda k: [F.pmod(F.xxhash64(F.lit(i), k), F.lit(bits)) for i in range(2)]
+    each = keys.select(F.explode(F.array(*places(F.col("k")))).alias("p"))
+    words = each.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask"))
+    # At most MOST_BITS / 64 rows.
+    found = words.toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[found.column("word").to_numpy()] = found.column("mask").to_numpy()
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def passes(one: pd.Series, two: pd.Series) -> pd.Series:
+        out = np.ones(len(one), bool)
+        for p in (one.to_numpy(np.int64), two.to_numpy(np.int64)):
+            out &= (shared.value[p >> 6] >> (p & 63) & 1).astype(bool)
+        return pd.Series(out)
+
+    return key.isNotNull() & passes(*places(key))
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered."""
 

@@ -24,37 +24,42 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import words_of
+from tidemark.llm.common import stored, words_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 K1, B = 1.2, 0.75
 #: Items in a block of the index.
 BLOCK = 8
-#: Items in one index; more items are searched part by part.
+#: Items in one index, about; more items are searched part by part, one part on the driver at a time.
 ITEMS = 4096
 #: Words in a shared run that counts, for questions and for answers.
 QUESTION_RUN, ANSWER_RUN = 5, 3
 
 
 class Index:
-    """Postings of test items with the highest impact of each term, overall and by block."""
+    """Postings of test items with the highest impact of each term, overall and by block.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``counted`` has the number of all items, their mean length, and how many hold each term, where ``items`` is a
+    part of them; else these are counted here.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], counted: tuple[int, float, dict[bytes, int]] | None = None):
         found = [(i, words_of(t), t) for i, t in items]
         found = sorted((x for x in found if x[1]), key=lambda x: (x[0], x[2]))
         self.items = [i for i, _, _ in found]
         self.parts = [_parts(t) for _, _, t in found]
         self.longest = max((len(w) for _, w, _ in found), default=0)
         tallies = [Counter(w) for _, w, _ in found]
-        held = Counter(t for tally in tallies for t in tally)
-        self.terms = {t: k for k, t in enumerate(sorted(held))}
-        idf = {t: math.log(1 + (len(found) - n + 0.5) / (n + 0.5)) for t, n in held.items()}
-        mean = sum(len(w) for _, w, _ in found) / max(1, len(found))
+        here = Counter(t for tally in tallies for t in tally)
+        many, mean, held = counted or (len(found), sum(len(w) for _, w, _ in found) / max(1, len(found)), here)
+        self.terms = {t: k for k, t in enumerate(sorted(here))}
+        idf = {t: math.log(1 + (many - held[t] + 0.5) / (held[t] + 0.5)) for t in here}
         self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.terms]
         self.blocks = -(-len(found) // BLOCK)
         self.block_max = np.zeros((len(self.terms), self.blocks), np.float32)
@@ -160,9 +165,52 @@ def _overlap(part: list[bytes], passage: list[bytes], run: int) -> float:
     return float(covered.mean())
 
 
+def _indexes(items: DataFrame, item_col: str, item_text_col: str) -> Iterator[Index]:
+    """Indexes of all items, about ``ITEMS`` in each; frequencies and the mean length are those of all."""
+    known = items.select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text_col).alias("t")).filter("i is not null and t is not null")
+    known = stored(known.distinct(), "test-items")
+    parts = max(1, -(-known.count() // ITEMS))
+    if parts == 1:
+        yield Index([(r.i, r.t) for r in known.collect()])
+        return
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            each = [words_of(t) for t in batch["t"]]
+            yield pd.DataFrame({"part": batch["part"], "words": [len(w) for w in each], "terms": [sorted(set(w)) for w in each]})
+
+    known = known.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
+    terms = stored(known.select("part", "t").mapInPandas(counted, "part bigint, words bigint, terms array<binary>").filter("words > 0"), "item-terms")
+    many, words = terms.agg(F.count("*"), F.sum("words")).first()
+    each = terms.select("part", F.explode("terms").alias("term"))
+    held = stored(each.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
+    for part in range(parts):
+        # The items of one part and the terms they hold: about ITEMS rows, and their words.
+        mine = each.filter(F.col("part") == part).select("term").distinct().join(held, "term").collect()
+        counts = {bytes(r.term): r.n for r in mine}
+        yield Index([(r.i, r.t) for r in known.filter(F.col("part") == part).collect()], (many, words / many, counts) if many else None)
+
+
+def _found(index: Index, text: str | None, least: float, overlap: float, first: bool = False) -> dict[int, tuple[float, float, float, int]]:
+    """``score, question_overlap, answer_overlap, passages`` of each item of a text; of any one, with ``first``."""
+    words, found = words_of(text), {}
+    for start, end, got in index.passages(words, least):
+        for at, score in got:
+            question, answer = index.parts[at]
+            q = _overlap(question, words[start:end], QUESTION_RUN)
+            a = _overlap(answer, words[start:end], ANSWER_RUN)
+            if q >= overlap and a >= overlap:
+                key = index.items[at]
+                was = found.get(key, (0.0, 0.0, 0.0, 0))
+                found[key] = (*max(was[:3], (score, q, a)), was[3] + 1)
+                if first:
+                    return found
+    return found
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    least: float = 0.7, overlap: float = 0.5, id_type: str = "bigint",
+    least: float = 0.7, overlap: float = 0.5,
 ) -> DataFrame:
     """``id, item, score, question_overlap, answer_overlap, passages`` for each item found in a document.
 
@@ -171,43 +219,49 @@ def leaks(
 
     Items that are null, empty or without words are never found; items of equal text are found
     together; a repeated item row gives one result. Documents that are null or empty give no rows;
-    rows that repeat a document give theirs again. Ids may be null; they are given as ``id_type``. Other columns are not looked
-    at. No items or no documents: an empty result.
+    rows that repeat a document give theirs again. Ids may be null. Other columns are not looked
+    at. No items or no documents: an empty result. Scores are the same however many parts the items are searched in;
+    with several, what each part finds is stored before the next one is built.
     """
-    known = items.select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text_col).alias("t")).filter("i is not null and t is not null").distinct()
-    parts = max(1, -(-known.count() // ITEMS))
-    indexes = []
-    for k in range(parts):
-        # About ITEMS rows each: the size of an index is bounded, whatever the number of items.
-        mine = known.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
-        indexes.append(Index([(r.i, r.t) for r in mine.collect()]))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
+    out = None
 
     def search(index: Index):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = []
-                for i, text in zip(batch["id"], batch["text"]):
-                    words, found = words_of(text), {}
-                    for start, end, got in index.passages(words, least):
-                        for at, score in got:
-                            question, answer = index.parts[at]
-                            q = _overlap(question, words[start:end], QUESTION_RUN)
-                            a = _overlap(answer, words[start:end], ANSWER_RUN)
-                            if q >= overlap and a >= overlap:
-                                key = index.items[at]
-                                was = found.get(key, (0.0, 0.0, 0.0, 0))
-                                found[key] = (*max(was[:3], (score, q, a)), was[3] + 1)
-                    rows += [(i, key, *v) for key, v in found.items()]
-                yield pd.DataFrame(rows, columns=["id", "item", "score", "question_overlap", "answer_overlap", "passages"])
+                rows = [(k, key, *v) for k, t in enumerate(batch["text"]) for key, v in _found(index, t, least, overlap).items()]
+                found = pd.DataFrame(rows, columns=["at", "item", "score", "question_overlap", "answer_overlap", "passages"])
+                yield found.assign(id=batch["id"].to_numpy()[found["at"].to_numpy(int)]).drop(columns="at")
 
         return run
 
-    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     schema = "id string, item bigint, score double, question_overlap double, answer_overlap double, passages bigint"
-    out = None
-    for index in indexes:
+    texts = texts.withColumn("id", F.col("id").cast("string"))  # keeps every digit beside nulls
+    for index in _indexes(items, item_col, item_text_col):
         got = texts.mapInPandas(search(index), schema)
-        out = got if out is None else out.union(got)
+        out = got if out is None else stored(out, "leaks").union(stored(got, "leaks"))
     return out.select(
-        F.col("id").cast(id_type).alias(id_col), F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap", "passages"
+        F.col("id").cast("bigint").alias(id_col), F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap", "passages"
     )
+
+
+def without_leaks(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.7, overlap: float = 0.5
+) -> DataFrame:
+    """The rows of ``docs`` in which ``leaks`` finds nothing, with all their columns and where they are: nothing is shuffled.
+
+    Each row goes by its own text, whatever its id; null and empty texts stay, as does every row where there are no items.
+    """
+    at = docs.columns.index(text_col)
+
+    def kept(index: Index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = [not (t and _found(index, t, least, overlap, first=True)) for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return run
+
+    for index in _indexes(items, item_col, item_text_col):
+        docs = docs.mapInArrow(kept(index), docs.schema)
+    return docs

@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, mixed, stored
+from tidemark.llm.common import WordHashes, fresh, mixed, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -94,10 +94,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seen.groupBy("one", "two").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last"),
         "line-repeats",
     )
-    later = seen.join(repeated, ["one", "two"]).filter("id > first").groupBy("id").agg(F.collect_set("one").alias("_later"))
+    key, gone, done = (fresh(docs, x) for x in ("_id", "_later", "_cut"))
+    later = seen.join(repeated, ["one", "two"]).filter("id > first").groupBy(F.col("id").alias(key)).agg(F.collect_set("one").alias(gone))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*names, F.col(id_col).cast("bigint").alias("_id")).join(later.withColumnRenamed("id", "_id"), "_id", "left")
-    rows = rows.withColumn("_cut", cut(F.col(text_col), F.col("_later")))
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(id_col).cast("bigint").alias(key)).join(later, key, "left")
+    rows = rows.withColumn(done, cut(F.col(text_col), F.col(gone)))
     return rows.select(
-        *[F.col("_cut.text").alias(c) if c == text_col else F.col(c) for c in names], F.col("_cut.n_lines"), F.col("_cut.n_removed")
+        *[F.col(f"{done}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in names], F.col(f"{done}.n_lines"), F.col(f"{done}.n_removed")
     )

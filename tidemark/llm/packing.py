@@ -243,8 +243,10 @@ def pack(made: DataFrame, capacity: int = 1024, order: tuple[str, ...] = (), len
     """
     spark = made.sparkSession
     made = stored(made.drop("sequence_id", "offset"), "pieces")
-    keys = [F.col(c) for c in order or made.columns]
-    sized = made.withColumn("_length", F.col(length_col).cast("bigint"))
+    columns = [f"column_{i}" for i in range(len(made.columns))]  # none clashes with those added here
+    keys = [F.col(columns[made.columns.index(c)]) for c in order or made.columns]
+    length = F.col(f"`{length_col}`").cast("bigint").alias("_length")
+    sized = made.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(made.columns, columns)], length)
     # One row per length: bounded by the capacity, like all that follows from it.
     histogram = {r._length: r.n for r in sized.groupBy("_length").agg(F.count("*").alias("n")).collect()}
     if any(not 1 <= (x or 0) <= capacity for x in histogram):
@@ -267,7 +269,7 @@ def pack(made: DataFrame, capacity: int = 1024, order: tuple[str, ...] = (), len
     near = F.broadcast(places.withColumnRenamed("_length", "_size"))
     placed = numbered.join(near, (F.col("_length") == F.col("_size")) & (F.col("_k") >= F.col("_low")) & (F.col("_k") < F.col("_high")))
     return placed.select(
-        *made.columns,
+        *[F.col(x).alias(c) for c, x in zip(made.columns, columns)],
         F.expr("_sequence + (_k - _low) div _step").alias("sequence_id"),
         F.expr("_offset + (_k - _low) % _step * _length").alias("offset"),
     )
