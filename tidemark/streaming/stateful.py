@@ -1,7 +1,10 @@
 """Sessions tracked with state of our own.
 
-``session_window`` is the simpler tool; this shows the general form: a state per key,
-updated in each batch, that ends when event time passes a limit.
+``session_window`` is the simpler tool; this shows the general form: a state per key that each batch
+adds to, and timers in event time that end what is in it.
+
+Rows do not meet by key. A first stage sums them up in cells of a second or so, and hands on a cell when the
+watermark has passed it: of a key with a third of all rows, one row per cell reaches the second stage.
 """
 
 from __future__ import annotations
@@ -9,57 +12,23 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # Send these functions along with the job: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_OUTPUT = "name string, first_us bigint, last_us bigint, events bigint, total bigint, valued bigint"
-_STATE = "first_us array<bigint>, last_us array<bigint>, events array<bigint>, total array<bigint>, valued array<bigint>"
+_SPAN = "first_us bigint, last_us bigint, events bigint, total bigint, valued bigint"
+_OUTPUT = f"name string, {_SPAN}"
+_COLUMNS = ["first_us", "last_us", "events", "total", "valued"]
 
 #: First and last time, events, total of the values, events that have a value.
 Span = tuple[int, int, int, int, int]
 
 
-def _spans(rows: pd.DataFrame, gap_us: int) -> list[Span]:
-    """Rows of one key, cut wherever the time to the next is longer than the gap."""
-    rows = rows.sort_values("us", kind="stable")
-    us = rows["us"].to_numpy(np.int64)
-    starts = np.flatnonzero(np.diff(us, prepend=us[0] - gap_us - 1) > gap_us)
-    ends = np.append(starts[1:], len(us))
-    totals, valued = (np.add.reduceat(rows[c].to_numpy(np.int64), starts) for c in ("value", "valued"))
-    return [(int(us[a]), int(us[b - 1]), int(b - a), int(t), int(n)) for a, b, t, n in zip(starts, ends, totals, valued)]
-
-
-def _track(gap_us: int):
-    """Fold the rows of one key into its open sessions; emit those the watermark closed."""
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # State: open sessions as parallel lists.
-        spans = list(zip(*state.get)) if state.exists else []
-        for rows in batches:
-            if len(rows):
-                spans = _merge([*spans, *_spans(rows, gap_us)], gap_us)
-        closed_at = state.getCurrentWatermarkMs() * 1000
-        done = [s for s in spans if s[1] + gap_us <= closed_at]
-        still_open = [s for s in spans if s[1] + gap_us > closed_at]
-        if still_open:
-            state.update(tuple([int(v) for v in column] for column in zip(*still_open)))
-            state.setTimeoutTimestamp(max(min(s[1] for s in still_open) + gap_us, closed_at + 1000) // 1000)
-        elif state.exists:
-            state.remove()
-        if done:
-            columns = dict(zip(("first_us", "last_us", "events", "total", "valued"), zip(*done)))
-            yield pd.DataFrame({"name": pd.Series([key[0]] * len(done), dtype=object), **columns})
-
-    return update
-
-
 def _merge(spans: list[Span], gap_us: int) -> list[Span]:
     """Join spans that lie no more than the gap apart."""
     merged: list[Span] = []
@@ -72,28 +41,70 @@ def _merge(spans: list[Span], gap_us: int) -> list[Span]:
     return merged
 
 
+class _Sessions(StatefulProcessor):
+    """Open sessions of a key as a list, in order of time; a timer for the first that may end."""
+
+    def __init__(self, gap_us: int, cell_us: int):
+        self.gap_us, self.cell_us = gap_us, cell_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", _SPAN)
+
+    def _ends(self, span: Span) -> int:
+        """When all rows that could go on with a session have been handed on: the end of the cell in which its gap ends."""
+        return ((span[1] + self.gap_us) // self.cell_us + 1) * self.cell_us
+
+    def _settle(self, key: tuple, spans: list[Span], watermark_us: int) -> Iterator[pd.DataFrame]:
+        done = [s for s in spans if self._ends(s) <= watermark_us]
+        left = [s for s in spans if self._ends(s) > watermark_us]
+        if left:
+            self.open.put(left)
+            self.handle.registerTimer(min(map(self._ends, left)) // 1000)
+        else:
+            self.open.clear()
+        if done:
+            yield pd.DataFrame({"name": pd.Series([key[0]] * len(done), dtype=object), **dict(zip(_COLUMNS, zip(*done)))})
+
+    def _held(self) -> list[Span]:
+        return [tuple(int(x) for x in row) for row in self.open.get()] if self.open.exists() else []
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        spans = self._held()
+        for cells in rows:
+            spans += [tuple(int(x) for x in row) for row in cells[_COLUMNS].itertuples(index=False)]
+        yield from self._settle(key, _merge(spans, self.gap_us), timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._settle(key, self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def close(self) -> None:
+        pass
+
+
 def track_sessions(
-    events: DataFrame, gap_seconds: int, delay: str, key_col: str = "user_id", time_col: str = "ts", value_col: str = "value"
+    events: DataFrame, gap_seconds: int, delay: str, key_col: str = "user_id", time_col: str = "ts", value_col: str = "value", cell_seconds: int = 1
 ) -> DataFrame:
     """Sessions per key as they end: first and last time, events, total value.
 
     ``value_col`` is in cents. The watermark is set on the rows themselves. A null key is a key
     like any other; keys keep their type and every digit. A session without values has a
-    null total. Rows without a time are in no session.
+    null total. Rows without a time are in no session. A session is reported when the watermark has passed the cell in
+    which its gap ends, that is at most ``cell_seconds`` after its end.
     """
-    gap_us = gap_seconds * 1_000_000
+    if not 0 < cell_seconds <= gap_seconds:
+        raise ValueError("a cell must not be wider than the gap")
     kind = dict(events.dtypes)[key_col]
     cents = F.col(value_col).cast("bigint")
+    us = F.unix_micros(time_col)
+    rows = events.filter(F.col(time_col).isNotNull()).withWatermark(time_col, delay)
     # Keys travel as text and values without nulls: pandas would make floats of both.
-    rows = events.filter(F.col(time_col).isNotNull()).withWatermark(time_col, delay).select(
-        F.col(key_col).cast("string").alias("name"),
-        F.col(time_col),
-        F.unix_micros(time_col).alias("us"),
-        F.coalesce(cents, F.lit(0).cast("bigint")).alias("value"),
-        cents.isNotNull().cast("int").alias("valued"),
+    cells = rows.groupBy(F.window(time_col, f"{cell_seconds} seconds"), F.col(key_col).cast("string").alias("name")).agg(
+        F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.count("*").alias("events"),
+        F.coalesce(F.sum(cents), F.lit(0)).cast("bigint").alias("total"), F.count(cents).alias("valued"),
     )
-    sessions = rows.groupBy("name").applyInPandasWithState(
-        _track(gap_us), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    sessions = cells.groupBy("name").transformWithStateInPandas(
+        _Sessions(gap_seconds * 1_000_000, cell_seconds * 1_000_000), _OUTPUT, "append", "EventTime"
     )
     return sessions.select(
         F.col("name").cast(kind).alias(key_col),
