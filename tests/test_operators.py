@@ -316,3 +316,38 @@ def test_generated_rows_repeat(spark):
     assert max(counts) > 5 * min(counts)
     assert generate.region_sales(spark, 400).select("region").distinct().count() == 4
     assert generate.sales(spark, 400).filter("revenue <> quantity * price").count() == 0
+
+
+def long_spans(spark, rows, names):
+    return spark.createDataFrame(rows, f"k string, {names[0]} timestamp, {names[1]} timestamp, {names[2]} long")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_overlaps_of_spans_of_any_length(spark, how):
+    """Seconds to millennia, before 1970, ends before starts, nulls: as comparing all pairs has it."""
+    rng = random.Random(17)
+    start = datetime(2024, 1, 1)
+
+    def some(n, offset):
+        out = []
+        for i in range(n):
+            a = start + timedelta(seconds=rng.choice((rng.randint(0, 600), rng.randint(-10**9, 10**8))), microseconds=rng.choice((0, 1, 999_999)))
+            b = a + timedelta(seconds=rng.choice((0, 1, 59, 60, 61, 3600, 86_400 * 365 * 36, -5)))
+            out.append((rng.choice("ab"), a, b, offset + i))
+        return out + [("a", start, datetime(9999, 1, 1), offset + n), ("b", datetime(1960, 1, 1), datetime(1961, 1, 1), offset + n + 1), ("a", None, start, offset + n + 2), ("a", start, None, offset + n + 3), (None, start, start, offset + n + 4)]
+
+    left, right = some(60, 0), some(60, 1000)
+    one, two = long_spans(spark, left, ("ls", "le", "l")), long_spans(spark, right, ("rs", "re", "r"))
+    found = intervals.overlap_join(one, two, ["k"], ("ls", "le"), ("rs", "re"), 60, how)
+    ok = lambda x: None not in x[:3] and x[1] <= x[2]
+    want = [(x[3], y[3]) for x in left for y in right if ok(x) and ok(y) and x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1]]
+    if how == "left":
+        want += [(x[3], None) for x in left if x[3] not in {a for a, _ in want}]
+    assert sorted([(r.l, r.r) for r in found.collect()], key=repr) == sorted(want, key=repr)
+
+
+def test_dyadic_blocks_make_up_a_span_once(spark):
+    rows = spark.createDataFrame([(a, a + n) for a in (-9, -1, 0, 3, 8) for n in (0, 1, 2, 7, 30)] + [(5, 4)], "a long, b long")
+    for r in rows.select("a", "b", intervals._cover(F.col("a"), F.col("b"), 6).alias("cover")).collect():
+        cells = [c for x in r.cover for c in range(x.block << x.level, (x.block + 1) << x.level)]
+        assert sorted(cells) == list(range(r.a, r.b + 1)) and len(r.cover) <= 12
