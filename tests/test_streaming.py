@@ -13,7 +13,7 @@ from tidemark.functions.text import words
 from tidemark.session import shared_folder
 from tidemark.operators import quality
 from tidemark.sources import generate, sinks, streams
-from tidemark.streaming import runner, stateful, windows
+from tidemark.streaming import runner, stateful, timelines, windows
 from tests.conftest import rows
 
 START = datetime(2024, 1, 1)
@@ -230,3 +230,100 @@ def test_console_output(spark, folders):
     query = runner.to_console(source(spark, arrive))
     runner.finish(query)
     assert not query.isActive and query.exception() is None
+
+
+def parts(spark, *batches):
+    return [spark.createDataFrame([(START + timedelta(minutes=m), u, k, v) for m, u, k, v in data], SCHEMA) for data in batches]
+
+
+@pytest.mark.parametrize("cell", [1, 60, 600])
+def test_stateful_sessions_like_session_windows(spark, cell):
+    """A hot user, a null user and late rows over three arrivals: as ``session_window`` has them, once the cells are closed."""
+    hot = [(i / 7, 1, "a", i) for i in range(400)]
+    batches = parts(
+        spark, [*hot, (3, None, "a", 5), (9, None, "a", None), (30, 2, "a", 1)], [(70, 1, "b", 2), (80, 1, "b", None), (4, 2, "late", 9), (61, None, "a", 1)],
+        [(300, 3, "a", 1)],
+    )
+    ours = runner.replay_arrivals(batches, lambda s: stateful.track_sessions(s, 600, "5 minutes", cell_seconds=cell), "ours")
+
+    def theirs(s):
+        grouped = s.withWatermark("ts", "5 minutes").groupBy("user_id", F.session_window("ts", "600 seconds")).agg(
+            F.min("ts").alias("session_start"), F.max("ts").alias("session_end"), F.count("*").alias("events"), (F.sum("value") / 100.0).alias("session_value")
+        )
+        return grouped.drop("session_window")
+
+    assert rows(ours) == rows(runner.replay_arrivals(batches, theirs, "theirs")) and ours.count() == 5
+    with pytest.raises(ValueError, match="wider"):
+        stateful.track_sessions(batches[0], 600, "5 minutes", cell_seconds=601)
+
+
+def test_timelines_merge_over_batches(spark):
+    data = [(0, 1, "a", 1), (5, 1, "b", 2), (7, 2, "a", 3), (9, None, None, 4)], [(6, 1, "a", None), (8, 2, None, 5), (1, 3, "a", 6)], [(2, None, "c", 7), (3, 1, "b", 8)]
+    outputs = {
+        "parts": lambda b: timelines.batch_parts(b, "user_id", "kind", "ts"),
+        "events": lambda b: timelines.batch_timeline(b, "user_id", ["ts", "kind"], ["value"], 2),
+    }
+
+    def merged(batches):
+        stored = runner.replay_arrivals(parts(spark, *batches), lambda s: s, "timeline", outputs=outputs)
+        entry = F.struct(F.minute("ts").alias("minute"), "kind", "value")
+        listed = timelines.merged_timeline(stored["events"], "user_id", ["ts", "kind"], entry, 3)
+        return rows(timelines.merged_parts(stored["parts"], "user_id", "kind")), rows(listed)
+
+    groups, listed = merged(data)
+    # A group with one event in each of two batches counts; a null kind is no kind.
+    assert groups == sorted([(1, 4, 2, 360), (2, 2, 1, 60), (None, 2, 1, 420)], key=repr)
+    assert [(u, c, n, [tuple(x) for x in t]) for u, c, n, t in listed if u == 1] == [
+        (1, 0, 3, [(0, "a", 1), (3, "b", 8), (5, "b", 2)]), (1, 1, 1, [(6, "a", None)])
+    ]
+    assert merged([[x for b in data for x in b]]) == (groups, listed)
+
+
+def test_outputs_of_a_batch_that_runs_again(spark):
+    folder = shared_folder(spark, "again")
+    part = parts(spark, [(0, 1, "a", 1), (1, 1, "b", 1)])[0]
+    for _ in range(2):
+        runner.save_batch(timelines.batch_parts(part, "user_id", "kind", "ts"), folder, 7)
+    saved = runner.read_batches(spark, folder, timelines.batch_parts(part, "user_id", "kind", "ts").schema)
+    assert rows(timelines.merged_parts(saved, "user_id", "kind").select("events_in_group")) == [(2,)]
+
+
+def test_sequences_in_the_stream(spark):
+    hot = [(i / 60, 1, "k", i) for i in range(100)]
+    batches = parts(spark, [*hot, (3, 2, None, None), (3, 2, "b", 1)], [(60, 9, "z", 0)], [(61, 9, "z", 0), (1, 1, "late", 0)])
+    found = runner.replay_arrivals(
+        batches, lambda s: windows.event_sequences(s.withWatermark("ts", "1 minute"), "ts", "10 minutes", ["user_id"], ["kind", "value"], slice_seconds=60, chunk=25), "sequences"
+    )
+    got = {(r.user_id, r.slice_start.minute, r.chunk): [(x.kind, x.value) for x in r.sequence] for r in found.collect()}
+    assert [got[1, 0, c] for c in range(3)] == [[("k", i) for i in range(low, min(low + 25, 60))] for low in (0, 25, 50)]
+    assert [got[1, 1, c] for c in range(2)] == [[("k", i) for i in range(low, min(low + 25, 100))] for low in (60, 85)]
+    assert got[2, 3, 0] == [(None, None), ("b", 1)] and len(got) == 6
+
+
+def test_late_rows_by_mode(spark):
+    batches = parts(spark, [(0, 1, "a", 1), (30, 1, "a", 1)], [(1, 1, "late", 1), (28, 1, "in time", 1)], [(90, 1, "a", 1)])
+
+    def counted(s):
+        return windows.windowed(s.withWatermark("ts", "5 minutes"), "ts", "10 minutes", [], [F.count("*").alias("n")]).select(
+            F.minute("window.start").alias("minute"), F.hour("window.start").alias("hour"), "n"
+        )
+
+    run = lambda mode, **more: {r.minute + 60 * r.hour: r.n for r in runner.replay_arrivals(batches, counted, mode, mode, **more).collect()}
+    assert run("append") == {0: 1, 20: 1, 30: 1}
+    assert run("update", keys=["minute", "hour"]) == {0: 1, 20: 1, 30: 1, 90: 1}
+    assert run("complete") == {0: 2, 20: 1, 30: 1, 90: 1}
+
+
+def test_null_kinds_have_a_name(spark):
+    batches = parts(spark, [(0, 1, "b", 1), (1, 1, None, 1), (2, 1, "b:1", 1), (2, 1, "b", 1)], [(60, 1, "a", 0)])
+    grouped = lambda s: windows.type_counts(s.withWatermark("ts", "1 minute"), "ts", "10 minutes", ["user_id"], "kind").select("types")
+    assert rows(runner.replay_arrivals(batches, grouped, "types")) == [("b:2,b:1:1,null:1",)]
+
+
+def test_batches_bounded_by_bytes(spark, folders):
+    arrive, out = folders
+    for k in range(4):
+        add(spark, f"{arrive}/rows.parquet", (k, 1, "a", k))
+    stream = streams.table_stream(spark, arrive, "rows", bytes_per_batch="1")
+    progress = runner.finish(runner.append_to_files(stream, out))
+    assert sum(1 for p in progress if p["numInputRows"]) == 4

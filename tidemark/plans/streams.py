@@ -20,7 +20,7 @@ from tidemark.plans import tables as t
 from tidemark.plans.registry import Query, query
 from tidemark.session import STREAM_SETTINGS, partitions_for, using
 from tidemark.sources.streams import table_stream
-from tidemark.streaming import joins, runner, stateful, windows
+from tidemark.streaming import joins, runner, stateful, timelines, windows
 
 HIGH_VALUE = 50
 
@@ -409,17 +409,124 @@ SELECT user_id AS event_group, count(*) AS events_in_group, count(DISTINCT event
 FROM events GROUP BY user_id HAVING count(*) > 1
 """)
 def foreach_batch_correlation(spark: SparkSession, d: str) -> DataFrame:
-    """Per micro-batch: groups with more than one event, and the time they span."""
+    """Groups with more than one event, and the time they span, merged from what each micro-batch stored."""
+    parts = runner.replay_partials(stream(spark, d), "correlation", lambda rows: timelines.batch_parts(rows, "user_id", "event_type", "ts"))
+    return timelines.merged_parts(parts, "user_id", "event_type").withColumnRenamed("user_id", "event_group")
 
-    def correlate(rows: DataFrame) -> DataFrame:
-        grouped = rows.groupBy(F.col("user_id").alias("event_group")).agg(
-            F.count("*").alias("events_in_group"),
-            F.count_distinct("event_type").alias("event_kinds"),
-            times.seconds_between(F.min("ts"), F.max("ts")).alias("time_span_seconds"),
-        )
-        return grouped.filter(F.col("events_in_group") > 1)
 
-    return runner.replay_partials(stream(spark, d), "correlation", correlate).drop("batch_id")
+# ------------------------------------------------------------------------- several batches
+
+ARRIVALS = 4
+#: A row in so many arrives two parts after its time.
+LATE_EVERY = 50
+
+
+def arrivals(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Events in parts as they arrive: equal spans of time, but for some that come two parts late."""
+    rows = batch(spark, d)
+    us = F.unix_micros("ts")
+    low, high = rows.agg(F.min(us), F.max(us)).first()
+    low, high = low or 0, high or 0
+    part = F.least(F.lit(ARRIVALS - 1), F.floor((us - low) * ARRIVALS / (high - low + 1)))
+    late = F.least(F.lit(ARRIVALS - 1), part + 2)
+    rows = rows.withColumn("arrival", F.when(F.col("event_id") % LATE_EVERY == 0, late).otherwise(part))
+    return [rows.filter(F.col("arrival") == k).drop("arrival") for k in range(ARRIVALS)]
+
+
+# Rows that a window closed by earlier parts does not take any more are dropped, but for complete mode.
+def _arrivals_sql(body: str, late: str = "closed IS NULL OR window_start + INTERVAL 1 HOUR > closed", having: str = "TRUE") -> str:
+    return f"""
+WITH b AS (
+  SELECT *, {t.sql_window('1 HOUR')} AS window_start, CASE WHEN event_id % {LATE_EVERY} = 0 THEN least(s + 2, {ARRIVALS - 1}) ELSE s END AS arrival
+  FROM (SELECT *, least({ARRIVALS - 1}, ((epoch_us(ts) - low) * {ARRIVALS}) // (high - low + 1)) AS s
+    FROM {t.EVENTS}, (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events) m) p),
+w AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS closed
+  FROM b GROUP BY arrival)
+SELECT window_start, event_type, {body} FROM b JOIN w USING (arrival) WHERE {late}
+GROUP BY window_start, event_type HAVING {having}
+"""
+
+
+_HOURLY = "count(*) AS events, CAST(sum(value) AS DOUBLE) AS total_value, max(ts) AS last_event"
+
+
+def _hourly(rows: DataFrame) -> DataFrame:
+    measures = [F.count("*").alias("events"), cents_total(F.col("value")).alias("total_value"), F.max("ts").alias("last")]
+    grouped = windows.windowed(rows.withWatermark("ts", "10 minutes"), "ts", "1 hour", ["event_type"], measures)
+    return grouped.select(_bounds()[0], "event_type", "events", "total_value", times.plain("last").alias("last_event"))
+
+
+@streamed(_arrivals_sql(_HOURLY, having=f"window_start + INTERVAL 1 HOUR <= {t.sql_watermark('10 MINUTE')}"))
+def stream_arrivals_append(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly totals over four arrivals: final rows as the watermark moves on, late rows dropped."""
+    return runner.replay_arrivals(arrivals(spark, d), _hourly, "arrivals-append")
+
+
+@streamed(_arrivals_sql(_HOURLY))
+def stream_arrivals_update(spark: SparkSession, d: str) -> DataFrame:
+    """The same in update mode: the latest row of each window, open ones too."""
+    return runner.replay_arrivals(arrivals(spark, d), _hourly, "arrivals-update", "update", ["window_start", "event_type"])
+
+
+@streamed(_arrivals_sql(_HOURLY, late="TRUE"))
+def stream_arrivals_complete(spark: SparkSession, d: str) -> DataFrame:
+    """The same in complete mode, which keeps all windows and so counts late rows."""
+    return runner.replay_arrivals(arrivals(spark, d), _hourly, "arrivals-complete", "complete")
+
+
+_EVENT_TEXT = "CAST(epoch_us({time}) AS VARCHAR) || ':' || coalesce(event_type, '') || ':' || coalesce(CAST(CAST(value * 100 AS BIGINT) AS VARCHAR), '')"
+
+
+def _event_text(time: Column, kind: Column, value: Column) -> Column:
+    """Time in microseconds, type and value in cents of one event."""
+    blank = F.lit("")
+    parts = F.unix_micros(time).cast("string"), F.coalesce(kind, blank), F.coalesce(value.cast("bigint").cast("string"), blank)
+    return F.array_join(F.array(*parts), ":")
+
+
+@streamed(f"""
+SELECT user_id AS event_group, events_in_group, event_kinds, time_span_seconds, chunk, entries, timeline
+FROM (SELECT user_id, count(*) AS events_in_group, count(DISTINCT event_type) AS event_kinds,
+    CAST(floor(epoch(max(ts))) - floor(epoch(min(ts))) AS BIGINT) AS time_span_seconds FROM events GROUP BY user_id HAVING count(*) > 1) g
+JOIN (SELECT user_id, CAST((rn - 1) // 50 AS INTEGER) AS chunk, count(*) AS entries, string_agg({_EVENT_TEXT.format(time='ts')}, ',' ORDER BY rn) AS timeline
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM {t.EVENTS}) r GROUP BY user_id, chunk) c USING (user_id)
+""")
+def foreach_batch_timeline(spark: SparkSession, d: str) -> DataFrame:
+    """Groups over four arrivals with every event in order, merged from the parts and chunks that each batch stored."""
+    order, fields = ["ts", "event_id"], ["event_type", "value"]
+    stored = runner.replay_arrivals(
+        arrivals(spark, d), lambda rows: rows, "timelines",
+        outputs={
+            "parts": lambda rows: timelines.batch_parts(rows, "user_id", "event_type", "ts"),
+            "events": lambda rows: timelines.batch_timeline(rows, "user_id", order, fields, 50),
+        },
+    )
+    groups = timelines.merged_parts(stored["parts"], "user_id", "event_type")
+    entry = _event_text(F.col("ts"), F.col("event_type"), F.col("value"))
+    listed = timelines.merged_timeline(stored["events"], "user_id", order, entry, 50)
+    joined = groups.join(listed, "user_id").withColumn("timeline", F.array_join("timeline", ","))
+    return joined.withColumnRenamed("user_id", "event_group")
+
+
+@streamed(f"""
+SELECT user_id, window_start, slice_start, CAST((rn - 1) // 5 AS INTEGER) AS chunk, count(*) AS entries,
+  string_agg({_EVENT_TEXT.format(time='adjusted')}, ',' ORDER BY rn) AS sequence
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, window_start, slice_start ORDER BY adjusted, event_id) AS rn
+  FROM (SELECT *, time_bucket(INTERVAL 60 SECOND, adjusted, TIMESTAMP '1970-01-01') AS slice_start
+    FROM {_sliding_source(5, 10, 'adjusted', ADJUSTED_VALUES)}) x) r
+WHERE window_start + INTERVAL 10 MINUTE <= (SELECT max(adjusted) - INTERVAL 5 MINUTE FROM {ADJUSTED})
+GROUP BY user_id, window_start, slice_start, chunk
+""")
+def stream_entity_sequences(spark: SparkSession, d: str) -> DataFrame:
+    """The events (time, type, value) behind each window of stream_entity_correlation, from the stream itself."""
+    rows = _adjusted(stream(spark, d)).withWatermark("adjusted", "5 minutes")
+    listed = windows.event_sequences(rows, "adjusted", "10 minutes", ["user_id"], ["event_id", "event_type", "value"], "5 minutes", 60, 5)
+    text = F.transform("sequence", lambda x: _event_text(x["time"], x["event_type"], x["value"]))
+    shaped = listed.select(
+        "user_id", _bounds()[0], times.plain("slice_start").alias("slice_start"), "chunk",
+        F.size("sequence").cast("bigint").alias("entries"), F.array_join(text, ",").alias("sequence"),
+    )
+    return runner.replay(shaped, "entity-sequences")
 
 
 # ---------------------------------------------------------------------------------- joins

@@ -15,13 +15,15 @@ from pyspark.sql.types import StructType
 from tidemark.functions.times import instant
 
 
-def _reader(spark: SparkSession, files_per_batch: int | None) -> DataStreamReader:
-    """All files at once, or a bounded number per batch.
+def _reader(spark: SparkSession, files_per_batch: int | None, bytes_per_batch: str | None = None) -> DataStreamReader:
+    """All files at once, or a bounded number or size (such as ``10g``) per batch, not both.
 
     With a bound, files are taken oldest first: rows that an old file holds far behind the
     newest time seen so far count as late. Set it for files that arrive in time order.
     """
     reader = spark.readStream
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
@@ -38,7 +40,7 @@ def text_stream(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, directory: str, name: str, files_per_batch: int | None = None
+    spark: SparkSession, directory: str, name: str, files_per_batch: int | None = None, bytes_per_batch: str | None = None
 ) -> DataFrame:
     """Replay a parquet table as a stream: ``name`` is one file or a folder of files.
 
@@ -46,7 +48,7 @@ def table_stream(
     """
     schema = spark.read.parquet(f"{directory}/{name}.parquet").schema
     pattern = f"{directory}/{name[:-1]}[{name[-1]}].parquet"
-    stream = _reader(spark, files_per_batch).schema(schema).parquet(pattern)
+    stream = _reader(spark, files_per_batch, bytes_per_batch).schema(schema).parquet(pattern)
     times = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return stream.withColumns({c: instant(c) for c in times})
 

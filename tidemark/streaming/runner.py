@@ -95,21 +95,49 @@ def state_rows(progress: list[dict]) -> int:
     return sum(op.get("numRowsTotal", 0) for op in progress[-1].get("stateOperators", [])) if progress else 0
 
 
-def replay(stream: DataFrame, label: str) -> DataFrame:
-    """Run to the end of the input in append mode and return the written rows."""
+def replay(stream: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Run to the end of the input in append mode and return the written rows. A ``folder`` used before is gone on with."""
     spark = stream.sparkSession
-    folder = shared_folder(spark, label)
+    folder = folder or shared_folder(spark, label)
     finish(append_to_files(stream, folder))
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
+def replay_arrivals(
+    parts: list[DataFrame], shape: Output, label: str, mode: str = "append", keys: list[str] | None = None, outputs: dict[str, Output] | None = None
+) -> DataFrame | dict[str, DataFrame]:
+    """A stream whose rows arrive part by part, as one query that goes on from its checkpoint.
+
+    The files of a part land in the source folder, the query takes them and stops: one batch for its rows and
+    one more to let the watermark close windows. ``shape`` makes the result of the stream. Rows are late
+    by the watermark that the parts before have set. The result is read as the mode has it: appended
+    rows, the latest row per key of ``keys``, or the last complete table. With ``outputs`` these are stored for each batch and
+    returned with their ``batch_id``.
+    """
+    spark = parts[0].sparkSession
+    arrive, folder, schema = shared_folder(spark, f"{label}-arrivals"), shared_folder(spark, label), parts[0].schema
+    found: DataFrame | dict[str, DataFrame] | None = None
+    for part in parts:
+        part.write.mode("append").parquet(arrive)
+        stream = shape(spark.readStream.schema(schema).parquet(arrive))
+        if outputs is not None:
+            found = replay_outputs(stream, label, outputs, mode, folder)
+        elif mode == "update":
+            found = replay_updates(stream, label, keys or [], folder)
+        elif mode == "complete":
+            found = replay_complete(stream, label, folder)
+        else:
+            found = replay(stream, label, folder)
+    return found
+
+
 def _before_the_first(stream: DataFrame) -> DataFrame:
     """A bounded frame like a batch of ``stream``, without rows."""
     return stream.sparkSession.createDataFrame([], stream.schema)
 
 
 def replay_outputs(
-    stream: DataFrame, label: str, outputs: dict[str, Output], mode: str = "append"
+    stream: DataFrame, label: str, outputs: dict[str, Output], mode: str = "append", folder: str | None = None
 ) -> dict[str, DataFrame]:
     """Several outputs of one stream, each stored per batch and returned with its ``batch_id``.
 
@@ -118,7 +146,7 @@ def replay_outputs(
     that gets no rows has an empty result.
     """
     spark = stream.sparkSession
-    folder = shared_folder(spark, label)
+    folder = folder or shared_folder(spark, label)
     empty = _before_the_first(stream)
     schemas = {}
     for name, output in outputs.items():
@@ -140,16 +168,16 @@ def replay_outputs(
     return {name: read_batches(spark, f"{folder}/{name}", schema) for name, schema in schemas.items()}
 
 
-def replay_updates(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
+def replay_updates(stream: DataFrame, label: str, keys: list[str], folder: str | None = None) -> DataFrame:
     """Update mode: every changed row is stored, the latest per key is returned."""
-    saved = replay_outputs(stream, label, {"data": _as_it_is}, "update")["data"]
+    saved = replay_outputs(stream, label, {"data": _as_it_is}, "update", folder)["data"]
     newest = F.max_by(F.struct(*stream.columns), "batch_id").alias("row")
     return saved.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(newest).select("row.*")
 
 
-def replay_complete(stream: DataFrame, label: str) -> DataFrame:
+def replay_complete(stream: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Complete mode: the result as of the last batch."""
-    saved = replay_outputs(stream, label, {"data": _as_it_is}, "complete")["data"]
+    saved = replay_outputs(stream, label, {"data": _as_it_is}, "complete", folder)["data"]
     last = saved.agg(F.max("batch_id")).scalar()
     return saved.filter(F.col("batch_id") == last).drop("batch_id")
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import times
+
 
 def windowed(
     df: DataFrame, time: str, size: str, keys: list[str], measures: list[Column], slide: str | None = None
@@ -93,11 +95,32 @@ def type_counts(
         *[F.sum(c).alias(name) for name, c in sums.items()],
         *[F.max(c).alias(name) for name, c in maxima.items()],
     )
-    listed = F.concat_ws(":", kind, F.col("n").cast("string"))
+    # A null kind is named, and the list is sorted by kind.
+    listed = F.struct(F.coalesce(F.col(kind), F.lit("null")).alias("kind"), F.col("n").cast("string").alias("n"))
     return first.groupBy("window", *keys).agg(
         F.sum("n").alias("n"),
         F.min("first_time").alias("first_time"),
         *[F.sum(name).alias(name) for name in sums],
         *[F.max(name).alias(name) for name in maxima],
-        F.array_join(F.array_sort(F.collect_list(listed)), ",").alias("types"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(listed)), lambda x: F.concat_ws(":", x["kind"], x["n"])), ",").alias("types"),
+    )
+
+
+def event_sequences(
+    df: DataFrame, time: str, size: str, keys: list[str], fields: list[str], slide: str | None = None, slice_seconds: int = 60, chunk: int = 1000
+) -> DataFrame:
+    """The events of each window and key in order, as the watermark closes the window.
+
+    State holds the events of a window by slices of time, so that those of a busy key are spread over tasks and
+    no row of state is the whole window; a closed slice comes out in chunks of at most ``chunk`` events. In order of
+    (``slice_start``, ``chunk``) the lists give the sequence, sorted by time and then ``fields``.
+    """
+    span = F.window(time, size, slide) if slide else F.window(time, size)
+    event = F.struct(F.col(time).alias("time"), *[F.col(c) for c in fields])
+    # A frame may have one kind of window: slices come from plain arithmetic.
+    start = F.timestamp_micros(times.micro_bucket(F.col(time), slice_seconds)).alias("slice_start")
+    listed = df.groupBy(span, *keys, start).agg(F.array_sort(F.collect_list(event)).alias("events"))
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("events") - 1) / chunk).cast("int")), lambda i: F.slice("events", i * chunk + 1, F.lit(chunk))
     )
+    return listed.select("window", *keys, "slice_start", F.posexplode(pieces).alias("chunk", "sequence"))
