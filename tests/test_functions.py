@@ -17,7 +17,7 @@ def mapped(spark, values, expression):
     return [r[1] for r in sorted(df.select("i", expression(F.col("s"))).collect())]
 
 
-NAMES = ["o'neil", "MC-DONALD", "3rd street", "  alice johnson  ", "", "straße ßa", "éa ÀB", "a_b c.d", "tab\tname", "x\ue000 yZ \ue000a"]
+NAMES = ["o'neil", "MC-DONALD", "3rd street", "  alice johnson  ", "", "straße ßa", "éa ÀB", "a_b c.d", "tab\tname", "x\ue000 yZ \ue000a", "中a b", "a中B あc", "ªb ºC x٣y"]
 
 
 def test_title_case_is_that_of_python(spark):

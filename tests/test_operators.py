@@ -5,11 +5,12 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import intervals, joins, layout, olap, sequences, sessions, skew, slices
+from tidemark.operators import intervals, joins, layout, olap, sequences, sessions, sketches, skew, slices
 from tidemark.sources import generate
 from tests.conftest import rows
 
@@ -351,3 +352,55 @@ def test_dyadic_blocks_make_up_a_span_once(spark):
     for r in rows.select("a", "b", intervals._cover(F.col("a"), F.col("b"), 6).alias("cover")).collect():
         cells = [c for x in r.cover for c in range(x.block << x.level, (x.block + 1) << x.level)]
         assert sorted(cells) == list(range(r.a, r.b + 1)) and len(r.cover) <= 12
+
+
+# ------------------------------------------------------------------------------ sketches
+
+
+def test_heavy_hitters_are_exact(spark):
+    data = [("a", i % 7) for i in range(5000)] + [(None, 1)] * 3000 + [(f"k{i}", i) for i in range(4000)] + [("b", 1)] * 1199 + [("c", 1)] * 1200
+    df = spark.createDataFrame(data, "k string, v long").repartition(8)
+    total = len(data)
+    found = {r.k: (r.n, r.share) for r in skew.heavy_hitters(df, ["k"], 1200 / total).collect()}
+    assert found == {"a": (5000, 5000 / total), None: (3000, 3000 / total), "c": (1200, 1200 / total)}
+    two = {(r.k, r.v): r.n for r in skew.heavy_hitters(df, ["k", "v"], 0.04).collect()}
+    assert two == {("a", v): 5000 // 7 + (v < 5000 % 7) for v in range(7)} | {(None, 1): 3000, ("b", 1): 1199, ("c", 1): 1200}
+    assert skew.heavy_hitters(df.limit(0), ["k"], 0.1).count() == 0
+    with pytest.raises(ValueError, match="share"):
+        skew.heavy_hitters(df, ["k"], 0.0)
+
+
+def test_heavy_hitters_shuffle_candidates_only(spark):
+    df = spark.createDataFrame([(i % 3 if i % 2 else i,) for i in range(20_000)], "k long").repartition(8)
+    found = skew.heavy_hitters(df, ["k"], 0.1)
+    assert "IN" in layout.explain_text(found, "simple").upper() and {r.k for r in found.collect()} == {0, 1, 2}
+
+
+def test_sketches_unite_to_coarser_periods(spark):
+    rows_ = [(START + timedelta(minutes=m), m % 2, (m * 7919) % 500) for m in range(3000)] + [(None, 0, 1), (START, 0, None)]
+    df = spark.createDataFrame(rows_, "ts timestamp, k long, u long")
+    hours = sketches.distinct_sketches(df, F.date_trunc("hour", "ts"), ["k"], "u").cache()
+    days = sketches.united(hours, F.to_date("period"), ["k"])
+    got = {(r.period, r.k): (r.rows, r.parts, r.users) for r in days.select("*", sketches.estimate().alias("users")).collect()}
+    want = {}
+    for ts, k, u in rows_:
+        if ts:
+            want.setdefault((ts.date(), k), []).append((ts.hour, u))
+    assert got.keys() == want.keys()
+    for key, seen in want.items():
+        users = {u for _, u in seen} - {None}
+        assert got[key][:2] == (len(seen), len({h for h, _ in seen})) and abs(got[key][2] - len(users)) <= 0.05 * len(users) + 1
+
+
+def test_range_layout_skips_row_groups(spark, tmp_path):
+    path = str(tmp_path / "laid")
+    df = spark.range(40_000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("day"), "id")
+    layout.write_ranges(df, ["day"], 8, path)
+    groups = [
+        pq.ParquetFile(f).metadata.row_group(i).column(0).statistics
+        for f in (tmp_path / "laid").glob("*.parquet") for i in range(pq.ParquetFile(f).metadata.num_row_groups)
+    ]
+    assert len(groups) >= 8 and sum(g.min <= 130 and g.max >= 100 for g in groups) <= 2
+    some = spark.read.parquet(path).filter("day between 100 and 130")
+    assert "PushedFilters: [IsNotNull(day), GreaterThanOrEqual(day,100)" in layout.explain_text(some, "formatted")
+    assert some.count() == df.filter("day between 100 and 130").count()

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.operators import layout
@@ -160,3 +162,30 @@ def test_conform_reorders_and_casts(spark):
     raw = spark.createDataFrame([("k", 1, datetime(2024, 1, 1), "view", 1)], "session_id string, user_id int, timestamp timestamp, action string, value int")
     typed = schemas.conform(raw, schemas.declared("live_data"))
     assert typed.columns == schemas.declared("live_data").names and dict(typed.dtypes)["value"] == "decimal(10,2)"
+
+
+def test_exported_records_are_iso_at_any_depth(spark):
+    kind = "t timestamp, n timestamp_ntz, d date, s struct<d: decimal(10,2), t: timestamp>, a array<struct<x: decimal(5,1)>>, m map<string, date>, i int"
+    rows_ = [
+        (datetime(2024, 1, 1), datetime(2024, 1, 2, 3, 4, 5, 600), date(2024, 1, 3), (Decimal("1.50"), None), [(Decimal("2.0"),)], {"k": date(2024, 1, 4)}, 7),
+        (None, None, None, None, None, None, None),
+    ]
+    got = [json.loads(r.json) for r in sinks.as_json(spark.createDataFrame(rows_, kind)).collect()]
+    assert got[0] == {
+        "t": "2024-01-01T00:00:00", "n": "2024-01-02T03:04:05.000600", "d": "2024-01-03", "s": {"d": "1.50", "t": None}, "a": [{"x": "2.0"}],
+        "m": {"k": "2024-01-04"}, "i": 7,
+    }
+    assert got[1] == dict.fromkeys(got[0])
+
+
+def test_required_fields_stop_the_job(spark):
+    kind = "id bigint, a string, s struct<b: int, c: array<struct<d: int>>>"
+    expected = StructType.fromDDL("id bigint not null, a string, s struct<b: int not null, c: array<struct<d: int not null>>>")
+    good = [(1, None, (1, [(2,)])), (2, "x", None), (3, "y", (1, None))]
+    frame = lambda rows_: schemas.required(spark.createDataFrame(rows_, kind), expected, F.col("id"))
+    assert frame(good).count() == 3
+    for bad, said in (((None, "x", None), "required field is null: id, row without a name"), ((9, "x", (None, None)), "a member of s, row 9"), ((8, None, (1, [(None,)])), "a member of s, row 8")):
+        with pytest.raises(Exception, match=said):
+            frame([*good, bad]).count()
+    with pytest.raises(ValueError, match="no such columns: a"):
+        schemas.required(spark.range(1), StructType.fromDDL("a int not null"), F.col("id"))

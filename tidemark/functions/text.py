@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 EMAIL = r"^[\w\.-]+@[\w\.-]+\.\w+$"
 
 _MARK = "\ue000"  # from the private-use area
+# Fixed value: characters that have a case; Chinese ones, for one, have none and end a word.
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
 
@@ -18,26 +20,26 @@ def strip(c: Column) -> Column:
 
 
 def _title_by_runs(c: Column) -> Column:
-    """Each run of letters on its own: first letter large, rest small."""
+    """Each run of characters with a case on its own: first letter large, rest small."""
 
     def capital(run: Column) -> Column:
         first = F.upper(F.substring(run, 1, 1))
         rest = F.concat(F.substr(first, F.lit(2)), F.substr(run, F.lit(2)))
         return F.concat(F.substring(first, 1, 1), F.lower(rest))
 
-    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    runs = F.regexp_extract_all(c, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), 1)
     return F.array_join(F.transform(runs, capital), "")
 
 
 def title_case(c: Column) -> Column:
-    """Capital after every non-letter: ``o'neil`` gives ``O'Neil``, ``3rd`` gives ``3Rd``.
+    """Capital after every character without a case: ``o'neil`` gives ``O'Neil``, ``3rd`` gives ``3Rd``.
 
     ``initcap`` starts a word only after a space, so a mark and a space are put before every
     other word start and taken out again. A text that already has the mark goes the slower
     way, run by run.
     """
     gap = _MARK + " "
-    marked = F.regexp_replace(c, r"(?<=\P{L})(?=\p{L})", gap)
+    marked = F.regexp_replace(c, f"(?<=[^{_CASED}])(?=[{_CASED}])", gap)
     quick = F.replace(F.initcap(marked), F.lit(gap), F.lit(""))
     return F.when(c.contains(_MARK), _title_by_runs(c)).otherwise(quick)
 

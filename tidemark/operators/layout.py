@@ -58,6 +58,12 @@ def by_range(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.repartitionByRange(n, *keys)
 
 
+def write_ranges(df: DataFrame, keys: list[str], n: int, path: str) -> None:
+    """``n`` files or so by range of ``keys``, each sorted inside: the minima and maxima in the footers of files and row groups then
+    tell a reader with a filter on ``keys`` which of them to skip. A very common value fills a range of its own."""
+    by_range(df, keys, n).sortWithinPartitions(*keys).write.parquet(path)
+
+
 def fewer(df: DataFrame, n: int) -> DataFrame:
     """Join partitions without a shuffle."""
     return df.coalesce(n)

@@ -97,6 +97,23 @@ def volume_aware_layout(spark: SparkSession, d: str) -> DataFrame:
     return laid.select("event_id", "event_type", "volume")
 
 
+@query("""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, min(CAST(l_shipdate AS DATE)) AS first_day, max(CAST(l_shipdate AS DATE)) AS last_day
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1
+""")
+def range_layout(spark: SparkSession, d: str) -> DataFrame:
+    """All lines laid out by ranges of days, then read year by year: each scan skips the files and row groups of other years."""
+    path = shared_folder(spark, "lines-by-day")
+    rows = t.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_orderkey")
+    layout.write_ranges(rows, ["day"], partitions_for(rows), path)
+    laid = files.scan_parquet(spark, path)
+    first, last = laid.agg(F.year(F.min("day")), F.year(F.max("day"))).first()
+    years = range(first, last + 1) if first else [1970]
+    year = lambda y: laid.filter((F.col("day") >= F.lit(date(y, 1, 1))) & (F.col("day") < F.lit(date(y + 1, 1, 1))))
+    each = [year(y).agg(F.lit(y).alias("year"), F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day")) for y in years]
+    return reduce(DataFrame.unionByName, each).filter("n > 0")
+
+
 @query(f"""
 SELECT region, count(*) AS transaction_count, CAST(sum(revenue) AS DOUBLE) AS total_sales
 FROM {t.SALES} WHERE region IN ('ASIA', 'EUROPE') GROUP BY region

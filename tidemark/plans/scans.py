@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions import text, times
@@ -45,6 +46,40 @@ def scan_csv(spark: SparkSession, d: str) -> DataFrame:
     return read.withColumn("price", F.col("price").cast("double"))
 
 
+_LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"]
+
+
+def _lines_as_csv(spark: SparkSession, d: str) -> str:
+    path = shared_folder(spark, "lines-csv")
+    sinks.write_csv(t.table(spark, d, "lineitem").select(*_LINE_COLUMNS), path)
+    return path
+
+
+@query("""
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_returnflag, CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem
+""")
+def scan_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Lines written as CSV and read back with the types Spark finds in the text."""
+    read = files.scan_csv_inferred(spark, _lines_as_csv(spark, d))
+    return read.withColumns({c: F.col(c).cast("int") for c in ("l_orderkey", "l_linenumber")})
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag FROM lineitem
+""")
+def scan_csv_as_text(spark: SparkSession, d: str) -> DataFrame:
+    """The same with every column as text."""
+    return files.scan_csv_as_text(spark, _lines_as_csv(spark, d)).drop("l_quantity")
+
+
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def required_events(spark: SparkSession, d: str) -> DataFrame:
+    """All events, with the requirement that four fields are there in the plan itself."""
+    expected = StructType.fromDDL("event_id bigint not null, ts timestamp_ntz not null, user_id bigint not null, event_type string not null")
+    events = t.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+    return schemas.required(events, expected, F.col("event_id"))
+
+
 @query("""
 SELECT n_nationkey AS id, n_name AS name, n_regionkey AS region FROM nation
 """)

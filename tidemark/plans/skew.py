@@ -29,6 +29,15 @@ def hot_keys(spark: SparkSession, d: str) -> DataFrame:
     return skew.key_shares(t.table(spark, d, "events"), ["user_id"], HOT_SHARE)
 
 
+@query(f"""
+SELECT user_id, n, CAST(n AS DOUBLE) / tot AS share FROM (
+  SELECT user_id, count(*) AS n, (SELECT count(*) FROM events) AS tot FROM events GROUP BY user_id) c WHERE CAST(n AS DOUBLE) / tot >= {HOT_SHARE}
+""")
+def heavy_users(spark: SparkSession, d: str) -> DataFrame:
+    """The hot rows of hot_keys, found by a sketch and an exact recount of its candidates."""
+    return skew.heavy_hitters(t.table(spark, d, "events"), ["user_id"], HOT_SHARE)
+
+
 @query(f"""
 SELECT user_id, CAST(sum(value) AS DOUBLE) AS total_amount, count(*) AS n FROM {t.EVENTS} GROUP BY user_id
 """)

@@ -165,6 +165,27 @@ def null_counts(df: DataFrame, expected: StructType) -> dict[str, int]:
     return {c: counts[c] for c in checks if counts[c]}
 
 
+def required(df: DataFrame, expected: StructType, row: Column) -> DataFrame:
+    """``df`` as it is, but a row that lacks a required field, at any depth, stops the job with the field and ``row``, which names it.
+
+    The requirement is part of the plan: no second pass, whatever the size. Rows that the plan drops before are
+    not looked at. Columns that ``expected`` does not have are let through; those it has must be there.
+    """
+    missing = [f.name for f in expected.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {', '.join(missing)}")
+    checks = []
+    for f in expected.fields:
+        value = F.col(f"`{f.name}`")
+        lacks = _lacking(value, f.dataType)
+        if not f.nullable:
+            checks.append(F.when(value.isNull(), F.lit(f.name)))
+        checks.append(F.when(F.coalesce(lacks, F.lit(False)), F.lit(f"a member of {f.name}")))
+    lacking = F.coalesce(*checks, F.lit(None).cast("string"))
+    message = F.concat(F.lit("required field is null: "), lacking, F.lit(", row "), F.coalesce(row.cast("string"), F.lit("without a name")))
+    return df.filter(F.when(lacking.isNotNull(), F.raise_error(message)).otherwise(F.lit(True)))
+
+
 def matches(df: DataFrame, expected: StructType) -> bool:
     """Same names and types, and no null in a required field.
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType, DataType, DateType, DecimalType, MapType, StructType, TimestampNTZType, TimestampType,
+)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -37,13 +40,24 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
+def _plain(c: Column, kind: DataType) -> Column:
+    """Decimals as text, dates and times as ISO text, at any depth."""
+    if isinstance(kind, (DecimalType, DateType)):
+        return c.cast("string")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        # As Python writes them: a fraction only where there is one.
+        return F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    if isinstance(kind, StructType):
+        return F.when(c.isNotNull(), F.struct(*[_plain(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: _plain(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.transform_values(c, lambda _, x: _plain(x, kind.valueType))
+    return c
+
+
 def as_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One JSON text per row; decimals become strings so no digit is lost, dates ISO text."""
+    """One JSON text per row; decimals become strings so no digit is lost, dates and times ISO text, inside nested values too."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    packed: list[Column] = [
-        F.col(f.name).cast("string").alias(f.name)
-        if f.dataType.typeName() in ("decimal", "date")
-        else F.col(f.name)
-        for f in fields
-    ]
+    packed = [_plain(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields]
     return df.select(F.to_json(F.struct(*packed), {"ignoreNullFields": "false"}).alias("json"))
