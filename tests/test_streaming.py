@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.text import words
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, using
 from tidemark.operators import quality
 from tidemark.sources import generate, sinks, streams
 from tidemark.streaming import runner, stateful, timelines, windows
@@ -327,3 +330,32 @@ def test_batches_bounded_by_bytes(spark, folders):
     stream = streams.table_stream(spark, arrive, "rows", bytes_per_batch="1")
     progress = runner.finish(runner.append_to_files(stream, out))
     assert sum(1 for p in progress if p["numInputRows"]) == 4
+
+
+def test_figures_of_more_than_a_hundred_batches(spark, folders):
+    arrive, out = folders
+    count = 104
+    for part in range(count):
+        # The last row of every tenth file is far behind all others.
+        late = [(START, 2)] if part % 10 == 9 else []
+        pd.DataFrame([(START + timedelta(minutes=20 * part), 1), *late], columns=["ts", "user_id"]).astype({"ts": "datetime64[us]"}).to_parquet(
+            _made(arrive) / f"{part:03}.parquet", index=False
+        )
+        os.utime(f"{arrive}/{part:03}.parquet", (1_700_000_000 + part, 1_700_000_000 + part))
+    with using(spark, {"spark.sql.shuffle.partitions": "1"}):
+        stream = spark.readStream.schema("ts timestamp_ntz, user_id long").option("maxFilesPerTrigger", 1).parquet(arrive)
+        seen = stream.withColumn("ts", F.col("ts").cast("timestamp")).observe("source", F.count("*").alias("n")).withWatermark("ts", "5 minutes")
+        grouped = windows.windowed(seen, "ts", "10 minutes", ["user_id"], [F.count("*").alias("n")])
+        with runner.recorded(spark, f"{out}/figures"):
+            last = runner.finish(runner.append_to_files(grouped.select("user_id", "n"), out))
+    found = runner.progress_table(spark, f"{out}/figures").filter("input_rows > 0")
+    assert [tuple(r) for r in found.agg(F.count("*"), F.sum("input_rows"), F.sum("late_rows"), F.sum(F.col("observed")["source.n"].cast("long"))).collect()] == [
+        (count, count + 10, 10, count + 10)
+    ]
+    assert len(last) < count  # the stream itself forgets the first ones
+    assert rows(runner.state_sizes(spark, out)) == [(0, 1)]
+
+
+def _made(folder):
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    return Path(folder)

@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.session import shared_folder
@@ -95,6 +96,65 @@ def state_rows(progress: list[dict]) -> int:
     return sum(op.get("numRowsTotal", 0) for op in progress[-1].get("stateOperators", [])) if progress else 0
 
 
+_METRICS = "run_id string, batch_id bigint, input_rows bigint, late_rows bigint, state_rows bigint, state_bytes bigint, observed map<string, string>"
+
+
+class _Recorder(StreamingQueryListener):
+    """Rows of ``_METRICS`` for every batch, written to a folder a hundred at a time."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.rows = spark, path, []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        total = lambda name: sum(getattr(op, name) for op in p.stateOperators)
+        observed = {f"{name}.{k}": str(v) for name, row in p.observedMetrics.items() for k, v in row.asDict().items()}
+        figures = p.numInputRows, total("numRowsDroppedByWatermark"), total("numRowsTotal"), total("memoryUsedBytes")
+        self.rows.append((str(p.runId), p.batchId, *figures, observed))
+        if len(self.rows) >= 100:
+            self.flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+
+    def flush(self) -> None:
+        rows, self.rows = self.rows, []
+        if rows:
+            self.spark.createDataFrame(rows, _METRICS).coalesce(1).write.mode("append").parquet(self.path)
+
+
+@contextmanager
+def recorded(spark: SparkSession, path: str):
+    """Keep the figures of every batch of the streams that run inside the block: however many, unlike
+    ``recentProgress``, which forgets all but the last hundred. Read them with ``progress_table``."""
+    recorder = _Recorder(spark, path)
+    spark.streams.addListener(recorder)
+    try:
+        yield recorder
+    finally:
+        # Reports come a moment after their batch.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        spark.streams.removeListener(recorder)
+        recorder.flush()
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """Input, late rows, size of the state and observed figures of each recorded batch. A batch that ran again in a later run has a row for each."""
+    return spark.read.schema(_METRICS).parquet(path)
+
+
+def state_sizes(spark: SparkSession, folder: str, operator: int = 0) -> DataFrame:
+    """Rows that the state of a stopped stream holds, by partition: skew of its keys shows here."""
+    state = spark.read.format("statestore").option("operatorId", operator).load(f"{folder}/checkpoint")
+    return state.groupBy("partition_id").agg(F.count("*").alias("rows"))
+
+
 def replay(stream: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Run to the end of the input in append mode and return the written rows. A ``folder`` used before is gone on with."""
     spark = stream.sparkSession
