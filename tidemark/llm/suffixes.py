@@ -4,10 +4,12 @@
    Equal strings choose the same anchor, so documents that share a string share an anchor.
 2. Anchors of several documents are found by their hashes. Around each lies its context: all strings
    of ``length`` bytes that hold it.
-3. Equal contexts are added up first (with the smallest id). Different contexts of one anchor meet in
-   one task; a suffix array of them, made by linear grouping, brings equal strings together, and each
-   string gets the smallest id that has it.
-4. Documents look up their contexts and remove what an earlier document also has.
+3. Names (hashes) of contexts go before their bytes: equal contexts are found by name, and all but the
+   first document that has one remove it whole. Only the first document sends the bytes, and only where
+   several different contexts have the anchor.
+4. Different contexts of one anchor meet in one task; a suffix array of what they may share, made by
+   linear grouping, brings equal strings together, and each string gets the smallest id that has it.
+5. Documents look up their contexts and remove what an earlier document also has.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -138,50 +140,102 @@ def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def _contexts(raw: bytes, at: np.ndarray, length: int) -> list[tuple[int, int, bytes]]:
-    """``start, anchor's place inside, bytes`` around each anchor."""
-    out = []
-    for p in at.tolist():
-        low = max(0, p - (length - GRAM))
-        out.append((low, p - low, raw[low : p + length]))
-    return out
+def names(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
+    """Names of the contexts around anchors at ``at``: the bytes, and where the text begins or ends in them."""
+    side = length - GRAM
+    size = 2 * side + GRAM
+    padded = np.zeros(len(raw) + 2 * side, np.uint64)
+    padded[side : side + len(raw)] = np.frombuffer(raw, np.uint8)
+    padded[side : side + len(raw)] += np.uint64(1)
+    weights = np.cumprod(np.full(size, 0xD6E8FEB86659FD93, np.uint64))
+    windows = np.lib.stride_tricks.sliding_window_view(padded, size)
+    out = [(windows[at[low : low + 20_000]] * weights).sum(axis=1, dtype=np.uint64) for low in range(0, len(at), 20_000)]
+    return mixed(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
-def _name(place: int, context: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(context, seed=place) - (1 << 63)
+def _heads(h: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted rows: the first of each (anchor, context, document), and the first of each (anchor, context)."""
+    least = np.ones(len(h), bool)
+    least[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+    new = least.copy()
+    new[1:] |= d[1:] != d[:-1]
+    return new, least
 
 
 def _bytes(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-def _least(contexts: list[bytes], places: list[int], firsts: list[int], length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each context that shares strings: the smallest id that has the string at each place."""
-    # Bytes from 2 up, each context ended by a 1.
-    text = np.frombuffer(b"".join(c + b"\0" for c in contexts), np.uint8).astype(np.int64) + 2
-    sizes = np.array([len(c) + 1 for c in contexts], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    text[starts + sizes - 1] = 1
-    last = np.minimum(np.array(places, np.int64), sizes - 1 - length)
-    first = np.array(firsts, np.int64)
-    owner = np.repeat(np.arange(len(contexts)), sizes)
-    order = np.array(suffix_array(text.tolist()), np.int64)
-    # Suffixes that start with a whole string holding the anchor, in order.
-    order = order[order - starts[owner[order]] <= last[owner[order]]]
-    if not len(order):
-        return
-    reach = np.arange(length)
-    same = np.zeros(len(order), bool)
-    for low in range(1, len(order), 20_000):
-        one, two = order[low - 1 : low + 19_999], order[low : low + 20_000]
-        same[low : low + 20_000] = (text[one[: len(two), None] + reach] == text[two[:, None] + reach]).all(axis=1)
-    heads = np.flatnonzero(~same)
-    holder = owner[order]
-    lowest = np.repeat(np.minimum.reduceat(first[holder], heads), np.diff(np.append(heads, len(order))))
-    best = first[owner]
-    best[order] = lowest
-    for k in np.unique(holder[lowest < first[holder]]).tolist():
-        yield k, best[starts[k] : starts[k] + last[k] + 1]
+def _reach(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """For each row: how many symbols from the left on it has in common with any other row of its anchor (0 never is)."""
+    order = np.lexsort((*rows.T[::-1], anchor))
+    one, two = rows[order[:-1]], rows[order[1:]]
+    same = (one == two) & (one > 0) & (anchor[order[:-1]] == anchor[order[1:]])[:, None]
+    common = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+    out = np.zeros(len(rows), np.int64)
+    out[order[:-1]] = common
+    out[order[1:]] = np.maximum(out[order[1:]], common)
+    return out
+
+
+def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``context's index, places`` of its strings of ``length`` bytes that a smaller id also has.
+
+    The suffix array's text has, for each context, what it may share: as many bytes on either side of
+    the anchor as it has in common with any other context, and one symbol for the anchor itself.
+    """
+    side = length - GRAM
+    rows = np.zeros((len(contexts), 2 * side), np.int64)
+    for k, (c, p) in enumerate(zip(contexts, place.tolist())):
+        raw = np.frombuffer(c, np.uint8)
+        rows[k, side - p : side] = raw[:p]
+        rows[k, side - p : side] += 1
+        right = raw[p + GRAM :]
+        rows[k, side : side + len(right)] = right
+        rows[k, side : side + len(right)] += 1
+    _, group = np.unique(anchor, return_inverse=True)
+    left, right = _reach(rows[:, side - 1 :: -1], group), _reach(rows[:, side:], group)
+    able = np.flatnonzero(left + right >= side)
+    sizes = left[able] + right[able] + 2
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(able):
+        # As many contexts at a time as fit; those of one anchor stay together.
+        high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + GROUP_BYTES, "right"))
+        high = max(high, low + 1)
+        while high < len(able) and group[able[high]] == group[able[high - 1]]:
+            high += 1
+        mine, size = able[low:high], sizes[low:high]
+        low = high
+        starts = np.cumsum(size) - size
+        owner = np.repeat(np.arange(len(mine)), size)
+        text = np.ones(int(size.sum()), np.int64)
+        within = np.arange(len(text)) - starts[owner]
+        column = side - left[mine][owner] + within
+        inside = within < left[mine][owner]
+        text[inside] = rows[mine[owner[inside]], column[inside]] + 1
+        centre = within == left[mine][owner]
+        text[centre] = 300 + group[mine]
+        inside = (within > left[mine][owner]) & (within < size[owner] - 1)
+        text[inside] = rows[mine[owner[inside]], column[inside] - 1] + 1
+        order = np.array(suffix_array(text.tolist()), np.int64)
+        # Suffixes that start with a whole string holding the anchor, in order.
+        last = left[mine] + right[mine] - side
+        order = order[within[order] <= last[owner[order]]]
+        reach = np.arange(side + 1)
+        same = np.zeros(len(order), bool)
+        for at in range(1, len(order), 20_000):
+            one, two = order[at - 1 : at + 19_999], order[at : at + 20_000]
+            same[at : at + 20_000] = (text[one[: len(two), None] + reach] == text[two[:, None] + reach]).all(axis=1)
+        heads = np.flatnonzero(~same)
+        ids = first[mine][owner[order]]
+        lowest = np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.append(heads, len(order))))
+        later = order[lowest < ids]
+        later.sort()
+        where = place[mine][owner[later]] - left[mine][owner[later]] + within[later]
+        cuts = np.flatnonzero(np.diff(owner[later], prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(later)]):
+            yield int(mine[owner[later[a]]]), where[a:b]
 
 
 def _crowded(contexts: DataFrame, length: int) -> DataFrame:
@@ -262,88 +316,128 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = blobs.groupBy("part").applyInPandas(shared, "id bigint, h bigint")
     lists = stored(pairs.groupBy("id").agg(F.collect_set("h").alias("hashes")), "shared-anchors", release=True)
 
-    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Names of the contexts of shared anchors by part; what several documents of the batch share is settled here."""
         for batch in batches:
-            out = {}
+            hashes, contexts, ids = [], [], []
             for i, text, known in zip(batch["id"], batch["text"], batch["hashes"]):
                 raw = _bytes(text)
                 at, h = anchors(raw, length)
                 keep = np.isin(h, np.asarray(known, np.int64).view(np.uint64))
-                for _, place, context in _contexts(raw, at[keep], length):
-                    out[_name(place, context), i] = (place, context)
-            yield pd.DataFrame(
-                [(c, i, *v) for (c, i), v in out.items()], columns=["c", "id", "place", "context"]
-            )
-
-    held = stored(full.join(lists, "id").mapInPandas(around, "c bigint, id bigint, place int, context binary"), "contexts", release=True)
-    # One row for each context, however many documents have it.
-    known = stored(held.groupBy("c").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("place").alias("place"), F.first("context").alias("context")), "distinct-contexts", release=True)
-    # Contexts meet under their anchor.
-    anchor = F.xxhash64(F.substring(F.col("context"), F.col("place") + 1, F.lit(GRAM)))
-    sided = known.select("c", "first", "place", "context", anchor.alias("anchor"))
-    several = stored(sided.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "several-contexts")
-    bins = max(1, (several.filter(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0) * (2 * length) // GROUP_BYTES)
+                hashes.append(h[keep])
+                contexts.append(names(raw, at[keep], length))
+                ids.append(np.full(len(hashes[-1]), i, np.int64))
+            h, c, d = np.concatenate(hashes), np.concatenate(contexts), np.concatenate(ids)
+            order = np.lexsort((d, h, c))
+            h, c, d = h[order], c[order], d[order]
+            new, least = _heads(h, c, d)
+            later = new & ~least
+            out = []
+            for low in range(0, int(later.sum()), 1 << 16):
+                some = np.flatnonzero(later)[low : low + (1 << 16)]
+                out.append((parts + int(d[some[0]] % parts), b"", c[some].tobytes(), d[some].tobytes()))
+            h, c, d = h[least], c[least], d[least]
+            part = (c % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            h, c, d, part = h[order], c[order], d[order], part[order]
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            for low, high in zip(cuts, [*cuts[1:], len(part)]):
+                out.append((int(part[low]), h[low:high].tobytes(), c[low:high].tobytes(), d[low:high].tobytes()))
+            yield pd.DataFrame(out, columns=["part", "h", "c", "d"])
+
+    def copies(group: pd.DataFrame) -> pd.DataFrame:
+        """A row for each context and document; with the anchor where the document is the first."""
+        c = np.frombuffer(b"".join(group["c"]), np.uint64)
+        d = np.frombuffer(b"".join(group["d"]), np.int64)
+        if group["part"].iloc[0] >= parts:
+            anchor = pa.nulls(len(c), pa.int64())
+        else:
+            h = np.frombuffer(b"".join(group["h"]), np.uint64)
+            order = np.lexsort((d, h, c))
+            h, c, d = h[order], c[order], d[order]
+            new, least = _heads(h, c, d)
+            h, c, d, least = h[new], c[new], d[new], least[new]
+            anchor = pa.array(h.view(np.int64), mask=~least)
+        return pd.DataFrame({"id": d, "c": c.view(np.int64), "anchor": pd.Series(anchor, dtype=pd.ArrowDtype(pa.int64()))})
+
+    blobs = full.join(lists, "id").mapInPandas(named, "part bigint, h binary, c binary, d binary")
+    held = stored(blobs.groupBy("part").applyInPandas(copies, "id bigint, c bigint, anchor bigint"), "context-names", release=True)
+    firsts = held.filter("anchor is not null")
+    # Anchors that several contexts of several documents have, and what these documents are to send.
+    several = firsts.groupBy("anchor").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    several = stored(several.filter("n > 1 and low < high").select("anchor", (F.col("n") > CROWD).alias("crowded")), "several-contexts")
+    asked = firsts.join(several, "anchor").groupBy("id").agg(
+        F.collect_list(F.when(~F.col("crowded"), F.col("c"))).alias("few"), F.collect_list(F.when(F.col("crowded"), F.col("c"))).alias("many")
+    )
+    asked = stored(asked, "asked-contexts", release=True)
+    few, many = asked.agg(F.sum(F.size("few").cast("bigint")), F.sum(F.size("many").cast("bigint"))).first()
+    bins = max(1, (few or 0) * 2 * length // GROUP_BYTES)
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The contexts asked for, with their bytes."""
+        side = length - GRAM
+        for batch in batches:
+            out = []
+            for i, text, wanted in zip(batch["id"], batch["text"], batch["wanted"]):
+                raw = _bytes(text)
+                at, h = anchors(raw, length)
+                c = names(raw, at, length).view(np.int64)
+                keep = np.flatnonzero(np.isin(c, np.asarray(wanted, np.int64)))
+                # Once, however often the document has it.
+                keep = keep[np.unique(c[keep], return_index=True)[1]]
+                for a, name, p in zip(h[keep].view(np.int64).tolist(), c[keep].tolist(), at[keep].tolist()):
+                    low = max(0, p - side)
+                    out.append((a, name, i, p - low, raw[low : p + length]))
+            yield pd.DataFrame(out, columns=["anchor", "c", "first", "place", "context"])
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
-        out = []
         group = group.sort_values("anchor")
-        heads = np.flatnonzero(group["anchor"].ne(group["anchor"].shift()).to_numpy())
-        ends = group["context"].map(len).to_numpy(np.int64).cumsum()
-        low = 0
-        # As many whole anchors at a time as fit.
-        for high in [*heads[1:], len(group)]:
-            if high < len(group) and ends[high - 1] - (ends[low - 1] if low else 0) < GROUP_BYTES:
-                continue
-            mine = group.iloc[low:high]
-            names, firsts = mine["c"].tolist(), mine["first"].tolist()
-            for k, best in _least(mine["context"].tolist(), mine["place"].tolist(), firsts, length):
-                out.append((names[k], firsts[k], np.flatnonzero(best < firsts[k]).tolist()))
-            low = high
-        return pd.DataFrame(out, columns=["c", "id", "starts"])
-
-    met = sided.join(several.filter(F.col("n") <= CROWD).drop("n"), "anchor").withColumn("bin", F.pmod("anchor", F.lit(bins)))
+        c, first = group["c"].to_numpy(np.int64), group["first"].to_numpy(np.int64)
+        found = _least(group["anchor"].to_numpy(np.int64), group["place"].to_numpy(np.int64), first, group["context"].tolist(), length)
+        return pd.DataFrame([(c[k], first[k], starts) for k, starts in found], columns=["c", "id", "starts"])
+
+    def contexts(of: str) -> DataFrame:
+        sending = full.join(asked.filter(F.size(of) > 0).select("id", F.col(of).alias("wanted")), "id")
+        return sending.mapInPandas(around, "anchor bigint, c bigint, first bigint, place int, context binary")
+
+    met = contexts("few").withColumn("bin", F.pmod("anchor", F.lit(bins)))
     # Strings of the first holder of a context that an earlier document has.
     special = stored(met.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"), "earlier-strings", release=True)
-    crowd = stored(several.filter(F.col("n") > CROWD).select("anchor"), "crowded-anchors")
-    if not crowd.isEmpty():
-        special = special.union(_crowded(sided.join(crowd, "anchor"), length))
-    whole = held.select("c", "id").join(known.filter("first < last").select("c", "first"), "c").filter("id > first")
-    todo = whole.select("id", F.struct("c", F.lit(None).cast("array<int>").alias("starts")).alias("cut")).union(
-        special.select("id", F.struct("c", "starts").alias("cut"))
+    if many:
+        special = special.union(_crowded(stored(contexts("many"), "crowded-contexts", release=True), length))
+    todo = held.filter("anchor is null").select("id", "c", F.lit(None).cast("array<int>").alias("starts")).union(special.select("id", "c", "starts"))
+    whole = F.col("starts").isNull()
+    cuts = todo.groupBy("id").agg(
+        F.collect_list(F.when(whole, F.col("c"))).alias("whole"), F.collect_list(F.when(~whole, F.struct("c", "starts"))).alias("some")
     )
-    cuts = stored(todo.groupBy("id").agg(F.collect_list("cut").alias("cuts")), "cuts", release=True)
+    cuts = stored(cuts, "cuts", release=True)
 
     @F.pandas_udf("n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
-    def cut(texts: pd.Series, cuts: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, whole: pd.Series, some: pd.Series) -> pd.DataFrame:
         out = []
-        for text, mine in zip(texts, cuts):
+        for text, entire, strings in zip(texts, whole, some):
             raw = _bytes(text)
-            if mine is None or not len(mine):
+            if entire is None:
                 out.append((len(raw), [], raw))
                 continue
-            wanted: dict[int, set[int] | None] = {}
-            for x in mine:
-                if x["starts"] is None:
-                    wanted[x["c"]] = None
-                elif wanted.get(x["c"], 0) is not None:
-                    wanted.setdefault(x["c"], set()).update(int(s) for s in x["starts"])
+            at, _ = anchors(raw, length)
+            c = names(raw, at, length).view(np.int64)
             gone = np.zeros(len(raw) + 1, np.int64)
-            for low, place, context in _contexts(raw, anchors(raw, length)[0], length):
-                name = _name(place, context)
-                if name in wanted:
-                    starts = wanted[name]
-                    last = min(place, len(context) - length)
-                    if starts is None:
-                        starts = range(last + 1)
-                    for s in starts:
-                        gone[low + s] += 1
-                        gone[low + s + length] -= 1
+            mine = at[np.isin(c, np.asarray(entire, np.int64))]
+            np.add.at(gone, np.maximum(mine - (length - GRAM), 0), 1)
+            np.add.at(gone, np.minimum(mine, len(raw) - length) + length, -1)
+            wanted = {x["c"]: np.asarray(x["starts"], np.int64) for x in strings}
+            if wanted:
+                for k in np.flatnonzero(np.isin(c, np.fromiter(wanted, np.int64))).tolist():
+                    starts = wanted[int(c[k])] + max(0, int(at[k]) - (length - GRAM))
+                    np.add.at(gone, starts, 1)
+                    np.add.at(gone, starts + length, -1)
             covered = np.cumsum(gone[:-1]) > 0
             turns = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
             spans = [{"start": int(a), "end": int(b)} for a, b in turns.reshape(-1, 2)]
             out.append((len(raw), spans, np.frombuffer(raw, np.uint8)[~covered].tobytes()))
         return pd.DataFrame(out, columns=["n_bytes", "spans", "kept"])
 
-    done = rows.join(cuts, "id", "left").withColumn("cut", cut("text", "cuts"))
+    done = rows.join(cuts, "id", "left").withColumn("cut", cut("text", "whole", "some"))
     removed = F.col("cut.n_bytes") - F.octet_length("cut.kept")
     return done.select(F.col("id").alias(id_col), "cut.n_bytes", removed.cast("bigint").alias("n_removed"), "cut.spans", "cut.kept")
