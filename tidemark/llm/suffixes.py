@@ -49,54 +49,84 @@ def suffix_array(symbols: list[int]) -> list[int]:
     n = len(text)
     by_symbol: dict[int, list[int]] = {}
     for i, c in enumerate(text):
-        by_symbol.setdefault(c, []).append(i)
-    group, starts_at, members = [0] * n, {}, {}
+        if c in by_symbol:
+            by_symbol[c].append(i)
+        else:
+            by_symbol[c] = [i]
+    # Of the place before the first (-1, the last entry): a group below all others.
+    group = [0] * n + [-1]
+    members: list[list[int]] = [[]] * n
+    starts_at, ends_at = [0] * (n + 1), [0] * (n + 1)
     at = 0
     for c in sorted(by_symbol):
-        for i in by_symbol[c]:
+        mine = by_symbol[c]
+        for i in mine:
             group[i] = at
-        members[at] = by_symbol[c]
-        starts_at[at + len(by_symbol[c])] = at
-        at += len(by_symbol[c])
-    ends_at = {s: e for e, s in starts_at.items()}
+        members[at] = mine
+        end = at + len(mine)
+        starts_at[end], ends_at[at] = at, end
+        at = end
     previous = [-1] * n
     end = n
     while end > 0:
         start = starts_at[end]
+        if end - start == 1:
+            # One suffix points to one at most, which moves to the top of its group.
+            for i in members[start]:
+                if group[i] == start:
+                    p = i - 1
+                    while group[p] >= start:
+                        p = previous[p]
+                    previous[i] = p
+                    if p >= 0:
+                        old = group[p]
+                        top = ends_at[old]
+                        new = top - 1
+                        if new != old:
+                            group[p] = new
+                            members[new] = [p]
+                            starts_at[top], ends_at[new] = new, top
+                            starts_at[new], ends_at[old] = old, new
+            end = start
+            continue
         pointed: dict[int, int] = {}
-        for i in members.pop(start):
+        for i in members[start]:
             if group[i] != start:
                 continue
             p = i - 1
-            while p >= 0 and group[p] >= start:
+            while group[p] >= start:
                 p = previous[p]
             previous[i] = p
             if p >= 0:
-                pointed[p] = pointed.get(p, 0) + 1
-        if pointed:
-            moves: dict[int, dict[int, list[int]]] = {}
-            for p, k in pointed.items():
-                moves.setdefault(k, {}).setdefault(group[p], []).append(p)
-            for k in sorted(moves, reverse=True):
-                for old, moved in moves[k].items():
-                    top = ends_at[old]
-                    new = top - len(moved)
-                    if new == old:
-                        continue  # the whole group goes on
-                    for p in moved:
-                        group[p] = new
-                    moved.sort()
-                    members[new] = moved
-                    starts_at[top], ends_at[new] = new, top
-                    starts_at[new], ends_at[old] = old, new
+                pointed[p] = pointed[p] + 1 if p in pointed else 1
+        moves: dict[tuple[int, int], list[int]] = {}
+        for p, k in pointed.items():
+            key = (-k, group[p])
+            if key in moves:
+                moves[key].append(p)
+            else:
+                moves[key] = [p]
+        for key in sorted(moves) if len(moves) > 1 else moves:
+            old, moved = key[1], moves[key]
+            top = ends_at[old]
+            new = top - len(moved)
+            if new == old:
+                continue  # the whole group goes on
+            for p in moved:
+                group[p] = new
+            moved.sort()
+            members[new] = moved
+            starts_at[top], ends_at[new] = new, top
+            starts_at[new], ends_at[old] = old, new
         end = start
-    out, free, placed = [0] * n, {}, [False] * n
+    out, free, placed = [0] * n, list(range(n)), [False] * n
+    # The last place is placed first; it also ends the way before the first.
     out[0], placed[n - 1] = n - 1, True
     for i in range(n):
         p = out[i] - 1
-        while p >= 0 and not placed[p]:
+        while not placed[p]:
             s = group[p]
-            k = free.get(s, s)
+            k = free[s]
             out[k], free[s], placed[p] = p, k + 1, True
             p = previous[p]
     return out[1:]
@@ -179,10 +209,11 @@ def _reach(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 
 
 def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """``context's index, places`` of its strings of ``length`` bytes that a smaller id also has.
+    """``context's index, places`` of its strings of ``length`` bytes that a smaller id also has. Rows come by anchor.
 
     The suffix array's text has, for each context, what it may share: as many bytes on either side of
-    the anchor as it has in common with any other context, and one symbol for the anchor itself.
+    the anchor as it has in common with any other context. One symbol stands for the anchor and for
+    the bytes next to it that all have and that every string has to hold.
     """
     side = length - GRAM
     rows = np.zeros((len(contexts), 2 * side), np.int64)
@@ -196,46 +227,56 @@ def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: l
     _, group = np.unique(anchor, return_inverse=True)
     left, right = _reach(rows[:, side - 1 :: -1], group), _reach(rows[:, side:], group)
     able = np.flatnonzero(left + right >= side)
-    sizes = left[able] + right[able] + 2
+    if not len(able):
+        return
+    rows, group, left, right = rows[able], group[able], left[able], right[able]
+    heads = np.flatnonzero(np.diff(group, prepend=-1))
+    counts = np.diff(np.append(heads, len(able)))
+    leader = np.repeat(heads, counts)
+    alike = (rows == rows[leader]) & (rows > 0)
+    near = [np.logical_and.accumulate(x, axis=1).sum(axis=1) for x in (alike[:, side - 1 :: -1], alike[:, side:])]
+    skip_left = np.repeat(np.minimum(np.minimum.reduceat(near[0], heads), side - np.maximum.reduceat(right, heads)), counts)
+    skip_right = np.repeat(np.minimum(np.minimum.reduceat(near[1], heads), side - np.maximum.reduceat(left, heads)), counts)
+    before, sizes = left - skip_left, left - skip_left + right - skip_right + 2
     ends = np.cumsum(sizes)
     low = 0
     while low < len(able):
-        # As many contexts at a time as fit; those of one anchor stay together.
-        high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + GROUP_BYTES, "right"))
-        high = max(high, low + 1)
-        while high < len(able) and group[able[high]] == group[able[high - 1]]:
+        # As many anchors at a time as fit.
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + GROUP_BYTES, "right")))
+        while high < len(able) and group[high] == group[high - 1]:
             high += 1
-        mine, size = able[low:high], sizes[low:high]
+        size = sizes[low:high]
+        owner = np.repeat(np.arange(low, high), size)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
         low = high
-        starts = np.cumsum(size) - size
-        owner = np.repeat(np.arange(len(mine)), size)
-        text = np.ones(int(size.sum()), np.int64)
-        within = np.arange(len(text)) - starts[owner]
-        column = side - left[mine][owner] + within
-        inside = within < left[mine][owner]
-        text[inside] = rows[mine[owner[inside]], column[inside]] + 1
-        centre = within == left[mine][owner]
-        text[centre] = 300 + group[mine]
-        inside = (within > left[mine][owner]) & (within < size[owner] - 1)
-        text[inside] = rows[mine[owner[inside]], column[inside] - 1] + 1
+        text = np.ones(len(owner), np.int64)
+        at = np.flatnonzero(within < before[owner])
+        text[at] = rows[owner[at], side - left[owner[at]] + within[at]] + 1
+        at = np.flatnonzero(within == before[owner])
+        text[at] = 300 + group[owner[at]]
+        at = np.flatnonzero((within > before[owner]) & (within < sizes[owner] - 1))
+        text[at] = rows[owner[at], side + skip_right[owner[at]] + within[at] - before[owner[at]] - 1] + 1
         order = np.array(suffix_array(text.tolist()), np.int64)
         # Suffixes that start with a whole string holding the anchor, in order.
-        last = left[mine] + right[mine] - side
-        order = order[within[order] <= last[owner[order]]]
-        reach = np.arange(side + 1)
+        order = order[within[order] <= (left + right - side)[owner[order]]]
+        reach, symbols = np.arange(side + 1), (side + 1 - skip_left - skip_right)[owner[order]]
         same = np.zeros(len(order), bool)
         for at in range(1, len(order), 20_000):
             one, two = order[at - 1 : at + 19_999], order[at : at + 20_000]
-            same[at : at + 20_000] = (text[one[: len(two), None] + reach] == text[two[:, None] + reach]).all(axis=1)
+            one = one[: len(two)]
+            # Past a string's end nothing is compared.
+            places = np.minimum(reach, symbols[at : at + 20_000, None] - 1)
+            ahead = np.minimum(one[:, None] + places, len(text) - 1)
+            same[at : at + 20_000] = (text[ahead] == text[two[:, None] + places]).all(axis=1)
         heads = np.flatnonzero(~same)
-        ids = first[mine][owner[order]]
+        ids = first[able[owner[order]]]
         lowest = np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.append(heads, len(order))))
-        later = order[lowest < ids]
-        later.sort()
-        where = place[mine][owner[later]] - left[mine][owner[later]] + within[later]
-        cuts = np.flatnonzero(np.diff(owner[later], prepend=-1))
+        later = np.sort(order[lowest < ids])
+        whose = owner[later]
+        where = place[able[whose]] - left[whose] + within[later]
+        cuts = np.flatnonzero(np.diff(whose, prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(later)]):
-            yield int(mine[owner[later[a]]]), where[a:b]
+            yield int(able[whose[a]]), where[a:b]
 
 
 def _crowded(contexts: DataFrame, length: int) -> DataFrame:
