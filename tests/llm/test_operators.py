@@ -465,6 +465,35 @@ def plain_repeats(rows, length=50):
     return out
 
 
+@pytest.mark.parametrize("group_bytes", [1, 50, 200_000])
+def test_strings_of_contexts_like_plain_python(group_bytes, monkeypatch):
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", group_bytes)
+    rng = random.Random(group_bytes)
+    letters = lambda n: bytes(rng.choices(b"\x00ab", k=n))
+    for _ in range(60):
+        seen = {}
+        for anchor in range(rng.randint(1, 5)):
+            core = bytes(rng.choices(range(97, 123), k=suffixes.GRAM))
+            sides = [(letters(26), letters(26)) for _ in range(2)]
+            for _ in range(rng.randint(1, 7)):
+                a, b = rng.choice(sides)[0][rng.randint(0, 26) :], rng.choice(sides)[1][: rng.randint(0, 26)]
+                if rng.random() < 0.7:
+                    a, b = letters(26 - len(a)) + a, b + letters(26 - len(b))
+                if len(a) + len(b) >= 26:
+                    seen[anchor, len(a), a + core + b] = rng.randint(0, 4)
+        if not seen:
+            continue
+        rows, lowest = [(*k, v) for k, v in seen.items()], {}
+        strings = [[(s, (a, p - s, c[s : s + 50])) for s in range(min(p, len(c) - 50) + 1)] for a, p, c, _ in rows]
+        for mine, row in zip(strings, rows):
+            for _, x in mine:
+                lowest[x] = min(lowest.get(x, 9), row[3])
+        want = {k: [s for s, x in mine if lowest[x] < rows[k][3]] for k, mine in enumerate(strings)}
+        anchor, place, context, first = zip(*rows)
+        found = suffixes._least(np.array(anchor), np.array(place), np.array(first), list(context), 50)
+        assert {k: sorted(v.tolist()) for k, v in found} == {k: v for k, v in want.items() if v}
+
+
 @pytest.mark.parametrize("crowd", [5_000, 1])
 def test_repeats_like_plain_python(spark, documents, crowd, monkeypatch):
     monkeypatch.setattr(suffixes, "CROWD", crowd)

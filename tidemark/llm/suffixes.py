@@ -132,9 +132,9 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return out[1:]
 
 
-def _rolled(raw: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every run of ``size`` bytes, put together from runs of powers of two."""
-    factors, runs, n = [np.full(1, 0x9E3779B97F4A7C15, np.uint64)], [raw.astype(np.uint64) + np.uint64(1)], 1
+def _rolled(symbols: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` symbols, put together from runs of powers of two."""
+    factors, runs, n = [np.full(1, 0x9E3779B97F4A7C15, np.uint64)], [symbols], 1
     while n * 2 <= size:
         one = runs[-1]
         runs.append(one[:-n] * factors[-1] + one[n:])
@@ -146,7 +146,7 @@ def _rolled(raw: np.ndarray, size: int) -> np.ndarray:
             tail = runs[k][done:]
             out = out[: len(tail)] * factors[k] + tail
             done += 1 << k
-    return mixed(out[: len(raw) - size + 1])
+    return mixed(out[: len(symbols) - size + 1])
 
 
 def _over(values: np.ndarray, width: int, f) -> np.ndarray:
@@ -158,29 +158,28 @@ def _over(values: np.ndarray, width: int, f) -> np.ndarray:
     return f(values[: len(values) - (width - n)], values[width - n :]) if width > n else values
 
 
-def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of a text; none if it is shorter than ``length``."""
-    if len(raw) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = _rolled(np.frombuffer(raw, np.uint8), GRAM)
-    width = length - GRAM + 1
-    least = _over(hashes, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    at = np.flatnonzero(_over(np.concatenate((edge, least, edge)), width, np.maximum) == hashes)
-    return at, hashes[at]
-
+def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of a text, and names of their contexts; none if it is shorter than ``length``.
 
-def names(raw: bytes, at: np.ndarray, length: int) -> np.ndarray:
-    """Names of the contexts around anchors at ``at``: the bytes, and where the text begins or ends in them."""
+    A name is a hash of the bytes around an anchor and of where the text begins or ends in them.
+    """
+    if len(raw) < length:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     side = length - GRAM
-    size = 2 * side + GRAM
     padded = np.zeros(len(raw) + 2 * side, np.uint64)
     padded[side : side + len(raw)] = np.frombuffer(raw, np.uint8)
     padded[side : side + len(raw)] += np.uint64(1)
-    weights = np.cumprod(np.full(size, 0xD6E8FEB86659FD93, np.uint64))
-    windows = np.lib.stride_tricks.sliding_window_view(padded, size)
-    out = [(windows[at[low : low + 20_000]] * weights).sum(axis=1, dtype=np.uint64) for low in range(0, len(at), 20_000)]
-    return mixed(np.concatenate(out)) if out else np.empty(0, np.uint64)
+    grams = _rolled(padded, GRAM)
+    hashes = grams[side : len(grams) - side]
+    width = side + 1
+    least = _over(hashes, width, np.minimum)
+    edge = np.zeros(width - 1, np.uint64)
+    at = np.flatnonzero(_over(np.concatenate((edge, least, edge)), width, np.maximum) == hashes)
+    # The runs of GRAM bytes that a context is covered by.
+    context = np.zeros(len(at), np.uint64)
+    for low in (*range(0, 2 * side, GRAM), 2 * side):
+        context = context * np.uint64(0xD6E8FEB86659FD93) + grams[at + low]
+    return at, hashes[at], mixed(context)
 
 
 def _heads(h: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,14 +215,13 @@ def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: l
     the bytes next to it that all have and that every string has to hold.
     """
     side = length - GRAM
-    rows = np.zeros((len(contexts), 2 * side), np.int64)
-    for k, (c, p) in enumerate(zip(contexts, place.tolist())):
-        raw = np.frombuffer(c, np.uint8)
-        rows[k, side - p : side] = raw[:p]
-        rows[k, side - p : side] += 1
-        right = raw[p + GRAM :]
-        rows[k, side : side + len(right)] = right
-        rows[k, side : side + len(right)] += 1
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    owner = np.repeat(np.arange(len(contexts)), sizes)
+    column = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes - (side - place), sizes)
+    rows = np.zeros((len(contexts), 2 * side + GRAM), np.int16)
+    rows[owner, column] = np.frombuffer(b"".join(contexts), np.uint8)
+    rows[owner, column] += 1
+    rows = np.delete(rows, slice(side, side + GRAM), axis=1)
     _, group = np.unique(anchor, return_inverse=True)
     left, right = _reach(rows[:, side - 1 :: -1], group), _reach(rows[:, side:], group)
     able = np.flatnonzero(left + right >= side)
@@ -363,10 +361,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             hashes, contexts, ids = [], [], []
             for i, text, known in zip(batch["id"], batch["text"], batch["hashes"]):
                 raw = _bytes(text)
-                at, h = anchors(raw, length)
+                _, h, c = anchors(raw, length)
                 keep = np.isin(h, np.asarray(known, np.int64).view(np.uint64))
                 hashes.append(h[keep])
-                contexts.append(names(raw, at[keep], length))
+                contexts.append(c[keep])
                 ids.append(np.full(len(hashes[-1]), i, np.int64))
             h, c, d = np.concatenate(hashes), np.concatenate(contexts), np.concatenate(ids)
             order = np.lexsort((d, h, c))
@@ -421,8 +419,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out = []
             for i, text, wanted in zip(batch["id"], batch["text"], batch["wanted"]):
                 raw = _bytes(text)
-                at, h = anchors(raw, length)
-                c = names(raw, at, length).view(np.int64)
+                at, h, c = anchors(raw, length)
+                c = c.view(np.int64)
                 keep = np.flatnonzero(np.isin(c, np.asarray(wanted, np.int64)))
                 # Once, however often the document has it.
                 keep = keep[np.unique(c[keep], return_index=True)[1]]
@@ -461,8 +459,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if entire is None:
                 out.append((len(raw), [], raw))
                 continue
-            at, _ = anchors(raw, length)
-            c = names(raw, at, length).view(np.int64)
+            at, _, c = anchors(raw, length)
+            c = c.view(np.int64)
             gone = np.zeros(len(raw) + 1, np.int64)
             mine = at[np.isin(c, np.asarray(entire, np.int64))]
             np.add.at(gone, np.maximum(mine - (length - GRAM), 0), 1)
