@@ -77,6 +77,39 @@ def test_null_keys_and_values_stay(spark):
     assert rows(ranked) == rows(df.select("i", F.rank().over(Window.partitionBy("k").orderBy(F.desc("v")))))
 
 
+@pytest.mark.parametrize("share", [None, 0.5, 1.0])
+def test_only_hot_keys_are_sliced(hot, share):
+    keys, order = ["key"], ["amount", "value"]
+    w = Window.partitionBy("key").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    falling = Window.partitionBy("key").orderBy(F.desc("amount"))
+    plain = hot.select("value", F.sum("amount").over(upto), F.row_number().over(w), F.lag("amount").over(w), F.rank().over(falling))
+    found = slices.keyed_sum(hot, keys, order, F.col("amount"), "s", share)
+    found = slices.keyed_numbers(found, keys, order, "n", share)
+    found = slices.keyed_previous(found, keys, order, "amount", "p", share)
+    found = slices.keyed_ranks(found, keys, "amount", "r", share)
+    assert found.columns == [*hot.columns, "s", "n", "p", "r"]
+    assert rows(found.select("value", "s", "n", "p", "r")) == rows(plain)
+
+
+def test_keys_that_are_not_hot_take_one_exchange(spark):
+    df = spark.range(4000).select((F.col("id") % 1000).alias("k"), "id")
+    found = slices.keyed_sum(df, ["k"], ["id"], F.col("id"), "s")
+    assert layout.exchange_count(found) == 1
+    assert found.count() == 4000
+
+
+def test_keyed_windows_with_null_keys_and_without_rows(spark):
+    data = [(None if i % 2 else f"k{i}", i, None if i % 5 == 0 else i % 4) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, i int, v int")
+    w = Window.partitionBy("k").orderBy("i")
+    found = slices.keyed_previous(slices.keyed_sum(df, ["k"], ["i"], F.col("v"), "s", 0.4), ["k"], ["i"], "v", "p", 0.4)
+    assert rows(found.select("i", "s", "p")) == rows(df.select("i", F.sum("v").over(w), F.lag("v").over(w)))
+    ranked = slices.keyed_ranks(df, ["k"], "v", "r", 0.4).select("i", "r")
+    assert rows(ranked) == rows(df.select("i", F.rank().over(Window.partitionBy("k").orderBy(F.desc("v")))))
+    assert slices.keyed_numbers(df.limit(0), ["k"], ["i"], "n").collect() == []
+
+
 def test_outer_overlap_keeps_rows_without_a_span(spark):
     left = spark.createDataFrame([(1, START, None), (None, START, START), (2, None, None)], "k int, s1 timestamp, e1 timestamp")
     right = spark.createDataFrame([(1, START, START)], "k int, s2 timestamp, e2 timestamp")
@@ -133,6 +166,12 @@ def test_split_join_is_plain_join(spark, hot, salts):
     assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key").select("key", "value", "d"))
 
 
+def test_split_join_follows_the_share_of_a_key(spark, hot):
+    small = spark.createDataFrame([("busy", 1), ("busy", 2), ("calm_3", 3), (None, 4)], "key string, d int")
+    found = skew.hot_key_split_join(hot, small, ["key"], skew.heavy_hitters(hot, ["key"], 0.1), ["value"], 10)
+    assert rows(found.select("key", "value", "d")) == rows(hot.join(small, "key").select("key", "value", "d"))
+
+
 def test_hot_null_key_is_salted(spark):
     df = spark.createDataFrame([(None if i % 10 else f"k{i}", i) for i in range(100)], "key string, v int")
     hot_keys = skew.hot_keys(df, ["key"], 0.5)

@@ -83,6 +83,16 @@ def test_bucketed_join_needs_no_exchange(spark, tmp_path):
     assert joined.count() == 300
 
 
+def test_bucketed_frames_leave_no_table_behind(spark, tmp_path):
+    before = {x.name for x in spark.catalog.listTables()}
+    a = sinks.bucketed(spark.range(1000).withColumnRenamed("id", "k"), "k", 4, str(tmp_path / "a"))
+    b = sinks.bucketed(spark.range(300).withColumnRenamed("id", "k"), "k", 4, str(tmp_path / "b"))
+    joined = a.join(b.hint("merge"), "k")
+    assert layout.exchange_count(joined) == 0
+    assert joined.count() == 300
+    assert {x.name for x in spark.catalog.listTables()} == before
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     df = files.scan_parquet(spark, "/root/testdata/sf0.001/events.parquet")
     plan = layout.explain_text(df.filter(F.col("event_type").isin("click")).select("user_id"))

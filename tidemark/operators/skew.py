@@ -23,8 +23,9 @@ def key_shares(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
     return counts.withColumn("share", share).withColumn("is_hot", F.col("share") >= F.lit(hot_share))
 
 
-#: Keys that a sketch can track at most.
+#: Keys that a sketch can track at most, and the smallest share it can tell.
 TRACKED = 1_000_000
+LEAST_SHARE = 10 / TRACKED
 
 
 def heavy_hitters(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
@@ -35,8 +36,8 @@ def heavy_hitters(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame
     times 1 / hot_share, are then counted anew; a key whose hash meets that of a hot one is found out by this. A null key is a key
     like any other. Both passes read the key columns only; the first runs at once.
     """
-    if not 10 / TRACKED <= hot_share <= 1:
-        raise ValueError(f"the share must be from {10 / TRACKED} to 1")
+    if not LEAST_SHARE <= hot_share <= 1:
+        raise ValueError(f"the share must be from {LEAST_SHARE} to 1")
     tracked = max(1000, math.ceil(10 / hot_share))
     name = F.xxhash64(*keys)
     sketch = F.expr(f"approx_top_k(h, {math.ceil(3 / hot_share)}, {tracked})")
@@ -53,13 +54,19 @@ def hot_keys(df: DataFrame, keys: list[str], hot_share: float) -> DataFrame:
     return heavy_hitters(df, keys, hot_share).select(*keys)
 
 
+def _marked(df: DataFrame, keys: list[str], few: DataFrame, otherwise: dict[str, Column]) -> DataFrame:
+    """``df`` with the columns named in ``otherwise``: from the row of ``few`` that has the same keys, nulls
+    too, else as given. ``few`` is broadcast."""
+    renamed = few.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], *otherwise)
+    on = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    found = df.join(F.broadcast(renamed), on, "left").drop(*[f"_hot_{k}" for k in keys])
+    return found.withColumns({name: F.coalesce(name, value) for name, value in otherwise.items()})
+
+
 def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Add ``_hot``. ``hot`` is broadcast: its size is bounded by its own definition. A null key
     can be hot like any other."""
-    flagged = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    on = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    marked = df.join(F.broadcast(flagged), on, "left").drop(*[f"_hot_{k}" for k in keys])
-    return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    return _marked(df, keys, hot.withColumn("_hot", F.lit(True)), {"_hot": F.lit(False)})
 
 
 def _salts(df: DataFrame, salts: int | None) -> int:
@@ -117,12 +124,21 @@ def salted_join(
     return left.join(right, [*keys, SALT], how).drop(SALT)
 
 
-def hot_key_split_join(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, spread_by: list[str], salts: int | None = None) -> DataFrame:
-    """Inner join: hot keys apart from the rest.
+def hot_key_split_join(
+    big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame, spread_by: list[str], salts: int | None = None
+) -> DataFrame:
+    """Inner join: each hot key split into as many parts as its share asks for, the rest left whole.
 
-    The hot part is joined with salts, the rest is an ordinary shuffle join.
+    ``hot`` comes from ``heavy_hitters``: a key with a third of the rows is dealt over a third of ``salts`` parts, and its
+    rows of ``small`` are repeated for these only. Without a ``share`` a hot key takes all of them. Keys that are
+    not hot are one part, so a single join, with one scan of each side, does both.
     """
-    marked, small_marked = mark_hot(big, keys, hot), mark_hot(small, keys, hot)
-    hot_part = salted_join(marked.filter("_hot").drop("_hot"), small_marked.filter("_hot").drop("_hot"), keys, hot, spread_by, salts)
-    cold_part = marked.filter("not _hot").drop("_hot").join(small_marked.filter("not _hot").drop("_hot"), keys)
-    return cold_part.unionByName(hot_part)
+    salts = _salts(big, salts)
+    shared = "share" in hot.columns and "share" not in keys
+    ways = F.ceil(F.col("share") * salts) if shared else F.lit(salts)
+    sized = hot.select(*keys, ways.cast("int").alias("_ways"))
+    left = _marked(big, keys, sized, {"_ways": F.lit(1)})
+    left = left.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.col("_ways")).cast("int")).drop("_ways")
+    right = _marked(small, keys, sized, {"_ways": F.lit(1)})
+    right = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.col("_ways") - 1))).drop("_ways")
+    return left.join(right, [*keys, SALT]).drop(SALT)

@@ -6,13 +6,19 @@ works inside the (key, slice) parts, after a row that holds what earlier slices
 key carry over.
 
 The order columns must identify a row within its key.
+
+Keys with fewer rows than one task's share need none of this: ``keyed`` slices hot keys only and
+gives all others an ordinary window with its one exchange.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import LEAST_SHARE, hot_keys, mark_hot
 from tidemark.session import written
 
 SLICE = "_slice"
@@ -78,6 +84,63 @@ def previous(sliced: DataFrame, keys: list[str], order: list[str], value: str, n
     return _with_heads(sliced, carry).withColumn(name, found).filter("_is_row").drop("_carry", "_is_row")
 
 
+def keyed(
+    df: DataFrame,
+    keys: list[str],
+    plain: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame], DataFrame],
+    hot_share: float | None = None,
+) -> DataFrame:
+    """``plain`` of the rows of ordinary keys together with ``sliced`` of the rows of hot ones.
+
+    A key is hot from ``hot_share`` of the rows on: what one shuffle partition holds, unless given. Both
+    functions return the same columns.
+    """
+    share = hot_share or max(LEAST_SHARE, 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = written(hot_keys(df, keys, share), "hot-keys")
+    if hot.isEmpty():
+        return plain(df)
+    marked = mark_hot(df, keys, hot)
+    return plain(marked.filter("not _hot").drop("_hot")).unionByName(sliced(marked.filter("_hot").drop("_hot")))
+
+
+def keyed_sum(df: DataFrame, keys: list[str], order: Order, value: Column, name: str, hot_share: float | None = None) -> DataFrame:
+    """``running_sum`` where only hot keys are sliced."""
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return keyed(
+        df, keys,
+        lambda rows: rows.withColumn(name, F.sum(value).over(upto)),
+        lambda rows: running_sum(ordered_slices(rows, keys, order), keys, order, value, name).drop(SLICE),
+        hot_share,
+    )
+
+
+def keyed_numbers(df: DataFrame, keys: list[str], order: Order, name: str, hot_share: float | None = None) -> DataFrame:
+    """``row_numbers`` where only hot keys are sliced."""
+    return keyed_sum(df, keys, order, F.lit(1), name, hot_share)
+
+
+def keyed_previous(df: DataFrame, keys: list[str], order: list[str], value: str, name: str, hot_share: float | None = None) -> DataFrame:
+    """``previous`` where only hot keys are sliced."""
+    return keyed(
+        df, keys,
+        lambda rows: rows.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))),
+        lambda rows: previous(ordered_slices(rows, keys, order), keys, order, value, name).drop(SLICE),
+        hot_share,
+    )
+
+
+def keyed_ranks(df: DataFrame, keys: list[str], value: str, name: str, hot_share: float | None = None) -> DataFrame:
+    """``ranks`` where only the values of hot keys are counted, sliced and joined back."""
+    falling = Window.partitionBy(*keys).orderBy(F.desc(value))
+    return keyed(
+        df, keys,
+        lambda rows: rows.withColumn(name, F.rank().over(falling).cast("bigint")),
+        lambda rows: ranks(rows, keys, value, name),
+        hot_share,
+    )
+
+
 def ranks(df: DataFrame, keys: list[str], value: str, name: str, slices: int | None = None) -> DataFrame:
     """``rank()`` by ``value`` descending: 1 plus the rows of the key with a greater value.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,13 +118,13 @@ SELECT region, count(*) AS transaction_count, CAST(sum(revenue) AS DOUBLE) AS to
 FROM {t.SALES} WHERE region IN ('ASIA', 'EUROPE') GROUP BY region
 """)
 def partitioned_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Sales written by region; the reader then opens the directories of two regions only."""
+    """Sales of each supplier written by region; the reader then opens the directories of two regions only."""
     path = shared_folder(spark, "sales-by-region")
-    sales = t.sales(spark, d, product=False).select("region", "revenue")
+    sales = t.sales_totals(spark, d, product=False).select("region", "sales", "revenue")
     sinks.write_partitioned(sales, path, ["region"])
     some = files.scan_parquet(spark, path).filter(F.col("region").isin("ASIA", "EUROPE"))
     return some.groupBy("region").agg(
-        F.count("*").alias("transaction_count"), cents_total(F.col("revenue")).alias("total_sales")
+        F.sum("sales").alias("transaction_count"), cents_total(F.col("revenue")).alias("total_sales")
     )
 
 
@@ -134,11 +133,13 @@ SELECT category, count(*) AS n, {t.sql_mean('price')} AS avg_price FROM {t.SALES
 """)
 def prepartitioned_agg(spark: SparkSession, d: str) -> DataFrame:
     """Aggregate over rows already laid out by (group key, lane), each key over several tasks: the
-    layout serves the first aggregate as it is, and one row per key and lane is merged after."""
+    layout serves the first aggregate as it is, and one row per key and lane is merged after. Lines are
+    added up per product before products are named."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = t.sales(spark, d, region=False).select("category", "price", F.pmod(F.xxhash64("order_id", "price"), F.lit(n)).alias("lane"))
+    totals = t.sales_totals(spark, d, region=False)
+    rows = totals.select("category", "sales", "prices", "priced", F.pmod(F.xxhash64("product_id"), F.lit(n)).alias("lane"))
     laid = layout.by_hash(rows, ["category", "lane"], n)
-    lanes = laid.groupBy("category", "lane").agg(F.count("*").alias("n"), F.sum("price").alias("prices"), F.count("price").alias("priced"))
+    lanes = laid.groupBy("category", "lane").agg(F.sum("sales").alias("n"), F.sum("prices").alias("prices"), F.sum("priced").alias("priced"))
     return lanes.groupBy("category").agg(F.sum("n").alias("n"), cents_ratio(F.sum("prices"), F.sum("priced")).alias("avg_price"))
 
 
@@ -149,13 +150,9 @@ FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment
 def bucketed_join(spark: SparkSession, d: str) -> DataFrame:
     """Two tables bucketed by customer: their join and the group by customer need no exchange."""
     n = partitions_for(t.table(spark, d, "customer"))
-    name = uuid4().hex
     people = t.customers(spark, d).select("customer_id", "department")
     spent = t.orders(spark, d).groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("price").alias("spent"))
-    tables = {f"people_{name}": people, f"spent_{name}": spent}
-    for table, rows in tables.items():
-        sinks.write_bucketed(rows, table, "customer_id", n, shared_folder(spark, "bucketed"))
-    left, right = (spark.table(table) for table in tables)
+    left, right = (sinks.bucketed(rows, "customer_id", n, shared_folder(spark, "bucketed")) for rows in (people, spent))
     joined = left.join(right.hint("merge"), "customer_id")
     grouped = joined.groupBy(F.col("department").alias("c_mktsegment"))
     return grouped.agg(F.sum("n").alias("n"), total(F.col("spent")).alias("spent"))

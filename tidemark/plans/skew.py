@@ -74,4 +74,5 @@ def salted_join(spark: SparkSession, d: str) -> DataFrame:
 @query(_JOINED_SQL)
 def hot_key_split_join(spark: SparkSession, d: str) -> DataFrame:
     events, people = _sides(spark, d)
-    return _report(skew.hot_key_split_join(events, people, ["user_id"], _hot(spark, d), ["event_id"]))
+    hot = skew.heavy_hitters(events, ["user_id"], HOT_SHARE)
+    return _report(skew.hot_key_split_join(events, people, ["user_id"], hot, ["event_id"]))

@@ -7,7 +7,7 @@ with ``window_end <= watermark``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -320,9 +320,10 @@ def stream_user_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @streamed("SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY word", "documents")
 def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
-    """Running word count in complete mode over whole texts."""
+    """Running word count over whole texts. A batch stores the words it changed, not the whole table; the
+    newest row of each word is the complete result."""
     rows = table_stream(spark, d, "documents").select(words(F.col("text")).alias("word"))
-    return runner.replay_complete(rows.groupBy("word").count(), "word-count")
+    return runner.replay_updates(rows.groupBy("word").count(), "word-count", ["word"])
 
 
 @streamed(f"""
@@ -360,8 +361,8 @@ def stream_stateful_sessions(spark: SparkSession, d: str) -> DataFrame:
 # -------------------------------------------------------------------------- several sinks
 
 
-def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Three outputs of one stream. The summary stores sums per (user, session) of each
+def _sinks(spark: SparkSession, d: str, *names: str) -> dict[str, DataFrame]:
+    """The named outputs of one stream. The summary stores sums per (user, session) of each
     batch, so a distinct count of sessions needs no set in memory."""
     rows = stream(spark, d).withColumn("session_id", _k()).withColumn("is_high_value", F.col("value") > HIGH_VALUE * 100)
 
@@ -375,14 +376,29 @@ def _sinks(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     def alerts(batch: DataFrame) -> DataFrame:
         return batch.filter(F.col("event_type") == "error").select("event_id", "user_id", times.plain("ts").alias("ts"))
 
-    return runner.replay_outputs(
-        rows, "sinks", {"raw": lambda b: b, "high_value": high_value, "sessions": per_session, "alerts": alerts}
-    )
+    every = {"raw": lambda b: b, "high_value": high_value, "sessions": per_session, "alerts": alerts}
+    return runner.replay_outputs(rows, "sinks", {name: every[name] for name in names})
+
+
+@streamed(f"""
+SELECT 'raw' AS sink, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM {t.EVENTS}
+UNION ALL SELECT 'high_value', count(*), CAST(sum(event_id) AS BIGINT) FROM {t.EVENTS} WHERE value > {HIGH_VALUE}
+UNION ALL SELECT 'alerts', count(*), CAST(sum(event_id) AS BIGINT) FROM {t.EVENTS} WHERE event_type = 'error'
+UNION ALL SELECT 'sessions', CAST(sum(n) AS BIGINT), CAST(count(*) AS BIGINT) FROM (
+  SELECT user_id, json_extract_string(props, '$.k') AS session_id, count(*) AS n FROM {t.EVENTS} GROUP BY 1, 2) s
+""")
+def multi_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """All four outputs of one run: rows and the sum of ids in each; of the summary, events and sessions."""
+    stored = _sinks(spark, d, "raw", "high_value", "sessions", "alerts")
+    sums = [stored[name].agg(F.lit(name).alias("sink"), F.count("*").alias("n"), F.sum("event_id").alias("ids")) for name in ("raw", "high_value", "alerts")]
+    merged = stored["sessions"].groupBy("user_id", "session_id").agg(F.sum("n").alias("n"))
+    sums.append(merged.agg(F.lit("sessions").alias("sink"), F.sum("n").alias("n"), F.count("*").alias("ids")))
+    return reduce(DataFrame.unionByName, sums)
 
 
 @streamed(f"SELECT event_id, user_id, CAST(value AS DOUBLE) AS value FROM {t.EVENTS} WHERE value > {HIGH_VALUE}")
 def multi_sink_high_value(spark: SparkSession, d: str) -> DataFrame:
-    return _sinks(spark, d)["high_value"].drop("batch_id")
+    return _sinks(spark, d, "high_value")["high_value"].drop("batch_id")
 
 
 @streamed(f"""
@@ -390,7 +406,7 @@ SELECT user_id, count(*) AS total_actions, CAST(sum(value) AS DOUBLE) AS total_v
   count(DISTINCT json_extract_string(props, '$.k')) AS unique_sessions FROM {t.EVENTS} GROUP BY user_id
 """)
 def multi_sink_user_summary(spark: SparkSession, d: str) -> DataFrame:
-    parts = _sinks(spark, d)["sessions"]
+    parts = _sinks(spark, d, "sessions")["sessions"]
     return parts.groupBy("user_id").agg(
         F.sum("n").alias("total_actions"),
         cents_total(F.col("value")).alias("total_value"),
@@ -400,7 +416,7 @@ def multi_sink_user_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @streamed("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
 def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return _sinks(spark, d)["alerts"].drop("batch_id")
+    return _sinks(spark, d, "alerts")["alerts"].drop("batch_id")
 
 
 @streamed("""

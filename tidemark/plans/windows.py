@@ -1,4 +1,4 @@
-"""Ordered window functions over whole tables, balanced by range slices."""
+"""Ordered window functions over whole tables; hot keys are balanced by range slices."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ FROM {t.CUSTOMERS}
 def row_number_by_segment(spark: SparkSession, d: str) -> DataFrame:
     keys, order = ["department"], ["salary", "customer_id"]
     rows = t.customers(spark, d).select("customer_id", "department", "salary")
-    numbered = slices.row_numbers(slices.ordered_slices(rows, keys, order), keys, order, "row_num")
+    numbered = slices.keyed_numbers(rows, keys, order, "row_num")
     return numbered.select("customer_id", "department", F.col("row_num").cast("bigint").alias("row_num"))
 
 
@@ -28,7 +28,7 @@ FROM {t.CUSTOMERS}
 def prev_salary(spark: SparkSession, d: str) -> DataFrame:
     keys, order = ["department"], ["salary", "customer_id"]
     rows = t.customers(spark, d).select("customer_id", "department", "salary")
-    shifted = slices.previous(slices.ordered_slices(rows, keys, order), keys, order, "salary", "prev_salary")
+    shifted = slices.keyed_previous(rows, keys, order, "salary", "prev_salary")
     return shifted.select("customer_id", F.col("prev_salary").cast("double").alias("prev_salary"))
 
 
@@ -37,7 +37,7 @@ SELECT order_id, status, CAST(rank() OVER (PARTITION BY status ORDER BY price DE
 """)
 def rank_orders_by_status(spark: SparkSession, d: str) -> DataFrame:
     rows = t.orders(spark, d).select("order_id", "status", "price")
-    return slices.ranks(rows, ["status"], "price", "price_rank").select("order_id", "status", "price_rank")
+    return slices.keyed_ranks(rows, ["status"], "price", "price_rank").select("order_id", "status", "price_rank")
 
 
 @query(f"""
@@ -59,7 +59,7 @@ SELECT order_id, CAST(sum(price) OVER (PARTITION BY customer_id ORDER BY order_d
 def running_spend_by_customer(spark: SparkSession, d: str) -> DataFrame:
     keys, order = ["customer_id"], ["order_date", "order_id"]
     rows = t.orders(spark, d).select("order_id", "customer_id", "order_date", "price")
-    summed = slices.running_sum(slices.ordered_slices(rows, keys, order), keys, order, F.col("price"), "running")
+    summed = slices.keyed_sum(rows, keys, order, F.col("price"), "running")
     return summed.select("order_id", F.col("running").cast("double").alias("running_spend"))
 
 

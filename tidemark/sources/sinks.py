@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -40,6 +42,19 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int, path: str) -> DataFrame:
+    """``df`` stored by buckets of ``key`` at ``path``, as a frame for this session.
+
+    Only a table of the catalog can say how files are bucketed. The frame keeps that knowledge, so the
+    table's entry goes at once and no names pile up; the files stay.
+    """
+    table = f"bucketed_{uuid4().hex}"
+    write_bucketed(df, table, key, buckets, path)
+    stored = df.sparkSession.table(table)
+    df.sparkSession.sql(f"DROP TABLE {table}")
+    return stored
+
+
 def _plain(c: Column, kind: DataType) -> Column:
     """Decimals as text, dates and times as ISO text, at any depth."""
     if isinstance(kind, (DecimalType, DateType)):
