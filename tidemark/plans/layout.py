@@ -5,14 +5,14 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import cents_mean, cents_ratio, cents_total, summable, total, whole_cents
 from tidemark.operators import layout
 from tidemark.plans import tables as t
 from tidemark.plans.registry import query
-from tidemark.session import partitions_for, shared_folder
+from tidemark.session import partitions_for, shared_folder, written
 from tidemark.sources import files, sinks
 
 
@@ -25,6 +25,57 @@ def partition_report(spark: SparkSession, d: str) -> DataFrame:
     return report.select("total_records", agree.alias("is_consistent"))
 
 
+@query("""
+SELECT layout, n AS total_records, s AS key_sum, TRUE AS holds FROM (SELECT count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS s FROM orders) o,
+  (VALUES ('round robin'), ('hash'), ('hash, given number'), ('fewer')) v(layout)
+""")
+def repartitioned(spark: SparkSession, d: str) -> DataFrame:
+    """All orders laid out in four ways, with what each promises: even parts, a key in one part, a bound on the number of parts."""
+    orders = t.orders(spark, d).select("customer_id")
+    sources = layout.partition_sizes(orders).agg(F.count("*")).scalar()
+
+    def report(name: str, laid: DataFrame, holds: Column) -> DataFrame:
+        part = laid.select("customer_id", F.spark_partition_id().alias("part"))
+        cells = part.groupBy("part", "customer_id").agg(F.count("*").alias("n"))
+        totals = [F.sum("n").alias("n"), F.count("*").alias("cells"), F.grouping("part").alias("is_key")]
+        each = cells.groupingSets([["part"], ["customer_id"]], "part", "customer_id").agg(*totals)
+        part_rows, key = F.when(F.col("is_key") == 0, F.col("n")), F.col("is_key") == 1
+        figures = each.agg(
+            F.sum(part_rows).alias("total_records"),
+            F.sum(F.when(key, F.col("n") * F.col("customer_id"))).alias("key_sum"),
+            F.count(part_rows).alias("filled"), F.max(part_rows).alias("most"), F.min(part_rows).alias("least"),
+            F.max(F.when(key, F.col("cells"))).alias("parts_of_a_key"),
+        )
+        return figures.select(F.lit(name).alias("layout"), "total_records", "key_sum", holds.alias("holds"))
+
+    # Each part of the source is dealt out evenly by itself.
+    even = (F.col("most") - F.when(F.col("filled") == 6, F.col("least")).otherwise(0)) <= sources
+    together = F.col("parts_of_a_key") == 1
+    reports = [
+        report("round robin", layout.round_robin(orders, 6), even),
+        report("hash", layout.by_hash(orders, ["customer_id"]), together),
+        report("hash, given number", layout.by_hash(orders, ["customer_id"], 5), together & (F.col("filled") <= 5)),
+        report("fewer", layout.fewer(orders, 2), F.col("filled") <= 2),
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query("""
+SELECT mode, times * n AS n_rows, times * s AS balance FROM (SELECT count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(10,2))) AS DOUBLE) AS s FROM customer) c,
+  (VALUES ('error', 1), ('append', 2), ('ignore', 2), ('overwrite', 1)) v(mode, times)
+""")
+def save_modes(spark: SparkSession, d: str) -> DataFrame:
+    """The customers stored by one mode after the other on the same folder, and what the folder holds then."""
+    path = shared_folder(spark, "customers")
+    people = t.customers(spark, d).select("customer_id", "salary")
+    reports = []
+    for mode in ("error", "append", "ignore", "overwrite"):
+        sinks.write_parquet(people, path, mode)
+        held = files.scan_parquet(spark, path).agg(F.lit(mode).alias("mode"), F.count("*").alias("n_rows"), cents_total(whole_cents("salary")).alias("balance"))
+        reports.append(written(held, f"held-{mode}"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query("""
 SELECT TRUE AS all_are_orders, TRUE AS at_most_three, TRUE AS no_partition_missing, count(*) AS n_orders FROM orders
 """)

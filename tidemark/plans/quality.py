@@ -289,6 +289,17 @@ def accepted_rows(spark: SparkSession, d: str) -> DataFrame:
     return good.select("customer_id", "name", "department")
 
 
+@query(f"""
+SELECT customer_id, upper(trim(name)[1]) || lower(trim(name)[2:]) AS name, department
+FROM (SELECT *, {PEOPLE_ERRORS} AS errors FROM {PEOPLE_SQL}) v WHERE errors = ''
+""")
+def strict_customers(spark: SparkSession, d: str) -> DataFrame:
+    """A batch that must be valid as a whole: what cleaning lets through is held against the rules again, and any bad row stops the job."""
+    rules = q.customer_rules()
+    cleaned = q.accepted(q.validate(people(spark, d), rules))
+    return q.require_valid(q.validate(cleaned, rules), ["customer_id"]).select("customer_id", "name", "department")
+
+
 @query(f"""
 SELECT customer_id, upper(trim(name)[1]) || lower(trim(name)[2:]) AS name, coalesce(age, 30) AS age,
   upper(city[1]) || lower(city[2:]) AS city, CAST(coalesce(salary, 50000) AS DOUBLE) AS salary, department

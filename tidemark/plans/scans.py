@@ -375,3 +375,15 @@ def nested_orders_flatten(spark: SparkSession, d: str) -> DataFrame:
     items = per_order.select(F.col("o.order_id").alias("order_id"), "theme", "flag", F.explode("o.items").alias("i"))
     grouped = items.groupBy("order_id", F.col("i.product_id").alias("product_id"), "theme", "flag")
     return grouped.agg(F.sum("i.quantity").alias("quantity"), F.sum("i.price").cast("double").alias("price"))
+
+
+@query("""
+SELECT event_type, count(*) AS n, count(*) FILTER (WHERE epoch(ts) < epoch(now())) AS n_seen_later, CAST(max(floor(epoch(ts))) - min(floor(epoch(ts))) AS BIGINT) AS spread
+FROM events GROUP BY event_type
+""")
+def processing_delays(spark: SparkSession, d: str) -> DataFrame:
+    """How long ago events of each type happened: all before now, and the delays apart by as much as the times themselves."""
+    rows = t.table(spark, d, "events").select("event_type", times.processing_delay(times.instant("ts")).alias("delay"))
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count_if(F.col("delay") > 0).alias("n_seen_later"), (F.max("delay") - F.min("delay")).alias("spread")
+    )
