@@ -1,6 +1,7 @@
 """Each operator against plain Python on small tables with nulls, ties, repeats and clashing names."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -351,6 +352,57 @@ def test_lines_like_plain_python(spark):
     assert sorted((r.doc_id, r.n_removed) for r in twice) == [(1, 0), (1, 0), (2, 3)]
 
 
+def test_tree_walk_equals_a_plain_walk():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 5))
+    x[::7, 2] = x[0, 2]
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] > 0)).astype(float)
+    trees = quality.grow(x, y, n_trees=12, depth=3)
+
+    def walk(row, node):
+        while trees.left[node] != node:
+            node = trees.left[node] if row[trees.column[node]] <= trees.cut[node] else trees.right[node]
+        return trees.value[node]
+
+    plain = [1 / (1 + np.exp(-(trees.base + sum(walk(row, root) for root in trees.roots)))) for row in x]
+    assert np.allclose(trees.score(x), plain, rtol=0, atol=1e-12)
+    assert np.mean((trees.score(x) >= 0.5) == (y == 1)) > 0.9
+
+
+def test_first_split_is_the_best_of_all():
+    """With a bin for each value, the root's split has the greatest gain of all cuts of all columns, and leaves the values of their rows."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 20, size=(60, 4)).astype(float)
+    y = (x[:, 1] + rng.normal(size=60) > 9).astype(float)
+    ridge, rate, least = 2.0, 0.15, 8.0
+    trees = quality.grow(x, y, n_trees=1, depth=1, rate=rate, bins=64, ridge=ridge, least=least)
+    p = 1 / (1 + np.exp(-trees.base))
+    slope, bend = y - p, np.full(60, p * (1 - p))
+
+    def gain(rows):
+        part = lambda m: slope[m].sum() ** 2 / (bend[m].sum() + ridge)
+        if min(bend[rows].sum(), bend[~rows].sum()) < least / 4:
+            return -1
+        return part(rows) + part(~rows) - part(np.full(60, True))
+
+    cuts = {(j, v): gain(x[:, j] <= v) for j in range(4) for v in np.unique(x[:, j])}
+    root = trees.roots[0]
+    found = x[:, trees.column[root]] <= trees.cut[root]
+    assert gain(found) == pytest.approx(max(cuts.values()))
+    for node, rows in ((trees.left[root], found), (trees.right[root], ~found)):
+        assert trees.value[node] == pytest.approx(rate * slope[rows].sum() / (bend[rows].sum() + ridge))
+
+
+def test_quality_of_repeated_rows_and_clashing_names(spark):
+    good = [(i, "The committee met on Monday. It agreed on the plan, and on the costs.") for i in range(40)]
+    bad = [(100 + i, "BUY NOW!!! $$$ click click click 1234567890") for i in range(40)]
+    docs = spark.createDataFrame(good + bad + bad[:10], "doc_id long, text string").withColumn("_y", F.lit("x")).withColumn("_text", F.lit(1))
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad + good[:5]], "doc_id long, quality int").withColumn("x", F.lit(0))
+    trees = quality.fit(docs, labels)
+    got = docs.select("doc_id", quality.score("text", trees).alias("s")).collect()
+    assert len(got) == 90 and all((r.s >= 0.5) == (r.doc_id < 100) for r in got)
+
+
 # ---------------------------------------------------------------------------- toxicity
 
 
@@ -643,3 +695,45 @@ def test_leaks_the_same_in_parts(spark, monkeypatch):
     assert found() == one and clean() == kept and len(one) >= 25
     leaking = {i for i, *_ in one}
     assert kept == sorted(repr(tuple(r)) for r in docs.collect() if (r.doc_id if r.doc_id is not None else -1) not in leaking)
+
+
+# Marks between letters, marks without a width, wide letters, look-alikes, inner marks of ordinary words.
+@pytest.mark.parametrize("word", [
+    "i/d/i/o/t", "i,d,i,o,t", "i:d:i:o:t", "i=d=i=o=t", "i'd'i'o't", "i^d^i^o^t", "i%d%i%o%t", "i\u200bd\u200bi\u200bo\u200bt",
+    "\uff49\uff44\uff49\uff4f\uff54", "\u0456d\u0456\u043et", "id=iot", "idi'ot", "id/iot", "id__iot",
+])
+def test_marks_and_lookalikes_are_undone(word):
+    text = "you are an idiot and that is the end of it " * 50
+    counts = np.bincount(toxicity._gram_codes(np.frombuffer(text.encode(), np.uint8)), minlength=toxicity.SYMBOLS**toxicity.ORDER)
+    lookup = toxicity.Lookup(toxicity.Restorer(toxicity.language_model(counts.astype(float))))
+    assert "idiot" in lookup.words(f"you are an {word} and")
+    # Words of another script stay what they are.
+    assert lookup.words("\u0434\u0438\u0430\u043b\u043e\u0433") == {"\u0434\u0438\u0430\u043b\u043e\u0433"}
+
+
+@pytest.mark.parametrize("word", ["1d!0t", "a$$", "i.d.i", "heeello", "b4d", "sh1", "a-b", "6o+", "l00k"])
+def test_viterbi_equals_all_readings(word, monkeypatch):
+    """The decoder finds the likeliest of all readings, each scored by itself."""
+    rng = np.random.default_rng(11)
+    table = np.log(rng.dirichlet(np.ones(toxicity.SYMBOLS), toxicity.SYMBOLS ** (toxicity.ORDER - 1))).astype(np.float32)
+    restorer = toxicity.Restorer(table)
+    monkeypatch.setattr(toxicity, "BEAM", 10**9)
+    steps, last, run = [], "", 0
+    for c in [*word, None]:
+        run = run + 1 if c == last else 1
+        last = c or ""
+        steps.append(restorer._options(c, run))
+    best = (-np.inf, "")
+    for reading in itertools.product(*steps):
+        shown, written, score = [0, 0, 0], "", 0.0
+        for symbol, letters, cost in reading:
+            score += cost
+            if symbol is None or symbol == 0 and shown[-1] == 0:
+                continue
+            a, b, c = shown[-3:]
+            score += float(table[(a * toxicity.SYMBOLS + b) * toxicity.SYMBOLS + c, symbol])
+            # What lies before an edge is another word.
+            shown = [0, 0, 0] if symbol == 0 else [*shown, symbol]
+            written += letters
+        best = max(best, (score, written))
+    assert restorer.decode(word) == best[1].strip()

@@ -160,7 +160,10 @@ def grow(
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 20_000) -> Trees:
     """Trees for the labelled rows; of more than ``max_rows`` those with the smallest hash of their id.
 
-    Rows without an id or with a label other than 0 and 1 are left out.
+    Rows without an id or with a label other than 0 and 1 are left out; null and empty texts count as empty ones. An id
+    that several documents or labels have gives a row for each of their pairs, which count within ``max_rows``. Without
+    documents or labels every score is 0.5, with labels of one kind their smoothed share. Other columns are not read,
+    whatever their names.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_y")).filter("_id is not null and _y in (0, 1)")
     sample = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows)
@@ -178,7 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(text: Column | str, trees: Trees) -> Column:
-    """Probability of label 1 of each whole text; null counts as empty."""
+    """Probability of label 1 of each whole text; null counts as empty. A column expression: repeated rows get equal scores, a
+    table without rows stays so, and no other column is read or added."""
 
     @F.pandas_udf("double")
     def walk(texts: pd.Series) -> pd.Series:

@@ -50,7 +50,24 @@ _LONG = re.compile(r"(.)\1{3,}", re.DOTALL)
 #: Marks around a word that stand for no letter.
 _OUTER = "".join(c for c in _EDGES if c not in LEET)
 _LEET = "".join(LEET)
-_ODD = re.compile(r"(.)\1|[" + re.escape(_LEET) + r"]|[^\W\d_][.\-_~][^\W\d_]", re.DOTALL)
+#: Marks that ordinary words have inside.
+_INNER = "'\u2019,/:;"
+#: A double character, one that may stand for another, marks between letters, or an inner mark between single letters.
+_ODD = re.compile(
+    r"(.)\1|[" + re.escape(_LEET) + r"]|[^\W\d_](?:[^\w\s" + _INNER + r"]+|_+)[^\W\d_]"
+    r"|(?<![^\W\d_])[^\W\d_][" + _INNER + r"][^\W\d_](?![^\W\d_])",
+    re.DOTALL,
+)
+_CLOSED_UP = re.compile(r"(?<=[^\W\d_])[" + _INNER + r"]+(?=[^\W\d_])")
+#: Marks without a width go; the wide forms of ASCII are 0xFEE0 above it.
+_WIDTHS = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff\uff01-\uff5e]")
+_NARROW = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF]) | {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
+#: Letters of other scripts that look like a Latin one.
+LOOKALIKES = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "ԁ": "d", "һ": "h", "ԛ": "q", "ԝ": "w",
+    "α": "a", "ο": "o", "ι": "i", "ν": "v", "ρ": "p", "κ": "k", "ı": "i", "ɡ": "g",
+}
+_LOOKALIKES = str.maketrans(LOOKALIKES)
 #: Characters decoded at once, and how many of them overlap.
 WINDOW, OVERLAP = 200, 40
 
@@ -172,6 +189,7 @@ class Lookup:
         self.whole = {f: k for f, k in (features or {}).items() if not f.endswith("~")}
         self.stems = {n: {f[:-1]: k for f, k in (features or {}).items() if len(f) == n + 1 and f.endswith("~")} for n in STEMS}
         self.restored: dict[str, list[str]] = {}
+        self.plain: set[str] = set()
 
     def restore(self, word: str) -> list[str]:
         got = self.restored.get(word)
@@ -185,6 +203,8 @@ class Lookup:
                     if len(bare) < WINDOW - OVERLAP and any(c in LEET for c in bare):
                         # The likeliest reading may drop a mark: "a$$" without its last letters.
                         got = got + self.restorer.decode(bare, letters=True).split()
+                elif _CLOSED_UP.search(bare):
+                    got = [*got, _CLOSED_UP.sub("", bare)]
             if len(self.restored) >= REMEMBERED:
                 self.restored.clear()
             self.restored[word] = got
@@ -206,12 +226,22 @@ class Lookup:
 
     def words(self, text: str) -> set[str]:
         """Distinct words of a text: as written without marks at the edges, and as restored."""
-        order = text.lower().split()
+        narrow = text.isascii() or not _WIDTHS.search(text)
+        order = (text if narrow else text.translate(_NARROW)).lower().split()
         words = set(order)
+        if not text.isascii():
+            # A word that look-alikes turn into a Latin one is meant as that.
+            latin = [w.translate(_LOOKALIKES) for w in words if not w.isascii()]
+            words.update(filter(str.isascii, latin))
         out = {w.strip(_EDGES) for w in words}
-        # Only what is decoded is remembered.
-        for w in filter(_ODD.search, words):
-            out.update(self.restore(w))
+        # What is decoded is remembered, and so is what needs no decoding.
+        for w in words - self.plain:
+            if _ODD.search(w) or _CLOSED_UP.search(w):
+                out.update(self.restore(w))
+            else:
+                if len(self.plain) >= REMEMBERED:
+                    self.plain.clear()
+                self.plain.add(w)
         # Runs of three or more single characters, whatever blanks are between.
         short = np.fromiter(map(len, order), np.int64, len(order)) == 1
         edges = np.flatnonzero(np.diff(np.concatenate(([0], short.astype(np.int8), [0]))))
@@ -298,8 +328,10 @@ def fit(
     """Count the character model over ``corpus`` (all of ``docs``), and learn a lexicon from labels.
 
     Of more than ``max_rows`` labelled rows those with the smallest hash of their id are used. Rows
-    without an id or with a label other than 0 and 1 are left out. Without toxic rows, every
-    score is their smoothed share.
+    without an id or with a label other than 0 and 1 are left out; null and empty texts have no features. An id that
+    several documents or labels have counts once for each of their pairs. Without toxic rows, every
+    score is their smoothed share. The lexicon has at most ``max_features`` features, those that say most. Other columns are
+    not read, whatever their names.
     """
     model = language_model(count_grams(docs if corpus is None else corpus, text_col))
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)")
@@ -341,7 +373,8 @@ def fit(
 
 
 def score(text: Column | str, model: Model) -> Column:
-    """Probability that a whole text is toxic; null counts as empty."""
+    """Probability that a whole text is toxic; null counts as empty. A column expression: repeated rows get equal scores, a
+    table without rows stays so, and no other column is read or added."""
 
     @F.pandas_udf("double")
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
