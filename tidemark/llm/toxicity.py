@@ -124,35 +124,52 @@ class Restorer:
     """Viterbi decoding of character lattices under a character model."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model
+        self.model = model.ravel().tolist()
+        self.choices: dict[tuple[str | None, int, bool], list[tuple[int | None, str, float]]] = {}
 
     def decode(self, text: str, letters: bool = False) -> str:
         """The likeliest reading of one disguised stretch: words between single blanks.
 
         With ``letters`` every character that may stand for a letter does.
         """
+        model, kept = self.model, SYMBOLS ** (ORDER - 1)
         states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        # While there is one state it is kept apart.
+        state, score, out, single = 0, 0.0, "", True
         last, run = "", 0
         for c in [*text.lower(), None]:
             run = run + 1 if c == last else 1
             last = c or ""
-            options = self._options(c, run, letters)
+            if single:
+                if run == 1 and last.isalpha():
+                    # A letter that stands for itself only.
+                    at = state * SYMBOLS + (ord(last) - 96 if "a" <= last <= "z" else 27)
+                    state, score, out = at % kept, score + model[at], out + last
+                    continue
+                states = {state: (score, out)}
+            # Runs of three and more are alike.
+            key = (c, min(run, 3), letters)
+            options = self.choices.get(key)
+            if options is None:
+                options = self.choices[key] = self._options(*key)
             following: dict[int, tuple[float, str]] = {}
             for state, (score, out) in states.items():
+                row = state * SYMBOLS
                 for symbol, shown, cost in options:
-                    if symbol is None:
-                        new, now = state, score + cost
-                    elif symbol == 0 and state % SYMBOLS == 0:
-                        new, now = state, score + cost
-                        shown = ""
+                    if symbol is None or symbol == 0 and state % SYMBOLS == 0:
+                        new, now, written = state, score + cost, out
                     else:
-                        new = (state * SYMBOLS + symbol) % SYMBOLS ** (ORDER - 1) if symbol else 0
-                        now = score + cost + float(self.model[state, symbol])
-                    if new not in following or now > following[new][0]:
-                        following[new] = (now, out + shown)
+                        new = (row + symbol) % kept if symbol else 0
+                        now, written = score + cost + model[row + symbol], out + shown
+                    old = following.get(new)
+                    if old is None or now > old[0]:
+                        following[new] = (now, written)
             if len(following) > BEAM:
                 following = dict(sorted(following.items(), key=lambda x: -x[1][0])[:BEAM])
             states = following
+            single = len(states) == 1
+            if single:
+                ((state, (score, out)),) = states.items()
         return max(states.values())[1].strip()
 
     @staticmethod
@@ -224,24 +241,46 @@ class Lookup:
             out.update(got)
         return list(out)
 
+    def forms(self, token: str) -> set[str]:
+        """A token as written without marks at the edges, and as restored."""
+        out = {token.strip(_EDGES)}
+        if _ODD.search(token) or _CLOSED_UP.search(token):
+            out.update(self.restore(token))
+        if not token.isascii():
+            # A word that look-alikes turn into a Latin one is meant as that.
+            latin = token.translate(_LOOKALIKES)
+            if latin.isascii():
+                out |= self.forms(latin)
+        return out
+
+    def remember_plain(self, token: str) -> None:
+        if len(self.plain) >= REMEMBERED:
+            self.plain.clear()
+        self.plain.add(token)
+
+    @staticmethod
+    def tokens(text: str) -> list[str]:
+        narrow = text.isascii() or not _WIDTHS.search(text)
+        return (text if narrow else text.translate(_NARROW)).lower().split()
+
     def words(self, text: str) -> set[str]:
         """Distinct words of a text: as written without marks at the edges, and as restored."""
-        narrow = text.isascii() or not _WIDTHS.search(text)
-        order = (text if narrow else text.translate(_NARROW)).lower().split()
-        words = set(order)
-        if not text.isascii():
-            # A word that look-alikes turn into a Latin one is meant as that.
-            latin = [w.translate(_LOOKALIKES) for w in words if not w.isascii()]
-            words.update(filter(str.isascii, latin))
-        out = {w.strip(_EDGES) for w in words}
+        order = self.tokens(text)
+        tokens = set(order)
+        out = {w.strip(_EDGES) for w in tokens}
         # What is decoded is remembered, and so is what needs no decoding.
-        for w in words - self.plain:
-            if _ODD.search(w) or _CLOSED_UP.search(w):
-                out.update(self.restore(w))
-            else:
-                if len(self.plain) >= REMEMBERED:
-                    self.plain.clear()
-                self.plain.add(w)
+        for w in tokens - self.plain:
+            forms = self.forms(w)
+            out.update(forms)
+            if len(forms) == 1 and w not in self.restored:
+                self.remember_plain(w)
+        out.update(self.spelled(order))
+        out.discard("")
+        return out
+
+    def spelled(self, order: list[str]) -> set[str]:
+        """Words spelled by single characters."""
+        out: set[str] = set()
         # Runs of three or more single characters, whatever blanks are between.
         short = np.fromiter(map(len, order), np.int64, len(order)) == 1
         edges = np.flatnonzero(np.diff(np.concatenate(([0], short.astype(np.int8), [0]))))
@@ -250,20 +289,32 @@ class Lookup:
             if high - low > 2 and len(set(order[low:high])) > 1:
                 out.update(self.decode(" ".join(order[low:high])))
                 out.update(self.restore("".join(order[low:high])))
-        out.discard("")
+        return out
+
+    def numbers(self, words: set[str]) -> set[int]:
+        """Numbers of the features that words have."""
+        out = {self.whole[w] for w in self.whole.keys() & words}
+        for n, stems in self.stems.items():
+            if stems:
+                out.update(stems[w] for w in stems.keys() & {w[:n] for w in words})
         return out
 
     def text(self, text: str | None) -> set:
         """Distinct features of a whole text."""
         if not text:
             return set()
-        words = self.words(text)
         if self.features is None:
+            words = self.words(text)
             return words.union(*({w[:n] + "~" for w in words if len(w) >= n} for n in STEMS))
-        out = {self.whole[w] for w in self.whole.keys() & words}
-        for n, stems in self.stems.items():
-            if stems:
-                out.update(stems[w] for w in stems.keys() & {w[:n] for w in words})
+        order = self.tokens(text)
+        tokens = set(order) - self.plain
+        found = set().union(*map(self.forms, tokens))
+        out = self.numbers(found | self.spelled(order))
+        if not out:
+            # Tokens that have no feature now never will.
+            if len(self.plain) + len(tokens) > REMEMBERED:
+                self.plain.clear()
+            self.plain |= tokens
         return out
 
 
