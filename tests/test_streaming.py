@@ -260,6 +260,25 @@ def test_stateful_sessions_like_session_windows(spark, cell):
         stateful.track_sessions(batches[0], 600, "5 minutes", cell_seconds=601)
 
 
+def test_stateful_sessions_end_to_the_millisecond(spark):
+    """The newest time less the delay is 00:10:00.500: sessions that end there or before it are reported, in whatever second."""
+    whole = 1 / 60
+    data = [
+        (0, 1, "a", 1), (0.25 * whole, 2, "a", 2), (0.5 * whole, 3, "a", 3), (0.501 * whole, 4, "a", 4),
+        # Goes on with the row that has the watermark's own time.
+        (0.5 * whole, 5, "a", 5), (10 + 0.5 * whole, 5, "a", 6), (20 + 0.5 * whole, 6, "a", 7),
+    ]
+    found = runner.replay_arrivals(parts(spark, data), lambda s: stateful.track_sessions(s, 600, "10 minutes"), "grain")
+    assert rows(found.select("user_id", "events", "session_value")) == [(1, 1, 0.01), (2, 1, 0.02), (3, 1, 0.03)]
+
+
+def test_cells_are_joined_before_they_meet():
+    name = ["b", None, "a", "b", None, "a", "b"]
+    cells = pd.DataFrame({"name": name, "first_us": [9, 1, 4, 0, 8, 5, 20], "last_us": [9, 2, 4, 3, 8, 5, 21], "events": 1, "total": [1, 2, 3, 4, 5, 6, 7], "valued": 1})
+    got = [tuple(r) for batch in stateful._join_in_tasks(6, 3)(iter([cells])) for r in batch.itertuples(index=False)]
+    assert got == [("b", 0, 9, 2, 5, 2), ("b", 20, 21, 1, 7, 1), (None, 1, 8, 2, 7, 2), ("a", 4, 5, 2, 9, 2)]
+
+
 def test_timelines_merge_over_batches(spark):
     data = [(0, 1, "a", 1), (5, 1, "b", 2), (7, 2, "a", 3), (9, None, None, 4)], [(6, 1, "a", None), (8, 2, None, 5), (1, 3, "a", 6)], [(2, None, "c", 7), (3, 1, "b", 8)]
     outputs = {
