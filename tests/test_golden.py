@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 
+from tidemark.operators.layout import explain_text
 from tidemark.plans import QUERIES
 
 # The example records.
@@ -111,3 +112,13 @@ def test_repeat_customers_and_favourite(spark, folder):
     assert sorted(result(spark, folder, "sql_repeat_customers")) == [(1, 3), (2, 3)]
     assert result(spark, folder, "most_popular_product") == [("Notebook", 10)]
     assert {r[1] for r in result(spark, folder, "top3_customers")} == {"Alice", "Charlie", "Eve"}
+
+
+def test_users_are_distinct_before_they_are_sketched(spark, tmp_path):
+    events = [(1, "a"), (1, "a"), (2, "a"), (None, "a"), (None, "b"), (3, None), (3, None)]
+    spark.createDataFrame(events, "user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["approx_users"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([("a", 2, True), ("b", 0, True), (None, 1, True)], key=repr)
+    plan = explain_text(found, "simple").split("\n")
+    assert any("approx_count_distinct" in line for line in plan)
+    assert not any("approx_count_distinct" in line and "user_id" in line.split("functions=")[0] for line in plan)
