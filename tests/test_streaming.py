@@ -134,6 +134,21 @@ def test_distinct_counts_in_sliding_windows(spark, folders):
     assert found == {-5: (2, 3, 1, 2, 1, 2), 0: (3, 7, 2, 2, 1, 4), 5: (1, 4, 1, 1, 4, 4)}
 
 
+def test_state_of_distinct_counts_does_not_grow_with_the_values(spark, folders):
+    arrive, out = folders
+    add(spark, arrive, *[(i % 10, i, "a", i) for i in range(500)], (3, 7, None, 1), (4, None, "b", 1))
+    grouped = windows.windowed_distinct(
+        source(spark, arrive).withWatermark("ts", "1 hour"), "ts", "10 minutes", [], {"users": "user_id", "kinds": "kind"}, {"v": F.col("value")}
+    )
+    progress = runner.finish(runner.append_to_files(grouped, out))
+    assert 0 < runner.state_rows(progress) <= 32 + 3
+    # The values come back whole, over two batches.
+    add(spark, arrive, (5, 7, "a", 1), (6, 1000, "c", 1), (200, 1, "a", 1))
+    runner.finish(runner.append_to_files(grouped, out))
+    found = spark.read.schema(grouped.schema).parquet(f"{out}/data").select("n", "v", "users", "kinds")
+    assert rows(found) == [(504, 500 * 499 // 2 + 4, 501, 3)]
+
+
 def test_type_counts(spark, folders):
     arrive, _ = folders
     add(spark, arrive, (0, 1, "b", 1), (1, 1, "a", 7), (2, 1, "b", 3), (60, 1, "a", 0))

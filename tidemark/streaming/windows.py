@@ -29,39 +29,40 @@ def windowed_distinct(
     sums: dict[str, Column],
     extremes: dict[str, Column] | None = None,
     slide: str | None = None,
+    buckets: int = 32,
 ) -> DataFrame:
     """Window totals together with exact distinct counts.
 
     A stream rejects ``count(distinct)``. Each row is repeated once per counted column, a
-    first stage groups by (window, keys, column, value), and a second one counts its rows.
-    State is one row per value, spread over all tasks, instead of a set per window.
+    first stage groups by (window, keys, column, hash bucket of the value) and keeps the bucket's distinct
+    values, and a second one adds up how many they are. A window has as many rows of state as there are buckets, not
+    as there are values, and its values are spread over all tasks.
     ``distinct`` maps output names to columns; ``extremes`` gives ``min_``/``max_`` columns.
     """
     extremes = extremes or {}
     names = list(distinct)
-    marks = [
-        F.struct(F.lit(name).alias("what"), F.col(column).cast("string").alias("id"))
-        for name, column in distinct.items()
-    ]
+    marks = []
+    for name, column in distinct.items():
+        value = F.col(column).cast("string")
+        bucket = F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+        marks.append(F.struct(F.lit(names.index(name)).alias("what"), bucket.alias("bucket"), value.alias("id")))
     marked = df.withColumn("_mark", F.explode(F.array(*marks)))
     span = F.window(time, size, slide) if slide else F.window(time, size)
-    first = marked.groupBy(span, *keys, "_mark").agg(
+    first = marked.groupBy(span, *keys, F.col("_mark.what").alias("_what"), F.col("_mark.bucket").alias("_bucket")).agg(
         F.count("*").alias("n"),
         *[F.sum(c).alias(name) for name, c in sums.items()],
         *[F.min(c).alias(f"min_{name}") for name, c in extremes.items()],
         *[F.max(c).alias(f"max_{name}") for name, c in extremes.items()],
+        F.collect_set("_mark.id").alias("_ids"),
     )
     # Totals are complete in the rows of any one counted column.
-    once = F.col("_mark.what") == names[0]
+    once = F.col("_what") == 0
     return first.groupBy("window", *keys).agg(
         F.sum(F.when(once, F.col("n"))).alias("n"),
         *[F.sum(F.when(once, F.col(name))).alias(name) for name in sums],
         *[F.min(f"min_{name}").alias(f"min_{name}") for name in extremes],
         *[F.max(f"max_{name}").alias(f"max_{name}") for name in extremes],
-        *[
-            F.count_if((F.col("_mark.what") == name) & F.col("_mark.id").isNotNull()).alias(name)
-            for name in names
-        ],
+        *[F.sum(F.when(F.col("_what") == i, F.size("_ids")).otherwise(0)).alias(name) for i, name in enumerate(names)],
     )
 
 
