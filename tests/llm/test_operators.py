@@ -496,6 +496,21 @@ def test_estimate_is_corrected_for_chance():
 # ---------------------------------------------------------------------------- suffixes
 
 
+def test_anchors_of_many_texts_at_once(monkeypatch):
+    """The same as text by text, whatever lies beside a text; each string of a text has an anchor that its bytes alone choose."""
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"\0ab", k=rng.choice([0, 1, 23, 24, 49, 50, 51, 76, 200]))) for _ in range(60)] + [b"x" * 300, bytes(120)]
+    monkeypatch.setattr(suffixes, "CACHED_BYTES", 1000)
+    owner, at, h, c = suffixes.anchors(texts, 50)
+    for k, raw in enumerate(texts):
+        alone = suffixes.anchors([raw], 50)
+        assert all((x[owner == k] == y).all() for x, y in zip((at, h, c), alone[1:]))
+        for start in range(len(raw) - 49):
+            own = set((suffixes.anchors([raw[start : start + 50]], 50)[1] + start).tolist())
+            assert own and own <= set(at[owner == k].tolist())
+    assert len(suffixes.anchors([], 50)[0]) == 0 == len(suffixes.anchors([b"", b"short"], 50)[0])
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_suffix_array(seed):
     rng = random.Random(seed)

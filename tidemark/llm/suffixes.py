@@ -32,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 GRAM = 24
 #: Bytes of contexts that one group of a task holds.
 GROUP_BYTES = 200_000
+#: Bytes of texts that are hashed together.
+CACHED_BYTES = 1 << 15
 #: Contexts of one anchor that a suffix array takes; the strings of more crowded ones are compared by a shuffle.
 CROWD = 5_000
 
@@ -146,7 +148,7 @@ def _rolled(symbols: np.ndarray, size: int) -> np.ndarray:
             tail = runs[k][done:]
             out = out[: len(tail)] * factors[k] + tail
             done += 1 << k
-    return mixed(out[: len(symbols) - size + 1])
+    return out[: len(symbols) - size + 1]
 
 
 def _over(values: np.ndarray, width: int, f) -> np.ndarray:
@@ -158,28 +160,65 @@ def _over(values: np.ndarray, width: int, f) -> np.ndarray:
     return f(values[: len(values) - (width - n)], values[width - n :]) if width > n else values
 
 
-def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of a text, and names of their contexts; none if it is shorter than ``length``.
+def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, place and hash of each anchor, and the name of its context; none in texts shorter than ``length``.
 
-    A name is a hash of the bytes around an anchor and of where the text begins or ends in them.
+    A name is a hash of the bytes around an anchor and of where the text begins or ends in them. Texts are
+    hashed together, as many as fit into a cache.
     """
-    if len(raw) < length:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    found, low, size = [], 0, 0
+    for high, raw in enumerate(texts, 1):
+        size += len(raw)
+        if size >= CACHED_BYTES or high == len(texts):
+            owner, *more = _anchors(texts[low:high], length)
+            found.append((owner + low, *more))
+            low, size = high, 0
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     side = length - GRAM
-    padded = np.zeros(len(raw) + 2 * side, np.uint64)
-    padded[side : side + len(raw)] = np.frombuffer(raw, np.uint8)
-    padded[side : side + len(raw)] += np.uint64(1)
-    grams = _rolled(padded, GRAM)
-    hashes = grams[side : len(grams) - side]
     width = side + 1
-    least = _over(hashes, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    at = np.flatnonzero(_over(np.concatenate((edge, least, edge)), width, np.maximum) == hashes)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.cumsum(sizes + 2 * side) - sizes - side
+    # Between texts and at both ends are zeros, which no byte of a text is.
+    gap = bytes(2 * side)
+    padded = np.frombuffer(gap[:side] + gap.join(texts) + gap[:side], np.uint8).astype(np.uint64)
+    padded += np.uint64(1)
+    padded[:side] = 0
+    padded[((starts + sizes)[:, None] + np.arange(2 * side)).ravel()[: -side or None]] = 0
+    grams = _rolled(padded, GRAM)
+    # Anchors are chosen by 32 bits of a hash; where these are equal, all are taken.
+    rank = ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    least = _over(rank, width, np.minimum)
+    # Strings that lie within one text.
+    able = sizes >= length
+    inside = np.zeros(len(least) + 1, np.int8)
+    inside[starts[able]] = 1
+    inside[starts[able] + sizes[able] - length + 1] = -1
+    least *= np.cumsum(inside[:-1], dtype=np.int8).astype(np.uint32)
+    edge = np.zeros(width - 1, np.uint32)
+    at = np.flatnonzero(_over(np.concatenate((edge, least, edge)), width, np.maximum) == rank)
     # The runs of GRAM bytes that a context is covered by.
     context = np.zeros(len(at), np.uint64)
     for low in (*range(0, 2 * side, GRAM), 2 * side):
-        context = context * np.uint64(0xD6E8FEB86659FD93) + grams[at + low]
-    return at, hashes[at], mixed(context)
+        context = context * np.uint64(0xD6E8FEB86659FD93) + mixed(grams[at - side + low])
+    owner = np.searchsorted(starts, at, "right") - 1
+    return owner, at - starts[owner], mixed(grams[at]), mixed(context)
+
+
+def _of(owner: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """One number for a name in a text of the batch."""
+    return names ^ mixed(owner.astype(np.uint64) + np.uint64(1))
+
+
+def _listed(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the lists, and their entries."""
+    flat = [np.asarray(x, np.int64) for x in lists]
+    owner = np.repeat(np.arange(len(flat)), [len(x) for x in flat])
+    return owner, np.concatenate([*flat, np.empty(0, np.int64)]).view(np.uint64)
 
 
 def _heads(h: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,9 +349,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def scattered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Hashes of each batch by part; what several documents of the batch share is settled here."""
         for batch in batches:
-            found = [anchors(_bytes(t), length)[1] for t in batch["text"]]
             ids = batch["id"].to_numpy(np.int64)
-            h, d = np.concatenate(found), np.repeat(ids, [len(x) for x in found])
+            owner, _, h, _ = anchors([_bytes(t) for t in batch["text"]], length)
+            d = ids[owner]
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
             new = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
@@ -358,15 +397,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Names of the contexts of shared anchors by part; what several documents of the batch share is settled here."""
         for batch in batches:
-            hashes, contexts, ids = [], [], []
-            for i, text, known in zip(batch["id"], batch["text"], batch["hashes"]):
-                raw = _bytes(text)
-                _, h, c = anchors(raw, length)
-                keep = np.isin(h, np.asarray(known, np.int64).view(np.uint64))
-                hashes.append(h[keep])
-                contexts.append(c[keep])
-                ids.append(np.full(len(hashes[-1]), i, np.int64))
-            h, c, d = np.concatenate(hashes), np.concatenate(contexts), np.concatenate(ids)
+            owner, _, h, c = anchors([_bytes(t) for t in batch["text"]], length)
+            # A shared anchor is in the lists of all documents that have it.
+            keep = np.isin(h, _listed(batch["hashes"])[1])
+            h, c, d = h[keep], c[keep], batch["id"].to_numpy(np.int64)[owner[keep]]
             order = np.lexsort((d, h, c))
             h, c, d = h[order], c[order], d[order]
             new, least = _heads(h, c, d)
@@ -416,18 +450,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """The contexts asked for, with their bytes."""
         side = length - GRAM
         for batch in batches:
-            out = []
-            for i, text, wanted in zip(batch["id"], batch["text"], batch["wanted"]):
-                raw = _bytes(text)
-                at, h, c = anchors(raw, length)
-                c = c.view(np.int64)
-                keep = np.flatnonzero(np.isin(c, np.asarray(wanted, np.int64)))
-                # Once, however often the document has it.
-                keep = keep[np.unique(c[keep], return_index=True)[1]]
-                for a, name, p in zip(h[keep].view(np.int64).tolist(), c[keep].tolist(), at[keep].tolist()):
-                    low = max(0, p - side)
-                    out.append((a, name, i, p - low, raw[low : p + length]))
-            yield pd.DataFrame(out, columns=["anchor", "c", "first", "place", "context"])
+            texts = [_bytes(t) for t in batch["text"]]
+            owner, at, h, c = anchors(texts, length)
+            names = _of(owner, c)
+            keep = np.flatnonzero(np.isin(names, _of(*_listed(batch["wanted"]))))
+            # Once, however often the document has it.
+            keep = keep[np.unique(names[keep], return_index=True)[1]]
+            owner, at = owner[keep], at[keep]
+            place = np.minimum(at, side)
+            out = {"anchor": h[keep].view(np.int64), "c": c[keep].view(np.int64), "first": batch["id"].to_numpy(np.int64)[owner], "place": place}
+            out["context"] = [texts[k][a:b] for k, a, b in zip(owner.tolist(), (at - place).tolist(), (at + length).tolist())]
+            yield pd.DataFrame(out)
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("anchor")
@@ -454,20 +487,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     @F.pandas_udf("n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
     def cut(texts: pd.Series, whole: pd.Series, some: pd.Series) -> pd.DataFrame:
         out = []
-        for text, entire, strings in zip(texts, whole, some):
-            raw = _bytes(text)
+        raws = [_bytes(t) for t in texts]
+        owner, at, _, c = anchors([b"" if x is None else raw for raw, x in zip(raws, whole)], length)
+        entirely = np.isin(_of(owner, c), _of(*_listed([[] if x is None else x for x in whole])))
+        c = c.view(np.int64)
+        bounds = np.searchsorted(owner, np.arange(len(raws) + 1)).tolist()
+        for raw, entire, strings, low, high in zip(raws, whole, some, bounds, bounds[1:]):
             if entire is None:
                 out.append((len(raw), [], raw))
                 continue
-            at, _, c = anchors(raw, length)
-            c = c.view(np.int64)
             gone = np.zeros(len(raw) + 1, np.int64)
-            mine = at[np.isin(c, np.asarray(entire, np.int64))]
+            mine = at[low:high][entirely[low:high]]
             np.add.at(gone, np.maximum(mine - (length - GRAM), 0), 1)
             np.add.at(gone, np.minimum(mine, len(raw) - length) + length, -1)
             wanted = {x["c"]: np.asarray(x["starts"], np.int64) for x in strings}
             if wanted:
-                for k in np.flatnonzero(np.isin(c, np.fromiter(wanted, np.int64))).tolist():
+                for k in (np.flatnonzero(np.isin(c[low:high], np.fromiter(wanted, np.int64))) + low).tolist():
                     starts = wanted[int(c[k])] + max(0, int(at[k]) - (length - GRAM))
                     np.add.at(gone, starts, 1)
                     np.add.at(gone, starts + length, -1)
