@@ -581,6 +581,46 @@ def test_repeats_odd_rows(spark):
     assert suffixes.remove_repeats(frame(spark, [])).count() == 0
 
 
+def most_rows(df) -> int:
+    """Runs ``df``; the most rows that a join or a generator of its plan made."""
+
+    def walk(node) -> int:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        rows = node.metrics().get("numOutputRows")
+        mine = rows.get().value() if ("Join" in name or "Generate" in name) and rows.isDefined() else 0
+        return max([mine, *(walk(node.children().apply(k)) for k in range(node.children().size()))])
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_crowded_anchors_make_few_rows(spark, monkeypatch):
+    """A line in many surroundings: like plain Python, and no step makes a row for each string of a context."""
+    monkeypatch.setattr(suffixes, "CROWD", 40)
+    rng = random.Random(12)
+    line, ends = prose(rng, 12), [prose(rng, 3) for _ in range(4)]
+    start = lambda: rng.choice([line[rng.randint(0, 30) :], prose(rng, 2) + rng.choice((" ", ". ", "\n")) + line])
+    rows = [(i, start() + rng.choice((" ", ". ")) + rng.choice([*ends, prose(rng, 3)])) for i in range(600)]
+    made, contexts, keep = [], [], suffixes.stored
+
+    def stored(df, label, release=False):
+        if label.startswith("crowded"):
+            made.append(most_rows(df))
+        out = keep(df, label, release)
+        if label == "crowded-contexts":
+            contexts.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "stored", stored)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffixes.remove_repeats(frame(spark, rows)).collect()}
+    assert got == plain_repeats(rows)
+    assert contexts[0] > 300 and 0 < max(made) <= 4 * contexts[0]
+
+
 # ----------------------------------------------------------------------- decontaminate
 
 

@@ -9,6 +9,7 @@
    several different contexts have the anchor.
 4. Different contexts of one anchor meet in one task; a suffix array of what they may share, made by
    linear grouping, brings equal strings together, and each string gets the smallest id that has it.
+   Where an anchor has very many contexts, they are first split by their strings (see ``_crowded``).
 5. Documents look up their contexts and remove what an earlier document also has.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,8 +36,9 @@ GRAM = 24
 GROUP_BYTES = 200_000
 #: Bytes of texts that are hashed together.
 CACHED_BYTES = 1 << 15
-#: Contexts of one anchor that a suffix array takes; the strings of more crowded ones are compared by a shuffle.
-CROWD = 5_000
+#: Contexts of one anchor that a suffix array takes; those of more crowded ones are split by their strings,
+#: into so many parts at a time.
+CROWD, SPLIT = 5_000, 4
 
 
 def suffix_array(symbols: list[int]) -> list[int]:
@@ -246,21 +249,21 @@ def _reach(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     return out
 
 
-def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """``context's index, places`` of its strings of ``length`` bytes that a smaller id also has. Rows come by anchor.
+def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray]]:
+    """``context's index, places`` of its strings of ``length`` bytes that a smaller id also has. Rows come by anchor (of ``gram`` bytes).
 
     The suffix array's text has, for each context, what it may share: as many bytes on either side of
     the anchor as it has in common with any other context. One symbol stands for the anchor and for
     the bytes next to it that all have and that every string has to hold.
     """
-    side = length - GRAM
+    side = length - gram
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     owner = np.repeat(np.arange(len(contexts)), sizes)
     column = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes - (side - place), sizes)
-    rows = np.zeros((len(contexts), 2 * side + GRAM), np.int16)
+    rows = np.zeros((len(contexts), 2 * side + gram), np.int16)
     rows[owner, column] = np.frombuffer(b"".join(contexts), np.uint8)
     rows[owner, column] += 1
-    rows = np.delete(rows, slice(side, side + GRAM), axis=1)
+    rows = np.delete(rows, slice(side, side + gram), axis=1)
     _, group = np.unique(anchor, return_inverse=True)
     left, right = _reach(rows[:, side - 1 :: -1], group), _reach(rows[:, side:], group)
     able = np.flatnonzero(left + right >= side)
@@ -316,17 +319,73 @@ def _least(anchor: np.ndarray, place: np.ndarray, first: np.ndarray, contexts: l
             yield int(able[whose[a]]), where[a:b]
 
 
+def _sorted(group: pd.DataFrame, length: int, gram: int = GRAM) -> pd.DataFrame:
+    """``c, id, starts`` of strings that an earlier document of the group has."""
+    group = group.sort_values("anchor")
+    c, first = group["c"].to_numpy(np.int64), group["first"].to_numpy(np.int64)
+    shift = group["shift"].to_numpy(np.int64) if "shift" in group else np.zeros(len(group), np.int64)
+    found = _least(group["anchor"].to_numpy(np.int64), group["place"].to_numpy(np.int64), first, group["context"].tolist(), length, gram)
+    return pd.DataFrame([(c[k], first[k], starts + shift[k]) for k, starts in found], columns=["c", "id", "starts"])
+
+
+def _bins(contexts: int, length: int) -> int:
+    return max(1, contexts * 2 * length // GROUP_BYTES)
+
+
 def _crowded(contexts: DataFrame, length: int) -> DataFrame:
-    """``c, id, starts`` of strings that an earlier document has: each string is a row, and partial
-    minima go through the shuffle, however many contexts have it."""
-    last = F.least(F.col("place"), F.octet_length("context") - length)
-    each = contexts.select("c", "first", "context", F.explode(F.sequence(F.lit(0), last)).alias("start"))
-    string = F.substring(F.col("context"), F.col("start") + 1, F.lit(length))
-    each = each.select("c", "first", "start", F.xxhash64(string).alias("one"), F.xxhash64(F.lit(1), string).alias("two"))
-    lowest = each.groupBy("one", "two").agg(F.min("first").alias("lowest"), F.max("first").alias("highest"))
-    lowest = stored(lowest.filter("lowest < highest").drop("highest"), "crowded-strings")
-    later = each.join(lowest, ["one", "two"]).filter("first > lowest")
-    return later.groupBy("c").agg(F.first("first").alias("id"), F.collect_set("start").alias("starts"))
+    """``c, id, starts`` of strings that an earlier document has, for anchors with many contexts.
+
+    A context's strings are split into ``SPLIT`` parts by how many bytes they have left of the anchor. All
+    strings of a part hold more than the anchor, so contexts part ways: those that are alone with these bytes
+    are done, groups of up to ``CROWD`` get a suffix array. In larger groups, contexts that are equal as far
+    as the part's strings reach go by name, only the first document's are split again. A part of one string
+    is settled by the names alone. So a context makes ``SPLIT`` rows in each round that it takes part in, and
+    rounds are few: as many as splits make one string of all.
+    """
+    side = length - GRAM
+    rows = contexts.select("anchor", "c", "first", F.lit(0).alias("low"), F.lit(side).alias("high"), F.lit(0).alias("shift"), "place", "context")
+    right = F.octet_length("context") - F.col("place") - GRAM
+    # Bytes that strings of a part have to the left of the anchor: from low to high, and as many as the text has.
+    before, after = F.least("place", "high"), F.least(right, side - F.col("low"))
+    held = F.substring("context", F.col("place") - F.col("low") + 1, F.col("low") + GRAM + side - F.col("high"))
+    around = F.substring("context", F.col("place") - before + 1, before + GRAM + after)
+    few, found, step = [], [], side + 1
+    while step > 1:
+        step = -(-step // SPLIT)
+        parts = rows.withColumn("low", F.explode(F.sequence("low", "high", F.lit(step)))).withColumn("high", F.least("high", F.col("low") + step - 1))
+        parts = parts.filter((F.col("place") >= F.col("low")) & (right >= side - F.col("high"))).select(
+            "anchor", "c", "first", "low", "high", (F.col("shift") + F.col("place") - before).alias("shift"), before.alias("place"),
+            around.alias("context"), F.xxhash64("anchor", "low", held).alias("part"),
+        )
+        groups = parts.groupBy("anchor", "part").agg(F.count("*").alias("n"), F.min("first").alias("one"), F.max("first").alias("other"))
+        groups = stored(groups.filter("n > 1 and one < other").select("anchor", "part", (F.col("n") > CROWD).alias("hot")), "crowded-parts")
+        parts = stored(parts.join(groups, ["anchor", "part"]), "crowded-contexts-by-part", release=True)
+        hot = parts
+        if step > 1:
+            few.append(parts.filter("not hot"))
+            hot = parts.filter("hot")
+        if hot.isEmpty():
+            break
+        hot = hot.withColumn("name", F.xxhash64("part", "place", "context"))
+        names = stored(hot.groupBy("part", "name").agg(F.min("first").alias("lowest")), "crowded-names")
+        later = F.col("first") > F.col("lowest")
+        starts = F.sequence("shift", F.col("shift") + F.col("place") - F.greatest("low", side - right))
+        named = hot.join(names, ["part", "name"]).select(
+            "anchor", "c", "first", "low", "high", "shift", "place", F.when(~later, F.col("context")).alias("context"), F.when(later, starts).alias("starts")
+        )
+        named = stored(named, "crowded-strings", release=True)
+        found.append(named.filter("starts is not null").select("c", F.col("first").alias("id"), "starts"))
+        rows = named.filter("starts is null").drop("starts")
+
+    def sort(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(anchor=group["part"], place=group["place"] - group["low"])
+        return pd.concat([_sorted(some, length, length - int(wide)) for wide, some in group.groupby(group["high"] - group["low"])])
+
+    for some in few:
+        bins = some.withColumn("bin", F.pmod("part", F.lit(_bins(some.count(), length))))
+        found.append(bins.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"))
+    every = reduce(DataFrame.union, found)
+    return every.groupBy("c", "id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -444,7 +503,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     asked = stored(asked, "asked-contexts", release=True)
     few, many = asked.agg(F.sum(F.size("few").cast("bigint")), F.sum(F.size("many").cast("bigint"))).first()
-    bins = max(1, (few or 0) * 2 * length // GROUP_BYTES)
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The contexts asked for, with their bytes."""
@@ -463,16 +521,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame(out)
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("anchor")
-        c, first = group["c"].to_numpy(np.int64), group["first"].to_numpy(np.int64)
-        found = _least(group["anchor"].to_numpy(np.int64), group["place"].to_numpy(np.int64), first, group["context"].tolist(), length)
-        return pd.DataFrame([(c[k], first[k], starts) for k, starts in found], columns=["c", "id", "starts"])
+        return _sorted(group, length)
 
     def contexts(of: str) -> DataFrame:
         sending = full.join(asked.filter(F.size(of) > 0).select("id", F.col(of).alias("wanted")), "id")
         return sending.mapInPandas(around, "anchor bigint, c bigint, first bigint, place int, context binary")
 
-    met = contexts("few").withColumn("bin", F.pmod("anchor", F.lit(bins)))
+    met = contexts("few").withColumn("bin", F.pmod("anchor", F.lit(_bins(few or 0, length))))
     # Strings of the first holder of a context that an earlier document has.
     special = stored(met.groupBy("bin").applyInPandas(sort, "c bigint, id bigint, starts array<int>"), "earlier-strings", release=True)
     if many:
